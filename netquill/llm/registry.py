@@ -7,6 +7,7 @@ import importlib
 #: module, query function, name of the module's SQL text (None: SQL cannot express it)
 OPS = [
     ("minhash_dedup", "op5_minhash_near_dedup", None),
+    ("suffix_dedup", "op6_suffix_array_dedup", None),
     ("line_dedup", "op8_line_dedup", "ORACLE_SQL"),
 ]
 
