@@ -9,6 +9,7 @@ OPS = [
     ("token_counts", "op4_token_counts", None),
     ("minhash_dedup", "op5_minhash_near_dedup", None),
     ("suffix_dedup", "op6_suffix_array_dedup", None),
+    ("toxicity", "op7_toxicity", None),
     ("line_dedup", "op8_line_dedup", "ORACLE_SQL"),
     ("decontaminate", "op10_benchmark_decontamination", "ORACLE_SQL"),
 ]
