@@ -6,6 +6,7 @@ import importlib
 
 #: module, query function, name of the module's SQL text (None: SQL cannot express it)
 OPS = [
+    ("topk_search", "op1_exact_topk_search", "ORACLE_SQL"),
     ("quality", "op3_quality_classifier", None),
     ("token_counts", "op4_token_counts", None),
     ("minhash_dedup", "op5_minhash_near_dedup", None),
