@@ -1,0 +1,243 @@
+"""Queries over the control side, the windows, the flags, the rules and the verdicts."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from netquill.operators import rules as R
+from netquill.operators import verdicts as V
+from netquill.plans.catalog import query
+from netquill.plans.standins import ctes, frame
+
+GRAIN = "month"
+
+BASE = ctes("O", "C") + """,
+c2 AS (SELECT *, date_trunc('month', measurement_start_time) AS measurement_day FROM c),
+o2 AS (SELECT *, date_trunc('month', measurement_start_time) AS measurement_day, ip LIKE '%:%' AS ip_is_v6,
+       ip NOT LIKE '%:%' AS ip_is_v4, coalesce(dns_engine IN ('system', 'getaddrinfo'), false) AS local FROM o),
+cip AS (SELECT hostname, measurement_day, ip,
+    count(*) FILTER (WHERE dns_success = 1) AS answers, count(*) FILTER (WHERE tls_success = 1) AS tls_ok,
+    count(*) FILTER (WHERE tls_success = 0 AND tls_failure LIKE 'ssl\\_%' ESCAPE '\\') AS tls_bad,
+    count(*) FILTER (WHERE tls_success = 0 AND tls_failure IS NOT NULL) AS tls_fail,
+    count(*) FILTER (WHERE tcp_success = 1) AS tcp_ok, count(*) FILTER (WHERE tcp_success = 0) AS tcp_fail
+  FROM c2 WHERE ip IS NOT NULL GROUP BY ALL),
+casn AS (SELECT hostname, measurement_day, ip_asn, count(*) AS n FROM c2 WHERE dns_success = 1 AND ip_asn <> 0 GROUP BY ALL),
+cc AS (SELECT hostname, measurement_day, count(*) FILTER (WHERE dns_failure IS NOT NULL) AS ctrl_dns_failure_count,
+    count(*) FILTER (WHERE dns_success = 1) AS ctrl_dns_success_count FROM c2 GROUP BY ALL),
+ot AS (SELECT DISTINCT hostname, measurement_day, ip FROM o2 WHERE tls_is_certificate_valid = 1),
+good AS (SELECT cc.hostname, cc.measurement_day, u.ip FROM cc JOIN (
+    SELECT hostname, measurement_day, ip FROM cip WHERE tls_ok > 0 UNION SELECT * FROM ot) u
+    ON cc.hostname = u.hostname AND cc.measurement_day = u.measurement_day),
+win AS (SELECT o2.*,
+    coalesce(list(dns_answer) FILTER (WHERE local AND dns_answer IS NOT NULL) OVER own, []) AS dns_answers,
+    coalesce(list(ip_asn) FILTER (WHERE local AND ip_asn IS NOT NULL) OVER own, []) AS dns_answers_asns,
+    coalesce(max(ip_is_bogon) FILTER (WHERE local) OVER own, 0) AS dns_answers_contain_bogon,
+    count(*) FILTER (WHERE ip_is_v6 AND tcp_failure IS NOT NULL) OVER rep AS v6_bad, count(*) FILTER (WHERE ip_is_v6 AND tcp_success = 1) OVER rep AS v6_ok,
+    count(*) FILTER (WHERE ip_is_v4 AND tcp_failure IS NOT NULL) OVER rep AS v4_bad, count(*) FILTER (WHERE ip_is_v4 AND tcp_success = 1) OVER rep AS v4_ok
+  FROM o2 WINDOW own AS (PARTITION BY measurement_uid, hostname, ip_is_v6), rep AS (PARTITION BY report_id)),
+lists AS (SELECT cc.*, coalesce(g.l, []) AS l_good, coalesce(b.l_bad, []) AS l_bad, coalesce(b.l_ans, []) AS l_ans, coalesce(a.l, []) AS l_asn
+  FROM cc LEFT JOIN (SELECT hostname, measurement_day, list(ip) AS l FROM good GROUP BY ALL) g USING (hostname, measurement_day)
+  LEFT JOIN (SELECT hostname, measurement_day, list(ip) FILTER (WHERE tls_bad > 0) AS l_bad, list(ip) FILTER (WHERE answers > 0) AS l_ans FROM cip GROUP BY ALL) b USING (hostname, measurement_day)
+  LEFT JOIN (SELECT hostname, measurement_day, list(ip_asn) AS l FROM casn GROUP BY ALL) a USING (hostname, measurement_day)),
+fl AS (SELECT win.*,
+    coalesce(list_has_any(l_good, dns_answers), false) AS dns_tls_consistent, coalesce(list_has_any(l_bad, dns_answers), false) AS dns_tls_inconsistent,
+    coalesce(list_has_any(l_ans, dns_answers), false) AS dns_answer_matches_ctrl, coalesce(list_has_any(l_asn, dns_answers_asns), false) AS dns_answer_asn_matches_ctrl,
+    CAST(ctrl_dns_success_count AS DOUBLE) / nullif(ctrl_dns_success_count + ctrl_dns_failure_count, 0) AS ctrl_dns_success_rate,
+    coalesce(cip.tls_ok, 0) AS ctrl_tls_success_count, coalesce(cip.tls_fail, 0) AS ctrl_tls_failing_count,
+    coalesce(cip.tcp_ok, 0) AS ctrl_tcp_success_count, coalesce(cip.tcp_fail, 0) AS ctrl_tcp_failing_count,
+    CAST(cip.tls_ok AS DOUBLE) / nullif(cip.tls_ok + cip.tls_fail, 0) AS ctrl_tls_success_rate,
+    CAST(cip.tcp_ok AS DOUBLE) / nullif(cip.tcp_ok + cip.tcp_fail, 0) AS ctrl_tcp_success_rate,
+    CAST(v6_bad AS DOUBLE) / nullif(v6_bad + v6_ok, 0) AS tcp_ipv6_failure_rate,
+    dns_answer = '10.0.0.17' AND probe_cc IN ('C1', 'C2') AS dns_blocking_country_consistent
+  FROM win LEFT JOIN lists ON win.hostname = lists.hostname AND win.measurement_day = lists.measurement_day
+  LEFT JOIN cip ON win.hostname = cip.hostname AND win.measurement_day = cip.measurement_day AND win.ip = cip.ip)
+"""
+
+
+def _cases(layer: str) -> str:
+    """The rule list of a layer as SQL: number of the first rule that holds, and its values."""
+    text = lambda w: w.replace("size(", "len(").replace("startswith(", "starts_with(")
+    chosen = [*R.RULES[layer], R.NONE]
+    pick = "CASE " + " ".join(f"WHEN {text(r.when)} THEN {i}" for i, r in enumerate(chosen)) + " END"
+    lists = {
+        "rule_id": "[" + ", ".join(f"'{r.id}'" for r in chosen) + "]",
+        **{n: "[" + ", ".join(str(float(getattr(r, n))) for r in chosen) + "]" for n in ("blocked", "down", "ok")},
+        "evidence": "[" + ", ".join(str(r.evidence) for r in chosen) + "]",
+    }
+    return f"{pick} AS {layer}_n", ", ".join(f"CAST({v}[{layer}_n + 1] AS {'VARCHAR' if k == 'rule_id' else 'INTEGER' if k == 'evidence' else 'DOUBLE'}) AS {layer}_{k}" for k, v in lists.items())
+
+
+def scored_sql() -> str:
+    out, last = BASE, "fl"
+    for layer in ("dns", "tcp", "tls"):
+        pick, values = _cases(layer)
+        out += f", {layer}0 AS (SELECT *, {pick} FROM {last}), {layer}1 AS (SELECT *, {values} FROM {layer}0)"
+        last = f"{layer}1"
+    return out
+
+
+SCORED = scored_sql()
+
+
+def fingerprints(spark):
+    return spark.createDataFrame(
+        [
+            ("isp block", "nat", "full", "10.0.0.17", "C1, C2"),
+            ("same block", "isp", "full", "10.0.0.17", "C2"),
+            ("cdn answer", "fp", "full", "93.184.3.7", "C1,C3"),
+            ("body", "nat", "contains", "blocked", "C4"),
+        ],
+        "name string, scope string, pattern_type string, pattern string, expected_countries string",
+    )
+
+
+def inputs(spark, d):
+    return frame(spark, d, "O"), frame(spark, d, "C")
+
+
+@query("ctrl_counts", BASE + """
+SELECT c2.hostname, c2.measurement_day, count(*) FILTER (WHERE dns_failure IS NOT NULL) AS ctrl_dns_failure_count,
+  count(*) FILTER (WHERE dns_success = 1) AS ctrl_dns_success_count,
+  count(DISTINCT ip) FILTER (WHERE ip_asn IN (3, 7, 11)) AS cloud_provider_ips_count,
+  count(DISTINCT ip) FILTER (WHERE ip_asn NOT IN (3, 7, 11)) AS not_cloud_provider_ips_count
+FROM c2 GROUP BY ALL""")
+def ctrl_counts(spark, d):
+    return V.control_counts(V.with_day(frame(spark, d, "C"), GRAIN), [3, 7, 11])
+
+
+_LONG = " UNION ALL ".join(
+    f"SELECT hostname, measurement_day, '{n}' AS map, ip, {c} AS n FROM cip WHERE {c} > 0"
+    for n, c in zip(V.MAPS, ("answers", "tls_ok", "tls_bad", "tls_fail", "tcp_ok", "tcp_fail"))
+)
+
+
+@query("ctrl_maps", f"{BASE} {_LONG} UNION ALL SELECT hostname, measurement_day, 'ctrl_dns_answers_asns', CAST(ip_asn AS VARCHAR), n FROM casn")
+def ctrl_maps(spark, d):
+    maps = V.control_maps(V.with_day(frame(spark, d, "C"), GRAIN))
+    out = None
+    for n in [*V.MAPS, "ctrl_dns_answers_asns"]:
+        part = maps.select("hostname", "measurement_day", F.lit(n).alias("map"), F.explode(n).alias("ip", "n")).withColumn("ip", F.col("ip").cast("string"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("rate_map", BASE + """
+SELECT hostname, measurement_day, 'tls' AS layer, ip, CAST(tls_ok AS DOUBLE) / (tls_ok + tls_fail) AS rate FROM cip WHERE tls_ok + tls_fail > 0
+UNION ALL SELECT hostname, measurement_day, 'tcp', ip, CAST(tcp_ok AS DOUBLE) / (tcp_ok + tcp_fail) FROM cip WHERE tcp_ok + tcp_fail > 0""")
+def rate_maps(spark, d):
+    o, c = inputs(spark, d)
+    base = V.control_baseline(c, o, grain=GRAIN)
+    part = lambda x: base.select("hostname", "measurement_day", F.lit(x).alias("layer"), F.explode(f"ctrl_{x}_success_rates").alias("ip", "rate"))
+    return part("tls").unionByName(part("tcp"))
+
+
+@query("union_ips", BASE + " SELECT hostname, measurement_day, ip FROM good")
+def union_ips(spark, d):
+    o, c = inputs(spark, d)
+    return V.control_baseline(c, o, grain=GRAIN).select("hostname", "measurement_day", F.explode("union_tls_consistent_ips").alias("ip"))
+
+
+@query("exp_ctrl_join", BASE + """
+SELECT measurement_uid, observation_idx, o2.hostname, coalesce(ctrl_dns_success_count, 0) AS ctrl_dns_success_count,
+  coalesce(ctrl_dns_failure_count, 0) AS ctrl_dns_failure_count, cc.hostname IS NOT NULL AS has_ctrl
+FROM o2 LEFT JOIN cc ON o2.hostname = cc.hostname AND o2.measurement_day = cc.measurement_day""")
+def exp_ctrl_join(spark, d):
+    o, c = inputs(spark, d)
+    base = V.control_counts(V.with_day(c, GRAIN)).withColumn("has_ctrl", F.lit(True))
+    rows = V.with_day(o, GRAIN).join(base, V.KEY, "left")
+    n = lambda x: F.coalesce(x, F.lit(0)).alias(x)
+    return rows.select("measurement_uid", "observation_idx", "hostname", n("ctrl_dns_success_count"), n("ctrl_dns_failure_count"), F.coalesce("has_ctrl", F.lit(False)).alias("has_ctrl"))
+
+
+@query("win_answers", BASE + """
+SELECT measurement_uid, observation_idx, array_to_string(list_sort(dns_answers), ',') AS answers,
+  array_to_string(list_sort(dns_answers_asns), ',') AS asns FROM win""")
+def win_answers(spark, d):
+    w = V.with_windows(frame(spark, d, "O"))
+    return w.select("measurement_uid", "observation_idx", F.array_join("dns_answers", ",").alias("answers"), F.array_join(F.col("dns_answers_asns").cast("array<string>"), ",").alias("asns"))
+
+
+@query("win_bogon", BASE + " SELECT measurement_uid, observation_idx, dns_answers_contain_bogon FROM win")
+def win_bogon(spark, d):
+    return V.with_windows(frame(spark, d, "O")).select("measurement_uid", "observation_idx", "dns_answers_contain_bogon")
+
+
+@query("win_tcp_rates", BASE + """
+SELECT measurement_uid, observation_idx, v6_bad AS tcp_ipv6_failure_count, v4_bad AS tcp_ipv4_failure_count,
+  CAST(v6_bad AS DOUBLE) / nullif(v6_bad + v6_ok, 0) AS tcp_ipv6_failure_rate, CAST(v4_bad AS DOUBLE) / nullif(v4_bad + v4_ok, 0) AS tcp_ipv4_failure_rate FROM win""")
+def win_tcp_rates(spark, d):
+    names = [f"tcp_ip{v}_failure_{x}" for v in ("v6", "v4") for x in ("count", "rate")]
+    return V.with_windows(frame(spark, d, "O")).select("measurement_uid", "observation_idx", *names)
+
+
+_FLAGS = ["dns_tls_consistent", "dns_tls_inconsistent", "dns_answer_matches_ctrl", "dns_answer_asn_matches_ctrl", "ctrl_dns_success_rate", "ctrl_tls_success_rate", "ctrl_tcp_success_rate", "ctrl_tls_success_count", "ctrl_tls_failing_count", "ctrl_tcp_success_count", "ctrl_tcp_failing_count"]
+
+
+@query("flags", f"{BASE} SELECT measurement_uid, observation_idx, {', '.join(_FLAGS)} FROM fl")
+def flags(spark, d):
+    o, c = inputs(spark, d)
+    base = V.control_baseline(c, o, grain=GRAIN)
+    return V.with_flags(V.with_windows(V.with_day(o, GRAIN)), base).select("measurement_uid", "observation_idx", *_FLAGS)
+
+
+def _score(layer):
+    names = [f"{layer}_{x}" for x in ("rule_id", "blocked", "down", "ok", "evidence")]
+
+    @query(f"score_{layer}", f"{SCORED} SELECT measurement_uid, observation_idx, {', '.join(names)} FROM tls1")
+    def run(spark, d):
+        o, c = inputs(spark, d)
+        return V.scored_rows(o, c, fingerprints(spark), grain=GRAIN).select("measurement_uid", "observation_idx", *names)
+
+
+for _layer in ("dns", "tcp", "tls"):
+    _score(_layer)
+
+_TOPS = ", ".join(
+    f"arg_max({x}_rule_id, struct_pack(a := {x}_evidence, b := {x}_blocked, c := {x}_rule_id)) AS top_{x}_rule_id" for x in ("dns", "tcp", "tls")
+)
+
+
+@query("top_rule", f"{SCORED} SELECT measurement_uid, {_TOPS} FROM tls1 GROUP BY measurement_uid")
+def top_rule(spark, d):
+    o, c = inputs(spark, d)
+    scored = V.scored_rows(o, c, fingerprints(spark), grain=GRAIN)
+    return scored.groupBy("measurement_uid").agg(*[V.top_rule(x).alias(f"top_{x}_rule_id") for x in ("dns", "tcp", "tls")])
+
+
+_MAXES = ", ".join(f"max({x}_{s}) AS {x}_{s}" for x in ("dns", "tcp", "tls") for s in ("blocked", "down", "ok"))
+
+
+def _mode(col: str, name: str) -> str:
+    """Most frequent value, the smallest of equals, as a scalar subquery over the measurement's rows."""
+    return f"{name}_m AS (SELECT measurement_uid, {col} AS {name} FROM (SELECT measurement_uid, {col}, row_number() OVER (PARTITION BY measurement_uid ORDER BY count(*) DESC, {col}) AS r FROM tls1 WHERE {col} IS NOT NULL GROUP BY measurement_uid, {col}) WHERE r = 1)"
+
+
+_MODES = ", ".join(_mode(c, n) for c, n in (("probe_analysis", "top_probe_analysis"), ("dns_failure", "top_dns_failure"), ("tcp_failure", "top_tcp_failure"), ("tls_failure", "top_tls_failure")))
+_MODE_NAMES = ("top_probe_analysis", "top_dns_failure", "top_tcp_failure", "top_tls_failure")
+_ROLLED = f"""{SCORED}, {_MODES}, agg AS (
+  SELECT regexp_extract(input, '^https://([^/]+)', 1) AS domain, input, probe_asn, probe_cc, resolver_asn, network_type, test_name,
+    measurement_start_time, measurement_uid, probe_id, {_MAXES}, {_TOPS}, 2 AS analysis_rules_version
+  FROM tls1 {{where}} GROUP BY input, probe_asn, probe_cc, resolver_asn, network_type, test_name, measurement_start_time, measurement_uid, probe_id)
+SELECT agg.*, {', '.join(_MODE_NAMES)} FROM agg {' '.join(f'LEFT JOIN {n}_m ON agg.measurement_uid = {n}_m.measurement_uid' for n in _MODE_NAMES)}"""
+
+
+@query("verdict_rollup", _ROLLED.replace("{where}", ""))
+def verdict_rollup(spark, d):
+    o, c = inputs(spark, d)
+    return V.roll_up(V.scored_rows(o, c, fingerprints(spark), grain=GRAIN))
+
+
+@query("web_verdicts", _ROLLED.replace("{where}", "").replace("FROM o2 WINDOW own", "FROM o2 WHERE probe_cc IN ('C1', 'C2', 'C3') WINDOW own"))
+def web_verdicts(spark, d):
+    """The windows over reports see the filtered rows only, as the filter comes first; a report belongs
+    to customers of several countries here, so the checking SQL filters first as well."""
+    o, c = inputs(spark, d)
+    return V.web_verdicts(o, c, fingerprints(spark), probe_cc=("C1", "C2", "C3"), grain=GRAIN)
+
+
+@query("verified_ctrl", BASE + """
+SELECT hostname, measurement_day, ip FROM o2 WHERE tls_is_certificate_valid = 1
+GROUP BY ALL HAVING count(DISTINCT CASE WHEN probe_id <> '' THEN probe_id END) >= 2""")
+def verified_ctrl(spark, d):
+    good = V.consistent_ips(V.with_day(frame(spark, d, "O"), GRAIN), at_least_probes=2)
+    return good.select("hostname", "measurement_day", F.explode("other_tls_consistent_ips").alias("ip"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from netquill.plans import catalog, q_verdicts  # noqa: F401  (query modules register on import)
+
 
 def queries() -> dict:
-    return {}
+    return dict(catalog.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(catalog.SQL)
