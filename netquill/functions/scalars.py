@@ -175,9 +175,9 @@ def is_bogon(ip: Column) -> Column:
 
 def normal_failure(failure: Column) -> Column:
     """Empty and false become NULL; unclassified failures take the class of the first known substring."""
-    known = F.lit(None).cast("string")
-    for text, name in reversed(UNKNOWN_FAILURES):
-        known = F.when(F.contains(failure, F.lit(text)), name).otherwise(known)
+    known = F
+    for text, name in UNKNOWN_FAILURES:
+        known = known.when(F.contains(failure, F.lit(text)), name)
     return F.when(failure.isNull() | failure.isin("", "false"), F.lit(None).cast("string")).when(
         failure.startswith("unknown_failure"), F.coalesce(known, failure)
     ).otherwise(failure)

@@ -11,12 +11,13 @@ smallest doc_id.
 2. Documents with equal sets form a class; only its smallest doc_id goes on.
 3. Four registers form a band, 32 bands. At a similarity of 0.75 a pair shares no band with
    probability (1 - 0.75**4)**32 = 5e-6.
-4. Candidate pairs come from buckets of a band in rounds. First each member is paired with few centres
-   of its bucket, the members that are then connected count as one, and only members of different
-   components meet in the later rounds; the last round pairs all those that are still apart. So
-   nothing is dropped, and a group of near copies is not expanded into its pairs.
+4. Candidate pairs come from the buckets of a band. First each member is paired with a few random
+   centres of its bucket. Members that are then connected count as one, and the second round pairs
+   members of a bucket only if they are still apart and their registers, compared inside the join, allow
+   the threshold. So nothing is dropped, and a group of near copies is not expanded into
+   its pairs.
 5. A pair goes on if the sizes allow it and the collision-corrected estimate from the registers is not
-   far below the threshold; then the full sets decide.
+   4.5 deviations below the threshold; then the full sets decide.
 
 Defined results for odd input: a null or empty text has no shingles and is linked with nothing; rows
 with a null doc_id get a null component and stay; rows that repeat a doc_id are one node; an empty
@@ -37,7 +38,8 @@ from netquill.llm.common import append_columns, binaries, chunked, table, writte
 from netquill.llm.components import connected_components
 from netquill.llm.hashing import U, mix, shingle_hashes, shingle_set
 
-REGISTERS, BANDS, BITS = 128, 32, 10
+REGISTERS, BANDS, BITS, CENTRES = 128, 32, 10, 3
+CACHE_BYTES = 32 << 20
 ORDER = np.argsort(
     mix(np.arange(REGISTERS * REGISTERS, dtype=U) + U(77)).reshape(REGISTERS, REGISTERS), axis=1
 )
@@ -90,33 +92,26 @@ def sketch(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, ...]:
 
 
 def signatures(docs: DataFrame, width: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, h1, h2, s1, s2, registers) of every row; s1 and s2 hold one bit for each
-    register."""
+    """(doc_id, n_shingles, h1, h2, registers) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.lower() for t in binaries(batch, "text")]
             for part in chunked(texts):
                 size, h1, h2, reg = sketch([texts[i] for i in part], width)
-                bits = (mix(reg.astype(U) + U(5)) >> U(63)).astype(np.uint8)
-                packed = np.packbits(bits, axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(part.start, len(part)),
                         pa.array(size.astype(np.int64)),
                         pa.array(h1),
                         pa.array(h2),
-                        pa.array(packed[:, 0].copy()),
-                        pa.array(packed[:, 1].copy()),
                         pa.array([r.tobytes() for r in reg], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "h1", "h2", "s1", "s2", "registers"],
+                    ["doc_id", "n_shingles", "h1", "h2", "registers"],
                 )
 
     part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    return part.mapInArrow(
-        run, "doc_id long, n_shingles long, h1 long, h2 long, s1 long, s2 long, registers binary"
-    )
+    return part.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, registers binary")
 
 
 def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -140,7 +135,6 @@ def _estimated(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     both = (
         pairs.distinct().join(side("a"), "a").join(side("b"), "b").filter(_sizes_allow("n_a", "n_b", percent))
     )
-    floor = percent / 100 - 0.25
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,13 +144,12 @@ def _estimated(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
                 b"".join(batch.column(c).to_pylist()), np.uint16
             ).reshape(-1, REGISTERS)
             n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
-            # a set of few shingles fills the registers too unevenly for an estimate
-            keep = (estimate(view("r_a"), view("r_b"), n_a, n_b) >= floor) | (
-                np.minimum(n_a, n_b) < REGISTERS
-            )
+            j = percent / 100
+            floor = j - 4.5 * np.sqrt(j * (1 - j) / REGISTERS + (1 - j) / np.minimum(n_a, n_b))
+            keep = estimate(view("r_a"), view("r_b"), n_a, n_b) >= floor
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    return both.mapInArrow(run, "a long, b long").distinct()
+    return both.mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
@@ -168,53 +161,79 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> Da
     side = lambda s: texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"t_{s}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[bytes, np.ndarray] = (b"", np.zeros(0, U))
+        sets: dict[bytes, np.ndarray] = {}
+        held = 0
+
+        def shingles(text: bytes) -> np.ndarray:
+            nonlocal held
+            got = sets.get(text)
+            if got is None:
+                got = shingle_set(text.lower(), width)
+                held += len(text) + 8 * len(got)
+                if held > CACHE_BYTES:
+                    sets.clear()
+                    held = len(text) + 8 * len(got)
+                sets[text] = got
+            return got
+
         for batch in batches:
             keep = []
             for x, y in zip(binaries(batch, "t_a"), binaries(batch, "t_b")):
-                if x != last[0]:
-                    last = (x, shingle_set(x.lower(), width))
-                one, two = last[1], shingle_set(y.lower(), width)
+                one, two = shingles(x), shingles(y)
                 both = len(np.intersect1d(one, two, assume_unique=True))
                 union = len(one) + len(two) - both
                 keep.append(union > 0 and 100 * both >= percent * union)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    return joined.mapInArrow(run, "a long, b long").distinct()
+    return joined.mapInArrow(run, "a long, b long")
 
 
-def _pairs_with_centres(rows: DataFrame, centres: int, salt: int) -> DataFrame:
-    """Pairs of each member of a bucket with its centres: of each residue class of the hashed
-    members, the smallest."""
-    group = F.pmod(F.xxhash64(F.lit(salt), "rep"), F.lit(centres))
+def _pairs_with_centres(rows: DataFrame, centres: int) -> DataFrame:
+    """Pairs of each member of a bucket with its centres: the members that come first in ``centres``
+    random orders."""
+    order = lambda k: F.xxhash64(F.lit(k), "rep", "band")
     chosen = written(
         rows.groupBy("band", "key")
-        .agg(F.array_compact(F.array(*[F.min(F.when(group == k, F.col("rep"))) for k in range(centres)])).alias("c")),
+        .agg(*[F.min_by("rep", order(k)).alias(f"c{k}") for k in range(centres)])
+        .select("band", "key", F.array_distinct(F.array(*[f"c{k}" for k in range(centres)])).alias("c")),
         "near_centres",
-    ).select("band", "key", F.explode("c").alias("centre"))
-    met = rows.join(chosen, ["band", "key"])
-    if "comp" in rows.columns:
-        other = rows.select("band", "key", F.col("rep").alias("centre"), F.col("comp").alias("comp_c"))
-        met = met.join(other, ["band", "key", "centre"]).filter("comp != comp_c")
-    return met.filter("rep != centre").select(
-        F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")
+    )
+    return (
+        rows.join(chosen, ["band", "key"])
+        .select("rep", F.explode("c").alias("centre"))
+        .filter("rep != centre")
+        .select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
     )
 
 
-def _pairs_apart(rows: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket's members that lie in different components and whose sizes and one-bit
-    registers allow the threshold, tested inside the join."""
-    other = rows.select(
-        "band", "key", *[F.col(c).alias(f"{c}_") for c in ("rep", "comp", "n_shingles", "s1", "s2")]
-    )
-    share = (100 - percent) / 100
-    # registers that differ flip a bit half of the time: the mean, and six deviations
-    limit = f"{64 * share} + 6 * sqrt(12 + 1024 / least(n_shingles, n_shingles_))"
-    near = F.expr(f"bit_count(s1 ^ s1_) + bit_count(s2 ^ s2_) <= {limit}")
+def _pairs_apart(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs of a bucket's members (band, key, rep, comp) in different components whose sizes and
+    registers allow the threshold, tested inside the join. A pair that shares several bands comes from
+    the first of them only."""
+
+    def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                keys = np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.int64).reshape(-1, BANDS)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), batch.column("n_shingles"), pa.array(keys.tolist(), pa.list_(pa.int64()))],
+                    ["rep", "n", "keys"],
+                )
+
+    rows = written(rows.join(reps.mapInArrow(bands, "rep long, n long, keys array<long>"), "rep"), "near_apart")
+    other = rows.select("band", "key", *[F.col(c).alias(f"{c}_") for c in ("rep", "comp", "n", "keys")])
+    first = F.expr("array_position(zip_with(keys, keys_, (x, y) -> x = y), true) = band + 1")
+    # of the four 16-bit registers in a long, how many differ: a lane's bits are folded into its lowest
+    fold_ = "x"
+    for k in (8, 4, 2, 1):
+        fold_ = f"transform(array({fold_}), y -> y | shiftrightunsigned(y, {k}))[0]"
+    differ = f"aggregate(zip_with(keys, keys_, (x, y) -> x ^ y), 0, (a, x) -> a + bit_count({fold_} & 281479271743489L))"
+    j = percent / 100
+    most = f"{REGISTERS} * ({1 - j} + 4.5 * sqrt({j * (1 - j) / REGISTERS} + {1 - j} / least(n, n_)))"
     return (
         rows.join(other, ["band", "key"])
-        .filter((F.col("comp") < F.col("comp_")) & _sizes_allow("n_shingles", "n_shingles_", percent) & near)
+        .filter((F.col("comp") < F.col("comp_")) & _sizes_allow("n", "n_", percent) & first & F.expr(f"{differ} <= {most}"))
         .select(F.least("rep", "rep_").alias("a"), F.greatest("rep", "rep_").alias("b"))
     )
 
@@ -241,7 +260,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataF
     reps = written(
         live.join(
             members.filter("doc_id = class_id").select("doc_id").distinct(), "doc_id", "left_semi"
-        ).select("doc_id", "n_shingles", "s1", "s2", "registers").dropDuplicates(["doc_id", "s1", "s2"]),
+        )
+        .select("doc_id", "n_shingles", "registers")
+        .dropDuplicates(["doc_id"]),
         "near_reps",
     )
 
@@ -251,15 +272,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataF
                 continue
             keys = np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.int64)
             pick = np.repeat(np.arange(batch.num_rows), BANDS)
-            rest = batch.select(["doc_id", "n_shingles", "s1", "s2"]).take(pa.array(pick))
+            rep = batch.column("doc_id").take(pa.array(pick))
             band = pa.array(np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows))
             yield pa.RecordBatch.from_arrays(
-                [band, pa.array(keys), *rest.columns], ["band", "key", "rep", "n_shingles", "s1", "s2"]
+                [band, pa.array(keys), rep], ["band", "key", "rep"]
             )
 
-    everything = reps.mapInArrow(
-        bands, "band int, key long, rep long, n_shingles long, s1 long, s2 long"
-    )
+    everything = reps.mapInArrow(bands, "band int, key long, rep long")
     shared = written(
         everything.groupBy("band", "key")
         .agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
@@ -269,36 +288,33 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataF
     )
     rows = written(everything.join(shared, ["band", "key"]), "near_rows")
 
-    tested = edges = comps = None
-    for salt, centres in enumerate((2, 8, 0)):
-        if comps is not None:
-            placed = rows.join(comps, rows.rep == comps.node, "left").select(
-                rows["*"], F.coalesce("root", "rep").alias("comp")
-            )
-            placed = written(placed, "near_placed")
-            mixed = written(
-                placed.groupBy("band", "key")
-                .agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-                .filter("low < high")
-                .select("band", "key"),
-                "near_mixed",
-            )
-            current = written(placed.join(mixed, ["band", "key"]), "near_current")
-        else:
-            current = rows
-        pairs = _pairs_with_centres(current, centres, salt) if centres else _pairs_apart(current, percent)
-        if tested is not None:
-            pairs = pairs.distinct().join(tested, ["a", "b"], "left_anti")
-        pairs = written(_estimated(pairs, reps, percent), "near_pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if pairs.isEmpty():
-            continue
-        found = written(_verified(pairs, docs, percent, width), "near_edges")
-        edges = found if edges is None else edges.unionByName(found)
-        comps = written(connected_components(edges), "near_components")
+    first = written(_estimated(_pairs_with_centres(rows, CENTRES), reps, percent), "near_pairs")
+    edges = written(_verified(first, docs, percent, width), "near_edges")
+    comps = written(connected_components(edges), "near_components")
+    placed = written(
+        rows.join(comps, rows.rep == comps.node, "left").select(
+            "band", "key", "rep", F.coalesce("root", "rep").alias("comp")
+        ),
+        "near_placed",
+    )
+    mixed = written(
+        placed.groupBy("band", "key")
+        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+        .filter("low < high")
+        .select("band", "key"),
+        "near_mixed",
+    )
+    apart = _pairs_apart(placed.join(mixed, ["band", "key"]), reps, percent)
+    second = written(
+        _estimated(apart, reps, percent).join(first, ["a", "b"], "left_anti"), "near_pairs"
+    )
+    if not second.isEmpty():
+        more = written(_verified(second, docs, percent, width), "near_edges")
+        if not more.isEmpty():
+            # the links found now, and one from each node to the root it had
+            stars = comps.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+            comps = written(connected_components(more.unionByName(stars)), "near_components")
     root = F.coalesce("root", "class_id")
-    if comps is None:
-        comps = members.sparkSession.createDataFrame([], "node long, root long")
     groups = (
         members.join(comps, members.class_id == comps.node, "left")
         .select("doc_id", "class_id", root.alias("root"))

@@ -1,0 +1,203 @@
+"""Enrichment joins: dated address ranges and network metadata, fingerprints, targets."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from netquill.functions.scalars import html_title, url_domain
+
+# The network that stands for bogons, and the private-use range.
+BOGON_ASN, PRIVATE_ASNS = 64666, (64512, 65535)
+
+
+def asof_snapshot(rows: DataFrame, snapshots: DataFrame, day: str, snapshot: str = "snapshot") -> DataFrame:
+    """The newest snapshot not after each row's day, else the oldest. Snapshots are a handful of dates."""
+    days = rows.select(F.col(day).alias("_d")).distinct()
+    picked = days.join(F.broadcast(snapshots.select(snapshot).distinct())).groupBy("_d").agg(
+        F.coalesce(F.max(F.when(F.col(snapshot) <= F.col("_d"), F.col(snapshot))), F.min(snapshot)).alias(snapshot)
+    )
+    return rows.join(picked, rows[day] == picked._d, "left").drop("_d")
+
+
+def range_join(rows: DataFrame, ranges: DataFrame, point: str, bucket: int, snapshot: str | None = None) -> DataFrame:
+    """The longest range that holds each row's point. Ranges (first, last, prefix_len, …) are cut into
+    buckets of ``bucket`` points, so the join is an equi-join on the bucket with a filter."""
+    names = [c for c in ranges.columns if c not in ("first", "last", "prefix_len", snapshot)]
+    cut = ranges.withColumn("_b", F.explode(F.sequence(F.floor(F.col("first") / bucket), F.floor(F.col("last") / bucket))))
+    keys = ["_b"] + ([snapshot] if snapshot else [])
+    spots = rows.select(point, *([snapshot] if snapshot else [])).filter(F.col(point).isNotNull()).distinct()
+    met = spots.withColumn("_b", F.floor(F.col(point) / bucket)).join(cut, keys).filter(F.col(point).between(F.col("first"), F.col("last")))
+    order = F.struct("prefix_len", (-F.col("first")).alias("f"))
+    best = met.groupBy(point, *([snapshot] if snapshot else [])).agg(F.max_by(F.struct(*names), order).alias("_r"))
+    return rows.join(best, [point] + ([snapshot] if snapshot else []), "left").select("*", *[F.col(f"_r.{n}").alias(n) for n in names]).drop("_r")
+
+
+def enrich_ip(df: DataFrame, ranges: DataFrame, number: str, bogon: Column, day: str = "measurement_start_time", bucket: int = 1 << 16) -> DataFrame:
+    """Network and country of an address (as a number) on the row's day: ranges have (snapshot, first,
+    last, prefix_len, asn, org, as_cc, cc). Bogons are network 64666 of country ZZ; misses are 0, '', ZZ."""
+    rows = asof_snapshot(df, ranges, day)
+    out = range_join(rows, ranges, number, bucket, "snapshot")
+    return out.withColumns({
+        "asn": F.when(bogon, BOGON_ASN).otherwise(F.coalesce("asn", F.lit(0))),
+        "org": F.when(bogon, "Bogon").otherwise(F.coalesce("org", F.lit(""))),
+        "as_cc": F.when(bogon, "ZZ").otherwise(F.coalesce("as_cc", F.lit("ZZ"))),
+        "cc": F.when(bogon, "ZZ").otherwise(F.coalesce("cc", F.lit("ZZ"))),
+    }).drop("snapshot")
+
+
+def asof_join(rows: DataFrame, history: DataFrame, key: str, day: str, changed: str, values: list[str]) -> DataFrame:
+    """Values of the last change of a key not after the row's day, else of the first one; one lookup for
+    each distinct key and day."""
+    spots = rows.select(key, day).distinct()
+    v = F.struct(*values)
+    met = spots.join(history.select(key, changed, *values), key)
+    best = met.groupBy(key, day).agg(
+        F.coalesce(F.max_by(v, F.when(F.col(changed) <= F.col(day), F.col(changed))), F.min_by(v, F.col(changed))).alias("_v")
+    )
+    return rows.join(best, [key, day], "left").select("*", *[F.col(f"_v.{x}").alias(x) for x in values]).drop("_v")
+
+
+def enrich_asn(df: DataFrame, asnmeta: DataFrame, asn: str = "probe_asn", day: str = "measurement_start_time") -> DataFrame:
+    """Organisation, country and name of a network as of the row's day; 0 is unknown, private-use numbers
+    say so. asnmeta: (asn, org_name, cc, changed, aut_name)."""
+    history = asnmeta.withColumnRenamed("asn", asn)
+    out = asof_join(df, history, asn, day, "changed", ["org_name", "cc", "aut_name"])
+    private, unknown = F.col(asn).between(*PRIVATE_ASNS), F.col(asn) == 0
+    fix = lambda c, p, u: F.when(unknown, u).when(private, p).otherwise(F.coalesce(c, F.lit("")))
+    return out.withColumns({
+        "org_name": fix("org_name", "Private Use", "Unknown"),
+        "cc": F.when(unknown | private, "ZZ").otherwise(F.coalesce("cc", F.lit("ZZ"))),
+        "aut_name": fix("aut_name", "Private Use", "Unknown"),
+    })
+
+
+def asn_flatten(text: DataFrame, column: str = "value") -> DataFrame:
+    """{asn: [[org, cc, changed, name, source], …]} → one row a change."""
+    parsed = text.select(F.explode(F.from_json(column, "map<string,array<array<string>>>")).alias("asn", "entries"))
+    e = parsed.select(F.col("asn").cast("bigint").alias("asn"), F.explode("entries").alias("e"))
+    part = lambda i: F.get("e", F.lit(i))
+    return e.select(
+        "asn", part(0).alias("org_name"), part(1).alias("cc"), F.to_date(part(2), "yyyyMMdd").alias("changed"),
+        part(3).alias("aut_name"), part(4).alias("source"),
+    )
+
+
+def match_condition(text: Column, pattern: Column, kind: Column) -> Column:
+    return (
+        F.when(kind == "full", text == pattern)
+        .when(kind == "prefix", F.startswith(text, pattern))
+        .when(kind == "contains", F.contains(text, pattern))
+        .when(kind == "regexp", F.regexp_like(text, F.concat(F.lit("(?s)"), pattern)))
+    )
+
+
+def match_fingerprints(df: DataFrame, patterns: DataFrame, text_col: str, key: str, header_cols: dict | None = None, max_patterns: int = 10_000) -> DataFrame:
+    """(key, name, scope) of every pattern that a text matches. Patterns have (name, scope, location_found,
+    pattern_type, pattern); those on a header match only as regexp. Whole-text patterns are an
+    equi-join; the others meet every text, so their number is bounded and checked."""
+    body = patterns.filter(~F.coalesce(F.col("location_found").startswith("header."), F.lit(False)))
+    full = body.filter("pattern_type = 'full'").select("name", "scope", F.col("pattern").alias("_p"))
+    out = df.join(full, df[text_col] == full._p).select(key, "name", "scope")
+    rest = body.filter("pattern_type IN ('prefix', 'contains', 'regexp')")
+    n = patterns.count()
+    if n > max_patterns:
+        raise ValueError(f"{n} patterns, more than {max_patterns}")
+    loose = F.broadcast(rest.select("name", "scope", "pattern_type", F.col("pattern").alias("_p")))
+    out = out.unionByName(df.select(key, text_col).join(loose, match_condition(F.col(text_col), F.col("_p"), F.col("pattern_type"))).select(key, "name", "scope"))
+    for name, column in (header_cols or {}).items():
+        own = patterns.filter((F.col("location_found") == f"header.{name}") & (F.col("pattern_type") == "regexp"))
+        h = F.broadcast(own.select("name", "scope", F.col("pattern").alias("_p")))
+        out = out.unionByName(df.select(key, column).join(h, F.regexp_like(F.col(column), F.concat(F.lit("(?s)"), F.col("_p")))).select(key, "name", "scope"))
+    return out
+
+
+def first_by_address(rows: DataFrame, fingerprints: DataFrame, address: str = "dns_answer") -> DataFrame:
+    """Name of the first DNS fingerprint (in ``position``) of each address."""
+    one = fingerprints.filter("pattern_type = 'full'").groupBy(F.col("pattern").alias("_p")).agg(F.min_by("name", "position").alias("fingerprint"))
+    return rows.join(one, rows[address] == one._p, "left").drop("_p")
+
+
+def by_name(names: DataFrame, dns: DataFrame, http: DataFrame) -> DataFrame:
+    """Fingerprints looked up by name, DNS before HTTP."""
+    both = dns.withColumn("_o", F.lit(0)).unionByName(http.withColumn("_o", F.lit(1)))
+    cols = [c for c in both.columns if c not in ("name", "_o")]
+    one = both.groupBy("name").agg(F.min_by(F.struct(*cols), "_o").alias("_v")).select("name", "_v.*")
+    return names.join(one, "name", "left")
+
+
+def body_scan(pages: DataFrame, patterns: DataFrame, text_col: str = "html") -> DataFrame:
+    """Each distinct body once: digest, matched names, and whether any is a known false positive."""
+    bodies = pages.filter(F.col(text_col).isNotNull()).select(F.sha1(text_col).alias("digest"), text_col).dropDuplicates(["digest"])
+    hits = match_fingerprints(bodies, patterns, text_col, "digest")
+    return hits.groupBy("digest").agg(F.array_sort(F.collect_set("name")).alias("names"), F.max((F.col("scope") == "fp").cast("int")).alias("false_positive"))
+
+
+def suffixes(host: Column) -> Column:
+    """All dotted suffixes of a host, the longest first."""
+    labels = F.split(host, r"\.")
+    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+
+
+def registrable_domain(rows: DataFrame, host: str, rules: DataFrame) -> DataFrame:
+    """Registrable domain of each host by public-suffix rules (rule, kind: exact, wildcard, exception).
+    A wildcard covers one label before its rule, an exception names a registrable domain itself; without a
+    rule the public suffix is the last label. NULL for a public suffix."""
+    hosts = rows.select(F.col(host).alias("_h")).filter("_h <> ''").distinct().withColumn("_l", F.split("_h", r"\."))
+    cand = hosts.select("_h", "_l", F.posexplode(suffixes(F.col("_h"))).alias("_i", "_s"))
+    met = cand.join(rules, cand._s == rules.rule, "left")
+    n = F.size("_l") - F.col("_i")  # labels of the suffix
+    size = F.when(F.col("kind") == "exact", n).when(F.col("kind") == "wildcard", n + 1)
+    exception = F.when(F.col("kind") == "exception", n - 1)
+    best = met.groupBy("_h", "_l").agg(F.coalesce(F.max(exception), F.greatest(F.max(size), F.lit(1))).alias("_n"))
+    take = F.col("_n") + 1
+    domain = F.when(F.size("_l") >= take, F.array_join(F.expr("slice(_l, size(_l) - _n, _n + 1)"), "."))
+    return rows.join(best.select("_h", domain.alias("registrable")), rows[host] == F.col("_h"), "left").drop("_h")
+
+
+def resolve_targets(df: DataFrame, hosts: DataFrame, rules: DataFrame, host: str = "hostname", ip: str | None = None) -> DataFrame:
+    """Target of each row, NULL without one. hosts: (kind, value, target) with kinds exact, pattern, ip,
+    suffix, domain; they are tried in that order, patterns by the smallest target, suffixes by the
+    longest."""
+    keys = [host] + ([ip] if ip else [])
+    spots = df.select(*keys).distinct()
+    of = lambda kind: hosts.filter(F.col("kind") == kind).groupBy("value").agg(F.min("target").alias("target"))
+    look = lambda rows, kind, on, name: rows.join(of(kind).select(F.col("value").alias(f"_{name}v"), F.col("target").alias(name)), F.col(on) == F.col(f"_{name}v"), "left").drop(f"_{name}v")
+    out = look(spots, "exact", host, "t_exact")
+    patterns = F.broadcast(of("pattern").select(F.col("value").alias("_p"), F.col("target").alias("_t")))
+    hit = spots.select(host).distinct().join(patterns, F.regexp_like(F.col(host), F.col("_p"))).groupBy(host).agg(F.min("_t").alias("t_pattern"))
+    out = out.join(hit, host, "left")
+    out = look(out, "ip", ip, "t_ip") if ip else out.withColumn("t_ip", F.lit(None).cast("string"))
+    cand = spots.select(host).distinct().select(host, F.explode(suffixes(F.col(host))).alias("_s"))
+    met = cand.join(of("suffix"), F.col("_s") == F.col("value")).groupBy(host).agg(F.max_by("target", F.length("_s")).alias("t_suffix"))
+    out = out.join(met, host, "left")
+    out = look(registrable_domain(out, host, rules), "domain", "registrable", "t_domain")
+    chosen = F.coalesce("t_exact", "t_pattern", "t_ip", "t_suffix", "t_domain")
+    out = out.select(*[F.col(k).alias(f"_{k}") for k in keys], chosen.alias("target"))
+    cond = None
+    for k in keys:
+        c = df[k].eqNullSafe(out[f"_{k}"])
+        cond = c if cond is None else cond & c
+    return df.join(out, cond, "left").drop(*[f"_{k}" for k in keys])
+
+
+def target_rollup(mapped: DataFrame, categories: DataFrame) -> DataFrame:
+    """Per target its dominant category and host count. mapped: (hostname, target); categories: (hostname,
+    category, cc), where the global list (ZZ) weighs double."""
+    weight = F.when(F.col("cc") == "ZZ", 2).otherwise(1)
+    known = mapped.filter("target IS NOT NULL")
+    w = known.join(categories, "hostname").groupBy("target", "category").agg(F.sum(weight).alias("w"))
+    best = w.groupBy("target").agg(F.max_by("category", F.struct("w", "category")).alias("category"), F.max("w").alias("weight"))
+    return known.groupBy("target").agg(F.count_distinct("hostname").alias("n_hosts")).join(best, "target", "left")
+
+
+def unmapped(mapped: DataFrame) -> DataFrame:
+    return mapped.filter("target IS NULL").groupBy("hostname").agg(F.count("*").alias("n"))
+
+
+def page_hosts(pages: DataFrame) -> DataFrame:
+    return pages.select("page_id", url_domain(F.col("url")).alias("hostname"), html_title(F.col("html")).alias("title"))
+
+
+def running_index(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    return rows.withColumn("idx", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

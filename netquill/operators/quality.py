@@ -84,5 +84,5 @@ def unsupported_patterns(fingerprints: DataFrame, supported: tuple = ("full", "p
 
 def bad_countries(fingerprints: DataFrame) -> DataFrame:
     """Fingerprints whose country list holds anything but two-letter codes."""
-    codes = F.transform(F.split("expected_countries", ","), F.trim)
+    codes = F.transform(F.split("expected_countries", ","), lambda c: F.trim(c))
     return fingerprints.filter((F.col("expected_countries") != "") & F.exists(codes, lambda c: ~c.rlike("^[A-Z]{2}$")))

@@ -127,7 +127,7 @@ def with_windows(obs: DataFrame) -> DataFrame:
 
 def full_fingerprints(fingerprints: DataFrame) -> DataFrame:
     """(pattern, expected_countries, dns_blocking_scope) of the patterns that match a whole answer."""
-    codes = F.array_distinct(F.flatten(F.collect_list(F.transform(F.split("expected_countries", ","), F.trim))))
+    codes = F.array_distinct(F.flatten(F.collect_list(F.transform(F.split("expected_countries", ","), lambda c: F.trim(c)))))
     return fingerprints.filter("pattern_type = 'full'").groupBy("pattern").agg(
         F.array_sort(F.filter(codes, lambda c: c != "")).alias("expected_countries"), F.min("scope").alias("dns_blocking_scope")
     )

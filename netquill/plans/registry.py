@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from netquill.plans import catalog, q_aggregate, q_detect, q_verdicts  # noqa: F401  (query modules register on import)
+from netquill.plans import catalog, q_aggregate, q_detect, q_enrich, q_flatten, q_verdicts  # noqa: F401  (query modules register on import)
 
 
 def queries() -> dict:
