@@ -87,11 +87,8 @@ UNKNOWN_FAILURES = [
 
 _OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IPV4 = rf"^({_OCTET}\.){{3}}{_OCTET}$"
-IPV6 = (
-    r"^(?=[0-9A-Fa-f:]*:[0-9A-Fa-f:.]*:)(?!.*::.*::)(?!:[^:])"
-    r"((?:[0-9A-Fa-f]{1,4}:){7}(?:[0-9A-Fa-f]{1,4}|:)"
-    rf"|(?=(?:[0-9A-Fa-f]{{0,4}}:){{0,7}}[0-9A-Fa-f]{{0,4}}$)(?:[0-9A-Fa-f]{{1,4}}:)*:(?:[0-9A-Fa-f]{{1,4}}(?::[0-9A-Fa-f]{{1,4}})*)?)$"
-)
+_GROUP = "[0-9A-Fa-f]{1,4}"
+IPV6_FULL = rf"^({_GROUP}:){{7}}{_GROUP}$"
 
 
 def safe_div(a: Column, b: Column) -> Column:
@@ -109,7 +106,9 @@ def is_ipv4(ip: Column) -> Column:
 
 
 def is_ipv6(ip: Column) -> Column:
-    return F.coalesce(ip.rlike(IPV6), F.lit(False))
+    groups = F.filter(F.split(ip, ":"), lambda x: x != "")
+    short = ip.rlike(r"^[0-9A-Fa-f:]*::[0-9A-Fa-f:]*$") & ~ip.rlike(r"::.*::|:::|^:[^:]|[^:]:$|[0-9A-Fa-f]{5}") & (F.size(groups) <= 7)
+    return F.coalesce(ip.rlike(IPV6_FULL) | short, F.lit(False))
 
 
 def is_ip(ip: Column) -> Column:
