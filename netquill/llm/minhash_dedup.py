@@ -16,8 +16,10 @@ smallest doc_id.
    members of a bucket only if they are still apart and their registers, compared inside the join, allow
    the threshold. So nothing is dropped, and a group of near copies is not expanded into
    its pairs.
-5. A pair goes on if the sizes allow it and the collision-corrected estimate from the registers is not
-   4.5 deviations below the threshold; then the full sets decide.
+5. A pair goes on if the sizes allow it, the collision-corrected estimate from the registers is not
+   4.5 deviations below the threshold, and its parity maps allow it: a set's map of 1024 bits flips one
+   for each shingle, so two maps differ in at most as many bits as the sets in shingles, and more than
+   (n_a + n_b) * 25 / 175 of them rule a pair out for certain. Then the full sets decide.
 
 Defined results for odd input: a null or empty text has no shingles and is linked with nothing; rows
 with a null doc_id get a null component and stay; rows that repeat a doc_id are one node; an empty
@@ -40,6 +42,8 @@ from netquill.llm.hashing import U, mix, shingle_hashes, shingle_set
 
 REGISTERS, BANDS, BITS, CENTRES = 128, 32, 10, 3
 CACHE_BYTES = 32 << 20
+#: longs of a set's parity map
+PARITY = 16
 ORDER = np.argsort(
     mix(np.arange(REGISTERS * REGISTERS, dtype=U) + U(77)).reshape(REGISTERS, REGISTERS), axis=1
 )
@@ -57,7 +61,7 @@ def _compress(least: np.ndarray) -> np.ndarray:
 
 
 def sketch(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, ...]:
-    """Set sizes, two set hashes and the registers (texts x 128) of lower-cased texts."""
+    """Set sizes, two set hashes, the registers (texts x 128) and the parity maps of lower-cased texts."""
     hashes, counts = shingle_hashes(texts, width)
     text = np.repeat(np.arange(len(texts)), counts)
     order = np.lexsort((hashes, text))
@@ -74,6 +78,9 @@ def sketch(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, ...]:
         if len(hashes):
             out[some] = np.add.reduceat(mix(hashes ^ mix(np.full(1, salt, U))), first[some])
         sums.append(out.view(np.int64))
+    parity = np.zeros(len(texts) * PARITY, U)
+    bit = mix(hashes ^ U(0x5BD1E995)) & U(64 * PARITY - 1)
+    np.bitwise_xor.at(parity, text * PARITY + (bit >> U(6)).astype(np.int64), U(1) << (bit & U(63)))
     full = np.iinfo(U).max
     least = np.full(len(texts) * REGISTERS, full, U)
     np.minimum.at(least, text * REGISTERS + (hashes >> U(57)).astype(np.int64), hashes << U(7))
@@ -88,17 +95,17 @@ def sketch(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, ...]:
         found = ~empty[rows, source]
         registers[rows[found], slots[found]] = registers[rows[found], source[found]]
         rows, slots = rows[~found], slots[~found]
-    return size, sums[0], sums[1], registers
+    return size, sums[0], sums[1], registers, parity.view(np.int64).reshape(-1, PARITY)
 
 
 def signatures(docs: DataFrame, width: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, h1, h2, registers) of every row."""
+    """(doc_id, n_shingles, h1, h2, registers, parity) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.lower() for t in binaries(batch, "text")]
             for part in chunked(texts):
-                size, h1, h2, reg = sketch([texts[i] for i in part], width)
+                size, h1, h2, reg, parity = sketch([texts[i] for i in part], width)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(part.start, len(part)),
@@ -106,12 +113,13 @@ def signatures(docs: DataFrame, width: int = 5) -> DataFrame:
                         pa.array(h1),
                         pa.array(h2),
                         pa.array([r.tobytes() for r in reg], pa.binary()),
+                        pa.array([r.tobytes() for r in parity], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "h1", "h2", "registers"],
+                    ["doc_id", "n_shingles", "h1", "h2", "registers", "parity"],
                 )
 
     part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    return part.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, registers binary")
+    return part.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, registers binary, parity binary")
 
 
 def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -130,7 +138,7 @@ def _sizes_allow(a: str, b: str, percent: int) -> Column:
 def _estimated(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     """The distinct pairs (a, b) whose sizes and estimate allow the threshold."""
     side = lambda s: sigs.select(
-        F.col("doc_id").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("registers").alias(f"r_{s}")
+        F.col("doc_id").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("registers").alias(f"r_{s}"), F.col("parity").alias(f"p_{s}")
     )
     both = (
         pairs.distinct().join(side("a"), "a").join(side("b"), "b").filter(_sizes_allow("n_a", "n_b", percent))
@@ -140,13 +148,16 @@ def _estimated(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            view = lambda c: np.frombuffer(
+            view = lambda c, width=REGISTERS: np.frombuffer(
                 b"".join(batch.column(c).to_pylist()), np.uint16
-            ).reshape(-1, REGISTERS)
+            ).reshape(-1, width)
             n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
             j = percent / 100
             floor = j - 4.5 * np.sqrt(j * (1 - j) / REGISTERS + (1 - j) / np.minimum(n_a, n_b))
             keep = estimate(view("r_a"), view("r_b"), n_a, n_b) >= floor
+            maps = view("p_a", 4 * PARITY) ^ view("p_b", 4 * PARITY)
+            apart = np.bitwise_count(maps).sum(axis=1).astype(np.int64)
+            keep &= apart * (100 + percent) <= (n_a + n_b) * (100 - percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return both.mapInArrow(run, "a long, b long")
@@ -215,25 +226,29 @@ def _pairs_apart(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                keys = np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.int64).reshape(-1, BANDS)
+                longs = lambda c, n: pa.array(
+                    np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int64).reshape(-1, n).tolist(), pa.list_(pa.int64())
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("n_shingles"), pa.array(keys.tolist(), pa.list_(pa.int64()))],
-                    ["rep", "n", "keys"],
+                    [batch.column("doc_id"), batch.column("n_shingles"), longs("registers", BANDS), longs("parity", PARITY)],
+                    ["rep", "n", "keys", "parity"],
                 )
 
-    rows = written(rows.join(reps.mapInArrow(bands, "rep long, n long, keys array<long>"), "rep"), "near_apart")
-    other = rows.select("band", "key", *[F.col(c).alias(f"{c}_") for c in ("rep", "comp", "n", "keys")])
+    rows = written(rows.join(reps.mapInArrow(bands, "rep long, n long, keys array<long>, parity array<long>"), "rep"), "near_apart")
+    other = rows.select("band", "key", *[F.col(c).alias(f"{c}_") for c in ("rep", "comp", "n", "keys", "parity")])
     first = F.expr("array_position(zip_with(keys, keys_, (x, y) -> x = y), true) = band + 1")
     # of the four 16-bit registers in a long, how many differ: a lane's bits are folded into its lowest
     fold_ = "x"
     for k in (8, 4, 2, 1):
         fold_ = f"transform(array({fold_}), y -> y | shiftrightunsigned(y, {k}))[0]"
     differ = f"aggregate(zip_with(keys, keys_, (x, y) -> x ^ y), 0, (a, x) -> a + bit_count({fold_} & 281479271743489L))"
+    flipped = "aggregate(zip_with(parity, parity_, (x, y) -> bit_count(x ^ y)), 0, (a, x) -> a + x)"
+    allowed = F.expr(f"{flipped} * {100 + percent} <= (n + n_) * {100 - percent}")
     j = percent / 100
     most = f"{REGISTERS} * ({1 - j} + 4.5 * sqrt({j * (1 - j) / REGISTERS} + {1 - j} / least(n, n_)))"
     return (
         rows.join(other, ["band", "key"])
-        .filter((F.col("comp") < F.col("comp_")) & _sizes_allow("n", "n_", percent) & first & F.expr(f"{differ} <= {most}"))
+        .filter((F.col("comp") < F.col("comp_")) & _sizes_allow("n", "n_", percent) & allowed & first & F.expr(f"{differ} <= {most}"))
         .select(F.least("rep", "rep_").alias("a"), F.greatest("rep", "rep_").alias("b"))
     )
 
@@ -261,7 +276,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataF
         live.join(
             members.filter("doc_id = class_id").select("doc_id").distinct(), "doc_id", "left_semi"
         )
-        .select("doc_id", "n_shingles", "registers")
+        .select("doc_id", "n_shingles", "registers", "parity")
         .dropDuplicates(["doc_id"]),
         "near_reps",
     )
