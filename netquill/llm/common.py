@@ -27,12 +27,16 @@ def scratch_dir(spark: SparkSession) -> str:
     return _own[0]
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, light: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, so a lost executor
-    costs a reread and not the work above, and the planner sees the true size."""
-    path = f"{scratch_dir(df.sparkSession)}/netquill/{name}-{uuid.uuid4().hex}"
+    costs a reread and not the work above, and the planner sees the true size. ``light`` tables, a few
+    numbers a row, are written by an eighth of the shuffle's tasks."""
+    spark = df.sparkSession
+    if light:
+        df = df.coalesce(max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
+    path = f"{scratch_dir(spark)}/netquill/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -166,7 +166,7 @@ def _estimated(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
     ids = written(
-        pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near_ids"
+        pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near_ids", light=True
     )
     texts = written(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "near_texts")
     side = lambda s: texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"t_{s}"))
@@ -208,7 +208,7 @@ def _pairs_with_centres(rows: DataFrame, centres: int) -> DataFrame:
         rows.groupBy("band", "key")
         .agg(*[F.min_by("rep", order(k)).alias(f"c{k}") for k in range(centres)])
         .select("band", "key", F.array_distinct(F.array(*[f"c{k}" for k in range(centres)])).alias("c")),
-        "near_centres",
+        "near_centres", light=True,
     )
     return (
         rows.join(chosen, ["band", "key"])
@@ -264,13 +264,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataF
         .agg(F.min("doc_id").alias("class_id"), F.max("doc_id").alias("last"))
         .filter("class_id < last")
         .drop("last"),
-        "near_classes",
+        "near_classes", light=True,
     )
     members = written(
         live.select("doc_id", "h1", "h2", "n_shingles")
         .join(classes, ["h1", "h2"], "left")
         .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")),
-        "near_members",
+        "near_members", light=True,
     )
     reps = written(
         live.join(
@@ -299,25 +299,25 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataF
         .agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
         .filter("low < high")
         .select("band", "key"),
-        "near_shared",
+        "near_shared", light=True,
     )
     rows = written(everything.join(shared, ["band", "key"]), "near_rows")
 
     first = written(_estimated(_pairs_with_centres(rows, CENTRES), reps, percent), "near_pairs")
     edges = written(_verified(first, docs, percent, width), "near_edges")
-    comps = written(connected_components(edges), "near_components")
+    comps = written(connected_components(edges), "near_components", light=True)
     placed = written(
         rows.join(comps, rows.rep == comps.node, "left").select(
             "band", "key", "rep", F.coalesce("root", "rep").alias("comp")
         ),
-        "near_placed",
+        "near_placed", light=True,
     )
     mixed = written(
         placed.groupBy("band", "key")
         .agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
         .filter("low < high")
         .select("band", "key"),
-        "near_mixed",
+        "near_mixed", light=True,
     )
     apart = _pairs_apart(placed.join(mixed, ["band", "key"]), reps, percent)
     second = written(
@@ -328,7 +328,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataF
         if not more.isEmpty():
             # the links found now, and one from each node to the root it had
             stars = comps.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-            comps = written(connected_components(more.unionByName(stars)), "near_components")
+            comps = written(connected_components(more.unionByName(stars)), "near_components", light=True)
     root = F.coalesce("root", "class_id")
     groups = (
         members.join(comps, members.class_id == comps.node, "left")
