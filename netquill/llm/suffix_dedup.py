@@ -99,7 +99,7 @@ def _runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
             texts = binaries(batch, "text")
             long = [i for i, t in enumerate(texts) if len(t) >= length]
             texts, ids = [texts[i] for i in long], batch.column("doc").take(pa.array(long, pa.int64()))
-            for part in chunked(texts, 1 << 20):
+            for part in chunked(texts, 1 << 19):
                 found = window_runs([texts[i] for i in part], length, gram)
                 doc = ids.take(pa.array(found["row"] + part.start))
                 yield pa.RecordBatch.from_arrays([doc, *[pa.array(found[n]) for n in names]], ["doc", *names])
