@@ -15,8 +15,8 @@ Training takes at most ``per_class`` labelled texts of each class (``labels.trai
 reads every whole text, and since the model is linear in its n-grams, a word costs one lookup.
 
 Defined results for odd input: a null, empty or wordless text scores as a text without evidence (the
-smallest word score); without labelled rows, or with one class only, the score is the share of
-toxic labels (0 without any); columns named like an output are replaced; an empty table gives an empty
+smallest word score); without labelled rows, with one class only, or without a word that two
+training texts share, the score is the share of toxic labels (0 without any); columns named like an output are replaced; an empty table gives an empty
 table.
 """
 
@@ -135,11 +135,17 @@ def fit(texts: list[bytes], labels: list[int]) -> bytes:
     """Train on labelled texts; the model as npz bytes."""
     y = np.array(labels)
     out = io.BytesIO()
-    if len(set(labels)) < 2:
+
+    def constant() -> bytes:
         np.savez(out, grams=np.zeros(0), curve=np.zeros(5), low=np.array([float(y.mean())] * 4))
         return out.getvalue()
+
+    if len(set(labels)) < 2:
+        return constant()
     ids: dict[bytes, int] = {}
     docs = [np.array([ids.setdefault(w, len(ids)) for w in sorted(set(words_of(t)))], np.int64) for t in texts]
+    if not ids:
+        return constant()
     places, counts = ngrams(list(ids))
     first = np.cumsum(counts) - counts
     held = np.random.default_rng(11).random(len(docs)) < 0.25
@@ -154,6 +160,8 @@ def fit(texts: list[bytes], labels: list[int]) -> bytes:
         words_in[y[k], docs[k]] += 1
     active = grams_in.sum(axis=0) >= MIN_TEXTS
     common = np.flatnonzero(words_in.sum(axis=0) > 1)
+    if not len(common) or not words_in.sum(axis=1).all():
+        return constant()
     target = (words_in / words_in.sum(axis=1, keepdims=True))[:, common].T
     n = counts[common]
     at = np.repeat(first[common], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
