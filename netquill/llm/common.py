@@ -54,6 +54,13 @@ def binaries(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches of few texts, so that a task holds the Python objects of few at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def append_columns(
     df: DataFrame,
     make: Callable[[pa.RecordBatch], dict[str, pa.Array]],
@@ -68,7 +75,7 @@ def append_columns(
     new = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             made = make(batch)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(n) for n in names] + [made[n] for n in new], names + new

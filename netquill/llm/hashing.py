@@ -29,7 +29,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """``base**j`` and ``base**-j`` for ``j <= n``."""
     have = _powers.get(base)
     if have is None or len(have[0]) <= n:
-        size = max(n + 1, 1 << 21)
+        size = max(n + 1, 1 << 20)
         made = []
         for b in (base, pow(base, -1, 1 << 64)):
             p = np.full(size, b, U)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netquill.llm.common import append_columns, binaries, table, without, written
+from netquill.llm.common import append_columns, binaries, pieces, table, without, written
 
 MIN_CHARS = 10
 
@@ -47,7 +47,7 @@ def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, h1, h2): the distinct keys of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             ids, keys = [], []
             for doc, text in zip(batch.column(0).to_pylist(), binaries(batch, "text")):
                 own = {line_key(x, min_chars) for x in text.split(b"\n")} - {None}

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netquill.llm.common import append_columns, binaries, chunked, table, written
+from netquill.llm.common import binaries, chunked, pieces, table, written
 from netquill.llm.components import connected_components
 from netquill.llm.hashing import U, mix, shingle_hashes, shingle_set
 
@@ -102,9 +102,9 @@ def signatures(docs: DataFrame, width: int = 5) -> DataFrame:
     """(doc_id, n_shingles, h1, h2, registers, parity) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 1024):
             texts = [t.lower() for t in binaries(batch, "text")]
-            for part in chunked(texts):
+            for part in chunked(texts, 1 << 20):
                 size, h1, h2, reg, parity = sketch([texts[i] for i in part], width)
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -37,7 +37,7 @@ from netquill.llm.labels import fitted, fold, training_rows
 BUCKETS, DIM = 1 << 16, 8
 PER_CLASS = 2500
 FOLDS = 5
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 #: optimiser steps, and the pull of embeddings to zero
 STEPS, DECAY = 60, 1e-6
 #: n-grams of fewer training texts carry no embedding
@@ -190,8 +190,8 @@ class Scorer:
             self.words.clear()
         known = self.words
         new = list({w for ws in split for w in ws if w not in known})
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
+        for at in range(0, len(new), 5_000):
+            part = new[at : at + 5_000]
             places, counts = ngrams(part)
             values = np.add.reduceat(self.grams[places], np.cumsum(counts) - counts) / counts
             known.update(zip(part, values.tolist()))
