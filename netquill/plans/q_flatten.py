@@ -97,6 +97,16 @@ def dns_explode(spark, d):
     return out.join(lines.select(F.col("l_orderkey").cast("string").alias("measurement_uid")), "measurement_uid", "left_semi")
 
 
+@query("dns_explode_whole", """SELECT CAST(l_orderkey AS VARCHAR) AS measurement_uid, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS INTEGER) AS query_pos,
+  CASE WHEN l_linenumber = 3 THEN 'dns_server_misbehaving' END AS failure,
+  CASE WHEN l_linenumber = 3 THEN NULL WHEN l_partkey % 3 = 0 THEN '93.184.' || (l_partkey % 200) || '.7' WHEN l_partkey % 3 = 1 THEN '2001:470::' || (l_partkey % 200) ELSE 'cname' || (l_partkey % 9) || '.example' END AS answer,
+  CASE WHEN l_linenumber <> 3 AND l_partkey % 2 = 0 THEN l_suppkey ELSE 0 END AS answer_asn,
+  CASE WHEN l_linenumber = 3 OR l_partkey % 3 = 2 THEN NULL WHEN l_partkey % 3 = 0 THEN '93.184.' || (l_partkey % 200) || '.7' ELSE '2001:470::' || (l_partkey % 200) END AS ip FROM lineitem""")
+def dns_explode_whole(spark, d):
+    """All orders: lines with one number are ordered by part and supplier, and equal lines give equal rows."""
+    return L.explode_dns(_nested(spark, d)).select("measurement_uid", "query_pos", "failure", "answer", "answer_asn", "ip")
+
+
 _REDIR = """SELECT measurement_uid, observation_idx, http_url, CASE WHEN lead(observation_idx) OVER k % 2 = 0 AND lead(hostname) OVER k < hostname THEN lead(http_url) OVER k END AS redirect_from
 FROM u WINDOW k AS (PARTITION BY measurement_uid ORDER BY observation_idx)"""
 
