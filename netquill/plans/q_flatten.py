@@ -125,6 +125,19 @@ def redirect_from(spark, d):
     return L.redirect_from(rows, ["measurement_uid"], "observation_idx", "http_url", "location").drop("location")
 
 
+@query("redirect_from_whole", f"""{OB} SELECT measurement_uid, observation_idx, http_url, CASE WHEN lead(observation_idx) OVER k % 2 = 0 AND lead(hostname) OVER k < hostname THEN lead(http_url) OVER k END AS redirect_from
+FROM o WINDOW k AS (PARTITION BY measurement_uid ORDER BY observation_idx, http_url, ip)""")
+def redirect_from_whole(spark, d):
+    """``redirect_from`` over all observations: those of one index are ordered by URL and address, by a
+    position that runs on. Rows alike in all three are interchangeable, as the host is part of the URL."""
+    from pyspark.sql import Window
+
+    by = Window.partitionBy("measurement_uid").orderBy("observation_idx", "http_url", "ip")
+    location = F.when((F.col("observation_idx") % 2 == 0) & (F.col("hostname") < F.lag("hostname").over(by)), F.lag("http_url").over(by))
+    rows = frame(spark, d, "O").select("measurement_uid", "observation_idx", "http_url", location.alias("location"), F.row_number().over(by).alias("place"))
+    return L.redirect_from(rows, ["measurement_uid"], "place", "http_url", "location").drop("location", "place")
+
+
 def _handshakes(spark, d):
     kind = F.when(F.col("event_type") == "signup", "connect").when(F.col("event_type") == "purchase", "tls_handshake_done").when(F.col("event_type") == "view", "read").when(F.col("event_type") == "click", "write").otherwise("close")
     e = F.struct(

@@ -1,5 +1,7 @@
 """Queries over all rows: small tables with the rows that the bounded queries leave out."""
 
+from datetime import datetime
+
 import pytest
 
 from netquill.plans import registry
@@ -24,3 +26,17 @@ def test_dns_explode_keeps_orders_with_repeated_line_numbers(spark, table):
         ("1", 0, "93.184.3.7", 0), ("1", 1, "93.184.3.7", 0), ("1", 2, "93.184.6.7", 2),
     ]
     assert [(r.measurement_uid, r.failure) for r in got if not r.answer] == [("2", "dns_server_misbehaving")]
+
+
+def test_redirect_from_keeps_further_observations_of_an_index(spark, table):
+    day = datetime(1995, 1, 1)
+    lines = [(1, 1, 9, 1), (1, 2, 5, 1), (1, 2, 3, 1), (1, 2, 3, 1)]
+    filled = [(*x, 1.0, 0.0, 0.0, "N", "O") for x in lines]
+    table("lineitem", filled, LINE + ", l_quantity double, l_discount double, l_tax double, l_returnflag string, l_linestatus string")
+    table("customer", [(1, 1)], "c_custkey bigint, c_nationkey bigint")
+    d = table("orders", [(1, 1, day)], "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp")
+    got = registry.queries()["redirect_from_whole"](spark, d).collect()
+    url = "https://h{}.example/{}".format
+    assert sorted((r.observation_idx, r.http_url, r.redirect_from or "") for r in got) == [
+        (1, url(9, 1), url(3, 2)), (2, url(3, 2), ""), (2, url(3, 2), ""), (2, url(5, 2), ""),
+    ]
