@@ -1,9 +1,11 @@
 """Queries over all rows: small tables with the rows that the bounded queries leave out."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
+from netquill.operators import detect as D
 from netquill.plans import registry
 
 
@@ -40,3 +42,30 @@ def test_redirect_from_keeps_further_observations_of_an_index(spark, table):
     assert sorted((r.observation_idx, r.http_url, r.redirect_from or "") for r in got) == [
         (1, url(9, 1), url(3, 2)), (2, url(3, 2), ""), (2, url(3, 2), ""), (2, url(5, 2), ""),
     ]
+
+
+EVENT = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+DETECTED = ("hourly_series", "cusum", "cusum_resume", "cusum_trace", "bernoulli_cusum", "alert_rows", "panel_summary")
+
+
+def test_detection_reads_events_of_any_date(spark, table):
+    """One key with two days of blocked hours between days of clear ones, in another year."""
+    start = datetime(2031, 5, 1)
+    d = table("events", [(6 * i, start + timedelta(hours=i), 5, "error" if 48 <= i < 96 else "signup", 99.0, "{}") for i in range(144)], EVENT)
+    for name in DETECTED:
+        assert registry.queries()[f"{name}_whole"](spark, d).count() > 0, name
+    hours = registry.queries()["hourly_series_whole"](spark, d)
+    assert hours.agg(F.sum("count")).first()[0] == 144
+    changes = registry.queries()["cusum_whole"](spark, d).filter("signal = 'tcp_blocked'").orderBy("ts").collect()
+    assert [c.change_dir for c in changes] == [1, -1]
+    sql = registry.oracle_sql()
+    assert all("TIMESTAMP '2024-01-02'" not in sql[f"{n}_whole"] and "TIMESTAMP '2024-01-02'" in sql[n] for n in DETECTED if n in sql)
+
+
+def test_series_bounds_are_strict(spark):
+    start = datetime(2031, 5, 1)
+    zero = [0.0] * 3
+    rows = [("IT", 1, "d", start + timedelta(hours=i), 1, *zero) for i in range(4)]
+    v = spark.createDataFrame(rows, "probe_cc string, probe_asn int, domain string, measurement_start_time timestamp, resolver_asn int, dns_blocked double, tcp_blocked double, tls_blocked double")
+    got = D.hourly_series(v, start, start + timedelta(hours=3)).collect()
+    assert sorted(r.ts for r in got) == [start + timedelta(hours=i) for i in (1, 2)]
