@@ -172,13 +172,16 @@ def alert_rows(changes: DataFrame, explorer: str = "https://explorer.example/",
     day = lambda n: F.date_format(F.date_add(F.to_date("ts"), n), "yyyy-MM-dd")
     query = F.concat(F.lit("?domain="), F.url_encode("domain"), F.lit("&probe_cc="), F.col("probe_cc"), F.lit("&probe_asn=AS"), F.col("probe_asn").cast("string"), F.lit("&since="), day(-13), F.lit("&until="), day(2))
     text = F.concat(F.lit("["), F.col("probe_cc"), F.lit("/AS"), F.col("probe_asn").cast("string"), F.lit("] "), F.col("domain"), F.lit(" "), word, F.lit(" - "), F.col("signal"))
-    # changes of one run are few (thousands at most), so numbering them in one order is cheap
-    order = Window.partitionBy(F.lit(1)).orderBy("ts", "probe_cc", "probe_asn", "domain", "signal")
-    return changes.select(
+    # numbered within each hour, after the changes of all hours before: one row an hour is ordered in one task
+    order = Window.partitionBy("ts").orderBy("probe_cc", "probe_asn", "domain", "signal")
+    before = Window.partitionBy(F.lit(1)).orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
+    hours = changes.groupBy("ts").agg(F.count("*").alias("n")).select(F.col("ts").alias("_hour"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    numbered = changes.withColumn("_own", F.row_number().over(order)).join(hours, F.col("ts").eqNullSafe(F.col("_hour")))
+    return numbered.select(
         "ts", *KEY, "signal", "change_dir", text.alias("text"),
         F.concat(F.lit(explorer), F.lit("chart/mat"), query).alias("explorer_url"),
         F.concat(F.lit(panel), query).alias("panel_url"),
-        F.floor((F.row_number().over(order) - 1) / batch).cast("int").alias("batch"),
+        F.floor((F.col("_before") + F.col("_own") - 1) / batch).cast("int").alias("batch"),
     )
 
 

@@ -128,3 +128,17 @@ def arrival_lag(rows: DataFrame, keys: list[str], measured: str, bucket: str) ->
     return rows.groupBy(*keys).agg(
         F.percentile(lag, F.lit(0.5)).alias("p50"), F.percentile(lag, F.lit(0.9)).alias("p90"), F.count("*").alias("n")
     )
+
+
+def running_sum(rows: DataFrame, keys: list[str], order: str, value: str, name: str, span: int = 4096) -> DataFrame:
+    """Sum of ``value`` from a key's first row to each row, by a whole-numbered ``order`` without repeats.
+    Rows are summed in spans of ``order``, so no task takes all rows of a key; one row a span is summed
+    across spans. ``value`` may not be NULL."""
+    kept = rows.columns
+    rows = rows.withColumn("_span", F.floor(F.col(order) / span))
+    by = [*keys, "_span"]
+    within = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = rows.groupBy(*by).agg(F.sum(value).alias("_sum")).select(*[F.col(c).alias(f"_of_{c}") for c in by], F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    summed = rows.withColumn("_own", F.sum(value).over(within)).join(spans, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by])
+    return summed.select(*kept, (F.col("_own") + F.col("_before")).alias(name))

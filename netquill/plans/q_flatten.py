@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from netquill.functions import scalars as S
 from netquill.operators import flatten as L
+from netquill.operators.extras import running_sum
 from netquill.plans.catalog import query
 from netquill.plans.standins import ctes, frame
 from netquill.sources import io as IO
@@ -138,13 +139,22 @@ def redirect_from_whole(spark, d):
     return L.redirect_from(rows, ["measurement_uid"], "place", "http_url", "location").drop("location", "place")
 
 
+#: windows of a stand-in measurement, at most
+WINDOWS = 8
+
+
 def _handshakes(spark, d):
+    """Handshakes of measurements that hold some windows of a user each, cut where no window is open, so
+    that a measurement stays small however many events its user has."""
     kind = F.when(F.col("event_type") == "signup", "connect").when(F.col("event_type") == "purchase", "tls_handshake_done").when(F.col("event_type") == "view", "read").when(F.col("event_type") == "click", "write").otherwise("close")
     e = F.struct(
         F.col("event_id").cast("double").alias("t"), kind.alias("operation"), (F.floor("value") % 7).cast("bigint").alias("num_bytes"), F.lit(None).cast("bigint").alias("transaction_id")
     )
-    # some hundred events a user in the test tables
-    per = frame(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(e)).alias("events"))
+    # a window ends after each done and before each connect: its number is the connects so far and the dones before it
+    flag = lambda *kinds: F.when(F.col("event_type").isin(*kinds), 1).otherwise(0)
+    rows = frame(spark, d, "events").select("user_id", "event_id", flag("purchase").alias("done"), flag("signup", "purchase").alias("ends"), e.alias("e"))
+    window = running_sum(rows, ["user_id"], "event_id", "ends", "so_far").withColumn("part", F.floor((F.col("so_far") - F.col("done")) / WINDOWS))
+    per = window.groupBy("user_id", "part").agg(F.array_sort(F.collect_list("e")).alias("events"))
     done = per.withColumn("h", F.filter("events", lambda x: x["operation"] == "tls_handshake_done"))
     rows = done.select("user_id", "events", F.posexplode("h").alias("pos", "x")).select("user_id", "events", "pos", F.col("x.t").alias("t"), F.lit(0).cast("bigint").alias("transaction_id"))
     return rows.withColumn("own", L.handshake_events(rows))

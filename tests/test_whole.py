@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from netquill.operators import detect as D
-from netquill.plans import registry
+from netquill.plans import q_flatten, registry
 
 
 @pytest.fixture
@@ -69,3 +69,29 @@ def test_series_bounds_are_strict(spark):
     v = spark.createDataFrame(rows, "probe_cc string, probe_asn int, domain string, measurement_start_time timestamp, resolver_asn int, dns_blocked double, tcp_blocked double, tls_blocked double")
     got = D.hourly_series(v, start, start + timedelta(hours=3)).collect()
     assert sorted(r.ts for r in got) == [start + timedelta(hours=i) for i in (1, 2)]
+
+
+def test_no_measurement_holds_all_events_of_a_user(spark, table):
+    """One user has all events; each handshake is read with few of them, and windows stay as they were."""
+    kinds = ["signup", "view", "purchase", "click", "purchase", "signup", "signup", "error", "purchase"]
+    d = table("events", [(i, datetime(2024, 1, 3), 1, kinds[i % 9], 1.0, "{}") for i in range(9000)], EVENT)
+    rows = q_flatten._handshakes(spark, d)
+    assert rows.agg(F.max(F.size("events"))).first()[0] < 40
+    got = {r.t: (r.n_events, r.first_t) for r in registry.queries()["hs_windows"](spark, d).collect()}
+    want = {9 * i + k: (n, 9 * i + k - n + 1) for i in range(1000) for k, n in ((2, 3), (4, 2), (8, 3))}
+    assert got == want
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_alerts_are_numbered_without_one_task_for_all(spark):
+    start = datetime(2031, 5, 1)
+    changes = [(start + timedelta(hours=i % 7), "IT", i, "d", "tcp_blocked", 1) for i in range(100)]
+    df = spark.createDataFrame(changes, "ts timestamp, probe_cc string, probe_asn int, domain string, signal string, change_dir int")
+    out = D.alert_rows(df)
+    want = {(c[0], c[2]): k // 10 for k, c in enumerate(sorted(changes))}
+    assert {(r.ts, r.probe_asn): r.batch for r in out.collect()} == want
+    assert "row_number() windowspecdefinition(1," not in plan_of(out)
+    assert "row_number() windowspecdefinition(ts" in plan_of(out)
