@@ -65,6 +65,12 @@ def failure_agg(spark, d):
     return A.failure_aggregation(frame(spark, d, "O"), ("timestamp", "failure"), "month", probe_cc=("C1", "C2"))
 
 
+@query("failure_agg_whole", f"""{OB} SELECT date_trunc('month', measurement_start_time) AS timestamp, {_FAIL} AS failure, probe_cc, count(*) AS observation_count FROM o
+WHERE dns_failure IS NOT NULL OR tcp_failure IS NOT NULL OR tls_failure IS NOT NULL OR tcp_success = 1 OR dns_answer IS NOT NULL GROUP BY ALL""")
+def failure_agg_whole(spark, d):
+    return A.failure_aggregation(frame(spark, d, "O"), ("timestamp", "failure", "probe_cc"), "month")
+
+
 def _class(x: str) -> str:
     return f"""CASE WHEN {x} IS NULL THEN 'ok' WHEN {x} LIKE 'unknown\\_failure%' ESCAPE '\\' THEN 'unknown' WHEN {x} LIKE 'ssl\\_%' ESCAPE '\\' THEN 'certificate' WHEN {x} LIKE '%timeout%' OR {x} LIKE '%timed_out%' THEN 'timeout'
       WHEN {x} IN ('connection_reset', 'connection_refused', 'connection_aborted') THEN {x} WHEN {x} LIKE 'dns\\_%' ESCAPE '\\' THEN 'dns' WHEN {x} LIKE '%unreachable' THEN 'unreachable' ELSE 'other' END"""

@@ -235,6 +235,13 @@ def web_verdicts(spark, d):
     return V.web_verdicts(o, c, fingerprints(spark), probe_cc=("C1", "C2", "C3"), grain=GRAIN)
 
 
+@query("web_verdicts_whole", _ROLLED.replace("{where}", ""))
+def web_verdicts_whole(spark, d):
+    """Verdicts of all countries."""
+    o, c = inputs(spark, d)
+    return V.web_verdicts(o, c, fingerprints(spark), grain=GRAIN)
+
+
 @query("verified_ctrl", BASE + """
 SELECT hostname, measurement_day, ip FROM o2 WHERE tls_is_certificate_valid = 1
 GROUP BY ALL HAVING count(DISTINCT CASE WHEN probe_id <> '' THEN probe_id END) >= 2""")

@@ -5,8 +5,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from netquill.operators import aggregate as A
 from netquill.operators import detect as D
 from netquill.plans import q_flatten, registry
+from netquill.plans.standins import frame
 
 
 @pytest.fixture
@@ -95,3 +97,18 @@ def test_alerts_are_numbered_without_one_task_for_all(spark):
     assert {(r.ts, r.probe_asn): r.batch for r in out.collect()} == want
     assert "row_number() windowspecdefinition(1," not in plan_of(out)
     assert "row_number() windowspecdefinition(ts" in plan_of(out)
+
+
+def test_verdicts_and_failures_of_every_country(spark):
+    d = "/root/testdata/sf0.001"
+    countries = {r.probe_cc for r in frame(spark, d, "O").select("probe_cc").distinct().collect()}
+    assert countries > {"C1", "C2", "C3"}
+    for name in ("web_verdicts_whole", "failure_agg_whole"):
+        assert {r.probe_cc for r in registry.queries()[name](spark, d).select("probe_cc").distinct().collect()} == countries, name
+
+
+def test_failures_of_chosen_countries(spark):
+    rows = [("C0", "a", None, None, None, None), ("C1", "a", None, None, None, None), ("C1", None, "b", None, None, None)]
+    o = spark.createDataFrame(rows, "probe_cc string, dns_failure string, tcp_failure string, tls_failure string, tcp_success int, dns_answer string")
+    got = A.failure_aggregation(o, ("failure",), probe_cc=("C1",)).collect()
+    assert sorted((r.failure, r.probe_cc, r.observation_count) for r in got) == [("dns.a", "C1", 1), ("tcp.b", "C1", 1)]
