@@ -17,26 +17,35 @@ _own: list[str] = []
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one of our own where the session names none."""
+    """The folder all executors share, as the session names it. A session on one machine that names none
+    gets a temporary one; on a cluster that would lose rows, so it is an error there."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="spark-netquill-"))
         atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
     return _own[0]
 
 
-def written(df: DataFrame, name: str, light: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, so a lost executor
-    costs a reread and not the work above, and the planner sees the true size. ``light`` tables, a few
-    numbers a row, are written by an eighth of the shuffle's tasks."""
+    costs a reread and not the work above, and the planner sees the true size."""
     spark = df.sparkSession
-    if light:
-        df = df.coalesce(max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
     path = f"{scratch_dir(spark)}/netquill/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables of :func:`written` that nothing reads any more."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netquill.llm.common import written
+from netquill.llm.common import discard, written
 
 
-def _star(both: DataFrame, keep: str) -> DataFrame:
+def _star(both: DataFrame, keep: str) -> tuple[DataFrame, DataFrame]:
     """For each node u with neighbours v in ``both`` (u, v): link the v that ``keep`` selects, and u
-    itself in the small star, to the smallest of u and its neighbours."""
-    least = written(
-        both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "components_min", light=True
-    )
-    return both.join(least, "u").filter(keep).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    itself in the small star, to the smallest of u and its neighbours. Also the table of the smallest."""
+    least = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "components_min")
+    return both.join(least, "u").filter(keep).select(F.col("v").alias("u"), F.col("m").alias("v")), least
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
@@ -27,10 +25,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v")
     for _ in range(max_rounds):
         mirrored = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = written(_star(mirrored, "v > u"), "components_large", light=True)
+        star, least = _star(mirrored, "v > u")
+        large = written(star, "components_large")
         # every edge of the large star already points to a smaller node
-        small = _star(large, "true").unionByName(large.groupBy("u").agg(F.min("v").alias("v")))
-        now = written(small.filter("u != v").distinct(), "components_edges", light=True)
+        star, low = _star(large, "true")
+        small = star.unionByName(large.groupBy("u").agg(F.min("v").alias("v")))
+        before, now = now, written(small.filter("u != v").distinct(), "components_edges")
+        discard(least, low, large, *([before] if hasattr(before, "written_to") else []))
         # stars: no node that others point to points on
         if now.select("v").join(now.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
             break

@@ -19,7 +19,7 @@ def fold(modulus: int) -> Column:
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_class: int) -> DataFrame:
     """(doc_id, text, y): at most ``per_class`` documents of each label, those whose hashed id is
     smallest among the labelled rows that ``allowed`` admits. A document labelled twice takes the
-    higher label; null labels and ids count for nothing."""
+    higher label, one with several texts the smallest; null labels and ids count for nothing."""
     known = (
         labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & allowed)
         .groupBy("doc_id")
@@ -31,7 +31,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, allowed: Colum
         known.filter("y = 1").orderBy(*order).limit(per_class)
     )
     # the sample is bounded by per_class, so it may be broadcast and the texts stay where they are
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
+    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.first("y").alias("y")
+    )
 
 
 def fitted(rows: DataFrame, fit: Callable[[list[bytes], list[int]], bytes]) -> bytes:
@@ -42,7 +44,7 @@ def fitted(rows: DataFrame, fit: Callable[[list[bytes], list[int]], bytes]) -> b
         for batch in batches:
             found += zip(batch.column("doc_id").to_pylist(), binaries(batch, "text"), batch.column("y").to_pylist())
         if found:
-            found.sort()
+            found.sort(key=lambda f: f[0])
             model = fit([f[1] for f in found], [f[2] for f in found])
             yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 

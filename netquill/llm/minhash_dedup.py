@@ -4,11 +4,11 @@ A document's set holds its distinct five-word shingles (A-Z in lower case, words
 space); documents are linked at a Jaccard similarity of 0.75 or more, and each group keeps its
 smallest doc_id.
 
-1. One pass over the texts gives each document the size of its set, a 128-bit hash of the set and
+1. One pass over the texts gives each document the size of its set, a 128-bit blake2b of its words and
    128 HyperMinHash registers: the shingle hash picks a bucket, and the bucket's smallest value is
    stored as its leading-zero count (6 bits) and the 10 bits after the leading one. Empty buckets
    borrow from another bucket by a fixed order, so short texts are comparable too.
-2. Documents with equal sets form a class; only its smallest doc_id goes on.
+2. Documents of the same words form a class, named by its smallest doc_id; one text of each goes on.
 3. Four registers form a band, 32 bands. At a similarity of 0.75 a pair shares no band with
    probability (1 - 0.75**4)**32 = 5e-6.
 4. Candidate pairs come from the buckets of a band. First each member is paired with a few random
@@ -19,16 +19,19 @@ smallest doc_id.
 5. A pair goes on if the sizes allow it, the collision-corrected estimate from the registers is not
    4.5 deviations below the threshold, and its parity maps allow it: a set's map of 1024 bits flips one
    for each shingle, so two maps differ in at most as many bits as the sets in shingles, and more than
-   (n_a + n_b) * 25 / 175 of them rule a pair out for certain. Then the full sets decide.
+   (n_a + n_b) * 25 / 175 of them rule a pair out for certain. Then the full sets decide, compared as
+   bytes and not as hashes.
 
 Defined results for odd input: a null or empty text has no shingles and is linked with nothing; rows
-with a null doc_id get a null component and stay; rows that repeat a doc_id are one node; an empty
-table gives an empty result; other columns are not read.
+with a null doc_id link nothing, get a null component and are kept; rows that repeat a doc_id are one
+document, which is linked by each of its texts; an empty table gives an empty result; other columns are
+not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +39,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netquill.llm.common import binaries, chunked, pieces, table, written
+from netquill.llm.common import binaries, chunked, discard, pieces, table, written
 from netquill.llm.components import connected_components
-from netquill.llm.hashing import U, mix, shingle_hashes, shingle_set
+from netquill.llm.hashing import U, mix, shingle_hashes
 
 REGISTERS, BANDS, BITS, CENTRES = 128, 32, 10, 3
+#: bytes of shingle sets kept while pairs are verified; texts beyond it are compared in parts
 CACHE_BYTES = 32 << 20
 #: longs of a set's parity map
 PARITY = 16
@@ -61,7 +65,7 @@ def _compress(least: np.ndarray) -> np.ndarray:
 
 
 def sketch(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, ...]:
-    """Set sizes, two set hashes, the registers (texts x 128) and the parity maps of lower-cased texts."""
+    """Set sizes, the registers (texts x 128) and the parity maps of lower-cased texts."""
     hashes, counts = shingle_hashes(texts, width)
     text = np.repeat(np.arange(len(texts)), counts)
     order = np.lexsort((hashes, text))
@@ -70,14 +74,7 @@ def sketch(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, ...]:
     new[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
     hashes, text = hashes[new], text[new]
     size = np.bincount(text, minlength=len(texts))
-    first = np.concatenate(([0], np.cumsum(size)))[:-1]
     some = size > 0
-    sums = []
-    for salt in (1, 2):
-        out = np.zeros(len(texts), U)
-        if len(hashes):
-            out[some] = np.add.reduceat(mix(hashes ^ mix(np.full(1, salt, U))), first[some])
-        sums.append(out.view(np.int64))
     parity = np.zeros(len(texts) * PARITY, U)
     bit = mix(hashes ^ U(0x5BD1E995)) & U(64 * PARITY - 1)
     np.bitwise_xor.at(parity, text * PARITY + (bit >> U(6)).astype(np.int64), U(1) << (bit & U(63)))
@@ -95,31 +92,35 @@ def sketch(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, ...]:
         found = ~empty[rows, source]
         registers[rows[found], slots[found]] = registers[rows[found], source[found]]
         rows, slots = rows[~found], slots[~found]
-    return size, sums[0], sums[1], registers, parity.view(np.int64).reshape(-1, PARITY)
+    return size, registers, parity.view(np.int64).reshape(-1, PARITY)
 
 
 def signatures(docs: DataFrame, width: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, h1, h2, registers, parity) of every row."""
+    """(doc_id, th, n_shingles, k1, k2, registers, parity) of every row: th is a hash of the text as it
+    stands, k1 and k2 are that of its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 1024):
-            texts = [t.lower() for t in binaries(batch, "text")]
+            texts = [b" ".join(t.lower().split()) for t in binaries(batch, "text")]
             for part in chunked(texts, 1 << 20):
-                size, h1, h2, reg, parity = sketch([texts[i] for i in part], width)
+                own = [texts[i] for i in part]
+                size, reg, parity = sketch(own, width)
+                keys = np.frombuffer(b"".join(blake2b(t, digest_size=16).digest() for t in own), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(part.start, len(part)),
+                        *[batch.column(c).slice(part.start, len(part)) for c in ("doc_id", "th")],
                         pa.array(size.astype(np.int64)),
-                        pa.array(h1),
-                        pa.array(h2),
+                        pa.array(keys[:, 0]),
+                        pa.array(keys[:, 1]),
                         pa.array([r.tobytes() for r in reg], pa.binary()),
                         pa.array([r.tobytes() for r in parity], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "h1", "h2", "registers", "parity"],
+                    ["doc_id", "th", "n_shingles", "k1", "k2", "registers", "parity"],
                 )
 
-    part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    return part.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, registers binary, parity binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(
+        run, "doc_id long, th long, n_shingles long, k1 long, k2 long, registers binary, parity binary"
+    )
 
 
 def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -138,7 +139,7 @@ def _sizes_allow(a: str, b: str, percent: int) -> Column:
 def _estimated(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     """The distinct pairs (a, b) whose sizes and estimate allow the threshold."""
     side = lambda s: sigs.select(
-        F.col("doc_id").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("registers").alias(f"r_{s}"), F.col("parity").alias(f"p_{s}")
+        F.col("rid").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("registers").alias(f"r_{s}"), F.col("parity").alias(f"p_{s}")
     )
     both = (
         pairs.distinct().join(side("a"), "a").join(side("b"), "b").filter(_sizes_allow("n_a", "n_b", percent))
@@ -163,65 +164,84 @@ def _estimated(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
-    ids = written(
-        pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near_ids", light=True
-    )
-    texts = written(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "near_texts")
-    side = lambda s: texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"t_{s}"))
+def shingles(text: bytes, width: int, part: int = 0, parts: int = 1) -> set[bytes]:
+    """The distinct shingles of a text as bytes; of several ``parts``, those that fall into one."""
+    w = text.lower().split()
+    if len(w) < width:
+        found = iter([b" ".join(w)] if w else [])
+    else:
+        found = map(b" ".join, zip(*(w[k:] for k in range(width))))
+    return set(found) if parts == 1 else {x for x in found if hash(x) % parts == part}
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int, width: int) -> DataFrame:
+    """(a, b): the classes of the pairs whose full sets reach the threshold."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
+    wanted = reps.select("rid", F.col("class_id").alias("doc_id"), "th").join(ids, "rid", "left_semi")
+    own = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
+    texts = written(own.join(wanted, ["doc_id", "th"]).dropDuplicates(["rid", "doc_id", "th"]), "near_texts")
+    side = lambda s: texts.select(F.col("rid").alias(s), F.col("doc_id").alias(f"d_{s}"), F.col("text").alias(f"t_{s}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[bytes, np.ndarray] = {}
+        sets: dict[bytes, set[bytes]] = {}
         held = 0
 
-        def shingles(text: bytes) -> np.ndarray:
+        def known(text: bytes) -> set[bytes]:
             nonlocal held
             got = sets.get(text)
             if got is None:
-                got = shingle_set(text.lower(), width)
-                held += len(text) + 8 * len(got)
-                if held > CACHE_BYTES:
+                got = shingles(text, width)
+                size = 2 * len(text) + 120 * len(got)
+                if held + size > CACHE_BYTES:
                     sets.clear()
-                    held = len(text) + 8 * len(got)
+                    held = 0
                 sets[text] = got
+                held += size
             return got
 
-        for batch in batches:
-            keep = []
-            for x, y in zip(binaries(batch, "t_a"), binaries(batch, "t_b")):
-                one, two = shingles(x), shingles(y)
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                union = len(one) + len(two) - both
-                keep.append(union > 0 and 100 * both >= percent * union)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        def linked(x: bytes, y: bytes) -> bool:
+            parts = 1 + 20 * (len(x) + len(y)) // CACHE_BYTES
+            both = union = 0
+            for k in range(parts):
+                one, two = (known(x), known(y)) if parts == 1 else (shingles(x, width, k, parts), shingles(y, width, k, parts))
+                common = len(one & two)
+                both += common
+                union += len(one) + len(two) - common
+            return union > 0 and 100 * both >= percent * union
+
+        for batch in pieces(batches):
+            keep = [linked(x, y) for x, y in zip(binaries(batch, "t_a"), binaries(batch, "t_b"))]
+            found = batch.select(["d_a", "d_b"]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(found.columns, ["a", "b"])
 
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    return joined.mapInArrow(run, "a long, b long")
+    found = written(joined.mapInArrow(run, "a long, b long"), "near_edges")
+    discard(texts)
+    return found
 
 
 def _pairs_with_centres(rows: DataFrame, centres: int) -> DataFrame:
     """Pairs of each member of a bucket with its centres: the members that come first in ``centres``
     random orders."""
-    order = lambda k: F.xxhash64(F.lit(k), "rep", "band")
+    order = lambda k: F.xxhash64(F.lit(k), "rid", "band")
     chosen = written(
         rows.groupBy("band", "key")
-        .agg(*[F.min_by("rep", order(k)).alias(f"c{k}") for k in range(centres)])
+        .agg(*[F.min_by("rid", order(k)).alias(f"c{k}") for k in range(centres)])
         .select("band", "key", F.array_distinct(F.array(*[f"c{k}" for k in range(centres)])).alias("c")),
-        "near_centres", light=True,
+        "near_centres",
     )
     return (
         rows.join(chosen, ["band", "key"])
-        .select("rep", F.explode("c").alias("centre"))
-        .filter("rep != centre")
-        .select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
+        .select("rid", F.explode("c").alias("centre"))
+        .filter("rid != centre")
+        .select(F.least("rid", "centre").alias("a"), F.greatest("rid", "centre").alias("b"))
     )
 
 
-def _pairs_apart(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """The pairs of a bucket's members (band, key, rep, comp) in different components whose sizes and
-    registers allow the threshold, tested inside the join. A pair that shares several bands comes from
-    the first of them only."""
+def _pairs_apart(rows: DataFrame, reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs of a bucket's members (band, key, rid, comp) in different components whose sizes and
+    registers allow the threshold, tested inside the join, and the table they come from. A pair that shares
+    several bands comes from the first of them only."""
 
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,12 +250,12 @@ def _pairs_apart(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                     np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int64).reshape(-1, n).tolist(), pa.list_(pa.int64())
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("n_shingles"), longs("registers", BANDS), longs("parity", PARITY)],
-                    ["rep", "n", "keys", "parity"],
+                    [batch.column("rid"), batch.column("n_shingles"), longs("registers", BANDS), longs("parity", PARITY)],
+                    ["rid", "n", "keys", "parity"],
                 )
 
-    rows = written(rows.join(reps.mapInArrow(bands, "rep long, n long, keys array<long>, parity array<long>"), "rep"), "near_apart")
-    other = rows.select("band", "key", *[F.col(c).alias(f"{c}_") for c in ("rep", "comp", "n", "keys", "parity")])
+    rows = written(rows.join(reps.mapInArrow(bands, "rid long, n long, keys array<long>, parity array<long>"), "rid"), "near_apart")
+    other = rows.select("band", "key", *[F.col(c).alias(f"{c}_") for c in ("rid", "comp", "n", "keys", "parity")])
     first = F.expr("array_position(zip_with(keys, keys_, (x, y) -> x = y), true) = band + 1")
     # of the four 16-bit registers in a long, how many differ: a lane's bits are folded into its lowest
     fold_ = "x"
@@ -246,102 +266,101 @@ def _pairs_apart(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     allowed = F.expr(f"{flipped} * {100 + percent} <= (n + n_) * {100 - percent}")
     j = percent / 100
     most = f"{REGISTERS} * ({1 - j} + 4.5 * sqrt({j * (1 - j) / REGISTERS} + {1 - j} / least(n, n_)))"
-    return (
+    pairs = (
         rows.join(other, ["band", "key"])
         .filter((F.col("comp") < F.col("comp_")) & _sizes_allow("n", "n_", percent) & allowed & first & F.expr(f"{differ} <= {most}"))
-        .select(F.least("rep", "rep_").alias("a"), F.greatest("rep", "rep_").alias("b"))
+        .select(F.least("rid", "rid_").alias("a"), F.greatest("rid", "rid_").alias("b"))
     )
+    return pairs, rows
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, n_shingles, class_id (smallest doc_id
-    with the same set), component_id, kept."""
+    with the same words), component_id, kept."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sigs = written(signatures(docs, width), "near_signatures")
     live = sigs.filter("n_shingles > 0 and doc_id is not null")
-    classes = written(
-        live.groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("class_id"), F.max("doc_id").alias("last"))
-        .filter("class_id < last")
-        .drop("last"),
-        "near_classes", light=True,
-    )
-    members = written(
-        live.select("doc_id", "h1", "h2", "n_shingles")
-        .join(classes, ["h1", "h2"], "left")
-        .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")),
-        "near_members", light=True,
-    )
+    # one row a class; what its members share is the same in each
     reps = written(
-        live.join(
-            members.filter("doc_id = class_id").select("doc_id").distinct(), "doc_id", "left_semi"
-        )
-        .select("doc_id", "n_shingles", "registers", "parity")
-        .dropDuplicates(["doc_id"]),
+        live.groupBy("k1", "k2")
+        .agg(F.min(F.struct("doc_id", "th")).alias("one"), F.max("doc_id").alias("last"), *[F.first(c).alias(c) for c in ("n_shingles", "registers", "parity")])
+        .select(
+            F.col("k1").alias("rid"), "k2", F.col("one.doc_id").alias("class_id"), F.col("one.th").alias("th"),
+            (F.col("last") > F.col("one.doc_id")).alias("several"), "n_shingles", "registers", "parity",
+        ),
         "near_reps",
-    )
+    )
 
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             keys = np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.int64)
-            pick = np.repeat(np.arange(batch.num_rows), BANDS)
-            rep = batch.column("doc_id").take(pa.array(pick))
+            pick = pa.array(np.repeat(np.arange(batch.num_rows), BANDS))
             band = pa.array(np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows))
             yield pa.RecordBatch.from_arrays(
-                [band, pa.array(keys), rep], ["band", "key", "rep"]
+                [band, pa.array(keys), batch.column("rid").take(pick), batch.column("class_id").take(pick)],
+                ["band", "key", "rid", "class_id"],
             )
 
-    everything = reps.mapInArrow(bands, "band int, key long, rep long")
+    everything = reps.select("rid", "class_id", "registers").mapInArrow(bands, "band int, key long, rid long, class_id long")
     shared = written(
         everything.groupBy("band", "key")
-        .agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
+        .agg(F.min("rid").alias("low"), F.max("rid").alias("high"))
         .filter("low < high")
         .select("band", "key"),
-        "near_shared", light=True,
+        "near_shared",
     )
     rows = written(everything.join(shared, ["band", "key"]), "near_rows")
-
     first = written(_estimated(_pairs_with_centres(rows, CENTRES), reps, percent), "near_pairs")
-    edges = written(_verified(first, docs, percent, width), "near_edges")
-    comps = written(connected_components(edges), "near_components", light=True)
+    edges = _verified(first, docs, reps, percent, width)
+
+    # a doc_id with several texts belongs to the class of each
+    several = live.groupBy("doc_id").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).filter("low < high").select("doc_id")
+    own = (
+        live.join(several, "doc_id", "left_semi")
+        .select("doc_id", F.col("k1").alias("rid"), "k2")
+        .join(reps, ["rid", "k2"])
+        .select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
+    )
+    links = written(edges.unionByName(own).filter("a != b").distinct(), "near_links")
+    comps = written(connected_components(links), "near_components")
     placed = written(
-        rows.join(comps, rows.rep == comps.node, "left").select(
-            "band", "key", "rep", F.coalesce("root", "rep").alias("comp")
-        ),
-        "near_placed", light=True,
+        rows.join(comps, rows.class_id == comps.node, "left").select("band", "key", "rid", F.coalesce("root", "class_id").alias("comp")),
+        "near_placed",
     )
     mixed = written(
         placed.groupBy("band", "key")
         .agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
         .filter("low < high")
         .select("band", "key"),
-        "near_mixed", light=True,
-    )
-    apart = _pairs_apart(placed.join(mixed, ["band", "key"]), reps, percent)
-    second = written(
-        _estimated(apart, reps, percent).join(first, ["a", "b"], "left_anti"), "near_pairs"
+        "near_mixed",
     )
+    apart, tested = _pairs_apart(placed.join(mixed, ["band", "key"]), reps, percent)
+    second = written(_estimated(apart, reps, percent).join(first, ["a", "b"], "left_anti"), "near_pairs")
     if not second.isEmpty():
-        more = written(_verified(second, docs, percent, width), "near_edges")
+        more = _verified(second, docs, reps, percent, width)
         if not more.isEmpty():
             # the links found now, and one from each node to the root it had
             stars = comps.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-            comps = written(connected_components(more.unionByName(stars)), "near_components", light=True)
-    root = F.coalesce("root", "class_id")
-    groups = (
-        members.join(comps, members.class_id == comps.node, "left")
-        .select("doc_id", "class_id", root.alias("root"))
-        .groupBy("doc_id")
-        .agg(F.min("class_id").alias("class_id"), F.min("root").alias("component_id"))
+            comps = written(connected_components(more.unionByName(stars)), "near_components")
+        discard(more)
+    discard(shared, rows, first, edges, links, placed, mixed, tested, second)
+
+    # only classes of several documents, or with links, differ from their documents
+    moved = (
+        reps.select("rid", "k2", "class_id", "several")
+        .join(comps, F.col("class_id") == F.col("node"), "left")
+        .filter("several or root is not null")
+        .select(F.col("rid").alias("k1"), "k2", "class_id", F.coalesce("root", "class_id").alias("root"))
     )
-    out = sigs.select("doc_id", "n_shingles").join(groups, "doc_id", "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select(
+    some = F.col("n_shingles").cast("boolean") & F.col("doc_id").isNotNull()
+    found = sigs.select("doc_id", "n_shingles", "k1", "k2").join(moved, ["k1", "k2"], "left")
+    component = F.when(some, F.coalesce("root", "doc_id")).otherwise(F.col("doc_id"))
+    return found.select(
         "doc_id",
         "n_shingles",
-        F.coalesce("class_id", "doc_id").alias("class_id"),
+        F.when(some, F.coalesce("class_id", "doc_id")).otherwise(F.col("doc_id")).alias("class_id"),
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )

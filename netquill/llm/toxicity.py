@@ -2,27 +2,28 @@
 
 A word's vector is the mean of the embeddings of its character n-grams (3 to 6 characters of the word
 between markers, and the whole word), hashed to a fixed table, so a misspelling shares most of its
-vector with the word it stands for. A softmax over two classes reads the mean; embeddings and softmax
-are trained together by Adam. Each word of the training texts is an example of both classes, weighted
-by the share of toxic and of clean texts that hold it, so the logit is a word's log odds, shared with
-its relatives. N-grams of few texts carry no embedding, so a rare word says nothing by itself.
-
-A text is judged by its most toxic word, its four and its twelve most toxic distinct words and the mean
-of all its distinct words, so a long text does not thin out a short insult; the score is a logistic
-function of the four.
-
-Training takes at most ``per_class`` labelled texts of each class (``labels.training_rows``); scoring
-reads every whole text, and since the model is linear in its n-grams, a word costs one lookup.
-
-Defined results for odd input: a null, empty or wordless text scores as a text without evidence (the
-smallest word score); without labelled rows, with one class only, or without a word that two
-training texts share, the score is the share of toxic labels (0 without any); columns named like an output are replaced; an empty table gives an empty
-table.
+vector with the word it stands for. A text's vector is the mean of its distinct words' vectors, and a
+softmax over two classes reads it. Embeddings and softmax are trained together by Adam on the labelled
+texts, both classes weighing the same; no other feature and no second model takes part.
+
+Words of few training texts (``WORD_SHARE`` of them, two at least) and n-grams of fewer than
+``MIN_TEXTS`` carry no embedding, so a rare word says nothing by itself; it still counts in the mean.
+
+Training takes at most ``per_class`` labelled texts of each class (``labels.training_rows``) in one
+task; scoring reads every whole text, and since the logit is linear in the n-grams, a word costs one
+lookup.
+
+Defined results for odd input: a null, empty or wordless text has the zero vector, so its score is that
+of the intercept; without labelled rows, with one class only, or without a word that training texts
+share, the score is the share of toxic labels (0 without any); a text counts whole, however long;
+repeated rows score alike, and a document is trained on once, however often its row is repeated;
+columns named like an output are replaced; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import io
+from math import fsum
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +39,10 @@ BUCKETS, DIM = 1 << 16, 8
 PER_CLASS = 2500
 FOLDS = 5
 CACHE_WORDS = 100_000
-#: optimiser steps, and the pull of embeddings to zero
-STEPS, DECAY = 60, 1e-6
-#: n-grams of fewer training texts carry no embedding
-MIN_TEXTS = 4
+#: optimiser steps, the size of the first (it falls to nothing), and the pull of embeddings to zero
+STEPS, RATE, DECAY = 80, 0.3, 1e-6
+#: words of a smaller share of the training texts, and n-grams of fewer texts, carry no embedding
+WORD_SHARE, MIN_TEXTS = 0.0016, 4
 EDGES = b".,;:!?\"'()[]{}<>|$%&*#@~^_=+-/\\"
 
 
@@ -70,14 +71,41 @@ def ngrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return place[order], np.bincount(owner, minlength=len(words))
 
 
-def _train(places: np.ndarray, counts: np.ndarray, target: np.ndarray, active: np.ndarray) -> tuple:
-    """Adam on all words (n-grams ``places``, ``counts`` each) at once. ``target`` has each word's weight
-    as clean and as toxic. Returns the score of each n-gram and the intercept."""
-    starts = np.cumsum(counts) - counts
-    owner = np.repeat(np.arange(len(counts)), counts)
-    back = np.argsort(places, kind="stable")
-    heads = np.flatnonzero(np.concatenate(([True], np.diff(places[back]) != 0)))
-    at, size = places[back][heads], counts[:, None].astype(np.float32)
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive rows, ``counts`` of them each."""
+    out = np.zeros((len(counts), values.shape[1]), values.dtype)
+    some = counts > 0
+    if len(values):
+        out[some] = np.add.reduceat(values, (np.cumsum(counts) - counts)[some], axis=0)
+    return out
+
+
+class _Gather:
+    """Means of rows by owner, and the way back: ``items`` (rows of a table) belong to owners in runs of
+    ``counts``; a mean is over ``sizes``."""
+
+    def __init__(self, items: np.ndarray, counts: np.ndarray, sizes: np.ndarray):
+        self.items, self.counts = items, counts
+        self.sizes = np.maximum(sizes, 1)[:, None].astype(np.float32)
+        back = np.argsort(items, kind="stable")
+        self.owner = np.repeat(np.arange(len(counts), dtype=np.int32), counts)[back]
+        ordered = items[back]
+        self.heads = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+        self.at = ordered[self.heads]
+
+    def mean(self, table: np.ndarray) -> np.ndarray:
+        return _sums(table[self.items], self.counts) / self.sizes
+
+    def back(self, grad: np.ndarray, rows: int) -> np.ndarray:
+        """Gradient of the table's rows from that of the means."""
+        out = np.zeros((rows, grad.shape[1]), np.float32)
+        out[self.at] = np.add.reduceat((grad / self.sizes).astype(np.float32)[self.owner], self.heads, axis=0)
+        return out
+
+
+def _train(words: _Gather, texts: _Gather, y: np.ndarray, active: np.ndarray) -> tuple[np.ndarray, float]:
+    """Adam on all texts at once: n-grams to word means to text means to the softmax. Returns the logit
+    of each n-gram and the intercept."""
     rng = np.random.default_rng(7)
     params = [
         rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32) * active[:, None],
@@ -85,92 +113,63 @@ def _train(places: np.ndarray, counts: np.ndarray, target: np.ndarray, active: n
         np.zeros(2),
     ]
     moments = [[np.zeros_like(p), np.zeros_like(p)] for p in params]
-    weight = target.sum(axis=1, keepdims=True)
+    weight = (0.5 / np.bincount(y, minlength=2))[y][:, None]
+    target = np.eye(2)[y] * weight
     for step in range(1, STEPS + 1):
         emb, out, bias = params
-        vectors = np.add.reduceat(emb[places], starts, axis=0) / size
+        rate = RATE * (1 - (step - 1) / STEPS)
+        vectors = texts.mean(words.mean(emb))
         logits = vectors @ out + bias
         logits -= logits.max(axis=1, keepdims=True)
         p = np.exp(logits)
         p /= p.sum(axis=1, keepdims=True)
         error = p * weight - target
-        back_to = ((error @ out.T) / size).astype(np.float32)
-        grad = DECAY * emb
-        grad[at] += np.add.reduceat(back_to[owner[back]], heads, axis=0)
-        for k, g in enumerate((grad * active[:, None], vectors.T @ error + DECAY * out, error.sum(axis=0))):
+        to_words = texts.back(error @ out.T, len(words.counts))
+        grad = (words.back(to_words, BUCKETS) + DECAY * emb) * active[:, None]
+        for k, g in enumerate((grad, vectors.T @ error + DECAY * out, error.sum(axis=0))):
             m, v = moments[k]
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
-            params[k] = params[k] - 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-10)
+            params[k] = params[k] - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-10)
     emb, out, bias = params
     return emb @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0])
 
 
-def features(scores: np.ndarray) -> tuple[float, ...]:
-    """Best, mean of the four and of the twelve best, and mean of a text's distinct words' scores; a
-    text of fewer words has zeros in their place."""
-    if not len(scores):
-        return 0.0, 0.0, 0.0, 0.0
-    top = np.sort(np.partition(scores, -12)[-12:] if len(scores) > 12 else scores)
-    return float(top[-1]), float(top[-4:].sum() / 4), float(top.sum() / 12), float(scores.mean())
-
-
-def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights and intercept of a logistic function of standardised features, with a weak prior;
-    returned for the features as they are."""
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
-    w = np.zeros(z.shape[1])
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z.T * (p * (1 - p))) @ z + 0.3 * np.eye(len(w)), z.T @ (p - y) + 0.3 * w)
-        w -= np.clip(step, -1, 1)
-        if np.abs(step).max() < 1e-8:
-            break
-    slopes = w[:-1] / scale
-    return np.append(slopes, w[-1] - slopes @ mean)
-
-
 def fit(texts: list[bytes], labels: list[int]) -> bytes:
     """Train on labelled texts; the model as npz bytes."""
     y = np.array(labels)
     out = io.BytesIO()
 
     def constant() -> bytes:
-        np.savez(out, grams=np.zeros(0), curve=np.zeros(5), low=np.array([float(y.mean())] * 4))
+        np.savez(out, constant=np.array([float(y.mean())]))
         return out.getvalue()
 
     if len(set(labels)) < 2:
         return constant()
     ids: dict[bytes, int] = {}
-    docs = [np.array([ids.setdefault(w, len(ids)) for w in sorted(set(words_of(t)))], np.int64) for t in texts]
-    if not ids:
+    docs = [np.array([ids.setdefault(w, len(ids)) for w in sorted(set(words_of(t)))], np.int32) for t in texts]
+    sizes = np.array([len(d) for d in docs])
+    shared = np.bincount(np.concatenate(docs), minlength=len(ids)) >= max(2, WORD_SHARE * len(texts))
+    if not shared.any():
         return constant()
-    places, counts = ngrams(list(ids))
-    first = np.cumsum(counts) - counts
-    held = np.random.default_rng(11).random(len(docs)) < 0.25
-    if len(docs) < 400 or len(set(y[held])) < 2:
-        held[:] = False
-    # of how many clean and toxic training texts each word and n-gram is part
-    grams_in, words_in = np.zeros((2, BUCKETS)), np.zeros((2, len(ids)))
-    for k in np.flatnonzero(~held):
-        n = counts[docs[k]]
-        at = np.repeat(first[docs[k]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        grams_in[y[k], np.unique(places[at])] += 1
-        words_in[y[k], docs[k]] += 1
-    active = grams_in.sum(axis=0) >= MIN_TEXTS
-    common = np.flatnonzero(words_in.sum(axis=0) > 1)
-    if not len(common) or not words_in.sum(axis=1).all():
+    place = np.cumsum(shared, dtype=np.int32) - 1
+    docs = [place[d[shared[d]]] for d in docs]
+    grams, counts = ngrams([w for w, k in ids.items() if shared[k]])
+    del ids
+    grams, first = grams.astype(np.int32), np.cumsum(counts) - counts
+    # of how many training texts each n-gram is part
+    met = np.zeros(BUCKETS, np.int32)
+    for d in docs:
+        n = counts[d]
+        met[np.unique(grams[np.repeat(first[d] - np.cumsum(n) + n, n) + np.arange(n.sum())])] += 1
+    active = met >= MIN_TEXTS
+    owner = np.repeat(np.arange(len(counts)), counts)[active[grams]]
+    if not len(owner):
         return constant()
-    target = (words_in / words_in.sum(axis=1, keepdims=True))[:, common].T
-    n = counts[common]
-    at = np.repeat(first[common], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    grams, _ = _train(places[at], n, target, active)
-    by_word = np.add.reduceat(grams[places], first) / counts
-    judged = np.flatnonzero(held if held.any() else np.ones(len(docs), bool))
-    judged = judged[[len(docs[k]) > 0 for k in judged]]
-    found = np.array([features(by_word[docs[k]]) for k in judged])
-    np.savez(out, grams=grams.astype(np.float32), curve=_logistic(found, y[judged]), low=found.min(axis=0))
+    words = _Gather(grams[active[grams]], np.bincount(owner, minlength=len(counts)), counts)
+    bags = _Gather(np.concatenate(docs), np.array([len(d) for d in docs]), sizes)
+    scores, bias = _train(words, bags, y, active)
+    np.savez(out, grams=scores.astype(np.float32), bias=np.array([bias]))
     return out.getvalue()
 
 
@@ -178,13 +177,15 @@ class Scorer:
     """Scores texts with a fitted model."""
 
     def __init__(self, model: bytes):
-        got = np.load(io.BytesIO(model)) if model else {"grams": np.zeros(0), "curve": np.zeros(5), "low": np.zeros(4)}
-        self.grams, self.curve, self.low = got["grams"].astype(float), got["curve"], tuple(got["low"])
+        got = np.load(io.BytesIO(model)) if model else {"constant": np.zeros(1)}
+        self.constant = float(got["constant"][0]) if "constant" in got else None
+        if self.constant is None:
+            self.grams, self.bias = got["grams"].astype(float), float(got["bias"][0])
         self.words: dict[bytes, float] = {}
 
     def score(self, texts: list[bytes]) -> np.ndarray:
-        if not len(self.grams):
-            return np.full(len(texts), self.low[0])
+        if self.constant is not None:
+            return np.full(len(texts), self.constant)
         split = [set(words_of(t)) for t in texts]
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
@@ -195,10 +196,9 @@ class Scorer:
             places, counts = ngrams(part)
             values = np.add.reduceat(self.grams[places], np.cumsum(counts) - counts) / counts
             known.update(zip(part, values.tolist()))
-        found = np.array(
-            [features(np.fromiter(map(known.__getitem__, ws), float, len(ws))) if ws else self.low for ws in split]
-        )
-        return 1 / (1 + np.exp(-np.clip(found @ self.curve[:-1] + self.curve[-1], -30, 30)))
+        # exact sums, so that the order of a set's words does not show
+        found = np.array([fsum(map(known.__getitem__, ws)) / max(len(ws), 1) for ws in split])
+        return 1 / (1 + np.exp(-np.clip(found + self.bias, -30, 30)))
 
 
 _scorers: dict[int, Scorer] = {}
