@@ -6,13 +6,16 @@ assistant: own turns become ``assistant`` segments, with training mask 1; turns
 perspective, mask 0, and are nobody's perspective.
 
 The result has one row for each conversation, perspective and turn, with the rendered segment, its mask
-and its place; the segments of a perspective in order of ``place`` are the dialogue. So a conversation
+and its place (turn number, speaker, hash of the text); the segments of a perspective in order of
+``place`` are the dialogue. Text and names cannot forge a marker: a bar is added to every ``<|`` in
+them, and taking one from every ``<||`` gives them back. So a conversation
 of any length, even one that holds a third of all rows, stays many small rows and is never gathered in
 one task. :func:`dialogues` joins the segments into one string and a list of masked character spans for
 conversations that are known to be small.
 
 Defined results for odd input: rows with a null conv_id belong to no conversation and are left out; a
-null or blank role is the speaker ``unknown``; roles are compared trimmed and in lower case; a null text
+null or blank role is the speaker ``unknown``; roles are compared trimmed of white space and in lower
+case, with one space for white space inside; a null text
 renders as an empty turn; turns without a number come first, repeated numbers are ordered by role and
 text, and equal rows share a place; a conversation with system turns alone gives no rows; an empty
 table gives an empty table; other columns are not read.
@@ -31,8 +34,12 @@ from netquill.llm.common import table, written
 OPEN, CLOSE = "<|turn|>", "<|end|>"
 
 
+def _escaped(text: Column) -> Column:
+    return F.replace(text, F.lit("<|"), F.lit("<||"))
+
+
 def _speaker(role: Column) -> Column:
-    name = F.lower(F.trim(role))
+    name = F.lower(F.trim(F.regexp_replace(role, r"[\x20\x09-\x0D]+", " ")))
     return F.when(name.isNull() | (name == ""), F.lit("unknown")).otherwise(name)
 
 
@@ -49,7 +56,7 @@ def rotate(conversations: DataFrame) -> DataFrame:
     header = (
         F.when(own, F.lit("assistant"))
         .when(F.col("speaker") == "system", F.lit("system"))
-        .otherwise(F.concat(F.lit("user name="), F.col("speaker")))
+        .otherwise(F.concat(F.lit("user name="), _escaped(F.col("speaker"))))
     )
     place = F.struct(
         F.coalesce(F.col("turn").cast("long"), F.lit(-(1 << 62))).alias("turn"), "speaker", F.sha2("text", 256).alias("text")
@@ -60,7 +67,7 @@ def rotate(conversations: DataFrame) -> DataFrame:
         place.alias("place"),
         "turn",
         "speaker",
-        F.concat(F.lit(OPEN), header, F.lit("\n"), F.col("text"), F.lit(CLOSE)).alias("segment"),
+        F.concat(F.lit(OPEN), header, F.lit("\n"), _escaped(F.col("text")), F.lit(CLOSE)).alias("segment"),
         own.cast("int").alias("mask"),
         F.length("text").alias("n_chars"),
     )
@@ -92,19 +99,20 @@ def dialogues(segments: DataFrame) -> DataFrame:
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """conv_id, perspective, turn, speaker, segment, mask of every conversation, perspective and turn."""
+    """conv_id, perspective, turn, speaker, text_sha256 (these three are the place), segment, mask and n_chars
+    of every conversation, perspective and turn."""
     out = rotate(table(spark, sf_dir, "conversations"))
-    return out.select("conv_id", "perspective", "turn", "speaker", "segment", "mask")
+    return out.select("conv_id", "perspective", "turn", "speaker", F.col("place.text").alias("text_sha256"), "segment", "mask", "n_chars")
 
 
-ORACLE_SQL = """
+ORACLE_SQL = r"""
 WITH t AS (
-  SELECT conv_id, turn, coalesce(nullif(lower(trim(role)), ''), 'unknown') AS speaker, coalesce(text, '') AS text
+  SELECT conv_id, turn, coalesce(nullif(lower(trim(regexp_replace(role, '[\x20\x09-\x0D]+', ' ', 'g'))), ''), 'unknown') AS speaker, coalesce(text, '') AS text
   FROM conversations WHERE conv_id IS NOT NULL
 ), p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system')
-SELECT t.conv_id, p.perspective, t.turn, t.speaker,
+SELECT t.conv_id, p.perspective, t.turn, t.speaker, sha256(t.text) AS text_sha256,
        '<|turn|>' || CASE WHEN t.speaker = p.perspective THEN 'assistant' WHEN t.speaker = 'system' THEN 'system'
-                     ELSE 'user name=' || t.speaker END || chr(10) || t.text || '<|end|>' AS segment,
-       CAST(t.speaker = p.perspective AS INTEGER) AS mask
+                     ELSE 'user name=' || replace(t.speaker, '<|', '<||') END || chr(10) || replace(t.text, '<|', '<||') || '<|end|>' AS segment,
+       CAST(t.speaker = p.perspective AS INTEGER) AS mask, CAST(length(t.text) AS INTEGER) AS n_chars
 FROM t JOIN p ON t.conv_id = p.conv_id
 """

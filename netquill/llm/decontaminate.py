@@ -7,10 +7,11 @@ normalised the same way, so a hit of the automaton is a hit on whole words.
 
 The automaton holds the benchmark, never the corpus. Its patterns are measured first; if they exceed
 ``max_pattern_bytes``, they are split into blocks of about that size by a hash of the item, and the
-texts are scanned once for each block, so memory is bounded for any benchmark.
+texts are scanned once for each block. The result of a block is written before the next one starts, so
+the driver and a worker hold one block's patterns at a time, whatever the size of the benchmark.
 
 Defined results for odd input: a null or wordless text has no words and no hits; benchmark rows with a
-null item_id or without words are ignored; repeated items count once; columns named like an output are
+null item_id or without words are ignored; repeated items count once, equal items under two ids count as two; columns named like an output are
 replaced; an empty benchmark marks nothing; an empty table gives an empty table. No shuffle is needed.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netquill.llm.common import append_columns, binaries, table, without
+from netquill.llm.common import append_columns, binaries, discard, table, without, written
 
 WIDTH = 10
 MAX_PATTERN_BYTES = 4 << 20
@@ -139,7 +140,7 @@ def find_contamination(
         T.StructField("hit_items", T.ArrayType(T.StringType())),
         T.StructField("__words", T.ArrayType(T.LongType())),
     ]
-    out = docs
+    out, last = docs, None
     for block in range(blocks):
         own = known if blocks == 1 else known.filter(F.pmod(F.xxhash64("item_id", "pattern"), F.lit(blocks)) == block)
         found = sorted((r.item_id, bytes(r.pattern)) for r in own.collect())
@@ -164,6 +165,11 @@ def find_contamination(
             }
 
         out = append_columns(out, make, fields)
+        if block < blocks - 1:
+            out = written(out, "contamination_hits")
+            if last is not None:
+                discard(last)
+            last = out
 
     def finish(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         words = batch.column("__words").to_pylist()
@@ -174,8 +180,8 @@ def find_contamination(
             ),
         }
 
-    last = [T.StructField("n_hit", T.LongType()), T.StructField("hit_spans", T.ArrayType(T.LongType()))]
-    return append_columns(out, finish, last, drop={"__words"})
+    more = [T.StructField("n_hit", T.LongType()), T.StructField("hit_spans", T.ArrayType(T.LongType()))]
+    return append_columns(out, finish, more, drop={"__words"})
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Operator 8, line dedup: explode normalised lines, hash them, find hashes that several documents
-hold, drop those lines everywhere but in the first document, and reassemble what is left in order.
+hold (``min_docs``), drop those lines everywhere but in the first document, and reassemble what is left
+in order.
 
 A line's key is the line without white space (space, tab to carriage return) at both ends and with
 A-Z in lower case. Keys are compared by a 128-bit hash.
@@ -11,7 +12,7 @@ an empty table gives an empty table.
 
 Scale: the table of (document, key) is aggregated with map-side combine to the few keys that two
 documents hold, written, and joined back by sort-merge join, where the engine splits a key that a
-third of all lines share. Texts move once, by document.
+third of all lines share. Texts move once, by document; rows without an id are spread by their text.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 
 from netquill.llm.common import append_columns, binaries, pieces, table, without, written
 
-MIN_CHARS = 10
+MIN_CHARS, MIN_DOCS = 10, 2
 
 
 def line_key(line: bytes, min_chars: int = MIN_CHARS) -> bytes | None:
@@ -60,15 +61,15 @@ def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return part.mapInArrow(run, "doc_id long, h1 long, h2 long")
 
 
-def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` with the repeated lines gone from ``text``, and n_lines (before) and n_dropped."""
     docs = without(docs, {"n_lines", "n_dropped", "__drop_id", "__drop"})
     lines = written(line_keys(docs, min_chars), "line_keys")
+    # two documents hold a key if its ids differ; for more, ids are counted once each
+    counted = lines if min_docs <= 2 else lines.distinct()
+    enough = F.min("doc_id") < F.max("doc_id") if min_docs == 2 else F.count("*") >= min_docs
     repeated = written(
-        lines.groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        .filter("first < last")
-        .drop("last"),
+        counted.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), enough.alias("enough")).filter("enough").drop("enough"),
         "repeated_lines",
     )
     drops = (
@@ -77,7 +78,8 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFram
         .groupBy(F.col("doc_id").alias("__drop_id"))
         .agg(F.collect_list(F.struct("h1", "h2")).alias("__drop"))
     )
-    joined = docs.join(drops, F.col("doc_id") == F.col("__drop_id"), "left").drop("__drop_id")
+    spread = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+    joined = docs.join(drops, (spread == F.col("__drop_id")) & F.col("doc_id").isNotNull(), "left").drop("__drop_id")
 
     def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         out, total, dropped = [], [], []

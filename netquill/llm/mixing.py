@@ -19,7 +19,7 @@ sums of buckets run over buckets, and sums of documents run inside a bucket, so
 The number of buckets grows with the table.
 
 Defined results for odd input: a null or blank text has size 0 and takes nothing; a null source is a
-source of its own; null and repeated ids are ordered by their text's hash, and equal rows, which take
+source of its own; null and repeated ids are ordered by a hash of id and text, and equal rows, which take
 equal parts together, share one cumulative range; a corpus without words takes nothing; an empty table
 gives an empty table; columns of the input named like an output are replaced.
 """
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from netquill.llm.common import table, without, written
 
 WEIGHTS, MOST = (5, 2, 1), 3
-BUCKET_ROWS = 2000
+BUCKET_ROWS = 256
 #: slope of a schedule by place of its weight: demand at time t is 1 + slope * (2 t - 1)
 SLOPES = (-0.5, 0.0, 0.5)
 
@@ -46,31 +46,32 @@ def _pick(place: Column, values: tuple) -> Column:
     return F.element_at(F.array(*[F.lit(float(v)) for v in values]), place.cast("int") + 1)
 
 
-def targets(sources: DataFrame) -> DataFrame:
+def targets(sources: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLOPES, most: int = MOST) -> DataFrame:
     """(source, source_size, target, slope) from (source, source_size), one row a source."""
     every = Window.partitionBy(F.lit(1))
-    turn = (F.row_number().over(every.orderBy(F.col("source").asc_nulls_last())) - 1) % len(WEIGHTS)
-    stops = MOST * F.col("source_size") / F.col("weight")
+    turn = F.row_number().over(every.orderBy(F.col("source").asc_nulls_last())) - 1
+    stops = most * F.col("source_size") / F.col("weight")
     order = every.orderBy("stops", F.col("source").asc_nulls_last())
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     rest = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    weighed = sources.withColumn("turn", turn).withColumn("weight", _pick(F.col("turn"), WEIGHTS))
-    level = (F.sum("source_size").over(every) - MOST * F.coalesce(F.sum("source_size").over(before), F.lit(0))) / F.sum("weight").over(rest)
+    weighed = sources.withColumn("turn", turn).withColumn("weight", _pick(F.col("turn") % len(weights), weights))
+    level = (F.sum("source_size").over(every) - most * F.coalesce(F.sum("source_size").over(before), F.lit(0))) / F.sum("weight").over(rest)
     # the first source, in this order, that does not stop below the level sets it
     levelled = weighed.withColumn("stops", stops).withColumn("level", level)
     final = F.min(F.when(F.col("level") <= F.col("stops"), F.struct("stops", F.col("level").alias("at")))).over(every)["at"]
-    capped = (MOST * F.col("source_size")).cast("double")
+    capped = (most * F.col("source_size")).cast("double")
     return levelled.withColumn("at", final).select(
         "source",
         "source_size",
         F.when(F.col("at").isNull(), capped).otherwise(F.least(capped, F.col("at") * F.col("weight"))).alias("target"),
-        _pick(F.col("turn"), SLOPES).alias("slope"),
+        _pick(F.col("turn") % len(slopes), slopes).alias("slope"),
     )
 
 
-def mix(docs: DataFrame) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLOPES, most: int = MOST) -> DataFrame:
     """``docs`` (doc_id, text, source), less the text, with size, source_size, target, taken and
-    position (null where nothing is taken), in order of position."""
+    position (null where nothing is taken), in order of position. ``weights`` and ``slopes`` go to the
+    sources in turn; a slope between -1 and 1 is how a source's demand changes over training."""
     docs = without(docs, {"size", "source_size", "target", "taken", "position", "__key", "__bucket"})
     key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit("")))))
     sized = written(
@@ -82,7 +83,7 @@ def mix(docs: DataFrame) -> DataFrame:
     bucket = F.shiftright(F.conv(F.substring("__key", 1, 8), 16, 10).cast("long"), 32 - min(bits, 32))
     placed = sized.withColumn("__bucket", bucket).withColumn("__source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))
     plan = written(
-        targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))).select(
+        targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, slopes, most).select(
             F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("__source"), "source_size", "target", "slope"
         ),
         "mix_targets",

@@ -4,41 +4,47 @@ starts anywhere else in the corpus.
 1. Every window of ``length`` bytes has an anchor: of the ``gram``-byte strings inside it, the one of
    the smallest hash, the leftmost of equals. The anchor depends on the window's bytes alone, so equal
    windows have equal anchors at equal offsets. Consecutive windows that share an anchor are a run; a
-   text has about 2 / (length - gram) runs a byte, each a row of hashes (no text).
-2. Runs whose anchor string occurs once are unique. Runs of equal content (128 bits of hash) are
-   repeated as a whole, and settled without text.
+   text has about 2 / (length - gram) runs a byte, each a row without text: the anchor's hash and a
+   128-bit blake2b of the run's bytes.
+2. Runs whose anchor string occurs once are unique. Runs of equal content are repeated as a whole, and
+   settled without text.
 3. What remains are anchors met in different contents, one of which is not yet known to repeat. Each
    distinct content is fetched once, and the windows of an anchor's contents are sorted as suffixes by
    hash comparisons (:mod:`netquill.llm.suffix_order`); neighbours with a common extension of
-   ``length`` bytes repeat, confirmed byte by byte. An anchor with more than ``group_limit`` contents
-   is not sorted in one task: its windows are counted by their 128-bit hash across the cluster, which
-   finds the same ones.
-4. The spans go back to all runs of the same content and are merged for each document.
+   ``length`` bytes repeat, confirmed byte by byte.
+4. The contents of an anchor are dealt to sorts of about ``group`` contents each, so an anchor of any
+   number of contents is sorted in bounded tasks. Where an anchor needs several sorts, each of them
+   passes on one window of every class of equal ones, and those of all its sorts are matched by their
+   blake2b; what two sorts hold repeats.
+5. The spans go back to all runs of the same content and are merged for each document.
 
 Defined results for odd input: a null text is empty; a text shorter than ``length`` keeps all; repeated
-rows repeat each other's bytes; rows with a null doc_id take part; columns named like an output are
-replaced; an empty table gives an empty table.
+rows repeat each other's bytes; rows with a null doc_id take part, each distinct text as a document of
+its own; columns named like an output are replaced; an empty table gives an empty table.
 
 Scale: every join and aggregation is keyed by hashes; hot anchors or contents are either combined on
-the map side or split by the engine's skew join; texts are shuffled by doc_id twice.
+the map side or split by the engine's skew join; texts are shuffled by (doc_id, hash of the text) twice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netquill.llm.common import append_columns, binaries, chunked, table, without, written
-from netquill.llm.hashing import BASES, PrefixHash, U, mix
+from netquill.llm.common import append_columns, binaries, chunked, discard, table, without, written
+from netquill.llm.hashing import PrefixHash, U, mix
 from netquill.llm.suffix_order import repeated_windows
 
-LENGTH, GRAM, GROUP_LIMIT = 400, 100, 64
-NO_ID = -(1 << 63)
+LENGTH, GRAM, GROUP = 400, 100, 64
+RUN = "doc long, th long, gh long, c1 long, c2 long, pos int, left int, len int"
+PART = "gh long, part int, across boolean, c1 long, c2 long, single boolean, left int, bytes binary"
+SORTED = "gh long, c1 long, c2 long, single boolean, spans array<int>, w1 long, w2 long, at int"
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -52,19 +58,22 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(suffix[: n - width + 1], prefix[width - 1 : n])
 
 
-def text_hash(data: np.ndarray) -> int:
-    return int(mix(PrefixHash(data).slices(np.array([0]), np.array([len(data)])) + U(len(data))).view(np.int64)[0])
+def _digests(data: memoryview, start: np.ndarray, end: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    """Two longs a slice: blake2b of its bytes and a small number."""
+    parts = zip(start.tolist(), end.tolist(), salt.tolist())
+    found = b"".join(blake2b(data[a:b], digest_size=16, salt=s.to_bytes(8, "little")).digest() for a, b, s in parts)
+    return np.frombuffer(found, np.int64).reshape(-1, 2)
 
 
 def window_runs(texts: list[bytes], length: int, gram: int) -> dict[str, np.ndarray]:
-    """The runs of some texts: row (text), th, gh, ch1, ch2, pos, left, len; all texts have ``length``
-    bytes or more."""
-    data = np.frombuffer(b"".join(texts), np.uint8)
+    """The runs of some texts: row (text), gh, c1, c2, pos, left, len; all texts have ``length`` bytes or
+    more."""
+    joined = b"".join(texts)
+    data = np.frombuffer(joined, np.uint8)
     sizes = np.array([len(t) for t in texts])
     begin = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-    one, two = PrefixHash(data), PrefixHash(data, BASES[1])
     at = np.arange(len(data) - gram + 1)
-    grams = mix(one.slices(at, at + gram))
+    grams = mix(PrefixHash(data).slices(at, at + gram))
     bits = U(int(len(data)).bit_length())
     anchors = _sliding_min((grams >> bits << bits) | at.astype(U), length - gram + 1)
     anchors = (anchors & ((U(1) << bits) - U(1))).astype(np.int64)
@@ -73,18 +82,16 @@ def window_runs(texts: list[bytes], length: int, gram: int) -> dict[str, np.ndar
     start = begin[row] + np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
     anchor = anchors[start]
     new = np.ones(len(start), bool)
-    new[1:] = anchor[1:] != anchor[:-1]
+    new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(start)) - 1
     s0, s1, row, anchor = start[first], start[last] + length, row[first], anchor[first]
-    signed = lambda x: x.view(np.int64)
-    whole = mix(one.slices(begin, begin + sizes) + sizes.astype(U))
+    content = _digests(memoryview(joined), s0, s1, anchor - s0)
     return {
         "row": row,
-        "th": signed(whole)[row],
-        "gh": signed(grams[anchor]),
-        "ch1": signed(mix(one.slices(s0, s1) + (s1 - s0).astype(U))),
-        "ch2": signed(mix(two.slices(s0, s1) + (anchor - s0).astype(U))),
+        "gh": grams[anchor].view(np.int64),
+        "c1": content[:, 0],
+        "c2": content[:, 1],
         "pos": (s0 - begin[row]).astype(np.int32),
         "left": (anchor - s0).astype(np.int32),
         "len": (s1 - s0).astype(np.int32),
@@ -92,162 +99,150 @@ def window_runs(texts: list[bytes], length: int, gram: int) -> dict[str, np.ndar
 
 
 def _runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    names = ["th", "gh", "ch1", "ch2", "pos", "left", "len"]
+    names = ["gh", "c1", "c2", "pos", "left", "len"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = binaries(batch, "text")
             long = [i for i, t in enumerate(texts) if len(t) >= length]
-            texts, ids = [texts[i] for i in long], batch.column("doc").take(pa.array(long, pa.int64()))
+            texts, keys = [texts[i] for i in long], batch.select(["doc", "th"]).take(pa.array(long, pa.int64()))
             for part in chunked(texts, 1 << 19):
                 found = window_runs([texts[i] for i in part], length, gram)
-                doc = ids.take(pa.array(found["row"] + part.start))
-                yield pa.RecordBatch.from_arrays([doc, *[pa.array(found[n]) for n in names]], ["doc", *names])
+                own = keys.take(pa.array(found["row"] + part.start))
+                yield pa.RecordBatch.from_arrays([*own.columns, *[pa.array(found[n]) for n in names]], ["doc", "th", *names])
 
-    return docs.mapInArrow(
-        run, "doc long, th long, gh long, ch1 long, ch2 long, pos int, left int, len int"
-    )
+    return docs.mapInArrow(run, RUN)
 
 
-def _fetched(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The bytes of the wanted contents; of hot ones, the hashes of their windows instead."""
-    lists = wanted.groupBy("doc").agg(
-        F.collect_list(F.struct("gh", "ch1", "ch2", "single", "hot", "th", "pos", "left", "len")).alias("want")
-    )
-    joined = docs.join(lists, "doc").select("text", "want")
-    schema = T.StructType.fromDDL(
-        "gh long, ch1 long, ch2 long, single boolean, left int, bytes binary, at int, w1 long, w2 long"
-    )
-    arrow = pa.schema(
-        [("gh", pa.int64()), ("ch1", pa.int64()), ("ch2", pa.int64()), ("single", pa.bool_()), ("left", pa.int32()),
-         ("bytes", pa.binary()), ("at", pa.int32()), ("w1", pa.int64()), ("w2", pa.int64())]
-    )
+def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The bytes of the wanted contents."""
+    fields = ("gh", "part", "across", "c1", "c2", "single", "left")
+    lists = wanted.groupBy("doc", "th").agg(F.collect_list(F.struct(*fields, "pos", "len")).alias("want"))
+    # a repeated row holds the same bytes
+    joined = docs.join(lists, ["doc", "th"]).dropDuplicates(["doc", "th"]).select("text", "want")
+    kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [*fields, "bytes"])
+
         rows: list[tuple] = []
         for batch in batches:
-            for text, want in zip(binaries(batch, "text"), batch.column("want").to_pylist()):
-                data = np.frombuffer(text, np.uint8)
-                own = text_hash(data)
-                want = [w for w in want if w["th"] == own]
-                hot = any(w["hot"] for w in want)
-                hashes = [PrefixHash(data, b) for b in BASES] if hot else []
-                for w in want:
-                    key = (w["gh"], w["ch1"], w["ch2"], w["single"], w["left"])
-                    if not w["hot"]:
-                        rows.append((*key, text[w["pos"] : w["pos"] + w["len"]], None, None, None))
-                        continue
-                    at = np.arange(w["len"] - length + 1)
-                    start = at + w["pos"]
-                    w1, w2 = (mix(h.slices(start, start + length)).view(np.int64) for h in hashes)
-                    rows += [(*key, None, *x) for x in zip(at.tolist(), w1.tolist(), w2.tolist())]
-                if len(rows) > 8000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
-                    rows = []
+            for text, want in zip(binaries(batch, "text"), batch.column("want")):
+                for w in want.as_py():
+                    rows.append((*[w[f] for f in fields], text[w["pos"] : w["pos"] + w["len"]]))
+                    if len(rows) == 4000:
+                        yield made(rows)
+                        rows = []
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
-
-    return joined.mapInArrow(run, schema)
+            yield made(rows)
+
+    return joined.mapInArrow(run, PART)
+
+
+def _solve(rows: list[tuple], length: int) -> Iterator[tuple]:
+    """Sort the windows of whole groups of contents (gh, part, across, c1, c2, single, left, bytes).
+    Rows of SORTED: the spans of single contents that another one holds, and of groups that are one of
+    several of their anchor, one window of each class."""
+    joined = b"".join(r[7] for r in rows)
+    data = np.frombuffer(joined, np.uint8)
+    size = np.array([len(r[7]) for r in rows])
+    base = np.cumsum(size) - size
+    windows = size - length + 1
+    row = np.repeat(np.arange(len(rows)), windows)
+    at = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
+    group = np.cumsum([0] + [a[:2] != b[:2] for a, b in zip(rows, rows[1:])])
+    left = np.array([r[6] for r in rows])
+    # equal windows have the anchor at the same place
+    place = group[row] * (length + 1) + left[row] - at
+    hit, leads = repeated_windows(data, base[row] + at, (base + size)[row], place, length)
+    single, across = np.array([r[5] for r in rows]), np.array([r[2] for r in rows])
+    passed = np.flatnonzero(leads & across[row])
+    start = base[row[passed]] + at[passed]
+    keys = _digests(memoryview(joined), start, start + length, np.zeros(len(passed), np.int64))
+    for k, a, (w1, w2) in zip(row[passed].tolist(), at[passed].tolist(), keys.tolist()):
+        yield rows[k][0], rows[k][3], rows[k][4], rows[k][5], None, w1, w2, a
+    where = np.flatnonzero(hit & single[row])
+    if not len(where):
+        return
+    cut = np.flatnonzero((np.diff(where) != 1) | (np.diff(row[where]) != 0))
+    firsts, lasts = where[np.concatenate(([0], cut + 1))], where[np.append(cut, len(where) - 1)]
+    spans: dict[int, list[int]] = {}
+    for f, z in zip(firsts.tolist(), lasts.tolist()):
+        spans.setdefault(int(row[f]), []).extend((int(at[f]), int(at[z]) + length))
+    for k, s in spans.items():
+        yield rows[k][0], rows[k][3], rows[k][4], True, s, None, None, None
 
 
 def _sorted_groups(parts: DataFrame, length: int) -> DataFrame:
-    """Spans of the single contents whose windows another content of the anchor holds, by suffix
-    sorting; a task streams over its anchors in order."""
-
-    def solve(rows: list[tuple]) -> Iterator[tuple]:
-        data = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
-        size = np.array([len(r[5]) for r in rows])
-        base = np.cumsum(size) - size
-        windows = size - length + 1
-        row = np.repeat(np.arange(len(rows)), windows)
-        at = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-        anchor = np.cumsum([0] + [a[0] != b[0] for a, b in zip(rows, rows[1:])])
-        left = np.array([r[4] for r in rows])
-        group = anchor[row] * 1024 + left[row] - at
-        hit = repeated_windows(data, base[row] + at, (base + size)[row], group, length)
-        hit &= np.array([r[3] for r in rows])[row]
-        where = np.flatnonzero(hit)
-        if not len(where):
-            return
-        cut = np.flatnonzero((np.diff(where) != 1) | (np.diff(row[where]) != 0))
-        firsts, lasts = where[np.concatenate(([0], cut + 1))], where[np.append(cut, len(where) - 1)]
-        spans: dict[int, list[int]] = {}
-        for f, z in zip(firsts.tolist(), lasts.tolist()):
-            spans.setdefault(int(row[f]), []).extend((int(at[f]), int(at[z]) + length))
-        for k, s in spans.items():
-            yield (*rows[k][:3], s)
+    """Sort each group; a task streams over its groups in order."""
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.int32()]
+    names = [f.split()[0] for f in SORTED.split(", ")]
+    fields = [f.split()[0] for f in PART.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size = 0
 
         def emit(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-            if found := list(solve(rows)) if rows else []:
-                cols = list(zip(*found))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in cols[:3]] + [pa.array(cols[3], pa.list_(pa.int32()))],
-                    ["gh", "ch1", "ch2", "spans"],
-                )
+            if found := list(_solve(rows, length)) if rows else []:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names)
 
         for batch in batches:
-            for r in zip(*(batch.column(c).to_pylist() for c in ("gh", "ch1", "ch2", "single", "left", "bytes"))):
-                if size > 1 << 18 and rows[-1][0] != r[0]:
+            for r in zip(*(batch.column(c).to_pylist() for c in fields)):
+                if size > 1 << 18 and rows[-1][:2] != r[:2]:
                     yield from emit(rows)
                     rows, size = [], 0
                 rows.append(r)
-                size += len(r[5])
+                size += len(r[7])
         yield from emit(rows)
 
-    cold = parts.filter("bytes is not null").select("gh", "ch1", "ch2", "single", "left", "bytes")
-    return cold.repartition("gh").sortWithinPartitions("gh").mapInArrow(
-        run, "gh long, ch1 long, ch2 long, spans array<int>"
-    )
+    return parts.repartition("gh", "part").sortWithinPartitions("gh", "part").mapInArrow(run, SORTED)
 
 
-def repeated_spans(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_limit: int = GROUP_LIMIT
-) -> DataFrame:
-    """(doc, found: array of (th, spans)) for the documents (doc, text) with repeated bytes: for the
-    text of hash th, a flat list of starts and ends in bytes."""
-    runs = written(_runs(docs, length, gram), "suffix_runs")
-    met = written(runs.groupBy("gh").agg(F.count("*").alias("n")).filter("n > 1").select("gh"), "suffix_anchors")
-    runs = written(runs.join(met, "gh").withColumn("ord", F.xxhash64("doc", "th", "pos")), "suffix_met")
-    key = ["gh", "ch1", "ch2"]
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+    """(doc, th, spans) of the texts (doc, th, text) with repeated bytes: a flat list of starts and ends
+    in bytes."""
+    every = written(_runs(docs, length, gram), "suffix_runs")
+    met = written(every.groupBy("gh").agg(F.count("*").alias("n")).filter("n > 1").select("gh"), "suffix_anchors")
+    runs = written(every.join(met, "gh"), "suffix_met")
+    discard(every, met)
+    key = ["gh", "c1", "c2"]
     contents = written(
-        runs.groupBy(*key).agg(
-            F.count("*").alias("n"),
-            *[F.min_by(c, "ord").alias(c) for c in ("doc", "th", "pos")],
-            F.min("left").alias("left"),
-            F.min("len").alias("len"),
-        ),
+        runs.groupBy(*key)
+        .agg(F.count("*").alias("n"), F.min(F.struct("doc", "th", "pos")).alias("one"), F.min("left").alias("left"), F.min("len").alias("len"))
+        .select(*key, "n", "one.*", "left", "len"),
         "suffix_contents",
     )
     open_ = written(
         contents.groupBy("gh")
         .agg(F.count("*").alias("m"), F.min("n").alias("least"))
         .filter("m > 1 and least = 1")
-        .select("gh", (F.col("m") > group_limit).alias("hot")),
+        .select("gh", F.ceil(F.col("m") / group).alias("parts")),
         "suffix_open",
     )
-    wanted = contents.join(open_, "gh").withColumn("single", F.col("n") == 1)
-    parts = written(_fetched(docs, wanted, length), "suffix_parts")
-
-    windows = parts.filter("bytes is null")
-    twice = written(
-        windows.groupBy("gh", "w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "suffix_windows"
+    wanted = contents.join(open_, "gh").select(
+        "*", (F.col("n") == 1).alias("single"), F.pmod("c1", "parts").cast("int").alias("part"), (F.col("parts") > 1).alias("across")
     )
-    counted = (
-        windows.filter("single")
+    parts = written(_fetched(docs, wanted), "suffix_parts")
+    found = written(_sorted_groups(parts, length), "suffix_sorted")
+    discard(open_, parts)
+
+    passed = found.filter("at is not null")
+    twice = passed.groupBy("gh", "w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    between = (
+        passed.filter("single")
         .join(twice, ["gh", "w1", "w2"])
         .groupBy(*key)
         .agg(F.flatten(F.collect_list(F.array("at", F.col("at") + length))).alias("spans"))
     )
     whole = contents.filter("n > 1").select(*key, F.array(F.lit(0), "len").alias("spans"))
-    repeated = written(whole.unionByName(counted).unionByName(_sorted_groups(parts, length)), "suffix_repeated")
-    moved = runs.join(repeated, key).select(
-        "doc", "th", F.transform("spans", lambda x: x + F.col("pos")).alias("spans")
-    )
-    return moved.groupBy("doc").agg(F.collect_list(F.struct("th", "spans")).alias("found"))
+    inside = found.filter("at is null").select(*key, "spans")
+    repeated = written(whole.unionByName(between).unionByName(inside), "suffix_repeated")
+    discard(contents, found)
+    moved = runs.join(repeated, key).select("doc", "th", F.transform("spans", lambda x: x + F.col("pos")).alias("spans"))
+    # repeated rows have the same runs, which count once here
+    return moved.groupBy("doc", "th").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
 def merge_spans(spans: np.ndarray) -> np.ndarray:
@@ -259,26 +254,26 @@ def merge_spans(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[new, 0], reach[ends]], axis=1)
 
 
+def _key(text: Column) -> tuple[Column, Column]:
+    """The document a row belongs to, its text's own hash where it has no id, and that hash."""
+    own = F.xxhash64(text)
+    return F.coalesce(F.col("doc_id").cast("long"), own), own
+
+
 def remove_repeated(docs: DataFrame, length: int = LENGTH, **options: int) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans, spans (flat starts and ends) and kept (the remaining
     bytes, which may split a character)."""
-    docs = without(docs, {"n_bytes", "n_removed", "n_spans", "spans", "kept", "__doc", "__found"})
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
-    found = repeated_spans(keyed, length, **options).select(
-        F.col("doc").alias("__doc"), F.col("found").alias("__found")
-    )
-    joined = docs.join(
-        found, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("__doc"), "left"
-    ).drop("__doc")
+    docs = without(docs, {"n_bytes", "n_removed", "n_spans", "spans", "kept", "__doc", "__th", "__found"})
+    doc, th = _key(F.col("text"))
+    found = repeated_spans(docs.select(doc.alias("doc"), th.alias("th"), "text"), length, **options)
+    found = found.select(F.col("doc").alias("__doc"), F.col("th").alias("__th"), F.col("spans").alias("__found"))
+    joined = docs.join(found, (doc == F.col("__doc")) & (th == F.col("__th")), "left").drop("__doc", "__th")
 
     def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         sizes, removed, spans, kept = [], [], [], []
-        for text, found_ in zip(binaries(batch, "text"), batch.column("__found").to_pylist()):
-            flat: list[int] = []
-            if found_:
-                own = text_hash(np.frombuffer(text, np.uint8))
-                flat = [x for f in found_ if f["th"] == own for x in f["spans"]]
-            merged = merge_spans(np.array(flat).reshape(-1, 2)) if flat else np.zeros((0, 2), np.int64)
+        for text, flat in zip(binaries(batch, "text"), batch.column("__found")):
+            flat = flat.values.to_numpy() if flat.is_valid else ()
+            merged = merge_spans(flat.reshape(-1, 2)) if len(flat) else np.zeros((0, 2), np.int64)
             edges = [0, *merged.ravel().tolist(), len(text)]
             sizes.append(len(text))
             removed.append(int((merged[:, 1] - merged[:, 0]).sum()))

@@ -88,13 +88,15 @@ class Suffixes:
 
 def repeated_windows(
     data: np.ndarray, start: np.ndarray, end: np.ndarray, group: np.ndarray, length: int
-) -> np.ndarray:
-    """Whether the ``length`` bytes at each start also begin at another start of the same group.
-    Matches found by hash are confirmed byte by byte."""
+) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the ``length`` bytes at each start also begin at another start of the same group, and
+    whether a start is the first, in suffix order, of those with its bytes. Matches found by hash are
+    confirmed byte by byte."""
     repeated = np.zeros(len(start), bool)
-    full = np.flatnonzero(end - start >= length)
+    leads = end - start >= length
+    full = np.flatnonzero(leads)
     if len(full) < 2:
-        return repeated
+        return repeated, leads
     suffixes = Suffixes(data, start[full], end[full], length)
     order = suffixes.order(group[full])
     a, b = order[:-1], order[1:]
@@ -107,4 +109,5 @@ def repeated_windows(
         pick = pick[equal.all(axis=1)]
         repeated[full[a[pick]]] = True
         repeated[full[b[pick]]] = True
-    return repeated
+        leads[full[b[pick]]] = False
+    return repeated, leads

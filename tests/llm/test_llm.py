@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from netquill.llm import registry
 from netquill.llm.chat_format import dialogues, rotate
 from netquill.llm.decontaminate import byte_spans, find_contamination
+from netquill.llm.hashing import LaneHash, word_hashes
 from netquill.llm.line_dedup import drop_repeated_lines
 from netquill.llm.minhash_dedup import near_duplicates
 from netquill.llm.mixing import mix
@@ -120,27 +121,49 @@ def test_near_dedup_against_brute_force(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
-@pytest.mark.parametrize("limit", [64, 2])
-def test_suffix_dedup_against_brute_force(spark, limit):
+def uncovered(raw, length):
+    """Brute force: the bytes that stay of each text (by key), and the number of removed runs."""
+    seen = Counter(b[p : p + length] for _, b in raw for p in range(len(b) - length + 1))
+    out = []
+    for i, b in raw:
+        gone = np.zeros(len(b) + 2, bool)
+        for p in range(len(b) - length + 1):
+            if seen[b[p : p + length]] > 1:
+                gone[p + 1 : p + 1 + length] = True
+        kept = np.frombuffer(b, np.uint8)[~gone[1:-1]].tobytes()
+        out.append((str(i), len(b), kept, int((np.diff(gone.astype(int)) == 1).sum())))
+    return sorted(out)
+
+
+def left_over(spark, rows, length, **options):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = remove_repeated(docs, length, **options).collect()
+    assert all(r.n_removed == r.n_bytes - len(r.kept) for r in got)
+    return sorted((str(r.doc_id), r.n_bytes, bytes(r.kept), r.n_spans) for r in got)
+
+
+@pytest.mark.parametrize("group", [64, 2])
+def test_suffix_dedup_against_brute_force(spark, group):
     rng = np.random.default_rng(2)
     word = lambda n: bytes(rng.integers(97, 123, n)).decode()
     shared, other = word(90), word(70)
     texts = [word(40) + shared + word(30) for _ in range(6)] + [word(25) + shared[:55] + word(9) + other + word(5) for _ in range(3)]
     texts += ["ab" * 60, "é" * 80, other[:49], shared[:50], word(200), shared + other, "", None]
     rows = list(enumerate(texts)) + [(99, texts[0])]
-    length = 50
-    raw = {i: (t or "").encode() for i, t in rows}
-    seen = Counter(b[p : p + length] for b in raw.values() for p in range(len(b) - length + 1))
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for r in remove_repeated(docs, length, gram=16, group_limit=limit).collect():
-        b = raw[r.doc_id]
-        gone = np.zeros(len(b), bool)
-        for p in range(len(b) - length + 1):
-            if seen[b[p : p + length]] > 1:
-                gone[p : p + length] = True
-        assert bytes(r.kept) == bytes(np.frombuffer(b, np.uint8)[~gone]), r.doc_id
-        assert (r.n_bytes, r.n_removed) == (len(b), gone.sum())
-        assert r.n_spans == (np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum()
+    raw = [(i, (t or "").encode()) for i, t in rows]
+    assert left_over(spark, rows, 50, gram=16, group=group) == uncovered(raw, 50)
+
+
+@pytest.mark.parametrize("n", [1, 1000])
+def test_suffix_dedup_at_full_length(spark, n):
+    """One anchor with one and with a thousand contents, three rows in ten without an id."""
+    rng = np.random.default_rng(4)
+    word = lambda k: bytes(rng.integers(97, 123, k)).decode()
+    core, pairs = word(390), [word(700) for _ in range(3)]
+    texts = [word(12) + core + word(12) for _ in range(n)] + [word(50) + p[:k] + word(50) for p in pairs for k in (450, 700)]
+    texts += [texts[0][:405] + word(30), texts[-1], texts[-1], "", None, core]
+    rows = [(None if i % 10 < 3 else i, t) for i, t in enumerate(texts)]
+    assert left_over(spark, rows, 400) == uncovered([(i, (t or "").encode()) for i, t in rows], 400)
 
 
 def test_suffix_order():
@@ -151,10 +174,40 @@ def test_suffix_order():
     order = Suffixes(data, start, np.full(len(data), len(data)), 1000).order(np.zeros(len(data), int))
     assert list(order) == sorted(range(len(raw)), key=lambda i: raw[i:])
     seen = Counter(raw[i : i + 15] for i in range(len(raw) - 14))
-    got = repeated_windows(data, start, np.full(len(data), len(data)), np.zeros(len(data), int), 15)
+    got, leads = repeated_windows(data, start, np.full(len(data), len(data)), np.zeros(len(data), int), 15)
+    assert leads.sum() == len(seen) and len({raw[i : i + 15] for i in np.flatnonzero(leads)}) == len(seen)
     assert list(got) == [i + 15 <= len(raw) and seen[raw[i : i + 15]] > 1 for i in range(len(raw))]
 
 
+def thue_morse(n, flip=0):
+    return bytes(97 + (bin(i).count("1") + flip) % 2 for i in range(n))
+
+
+def test_structured_bytes_do_not_collide(spark):
+    """Strings on which polynomials modulo a power of two collide for every base."""
+    a, b = thue_morse(4096), thue_morse(4096, 1)
+    both = np.frombuffer(a + b, np.uint8)
+    start = np.array([0, 4096])
+    h = LaneHash(both).slices(start, start + 4096)
+    assert h[0] != h[1]
+    hashes, counts = word_hashes([a, b, a])
+    assert list(counts) == [1, 1, 1] and hashes[0] == hashes[2] != hashes[1]
+    rows = [(1, a.decode()), (2, b.decode()), (3, a.decode().upper()), (4, " ".join(["x", a.decode()])), (5, " ".join(["x", b.decode()]))]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+
+
+def test_near_dedup_links_a_repeated_id_by_each_text(spark):
+    one, two = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(3, one), (7, one), (7, two), (9, two), (7, ""), (None, one), (None, None), (11, two + " more")]
+    for order in (rows, rows[::-1]):
+        got = near_duplicates(spark.createDataFrame(order, "doc_id long, text string").repartition(4)).collect()
+        assert {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in got} == {
+            (3, 36): (3, True), (7, 36): (3, False), (9, 36): (3, False), (7, 0): (7, True),
+            (None, 36): (None, True), (None, 0): (None, True), (11, 37): (3, False),
+        }
+
+
 def test_tokens_equal_the_library(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -188,7 +241,7 @@ def test_spans_map_to_the_original(spark):
 
 
 def test_perspectives(spark):
-    rows = [(1, 0, "system", "s"), (1, 1, " User", "hi"), (1, 2, "assistant", "yo"), (1, 3, "bob", None), (2, 0, "system", "x"), (None, 0, "user", "y"), (3, None, None, "z")]
+    rows = [(1, 0, "system", "s"), (1, 1, " User\t", "hi"), (1, 2, "assistant", "yo"), (1, 3, "bob", None), (2, 0, "system", "x"), (None, 0, "user", "y"), (3, None, None, "z")]
     out = rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
     assert {(r.conv_id, r.perspective) for r in out.collect()} == {(1, "user"), (1, "assistant"), (1, "bob"), (3, "unknown")}
     d = {r.perspective: r for r in dialogues(out).filter("conv_id = 1").collect()}
