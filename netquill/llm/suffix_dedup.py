@@ -13,9 +13,11 @@ starts anywhere else in the corpus.
    hash comparisons (:mod:`netquill.llm.suffix_order`); neighbours with a common extension of
    ``length`` bytes repeat, confirmed byte by byte.
 4. The contents of an anchor are dealt to sorts of about ``group`` contents each, so an anchor of any
-   number of contents is sorted in bounded tasks. Where an anchor needs several sorts, each of them
-   passes on one window of every class of equal ones, and those of all its sorts are matched by their
-   blake2b; what two sorts hold repeats.
+   number of contents is sorted in bounded tasks. What only contents of different sorts share is found
+   in two steps. The windows of a content fall into cells by the place of their anchor; all windows of a
+   cell hold a core, and contents can only share one of them if their cores are equal (blake2b). A cell
+   whose core is met in one content only is done, and so is one whose contents are equal all over. In the
+   others, windows are matched one by one by their blake2b.
 5. The spans go back to all runs of the same content and are merged for each document.
 
 Defined results for odd input: a null text is empty; a text shorter than ``length`` keeps all; repeated
@@ -37,14 +39,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netquill.llm.common import append_columns, binaries, chunked, discard, table, without, written
+from netquill.llm.common import append_columns, binaries, chunked, discard, pieces, table, without, written
 from netquill.llm.hashing import PrefixHash, U, mix
 from netquill.llm.suffix_order import repeated_windows
 
-LENGTH, GRAM, GROUP = 400, 100, 64
+LENGTH, GRAM, GROUP, CELLS = 400, 100, 64, 16
 RUN = "doc long, th long, gh long, c1 long, c2 long, pos int, left int, len int"
 PART = "gh long, part int, across boolean, c1 long, c2 long, single boolean, left int, bytes binary"
-SORTED = "gh long, c1 long, c2 long, single boolean, spans array<int>, w1 long, w2 long, at int"
+SPANS = "gh long, c1 long, c2 long, spans array<int>"
+CELL = "gh long, c1 long, c2 long, single boolean, cell int, k1 long, k2 long, x1 long, x2 long, low int, high int"
+WINDOW = "gh long, c1 long, c2 long, single boolean, w1 long, w2 long, at int"
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -141,11 +145,9 @@ def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _solve(rows: list[tuple], length: int) -> Iterator[tuple]:
-    """Sort the windows of whole groups of contents (gh, part, across, c1, c2, single, left, bytes).
-    Rows of SORTED: the spans of single contents that another one holds, and of groups that are one of
-    several of their anchor, one window of each class."""
-    joined = b"".join(r[7] for r in rows)
-    data = np.frombuffer(joined, np.uint8)
+    """Sort the windows of whole groups of contents (gh, part, across, c1, c2, single, left, bytes): the
+    spans of single contents that another one of the group holds."""
+    data = np.frombuffer(b"".join(r[7] for r in rows), np.uint8)
     size = np.array([len(r[7]) for r in rows])
     base = np.cumsum(size) - size
     windows = size - length + 1
@@ -155,13 +157,8 @@ def _solve(rows: list[tuple], length: int) -> Iterator[tuple]:
     left = np.array([r[6] for r in rows])
     # equal windows have the anchor at the same place
     place = group[row] * (length + 1) + left[row] - at
-    hit, leads = repeated_windows(data, base[row] + at, (base + size)[row], place, length)
-    single, across = np.array([r[5] for r in rows]), np.array([r[2] for r in rows])
-    passed = np.flatnonzero(leads & across[row])
-    start = base[row[passed]] + at[passed]
-    keys = _digests(memoryview(joined), start, start + length, np.zeros(len(passed), np.int64))
-    for k, a, (w1, w2) in zip(row[passed].tolist(), at[passed].tolist(), keys.tolist()):
-        yield rows[k][0], rows[k][3], rows[k][4], rows[k][5], None, w1, w2, a
+    hit = repeated_windows(data, base[row] + at, (base + size)[row], place, length)
+    single = np.array([r[5] for r in rows])
     where = np.flatnonzero(hit & single[row])
     if not len(where):
         return
@@ -171,13 +168,13 @@ def _solve(rows: list[tuple], length: int) -> Iterator[tuple]:
     for f, z in zip(firsts.tolist(), lasts.tolist()):
         spans.setdefault(int(row[f]), []).extend((int(at[f]), int(at[z]) + length))
     for k, s in spans.items():
-        yield rows[k][0], rows[k][3], rows[k][4], True, s, None, None, None
+        yield rows[k][0], rows[k][3], rows[k][4], s
 
 
 def _sorted_groups(parts: DataFrame, length: int) -> DataFrame:
     """Sort each group; a task streams over its groups in order."""
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.int32()]
-    names = [f.split()[0] for f in SORTED.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+    names = [f.split()[0] for f in SPANS.split(", ")]
     fields = [f.split()[0] for f in PART.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +194,58 @@ def _sorted_groups(parts: DataFrame, length: int) -> DataFrame:
                 size += len(r[7])
         yield from emit(rows)
 
-    return parts.repartition("gh", "part").sortWithinPartitions("gh", "part").mapInArrow(run, SORTED)
+    return parts.repartition("gh", "part").sortWithinPartitions("gh", "part").mapInArrow(run, SPANS)
+
+
+def _in_tasks(parts: DataFrame, make, schema: str) -> DataFrame:
+    """Rows that ``make`` gives for each content of ``parts``."""
+    kinds = [{"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}[f.split()[1]] for f in schema.split(", ")]
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            rows = [r for content in batch.to_pylist() for r in make(content)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
+
+    return parts.mapInArrow(run, schema)
+
+
+def _between_sorts(parts: DataFrame, length: int, width: int) -> DataFrame:
+    """Spans of single contents that a content of another sort of their anchor holds; a cell has
+    ``width`` places of the anchor."""
+    key = ["gh", "c1", "c2"]
+
+    def cells(r: dict) -> Iterator[tuple]:
+        # windows begin at 0 .. last, and have the anchor at left .. left - last
+        data, left, last = r["bytes"], r["left"], len(r["bytes"]) - length
+        for cell in range((left - last) // width, left // width + 1):
+            low, high = max(left - (cell + 1) * width + 1, 0), min(left - cell * width, last)
+            # what the windows of a whole cell have in common, and what those of this content cover
+            core = data[left - cell * width : left - (cell + 1) * width + 1 + length]
+            own = np.frombuffer(blake2b(core, digest_size=16).digest() + blake2b(data[low : high + length], digest_size=16, salt=(left - low).to_bytes(8, "little")).digest(), np.int64)
+            yield (*[r[k] for k in key], r["single"], cell, *own.tolist(), low, high)
+
+    def windows(r: dict) -> Iterator[tuple]:
+        for cell in r["cells"]:
+            for at in range(cell["low"], cell["high"] + 1):
+                own = np.frombuffer(blake2b(r["bytes"][at : at + length], digest_size=16).digest(), np.int64)
+                yield (*[r[k] for k in key], r["single"], *own.tolist(), at)
+
+    parts = parts.filter("across")
+    found = written(_in_tasks(parts, cells, CELL), "suffix_cells")
+    same = ["gh", "cell", "k1", "k2"]
+    extent = F.struct("x1", "x2")
+    shared = written(
+        found.groupBy(*same).agg(F.count("*").alias("n"), (F.min(extent) == F.max(extent)).alias("equal")).filter("n > 1").drop("n"),
+        "suffix_cores",
+    )
+    met = found.join(shared, same)
+    whole = met.filter("equal and single").select(*key, F.array("low", F.col("high") + length).alias("spans"))
+    mixed = met.filter("not equal").groupBy(*key).agg(F.collect_list(F.struct("low", "high")).alias("cells"))
+    each = written(_in_tasks(parts.join(mixed, key), windows, WINDOW), "suffix_windows")
+    twice = each.groupBy("gh", "w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    one = each.filter("single").join(twice, ["gh", "w1", "w2"]).select(*key, F.array("at", F.col("at") + length).alias("spans"))
+    return whole.unionByName(one).groupBy(*key).agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
@@ -225,21 +273,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
         "*", (F.col("n") == 1).alias("single"), F.pmod("c1", "parts").cast("int").alias("part"), (F.col("parts") > 1).alias("across")
     )
     parts = written(_fetched(docs, wanted), "suffix_parts")
-    found = written(_sorted_groups(parts, length), "suffix_sorted")
+    inside = written(_sorted_groups(parts, length), "suffix_sorted")
+    between = written(_between_sorts(parts, length, -(-(length - gram + 1) // CELLS)), "suffix_between")
     discard(open_, parts)
-
-    passed = found.filter("at is not null")
-    twice = passed.groupBy("gh", "w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    between = (
-        passed.filter("single")
-        .join(twice, ["gh", "w1", "w2"])
-        .groupBy(*key)
-        .agg(F.flatten(F.collect_list(F.array("at", F.col("at") + length))).alias("spans"))
-    )
     whole = contents.filter("n > 1").select(*key, F.array(F.lit(0), "len").alias("spans"))
-    inside = found.filter("at is null").select(*key, "spans")
     repeated = written(whole.unionByName(between).unionByName(inside), "suffix_repeated")
-    discard(contents, found)
+    discard(contents, inside, between)
     moved = runs.join(repeated, key).select("doc", "th", F.transform("spans", lambda x: x + F.col("pos")).alias("spans"))
     # repeated rows have the same runs, which count once here
     return moved.groupBy("doc", "th").agg(F.flatten(F.collect_set("spans")).alias("spans"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from netquill.llm.hashing import PrefixHash
+from netquill.llm.hashing import LaneHash
 
 
 class Suffixes:
@@ -19,7 +19,7 @@ class Suffixes:
     def __init__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, limit: int):
         self.data, self.start, self.limit = data, start, limit
         self.size = np.minimum(end - start, limit)
-        self.hashed = PrefixHash(data)
+        self.hashed = LaneHash(data)
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common extension of suffixes ``a`` and ``b`` (arrays of indices)."""
@@ -88,15 +88,13 @@ class Suffixes:
 
 def repeated_windows(
     data: np.ndarray, start: np.ndarray, end: np.ndarray, group: np.ndarray, length: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Whether the ``length`` bytes at each start also begin at another start of the same group, and
-    whether a start is the first, in suffix order, of those with its bytes. Matches found by hash are
-    confirmed byte by byte."""
+) -> np.ndarray:
+    """Whether the ``length`` bytes at each start also begin at another start of the same group.
+    Matches found by hash are confirmed byte by byte."""
     repeated = np.zeros(len(start), bool)
-    leads = end - start >= length
-    full = np.flatnonzero(leads)
+    full = np.flatnonzero(end - start >= length)
     if len(full) < 2:
-        return repeated, leads
+        return repeated
     suffixes = Suffixes(data, start[full], end[full], length)
     order = suffixes.order(group[full])
     a, b = order[:-1], order[1:]
@@ -109,5 +107,4 @@ def repeated_windows(
         pick = pick[equal.all(axis=1)]
         repeated[full[a[pick]]] = True
         repeated[full[b[pick]]] = True
-        leads[full[b[pick]]] = False
-    return repeated, leads
+    return repeated
