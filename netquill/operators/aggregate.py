@@ -76,6 +76,17 @@ def outcome_aggregation(
     return out.select("*", *outcome_counts(anomaly_sensitivity))
 
 
+def all_outcomes(verdicts: DataFrame, axes: list[str]) -> DataFrame:
+    """(axes, layer, label, share, place): every not-ok outcome of each cell of the axes with its share of its
+    layer's not-ok mass, the layers in order and the largest share of a layer first."""
+    sums = labelled_scores(verdicts, axes).groupBy(*axes, "layer", "label").agg(F.sum("value").alias("value")).filter("value <> 0")
+    layer = Window.partitionBy(*axes, "layer")
+    shares = sums.withColumn("share", F.col("value") / F.sum("value").over(layer))
+    number = F.array_position(F.array(*[F.lit(x) for x in LAYERS]), F.col("layer"))
+    order = Window.partitionBy(*axes).orderBy(number, F.desc(F.round("share", 12)), "label")
+    return shares.select(*axes, "layer", "label", "share", F.row_number().over(order).alias("place"))
+
+
 def outcome_counts(sensitivity: float = 0.9) -> list[Column]:
     """Ok, anomaly, confirmed and failure counts of a cell from its outcome."""
     blocked = F.contains(F.col("outcome_label"), F.lit(".blocked."))
@@ -92,10 +103,17 @@ def outcome_counts(sensitivity: float = 0.9) -> list[Column]:
 
 
 def observed_failure() -> Column:
-    """The first failure of an observation with its layer, ``none`` without one."""
-    first = F.lit("none")
-    for x in ("tls", "tcp", "dns"):
-        first = F.when(F.col(f"{x}_failure").isNotNull(), F.concat(F.lit(f"{x}."), F.col(f"{x}_failure"))).otherwise(first)
+    """The first failure of an observation with its layer; a handshake that ended on its first write failed
+    after the client hello. ``none`` needs a server name; NULL where a handshake ended so without a failure, or
+    there is neither a failure nor a server name."""
+    tls = (
+        F.when(F.col("tls_handshake_last_operation") == "write_1", F.concat(F.lit("tls_"), "tls_failure", F.lit("_after_CH")))
+        .when(F.col("tls_failure").isNull() & F.col("tls_server_name").isNotNull(), "none")
+        .otherwise(F.concat(F.lit("tls_"), "tls_failure"))
+    )
+    first = tls
+    for x in ("tcp", "dns"):
+        first = F.when(F.col(f"{x}_failure").isNotNull(), F.concat(F.lit(f"{x}_"), f"{x}_failure")).otherwise(first)
     return first
 
 
@@ -103,16 +121,18 @@ def failure_aggregation(
     obs: DataFrame, group_by: tuple = ("failure",), grain: str = "day", since=None, until=None, **in_filters
 ) -> DataFrame:
     """Observations counted by the chosen keys, most frequent first. Each filter is also a key; time is
-    strictly inside (since, until)."""
+    strictly inside (since, until). Grouping by failure leaves out observations of HTTP alone."""
     keys = list(group_by) + [k for k in in_filters if k not in group_by]
-    rows = obs.filter("dns_failure IS NOT NULL OR tcp_failure IS NOT NULL OR tls_failure IS NOT NULL OR tcp_success = 1 OR dns_answer IS NOT NULL")
+    rows = obs
     if since is not None:
         rows = rows.filter(F.col("measurement_start_time") > F.lit(since))
     if until is not None:
         rows = rows.filter(F.col("measurement_start_time") < F.lit(until))
-    rows = rows.withColumn("failure", observed_failure())
     for name, wanted in in_filters.items():
         rows = rows.filter(F.col(name).isin(*wanted))
+    if "failure" in keys:
+        rows = rows.filter("dns_failure IS NOT NULL OR tcp_failure IS NOT NULL OR tls_failure IS NOT NULL OR tls_server_name IS NOT NULL")
+        rows = rows.withColumn("failure", observed_failure())
     if "timestamp" in keys:
         rows = rows.withColumn("timestamp", time_grain(F.col("measurement_start_time"), grain))
     out = rows.groupBy(*keys).agg(F.count("*").alias("observation_count"))
@@ -120,51 +140,48 @@ def failure_aggregation(
     return out.orderBy(*order, F.desc("observation_count"), *[k for k in keys if k != "timestamp"])
 
 
-def failure_class(failure: Column) -> Column:
-    """struct(layer, class): a failure's prefix class, unknown ones folded."""
-    kind = (
-        F.when(failure.isNull(), "ok")
-        .when(failure.startswith("unknown_failure"), "unknown")
-        .when(failure.startswith("ssl_"), "certificate")
-        .when(F.contains(failure, F.lit("timeout")) | F.contains(failure, F.lit("timed_out")), "timeout")
-        .when(failure.isin("connection_reset", "connection_refused", "connection_aborted"), failure)
-        .when(failure.startswith("dns_"), "dns")
-        .when(failure.rlike("unreachable$"), "unreachable")
-        .otherwise("other")
-    )
-    return kind
+def failure_class() -> Column:
+    """``layer.failure`` of an observation's first failure, unknown ones folded; ``ok`` without one."""
+    text = F.lit("ok")
+    for layer, name in (("https", "http"), ("tls", "tls"), ("tcp", "tcp"), ("dns", "dns")):
+        c = F.col(f"{name}_failure")
+        part = F.when(c.startswith("unknown_failure"), F.lit("unknown_failure")).otherwise(c)
+        text = F.when(c.isNotNull(), F.concat(F.lit(f"{layer}."), part)).otherwise(text)
+    return text
+
 
+def failure_classes(obs: DataFrame, keys: list[str], grain: str = "day") -> DataFrame:
+    """Observations by key, start of the grain and class of failure; one row an observation is counted."""
+    rows = obs.select(*keys, time_grain(F.col("measurement_start_time"), grain).alias("ts"), failure_class().alias("failure_str"))
+    return rows.groupBy(*keys, "ts", "failure_str").agg(F.count("*").alias("cnt"))
 
-def failure_classes(obs: DataFrame, keys: list[str]) -> DataFrame:
-    """Observations by layer and class of failure, and whether the resolver is in the probe's network."""
-    own = F.col("resolver_asn") == F.col("probe_asn")
-    items = F.array(*[F.struct(F.lit(x).alias("layer"), failure_class(F.col(f"{x}_failure")).alias("class")) for x in LAYERS])
-    rows = obs.select(*keys, own.alias("same_network_resolver"), F.inline(items)).filter("class NOT IN ('unreachable')")
-    return rows.groupBy(*keys, "same_network_resolver", "layer", "class").agg(F.count("*").alias("n"))
+
+IP_META = ("ip_cc", "ip_asn", "ip_as_cc", "ip_as_org_name")
 
 
 def tls_evidence(obs: DataFrame, ctrl: DataFrame) -> DataFrame:
-    """Full outer join of the experiment's and the control's valid handshakes by address and name."""
-    a = obs.filter("tls_is_certificate_valid = 1").groupBy("ip", "tls_server_name").agg(
-        F.count("*").alias("msmt_count"), F.count_distinct("probe_cc", "probe_asn").alias("vp_count"), F.min("ip_asn").alias("asn_a")
-    )
-    b = ctrl.filter("tls_success = 1 AND ip IS NOT NULL").groupBy("ip", "tls_server_name").agg(
-        F.count("*").alias("ctrl_count"), F.min("ip_asn").alias("asn_b"), F.min("ip_cc").alias("ip_cc")
+    """Full outer join of the experiment's handshakes without failure, by address, what is known of it and
+    server name, and the control's successful ones by address and name."""
+    meta = [c for c in IP_META if c in obs.columns]
+    named = "ip IS NOT NULL AND tls_server_name IS NOT NULL"
+    a = obs.filter(f"{named} AND tls_failure IS NULL").groupBy("ip", "tls_server_name", *meta).agg(
+        F.count("*").alias("msmt_count"), F.count_distinct("probe_cc", "probe_asn").alias("vp_count")
     )
+    b = ctrl.filter(f"{named} AND tls_success = 1").groupBy("ip", "tls_server_name").agg(F.count("*").alias("ctrl_count"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     return a.join(b, ["ip", "tls_server_name"], "full").select(
-        "ip", "tls_server_name",
-        F.coalesce("msmt_count", F.lit(0)).alias("msmt_count"), F.coalesce("vp_count", F.lit(0)).alias("vp_count"),
-        F.coalesce("ctrl_count", F.lit(0)).alias("ctrl_count"), F.col("ctrl_count").isNotNull().alias("in_ctrl"),
-        F.coalesce("asn_a", "asn_b").alias("ip_asn"), "ip_cc",
+        "ip", "tls_server_name", *meta, zero("msmt_count"), zero("vp_count"), F.col("ctrl_count").isNotNull().alias("in_ctrl"), zero("ctrl_count"),
     )
 
 
 def tls_consistency(obs: DataFrame, ctrl: DataFrame) -> DataFrame:
-    """Per address and name: handshakes, vantage points, control flag, and any network and country
-    (the smallest, so that reruns agree)."""
-    return tls_evidence(obs, ctrl).groupBy("ip", "tls_server_name").agg(
+    """Per address and name: handshakes, vantage points, control flag, and one of the values of each property of
+    the address (the smallest, so that reruns agree)."""
+    rows = tls_evidence(obs, ctrl)
+    meta = [c for c in IP_META if c in rows.columns]
+    return rows.groupBy("ip", "tls_server_name").agg(
         F.sum(F.col("msmt_count") + F.col("ctrl_count")).alias("msmt_count"), F.sum("vp_count").alias("vp_count"),
-        F.max("in_ctrl").alias("in_ctrl"), F.min("ip_asn").alias("ip_asn"), F.min("ip_cc").alias("ip_cc"),
+        F.max("in_ctrl").alias("in_ctrl"), *[F.min(c).alias(c) for c in meta],
     )
 
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from netquill.functions.scalars import html_title, url_domain
+from netquill.functions.scalars import html_title, ipv4_number, ipv6_hex, is_bogon, is_ip, url_domain
 
-# The network that stands for bogons, and the private-use range.
-BOGON_ASN, PRIVATE_ASNS = 64666, (64512, 65535)
+# The network that stands for bogons, the private-use range and its name.
+BOGON_ASN, PRIVATE_ASNS, PRIVATE_NAME = 64666, (64512, 65535), "Private use (RFC1930)"
 
 
 def asof_snapshot(rows: DataFrame, snapshots: DataFrame, day: str, snapshot: str = "snapshot") -> DataFrame:
@@ -35,27 +35,111 @@ def range_join(rows: DataFrame, ranges: DataFrame, point: str, bucket: int, snap
 
 def enrich_ip(df: DataFrame, ranges: DataFrame, number: str, bogon: Column, day: str = "measurement_start_time", bucket: int = 1 << 16) -> DataFrame:
     """Network and country of an address (as a number) on the row's day: ranges have (snapshot, first,
-    last, prefix_len, asn, org, as_cc, cc). Bogons are network 64666 of country ZZ; misses are 0, '', ZZ."""
+    last, prefix_len, asn, org, as_cc, cc). Bogons are network 64666 of country ZZ; misses are network 0 without a name or
+    country, in country ZZ."""
     rows = asof_snapshot(df, ranges, day)
     out = range_join(rows, ranges, number, bucket, "snapshot")
     return out.withColumns({
         "asn": F.when(bogon, BOGON_ASN).otherwise(F.coalesce("asn", F.lit(0))),
         "org": F.when(bogon, "Bogon").otherwise(F.coalesce("org", F.lit(""))),
-        "as_cc": F.when(bogon, "ZZ").otherwise(F.coalesce("as_cc", F.lit("ZZ"))),
+        "as_cc": F.when(bogon, "ZZ").otherwise(F.coalesce("as_cc", F.lit(""))),
         "cc": F.when(bogon, "ZZ").otherwise(F.coalesce("cc", F.lit("ZZ"))),
     }).drop("snapshot")
 
 
 def asof_join(rows: DataFrame, history: DataFrame, key: str, day: str, changed: str, values: list[str]) -> DataFrame:
     """Values of the last change of a key not after the row's day, else of the first one; one lookup for
-    each distinct key and day."""
-    spots = rows.select(key, day).distinct()
-    v = F.struct(*values)
-    met = spots.join(history.select(key, changed, *values), key)
-    best = met.groupBy(key, day).agg(
-        F.coalesce(F.max_by(v, F.when(F.col(changed) <= F.col(day), F.col(changed))), F.min_by(v, F.col(changed))).alias("_v")
+    each distinct key and day. Changes and days of a key stand in one order, cut into months: the last value
+    runs inside a month, and from month to month over one row each, so no task takes a key's whole history."""
+    at, value = F.col("_at"), F.col("_v")
+    changes = history.select(key, F.col(changed).cast("timestamp").alias("_at"), F.struct(*values).alias("_v"))
+    spots = rows.select(key, F.col(day).cast("timestamp").alias("_at")).distinct()
+    both = changes.unionByName(spots, allowMissingColumns=True).withColumn("_p", F.date_trunc("month", at))
+    inside = Window.partitionBy(key, "_p").orderBy("_at", value.isNull(), "_v")
+    months = both.groupBy(key, "_p").agg(F.max(F.when(value.isNotNull(), F.struct("_at", "_v"))).alias("_m"))
+    before = Window.partitionBy(key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    ever = Window.partitionBy(key).orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    firsts = changes.groupBy(key, F.date_trunc("month", at).alias("_p")).agg(F.min(F.struct("_at", "_v")).alias("_f"))
+    carried = months.join(firsts, [key, "_p"], "left").select(
+        key, "_p", F.last("_m._v", True).over(before).alias("_before"), F.first("_f._v", True).over(ever).alias("_first")
     )
-    return rows.join(best, [key, day], "left").select("*", *[F.col(f"_v.{x}").alias(x) for x in values]).drop("_v")
+    run = both.withColumn("_own", F.last("_v", True).over(inside)).filter(value.isNull() & at.isNotNull())
+    found = run.join(carried, [key, "_p"]).select(key, "_at", F.coalesce("_own", "_before", "_first").alias("_v"))
+    out = rows.withColumn("_at", F.col(day).cast("timestamp")).join(found, [key, "_at"], "left")
+    return out.select(*rows.columns, *[F.col(f"_v.{x}").alias(x) for x in values])
+
+
+def ipv6_bits(ip: Column) -> Column:
+    """The 128 binary digits of an IPv6 address, NULL for anything else."""
+    digits = ipv6_hex(ip)
+    part = lambda k: F.lpad(F.conv(F.substring(digits, 8 * k + 1, 8), 16, 2), 32, "0")
+    return F.concat(*[part(k) for k in range(4)])
+
+
+def prefix_join(rows: DataFrame, prefixes: DataFrame, bits: str, snapshot: str | None = None) -> DataFrame:
+    """The longest prefix (``prefix``: its binary digits, and values) that each row's ``bits`` start with. A
+    distinct value meets each length that occurs once, so the join is an equi-join on the digits."""
+    more = [snapshot] if snapshot else []
+    names = [c for c in prefixes.columns if c not in ("prefix", snapshot)]
+    lengths = prefixes.select(F.length("prefix").alias("_n")).distinct()
+    spots = rows.select(bits, *more).filter(F.col(bits).isNotNull()).distinct()
+    # one row a prefix length: 129 at most
+    cut = spots.join(F.broadcast(lengths)).withColumn("prefix", F.expr(f"substring({bits}, 1, _n)"))
+    met = cut.join(prefixes, ["prefix", *more]).groupBy(bits, *more).agg(F.max_by(F.struct(*names), F.struct("_n", *names)).alias("_r"))
+    return rows.join(met, [bits, *more], "left").select("*", *[F.col(f"_r.{n}").alias(n) for n in names]).drop("_r")
+
+
+def enrich_address(df: DataFrame, ranges: DataFrame, prefixes: DataFrame, ip: str = "ip", day: str = "measurement_start_time", bucket: int = 1 << 16) -> DataFrame:
+    """Network and country of an IPv4 or IPv6 address (text) on the row's day. ``ranges`` as in
+    :func:`enrich_ip`; ``prefixes``: (snapshot, prefix, asn, org, as_cc, cc). What is no address is a miss."""
+    text = F.col(ip)
+    rows = df.withColumn("_n", ipv4_number(text)).withColumn("_b", ipv6_bits(text))
+    four = enrich_ip(rows.filter("_b IS NULL"), ranges, "_n", is_bogon(text), day, bucket)
+    dated = asof_snapshot(rows.filter("_b IS NOT NULL"), prefixes, day)
+    six = prefix_join(dated, prefixes, "_b", "snapshot").drop("snapshot")
+    bogon = is_bogon(text)
+    six = six.withColumns({
+        "asn": F.when(bogon, BOGON_ASN).otherwise(F.coalesce("asn", F.lit(0))),
+        "org": F.when(bogon, "Bogon").otherwise(F.coalesce("org", F.lit(""))),
+        "as_cc": F.when(bogon, "ZZ").otherwise(F.coalesce("as_cc", F.lit(""))),
+        "cc": F.when(bogon, "ZZ").otherwise(F.coalesce("cc", F.lit("ZZ"))),
+    })
+    return four.unionByName(six).drop("_n", "_b")
+
+
+# Named targets of the messaging tests by platform, host names first, then patterns in order.
+PLATFORM_HOSTS = {
+    "telegram": {"web.telegram.org": "telegram/web"},
+    "whatsapp": {"v.whatsapp.net": "whatsapp/registration", "web.whatsapp.com": "whatsapp/web"},
+    "signal": {
+        "chat.signal.org": "signal/chat", "textsecure-service.whispersystems.org": "signal/chat", "cdsi.signal.org": "signal/directory",
+        "api.directory.signal.org": "signal/directory", "sfu.voip.signal.org": "signal/sfu", "storage.signal.org": "signal/storage",
+        "uptime.signal.org": "signal/uptime",
+    },
+    "facebook_messenger": {
+        "star.c10r.facebook.com": "facebook_messenger/star", "b-api.facebook.com": "facebook_messenger/b_api",
+        "b-graph.facebook.com": "facebook_messenger/b_graph", "edge-mqtt.facebook.com": "facebook_messenger/edge",
+        "external.xx.fbcdn.net": "facebook_messenger/external_cdn", "scontent.xx.fbcdn.net": "facebook_messenger/scontent_cdn",
+        "stun.fbsbx.com": "facebook_messenger/stun",
+    },
+}
+PLATFORM_PATTERNS = {
+    "whatsapp": [(r"^e\d+\.whatsapp\.net$", "whatsapp/endpoints")],
+    "signal": [(r"^cdn\d*\.signal\.org$", "signal/cdn")],
+}
+
+
+def platform_target(platform: Column, hostname: Column, ip: Column) -> Column:
+    """Named target of a messaging test's observation, NULL without one: by host name, else by address, as
+    Telegram's data centres are asked by address and any of theirs counts to their pool."""
+    name = F.coalesce(F.nullif(hostname, F.lit("")), F.nullif(ip, F.lit("")))
+    exact = {f"{p} {h}": t for p, hosts in PLATFORM_HOSTS.items() for h, t in hosts.items()}
+    known = F.create_map(*[F.lit(x) for pair in exact.items() for x in pair])
+    target = F.try_element_at(known, F.concat(platform, F.lit(" "), name))
+    for p, patterns in PLATFORM_PATTERNS.items():
+        for pattern, t in patterns:
+            target = F.coalesce(target, F.when((platform == p) & F.regexp_like(name, F.lit(pattern)), t))
+    return F.coalesce(target, F.when((platform == "telegram") & is_ip(name), "telegram/dc_pool"))
 
 
 def enrich_asn(df: DataFrame, asnmeta: DataFrame, asn: str = "probe_asn", day: str = "measurement_start_time") -> DataFrame:
@@ -66,9 +150,9 @@ def enrich_asn(df: DataFrame, asnmeta: DataFrame, asn: str = "probe_asn", day: s
     private, unknown = F.col(asn).between(*PRIVATE_ASNS), F.col(asn) == 0
     fix = lambda c, p, u: F.when(unknown, u).when(private, p).otherwise(F.coalesce(c, F.lit("")))
     return out.withColumns({
-        "org_name": fix("org_name", "Private Use", "Unknown"),
-        "cc": F.when(unknown | private, "ZZ").otherwise(F.coalesce("cc", F.lit("ZZ"))),
-        "aut_name": fix("aut_name", "Private Use", "Unknown"),
+        "org_name": fix("org_name", PRIVATE_NAME, "Unknown"),
+        "cc": F.when(unknown | private, "ZZ").otherwise(F.coalesce("cc", F.lit(""))),
+        "aut_name": fix("aut_name", PRIVATE_NAME, "Unknown"),
     })
 
 

@@ -208,7 +208,8 @@ def pair_by_address(dns: DataFrame, tcp: DataFrame, tls: DataFrame, http: DataFr
     row of its address that is left, so on every side the k-th row of an address goes with the k-th of
     the others, and a pairing starts from the first side that has it; rows without an address stand
     alone. One row a pairing: uid, ip, the four positions, and a running index from 1 (those that start
-    from DNS first, then from TCP, TLS, HTTP). One shuffle on the address, one on the measurement."""
+    from DNS first, then from TCP, TLS, HTTP; of equal positions the smaller address first, none last).
+    One shuffle on the address, one on the measurement."""
     rows = None
     for i, (n, df) in enumerate(zip(SIDES, (dns, tcp, tls, http))):
         part = df.select("measurement_uid", "ip", F.col("pos").cast("int").alias("pos"), F.lit(i).alias("side"))
@@ -220,7 +221,7 @@ def pair_by_address(dns: DataFrame, tcp: DataFrame, tls: DataFrame, http: DataFr
         *[F.max(F.when(F.col("side") == i, F.col("pos"))).alias(f"{n}_pos") for i, n in enumerate(SIDES)], F.min("side").alias("lead")
     )
     names = [f"{n}_pos" for n in SIDES]
-    order = Window.partitionBy("measurement_uid").orderBy("lead", *[F.col(n).asc_nulls_last() for n in names])
+    order = Window.partitionBy("measurement_uid").orderBy("lead", *[F.col(n).asc_nulls_last() for n in [*names, "ip"]])
     return paired.withColumn("observation_idx", F.row_number().over(order)).select("measurement_uid", "ip", *names, "observation_idx")
 
 
@@ -298,11 +299,12 @@ def hint_hostnames(rows: DataFrame, hints: DataFrame) -> DataFrame:
     return rows.join(one, ["measurement_uid", "ip"], "left").withColumn("hostname", F.coalesce("hostname", "hint")).drop("hint")
 
 
-def control_rows(tcp: DataFrame, tls: DataFrame, dns: DataFrame) -> DataFrame:
+def control_rows(tcp: DataFrame, tls: DataFrame, dns: DataFrame, http: DataFrame | None = None) -> DataFrame:
     """Control observations of each measurement. tcp: (measurement_uid, endpoint, tcp_success, tcp_failure);
     tls: (…, endpoint, tls_success, tls_failure, tls_server_name); dns: (measurement_uid, hostname, failure,
     addrs). One row for a DNS failure, one an endpoint with both results, one a resolved address that no
-    endpoint has; indexed from 0. An endpoint with TLS alone keeps its row."""
+    endpoint has, one for the control's own request (``http``: (measurement_uid, http_request_url, http_failure,
+    http_response_body_length)); indexed from 0. An endpoint with TLS alone keeps its row."""
     ends = tcp.join(tls, ["measurement_uid", "endpoint"], "full")
     ip, port = host_port(F.col("endpoint"))
     ends = ends.select("*", ip.alias("ip"), port.alias("port")).drop("endpoint")
@@ -316,6 +318,9 @@ def control_rows(tcp: DataFrame, tls: DataFrame, dns: DataFrame) -> DataFrame:
         .unionByName(resolved.withColumn("_s", F.lit(1)), allowMissingColumns=True)
         .unionByName(extra.withColumn("_s", F.lit(2)), allowMissingColumns=True)
     )
+    if http is not None:
+        asked = http.withColumn("http_success", F.col("http_failure").isNull()).withColumn("_s", F.lit(3))
+        rows = rows.unionByName(asked, allowMissingColumns=True)
     order = Window.partitionBy("measurement_uid").orderBy("_s", "ip", "port")
     return rows.withColumn("observation_idx", F.row_number().over(order) - 1).drop("_s").join(names.select("measurement_uid", "hostname"), "measurement_uid", "left")
 
@@ -327,7 +332,8 @@ def control_of(msmts: DataFrame) -> DataFrame:
     tcp = c.select("measurement_uid", F.explode("tcp_connect").alias("endpoint", "v")).select("measurement_uid", "endpoint", F.col("v.status").alias("tcp_success"), normal_failure(F.col("v.failure")).alias("tcp_failure"))
     tls = c.select("measurement_uid", F.explode("tls_handshake").alias("endpoint", "v")).select("measurement_uid", "endpoint", F.col("v.status").alias("tls_success"), normal_failure(F.col("v.failure")).alias("tls_failure"), F.col("v.server_name").alias("tls_server_name"))
     dns = c.select("measurement_uid", host.alias("hostname"), normal_failure(F.col("dns.failure")).alias("failure"), F.coalesce("dns.addrs", F.array().cast("array<string>")).alias("addrs"))
-    return control_rows(tcp, tls, dns)
+    http = c.filter("http_request IS NOT NULL").select("measurement_uid", F.col("input").alias("http_request_url"), F.col("http_request.failure").alias("http_failure"), F.col("http_request.body_length").alias("http_response_body_length"))
+    return control_rows(tcp, tls, dns, http)
 
 
 def tagged_targets(msmts: DataFrame, path: str, sides: tuple = ("tcp_connect", "tls_handshakes")) -> DataFrame:
@@ -354,12 +360,12 @@ def dispatch(msmts: DataFrame, branches: dict) -> DataFrame | None:
 
 
 def header_field_check(msmts: DataFrame) -> DataFrame:
-    """First reason why a header-manipulation check failed; success otherwise."""
+    """First reason why a header-manipulation check failed; success otherwise. The request's own failure
+    counts only where there is no response."""
     r = F.get("test_keys.requests", F.lit(0))
     reason = (
         F.when(F.coalesce(F.size("test_keys.requests"), F.lit(0)) <= 0, "missing_requests")
-        .when(r["failure"].isNotNull(), normal_failure(r["failure"]))
-        .when(r["response"].isNull(), "missing_response")
+        .when(r["response"].isNull(), F.coalesce(F.nullif(r["failure"], F.lit("")), F.lit("missing_response")))
         .when(r["response"]["body"].isNull(), "missing_response_body")
         .when(r["request"].isNull() | r["request"]["headers_list"].isNull(), "malformed_request")
     )

@@ -6,7 +6,7 @@ join moves maps of a hostname's addresses and not its rows. ``grain`` is the wid
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netquill.functions.scalars import is_ipv4, is_ipv6, map_get0, safe_div, url_domain
@@ -25,6 +25,7 @@ MAPS = {
     "ctrl_tcp_failing_ips": "tcp_success = 0",
 }
 KEY = ["hostname", "measurement_day"]
+COUNTED = ("tls_success", "tls_inconsistent", "tls_failing", "tcp_success", "tcp_failing")
 
 
 def with_day(rows: DataFrame, grain: str = "day") -> DataFrame:
@@ -98,31 +99,42 @@ def control_baseline(ctrl: DataFrame, obs: DataFrame, start=None, end=None, grai
         F.array_union(F.map_keys("ctrl_tls_success_ips"), F.coalesce("other_tls_consistent_ips", none)).alias("union_tls_consistent_ips"),
         rate_map(F.col("ctrl_tls_success_ips"), F.col("ctrl_tls_failing_ips")).alias("ctrl_tls_success_rates"),
         rate_map(F.col("ctrl_tcp_success_ips"), F.col("ctrl_tcp_failing_ips")).alias("ctrl_tcp_success_rates"),
+        # once a host and day, not once an observation
+        *[F.aggregate(F.map_values(f"ctrl_{m}_ips"), F.lit(0).cast("bigint"), lambda a, x: a + x).alias(f"ctrl_{m}_sum") for m in COUNTED],
+        *[F.size(f"ctrl_{m}_ips").alias(f"ctrl_{m}_ip_count") for m in COUNTED],
     )
 
 
 def with_windows(obs: DataFrame) -> DataFrame:
-    """Answers of a measurement's system resolver and failure rates of its report."""
+    """Answers of a measurement's system resolver and failure rates of its report. Both are aggregated with
+    map-side combine and joined back, so the wide rows of a large report are not gathered."""
     v4, v6 = is_ipv4(F.col("ip")), is_ipv6(F.col("ip"))
     obs = obs.withColumn("ip_is_v4", v4).withColumn("ip_is_v6", v6)
     local = F.col("dns_engine").isin("getaddrinfo", "system") & (F.col("ip_is_v6") | F.col("ip_is_v4"))
-    own = Window.partitionBy("measurement_uid", "hostname", "ip_is_v6")
-    report = Window.partitionBy("report_id")
-    count = lambda cond, w: F.sum(F.when(cond, 1).otherwise(0)).over(w)
+    key = ["measurement_uid", "hostname", "ip_is_v6"]
+    own = obs.filter(local).groupBy(*[F.col(c).alias(f"_{c}") for c in key]).agg(
+        F.array_sort(F.collect_list("dns_answer")).alias("dns_answers"),
+        F.array_sort(F.collect_list("ip_asn")).alias("dns_answers_asns"),
+        F.max(F.col("ip_is_bogon").cast("int")).alias("dns_answers_contain_bogon"),
+    )
     failed, good = F.col("tcp_failure").isNotNull(), F.col("tcp_success") == 1
-    out = obs.select(
-        "*",
-        F.array_sort(F.collect_list(F.when(local, F.col("dns_answer"))).over(own)).alias("dns_answers"),
-        F.array_sort(F.collect_list(F.when(local, F.col("ip_asn"))).over(own)).alias("dns_answers_asns"),
-        F.coalesce(F.max(F.when(local, F.col("ip_is_bogon").cast("int"))).over(own), F.lit(0)).alias("dns_answers_contain_bogon"),
-        count(F.col("ip_asn").isin(CLOUD_ASNS), Window.partitionBy("measurement_uid")).alias("dns_answers_cloud"),
-        count(F.col("ip_is_v6") & failed, report).alias("tcp_ipv6_failure_count"),
-        count(F.col("ip_is_v6") & good, report).alias("tcp_ipv6_success_count"),
-        count(F.col("ip_is_v4") & failed, report).alias("tcp_ipv4_failure_count"),
-        count(F.col("ip_is_v4") & good, report).alias("tcp_ipv4_success_count"),
+    report = obs.groupBy(F.col("report_id").alias("_report_id")).agg(
+        F.count_if(F.col("ip_is_v6") & failed).alias("tcp_ipv6_failure_count"),
+        F.count_if(F.col("ip_is_v6") & good).alias("tcp_ipv6_success_count"),
+        F.count_if(F.col("ip_is_v4") & failed).alias("tcp_ipv4_failure_count"),
+        F.count_if(F.col("ip_is_v4") & good).alias("tcp_ipv4_success_count"),
     )
+    out = obs.join(own, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key], "left").drop(*[f"_{c}" for c in key])
+    out = out.join(report, F.col("report_id").eqNullSafe(F.col("_report_id")), "left").drop("_report_id")
+    none = lambda c: F.coalesce(c, F.array().cast(own.schema[c].dataType))
     rate = lambda v: safe_div(F.col(f"tcp_{v}_failure_count"), F.col(f"tcp_{v}_failure_count") + F.col(f"tcp_{v}_success_count"))
-    return out.withColumn("tcp_ipv6_failure_rate", rate("ipv6")).withColumn("tcp_ipv4_failure_rate", rate("ipv4"))
+    return out.withColumns({
+        "dns_answers": none("dns_answers"),
+        "dns_answers_asns": none("dns_answers_asns"),
+        "dns_answers_contain_bogon": F.coalesce("dns_answers_contain_bogon", F.lit(0)),
+        "tcp_ipv6_failure_rate": rate("ipv6"),
+        "tcp_ipv4_failure_rate": rate("ipv4"),
+    })
 
 
 def full_fingerprints(fingerprints: DataFrame) -> DataFrame:
@@ -170,10 +182,8 @@ def with_flags(obs: DataFrame, baseline: DataFrame, fingerprints: DataFrame | No
         "ctrl_tls_success_rate": F.try_element_at("ctrl_tls_success_rates", ip),
         "ctrl_tcp_success_rate": F.try_element_at("ctrl_tcp_success_rates", ip),
     }
-    for m in ("tls_success", "tls_inconsistent", "tls_failing", "tcp_success", "tcp_failing"):
+    for m in COUNTED:
         flags[f"ctrl_{m}_count"] = map_get0(F.col(f"ctrl_{m}_ips"), ip)
-        flags[f"ctrl_{m}_sum"] = F.aggregate(F.map_values(f"ctrl_{m}_ips"), F.lit(0).cast("bigint"), lambda a, x: a + x)
-        flags[f"ctrl_{m}_ip_count"] = F.size(f"ctrl_{m}_ips")
     return rows.withColumns(flags)
 
 

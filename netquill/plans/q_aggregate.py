@@ -56,40 +56,44 @@ def outcome_counts(spark, d):
     return outcomes(spark, d)
 
 
-_FAIL = "CASE WHEN dns_failure IS NOT NULL THEN 'dns.' || dns_failure WHEN tcp_failure IS NOT NULL THEN 'tcp.' || tcp_failure WHEN tls_failure IS NOT NULL THEN 'tls.' || tls_failure ELSE 'none' END"
+_FAIL = """CASE WHEN dns_failure IS NOT NULL THEN 'dns_' || dns_failure WHEN tcp_failure IS NOT NULL THEN 'tcp_' || tcp_failure
+  WHEN tls_handshake_last_operation = 'write_1' THEN 'tls_' || tls_failure || '_after_CH' WHEN tls_failure IS NULL AND tls_server_name IS NOT NULL THEN 'none' ELSE 'tls_' || tls_failure END"""
+_FAILURES = f"""{OB} SELECT date_trunc('month', measurement_start_time) AS timestamp, {_FAIL} AS failure, probe_cc, count(*) AS observation_count FROM o
+WHERE dns_failure IS NOT NULL OR tcp_failure IS NOT NULL OR tls_failure IS NOT NULL OR tls_server_name IS NOT NULL GROUP BY ALL"""
 
 
-@query("failure_agg", f"""{OB} SELECT date_trunc('month', measurement_start_time) AS timestamp, {_FAIL} AS failure, probe_cc, count(*) AS observation_count FROM o
-WHERE (dns_failure IS NOT NULL OR tcp_failure IS NOT NULL OR tls_failure IS NOT NULL OR tcp_success = 1 OR dns_answer IS NOT NULL) AND probe_cc IN ('C1', 'C2') GROUP BY ALL""")
+@query("failure_agg", _FAILURES)
+@query("failure_agg_whole", _FAILURES)
 def failure_agg(spark, d):
-    return A.failure_aggregation(frame(spark, d, "O"), ("timestamp", "failure"), "month", probe_cc=("C1", "C2"))
-
-
-@query("failure_agg_whole", f"""{OB} SELECT date_trunc('month', measurement_start_time) AS timestamp, {_FAIL} AS failure, probe_cc, count(*) AS observation_count FROM o
-WHERE dns_failure IS NOT NULL OR tcp_failure IS NOT NULL OR tls_failure IS NOT NULL OR tcp_success = 1 OR dns_answer IS NOT NULL GROUP BY ALL""")
-def failure_agg_whole(spark, d):
     return A.failure_aggregation(frame(spark, d, "O"), ("timestamp", "failure", "probe_cc"), "month")
 
 
-def _class(x: str) -> str:
-    return f"""CASE WHEN {x} IS NULL THEN 'ok' WHEN {x} LIKE 'unknown\\_failure%' ESCAPE '\\' THEN 'unknown' WHEN {x} LIKE 'ssl\\_%' ESCAPE '\\' THEN 'certificate' WHEN {x} LIKE '%timeout%' OR {x} LIKE '%timed_out%' THEN 'timeout'
-      WHEN {x} IN ('connection_reset', 'connection_refused', 'connection_aborted') THEN {x} WHEN {x} LIKE 'dns\\_%' ESCAPE '\\' THEN 'dns' WHEN {x} LIKE '%unreachable' THEN 'unreachable' ELSE 'other' END"""
-
-
-@query("failure_class", OB + ", f AS (" + " UNION ALL ".join(f"SELECT probe_cc, test_name, resolver_asn = probe_asn AS same_network_resolver, '{x}' AS layer, {_class(x + '_failure')} AS class FROM o" for x in ("dns", "tcp", "tls")) + """)
-SELECT probe_cc, test_name, same_network_resolver, layer, class, count(*) AS n FROM f WHERE class <> 'unreachable' GROUP BY ALL""")
+@query("failure_class", OB + """, f AS (SELECT *, CASE WHEN dns_failure IS NOT NULL THEN 'dns' WHEN tcp_failure IS NOT NULL THEN 'tcp' WHEN tls_failure IS NOT NULL THEN 'tls' WHEN http_failure IS NOT NULL THEN 'https' ELSE 'ok' END AS c,
+  coalesce(dns_failure, tcp_failure, tls_failure, http_failure) AS t FROM o)
+SELECT probe_cc, probe_asn, hostname, resolver_asn, date_trunc('day', measurement_start_time) AS ts,
+  CASE WHEN c = 'ok' THEN 'ok' WHEN starts_with(t, 'unknown_failure') THEN c || '.unknown_failure' ELSE c || '.' || t END AS failure_str, count(*) AS cnt FROM f GROUP BY ALL""")
 def failure_class(spark, d):
-    return A.failure_classes(frame(spark, d, "O"), ["probe_cc", "test_name"])
+    return A.failure_classes(frame(spark, d, "O"), ["probe_cc", "probe_asn", "hostname", "resolver_asn"])
 
 
-@query("tls_consistency", OCB + """, a AS (SELECT ip, tls_server_name, count(*) AS n, count(DISTINCT probe_cc || '/' || probe_asn) AS vp, min(ip_asn) AS asn FROM o WHERE tls_is_certificate_valid = 1 GROUP BY ALL),
-b AS (SELECT ip, tls_server_name, count(*) AS n, min(ip_asn) AS asn, min(ip_cc) AS cc FROM c WHERE tls_success = 1 AND ip IS NOT NULL GROUP BY ALL)
-SELECT coalesce(a.ip, b.ip) AS ip, coalesce(a.tls_server_name, b.tls_server_name) AS tls_server_name, coalesce(a.n, 0) + coalesce(b.n, 0) AS msmt_count, coalesce(vp, 0) AS vp_count,
-  b.n IS NOT NULL AS in_ctrl, coalesce(a.asn, b.asn) AS ip_asn, b.cc AS ip_cc FROM a FULL JOIN b ON a.ip = b.ip AND a.tls_server_name = b.tls_server_name""")
+@query("tls_consistency", OCB + """, a AS (SELECT ip, tls_server_name, ip_cc, ip_asn, ip_as_org_name, count(*) AS n, count(DISTINCT probe_cc || '/' || probe_asn) AS vp FROM o
+  WHERE tls_failure IS NULL AND tls_server_name IS NOT NULL AND ip IS NOT NULL GROUP BY ALL),
+b AS (SELECT ip, tls_server_name, count(*) AS n FROM c WHERE tls_success = 1 AND tls_server_name IS NOT NULL AND ip IS NOT NULL GROUP BY ALL)
+SELECT coalesce(a.ip, b.ip) AS ip, coalesce(a.tls_server_name, b.tls_server_name) AS tls_server_name, CAST(sum(coalesce(a.n, 0) + coalesce(b.n, 0)) AS BIGINT) AS msmt_count, CAST(sum(coalesce(vp, 0)) AS BIGINT) AS vp_count,
+  bool_or(b.n IS NOT NULL) AS in_ctrl, min(ip_cc) AS ip_cc, min(ip_asn) AS ip_asn, min(ip_as_org_name) AS ip_as_org_name
+FROM a FULL JOIN b ON a.ip = b.ip AND a.tls_server_name = b.tls_server_name GROUP BY 1, 2""")
 def tls_consistency(spark, d):
     return A.tls_consistency(frame(spark, d, "O"), frame(spark, d, "C"))
 
 
+@query("all_outcomes", OUTCOME[: OUTCOME.index("t AS (SELECT * FROM h")].rstrip().rstrip(",") + """
+SELECT measurement_start_day, probe_cc, layer, label, CAST(share AS DOUBLE) AS share, CAST(row_number() OVER (PARTITION BY measurement_start_day, probe_cc
+  ORDER BY CASE layer WHEN 'dns' THEN 1 WHEN 'tcp' THEN 2 ELSE 3 END, round(share, 12) DESC, label) AS INTEGER) AS place FROM h""")
+def all_outcomes(spark, d):
+    v = frame(spark, d, "V").withColumn("measurement_start_day", F.date_trunc("day", "measurement_start_time"))
+    return A.all_outcomes(v, ["measurement_start_day", "probe_cc"])
+
+
 @query("rule_dist", f"{VB} " + " UNION ALL ".join(f"SELECT '{x}' AS layer, top_{x}_rule_id AS rule_id, count(*) AS n, count(*) FILTER (WHERE {x}_blocked > 0.5) AS n_blocked FROM v GROUP BY ALL" for x in ("dns", "tcp", "tls")))
 def rule_dist(spark, d):
     v = frame(spark, d, "V")

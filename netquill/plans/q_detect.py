@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import datetime
-from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -18,19 +17,18 @@ SERIES = """series AS (SELECT probe_cc, probe_asn, domain, date_trunc('hour', me
   count(*) FILTER (WHERE resolver_asn = probe_asn) AS count_isp_resolver, count(*) FILTER (WHERE resolver_asn <> probe_asn) AS count_other_resolver, count(*) AS count,
   quantile_cont(dns_blocked, 0.5) FILTER (WHERE resolver_asn = probe_asn) AS dns_isp_blocked, quantile_cont(dns_blocked, 0.5) FILTER (WHERE resolver_asn <> probe_asn) AS dns_other_blocked,
   quantile_cont(tcp_blocked, 0.5) AS tcp_blocked, quantile_cont(tls_blocked, 0.5) AS tls_blocked
-  FROM v WHERE measurement_start_time > TIMESTAMP '2024-01-02' AND measurement_start_time < TIMESTAMP '2024-01-28' GROUP BY ALL)"""
-START, END = datetime(2024, 1, 2), datetime(2024, 1, 28)
+  FROM v GROUP BY ALL)"""
 OPTIONS = {"edd": 2.0, "gap_halflife": 48.0}
 
 
-def series(spark, d, whole=False):
-    """Hours strictly inside (START, END), or of all events."""
-    return D.hourly_series(frame(spark, d, "V"), *(() if whole else (START, END)))
+def series(spark, d):
+    """Hours of all events."""
+    return D.hourly_series(frame(spark, d, "V"))
 
 
 @query("hourly_series", f"{VB}, {SERIES} SELECT * FROM series")
-def hourly_series(spark, d, whole=False):
-    return series(spark, d, whole)
+def hourly_series(spark, d):
+    return series(spark, d)
 
 
 POINTS = """points AS (SELECT probe_cc, probe_asn, domain, ts, 'dns_isp_blocked' AS signal, dns_isp_blocked AS y, count_isp_resolver AS w FROM series
@@ -61,15 +59,15 @@ WALK = f"""WITH RECURSIVE {VB[5:]}, {SERIES}, {POINTS}, walk AS (
 
 @query("cusum", f"""{WALK} SELECT probe_cc, probe_asn, domain, signal, last_ts AS ts, emitted AS change_dir, ep AS s_pos, en AS s_neg, before AS current_state,
   CAST(0.7 AS DOUBLE) AS h FROM walk WHERE emitted <> 0""")
-def cusum(spark, d, whole=False):
-    return D.detect_changes(series(spark, d, whole), **OPTIONS)[0]
+def cusum(spark, d):
+    return D.detect_changes(series(spark, d), **OPTIONS)[0]
 
 
 @query("cusum_resume", f"""{WALK} SELECT probe_cc, probe_asn, domain, signal, arg_max(st, i) AS current_state, arg_max(p, i) AS s_pos, arg_max(n, i) AS s_neg,
   arg_max(ch, i) AS last_change, CAST(count(*) FILTER (WHERE emitted <> 0) AS BIGINT) AS n_changes FROM walk GROUP BY ALL""")
-def cusum_resume(spark, d, whole=False):
+def cusum_resume(spark, d):
     """Two runs, the second from the state the first left, end where one run over all hours ends."""
-    hours, cut = series(spark, d, whole), datetime(2024, 1, 15)
+    hours, cut = series(spark, d), datetime(2024, 1, 15)
     first, state, _ = D.detect_changes(hours.filter(F.col("ts") < F.lit(cut)), **OPTIONS)
     second, last, _ = D.detect_changes(hours.filter(F.col("ts") >= F.lit(cut)), state, **OPTIONS)
     keys = [*D.KEY, "signal"]
@@ -83,15 +81,15 @@ def cusum_resume(spark, d, whole=False):
 
 
 @query("cusum_trace")
-def cusum_trace(spark, d, whole=False):
-    return D.detect_changes(series(spark, d, whole), trace=True, **OPTIONS)[2]
+def cusum_trace(spark, d):
+    return D.detect_changes(series(spark, d), trace=True, **OPTIONS)[2]
 
 
 @query("bernoulli_cusum", f"""{VB}, {SERIES}, {POINTS}, s AS (SELECT *, sum(w * (y * ln(7.0) + (1 - y) * ln(0.3 / 0.9))) OVER (PARTITION BY probe_cc, probe_asn, domain, signal ORDER BY ts) AS u FROM numbered)
 SELECT probe_cc, probe_asn, domain, signal, ts, u - least(min(u) OVER k, 0) AS s_pos, -u - least(min(-u) OVER k, 0) AS s_neg
 FROM s WINDOW k AS (PARTITION BY probe_cc, probe_asn, domain, signal ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
-def bernoulli_cusum(spark, d, whole=False):
-    return D.bernoulli_cusum(D.long_form(series(spark, d, whole)))
+def bernoulli_cusum(spark, d):
+    return D.bernoulli_cusum(D.long_form(series(spark, d)))
 
 
 @query("latest_state", f"""{MB} SELECT probe_cc, probe_asn, domain, max(measurement_start_time) AS ts,
@@ -126,8 +124,8 @@ SELECT ts, probe_cc, probe_asn, domain, signal, emitted AS change_dir,
   '[' || probe_cc || '/AS' || probe_asn || '] ' || domain || CASE emitted WHEN 1 THEN ' is blocked' ELSE ' is unblocked' END || ' - ' || signal AS text,
   'https://explorer.example/chart/mat' || query AS explorer_url, 'https://panel.example/' || query AS panel_url,
   CAST((row_number() OVER (ORDER BY ts, probe_cc, probe_asn, domain, signal) - 1) // 10 AS INTEGER) AS batch FROM q""")
-def alert_rows(spark, d, whole=False):
-    return D.alert_rows(D.detect_changes(series(spark, d, whole), **OPTIONS)[0])
+def alert_rows(spark, d):
+    return D.alert_rows(D.detect_changes(series(spark, d), **OPTIONS)[0])
 
 
 @query("cp_events", f"""{MB}, x AS (SELECT user_id, CASE event_type WHEN 'error' THEN 1 ELSE -1 END AS change_dir, measurement_start_time AS ts FROM m),
@@ -190,9 +188,9 @@ def dense_hours(spark, d):
 
 @query("panel_summary", f"""{WALK}, a AS (SELECT probe_asn, count(*) AS n_hours, count(*) FILTER (WHERE dns_isp_blocked IS NOT NULL) AS n_isp, count(*) FILTER (WHERE dns_other_blocked IS NOT NULL) AS n_other FROM series GROUP BY ALL)
 SELECT a.probe_asn, n_hours, n_isp, n_other, a.probe_asn IN (SELECT probe_asn FROM walk WHERE emitted <> 0) AS has_change FROM a""")
-def panel_summary(spark, d, whole=False):
+def panel_summary(spark, d):
     """Hours of each network, how many have a value of each resolver kind, and whether it has a change."""
-    s = series(spark, d, whole)
+    s = series(spark, d)
     changed = D.detect_changes(s, **OPTIONS)[0].select("probe_asn").distinct().withColumn("has_change", F.lit(True))
     per = s.groupBy("probe_asn").agg(
         F.count("*").alias("n_hours"), F.count("dns_isp_blocked").alias("n_isp"), F.count("dns_other_blocked").alias("n_other")
@@ -200,8 +198,6 @@ def panel_summary(spark, d, whole=False):
     return per.join(changed, "probe_asn", "left").withColumn("has_change", F.coalesce("has_change", F.lit(False)))
 
 
-#: the queries above over all events, whatever their dates; the SQL is theirs without the bounds
-BOUNDS = " WHERE measurement_start_time > TIMESTAMP '2024-01-02' AND measurement_start_time < TIMESTAMP '2024-01-28'"
+#: the same under their second names
 for _name in ("hourly_series", "cusum", "cusum_resume", "cusum_trace", "bernoulli_cusum", "alert_rows", "panel_summary"):
-    _sql = SQL.get(_name)
-    query(f"{_name}_whole", _sql and _sql.replace(BOUNDS, ""))(partial(QUERIES[_name], whole=True))
+    query(f"{_name}_whole", SQL.get(_name))(QUERIES[_name])

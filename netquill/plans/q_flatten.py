@@ -85,51 +85,29 @@ def _nested(spark, d):
     )
 
 
-@query("dns_explode", """SELECT CAST(l_orderkey AS VARCHAR) AS measurement_uid, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1 AS INTEGER) AS query_pos,
+_DNS = """SELECT CAST(l_orderkey AS VARCHAR) AS measurement_uid, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS INTEGER) AS query_pos,
   CASE WHEN l_linenumber = 3 THEN 'dns_server_misbehaving' END AS failure,
   CASE WHEN l_linenumber = 3 THEN NULL WHEN l_partkey % 3 = 0 THEN '93.184.' || (l_partkey % 200) || '.7' WHEN l_partkey % 3 = 1 THEN '2001:470::' || (l_partkey % 200) ELSE 'cname' || (l_partkey % 9) || '.example' END AS answer,
   CASE WHEN l_linenumber <> 3 AND l_partkey % 2 = 0 THEN l_suppkey ELSE 0 END AS answer_asn,
-  CASE WHEN l_linenumber = 3 OR l_partkey % 3 = 2 THEN NULL WHEN l_partkey % 3 = 0 THEN '93.184.' || (l_partkey % 200) || '.7' ELSE '2001:470::' || (l_partkey % 200) END AS ip FROM lineitem
-  WHERE l_orderkey NOT IN (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) <> count(DISTINCT l_linenumber))""")
-def dns_explode(spark, d):
-    """Orders with repeated line numbers have no defined order and are left out."""
-    out = L.explode_dns(_nested(spark, d)).select("measurement_uid", "query_pos", "failure", "answer", "answer_asn", "ip")
-    lines = frame(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("a"), F.count_distinct("l_linenumber").alias("b")).filter("a = b")
-    return out.join(lines.select(F.col("l_orderkey").cast("string").alias("measurement_uid")), "measurement_uid", "left_semi")
+  CASE WHEN l_linenumber = 3 OR l_partkey % 3 = 2 THEN NULL WHEN l_partkey % 3 = 0 THEN '93.184.' || (l_partkey % 200) || '.7' ELSE '2001:470::' || (l_partkey % 200) END AS ip FROM lineitem"""
 
 
-@query("dns_explode_whole", """SELECT CAST(l_orderkey AS VARCHAR) AS measurement_uid, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS INTEGER) AS query_pos,
-  CASE WHEN l_linenumber = 3 THEN 'dns_server_misbehaving' END AS failure,
-  CASE WHEN l_linenumber = 3 THEN NULL WHEN l_partkey % 3 = 0 THEN '93.184.' || (l_partkey % 200) || '.7' WHEN l_partkey % 3 = 1 THEN '2001:470::' || (l_partkey % 200) ELSE 'cname' || (l_partkey % 9) || '.example' END AS answer,
-  CASE WHEN l_linenumber <> 3 AND l_partkey % 2 = 0 THEN l_suppkey ELSE 0 END AS answer_asn,
-  CASE WHEN l_linenumber = 3 OR l_partkey % 3 = 2 THEN NULL WHEN l_partkey % 3 = 0 THEN '93.184.' || (l_partkey % 200) || '.7' ELSE '2001:470::' || (l_partkey % 200) END AS ip FROM lineitem""")
-def dns_explode_whole(spark, d):
+@query("dns_explode", _DNS)
+@query("dns_explode_whole", _DNS)
+def dns_explode(spark, d):
     """All orders: lines with one number are ordered by part and supplier, and equal lines give equal rows."""
     return L.explode_dns(_nested(spark, d)).select("measurement_uid", "query_pos", "failure", "answer", "answer_asn", "ip")
 
 
-_REDIR = """SELECT measurement_uid, observation_idx, http_url, CASE WHEN lead(observation_idx) OVER k % 2 = 0 AND lead(hostname) OVER k < hostname THEN lead(http_url) OVER k END AS redirect_from
-FROM u WINDOW k AS (PARTITION BY measurement_uid ORDER BY observation_idx)"""
+_REDIR = f"""{OB} SELECT measurement_uid, observation_idx, http_url, CASE WHEN lead(observation_idx) OVER k % 2 = 0 AND lead(hostname) OVER k < hostname THEN lead(http_url) OVER k END AS redirect_from
+FROM o WINDOW k AS (PARTITION BY measurement_uid ORDER BY observation_idx, http_url, ip)"""
 
 
-@query("redirect_from", f"{OB}, u AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY measurement_uid, observation_idx ORDER BY http_url, ip) = 1) {_REDIR}")
+@query("redirect_from", _REDIR)
+@query("redirect_from_whole", _REDIR)
 def redirect_from(spark, d):
     """The earlier request of a row is the next one; here it points to this URL when its index is even
-    and its host sorts before."""
-    from pyspark.sql import Window
-
-    o = frame(spark, d, "O")
-    one = o.withColumn("r", F.row_number().over(Window.partitionBy("measurement_uid", "observation_idx").orderBy("http_url", "ip"))).filter("r = 1")
-    by = Window.partitionBy("measurement_uid").orderBy("observation_idx")
-    location = F.when((F.col("observation_idx") % 2 == 0) & (F.col("hostname") < F.lag("hostname").over(by)), F.lag("http_url").over(by))
-    rows = one.select("measurement_uid", "observation_idx", "http_url", location.alias("location"))
-    return L.redirect_from(rows, ["measurement_uid"], "observation_idx", "http_url", "location").drop("location")
-
-
-@query("redirect_from_whole", f"""{OB} SELECT measurement_uid, observation_idx, http_url, CASE WHEN lead(observation_idx) OVER k % 2 = 0 AND lead(hostname) OVER k < hostname THEN lead(http_url) OVER k END AS redirect_from
-FROM o WINDOW k AS (PARTITION BY measurement_uid ORDER BY observation_idx, http_url, ip)""")
-def redirect_from_whole(spark, d):
-    """``redirect_from`` over all observations: those of one index are ordered by URL and address, by a
+    and its host sorts before. All observations: those of one index are ordered by URL and address, by a
     position that runs on. Rows alike in all three are interchangeable, as the host is part of the URL."""
     from pyspark.sql import Window
 
@@ -232,7 +210,7 @@ j AS (SELECT coalesce(a.u, b.u, c.u, e.u) AS measurement_uid, coalesce(a.ip, b.i
   UNION ALL SELECT u, NULL, pos, NULL, NULL, NULL FROM dns WHERE ip IS NULL UNION ALL SELECT u, NULL, NULL, pos, NULL, NULL FROM tcp WHERE ip IS NULL
   UNION ALL SELECT u, NULL, NULL, NULL, pos, NULL FROM tls WHERE ip IS NULL UNION ALL SELECT u, NULL, NULL, NULL, NULL, pos FROM http WHERE ip IS NULL)
 SELECT *, CAST(row_number() OVER (PARTITION BY measurement_uid ORDER BY CASE WHEN dns_pos IS NOT NULL THEN 0 WHEN tcp_pos IS NOT NULL THEN 1 WHEN tls_pos IS NOT NULL THEN 2 ELSE 3 END,
-  dns_pos NULLS LAST, tcp_pos NULLS LAST, tls_pos NULLS LAST, http_pos NULLS LAST) AS INTEGER) AS observation_idx FROM j""")
+  dns_pos NULLS LAST, tcp_pos NULLS LAST, tls_pos NULLS LAST, http_pos NULLS LAST, ip NULLS LAST) AS INTEGER) AS observation_idx FROM j""")
 def pair_greedy(spark, d):
     li = frame(spark, d, "lineitem")
     ip = F.when(F.col("l_suppkey") % 11 != 0, F.concat(F.lit("a"), (F.col("l_suppkey") % 3).cast("string")))

@@ -227,16 +227,9 @@ def verdict_rollup(spark, d):
     return V.roll_up(V.scored_rows(o, c, fingerprints(spark), grain=GRAIN))
 
 
-@query("web_verdicts", _ROLLED.replace("{where}", "").replace("FROM o2 WINDOW own", "FROM o2 WHERE probe_cc IN ('C1', 'C2', 'C3') WINDOW own"))
-def web_verdicts(spark, d):
-    """The windows over reports see the filtered rows only, as the filter comes first; a report belongs
-    to customers of several countries here, so the checking SQL filters first as well."""
-    o, c = inputs(spark, d)
-    return V.web_verdicts(o, c, fingerprints(spark), probe_cc=("C1", "C2", "C3"), grain=GRAIN)
-
-
+@query("web_verdicts", _ROLLED.replace("{where}", ""))
 @query("web_verdicts_whole", _ROLLED.replace("{where}", ""))
-def web_verdicts_whole(spark, d):
+def web_verdicts(spark, d):
     """Verdicts of all countries."""
     o, c = inputs(spark, d)
     return V.web_verdicts(o, c, fingerprints(spark), grain=GRAIN)

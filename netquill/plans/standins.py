@@ -60,7 +60,9 @@ SELECT CAST(l_orderkey AS STRING) AS measurement_uid, CAST(l_linenumber AS BIGIN
        WHEN l_returnflag = 'A' AND CAST(l_quantity AS BIGINT) % 7 = 0 THEN 0
        WHEN l_returnflag = 'A' AND CAST(l_quantity AS BIGINT) % 7 < 3 THEN NULL
        WHEN l_suppkey % 3 = 0 THEN 1 END AS tls_is_certificate_valid,
-  CONCAT('h', CAST(l_partkey % 40 AS STRING), '.example') AS tls_server_name,
+  CASE WHEN l_linenumber = 5 THEN NULL ELSE CONCAT('h', CAST(l_partkey % 40 AS STRING), '.example') END AS tls_server_name,
+  CASE WHEN l_linenumber % 3 = 1 THEN 'write_1' ELSE 'read_2' END AS tls_handshake_last_operation,
+  CONCAT('K', CAST(l_suppkey % 8 AS STRING)) AS ip_cc, CONCAT('org', CAST(l_suppkey % 30 AS STRING)) AS ip_as_org_name,
   CASE WHEN l_discount > 0.05 THEN 'http_timeout' END AS http_failure,
   'web_connectivity' AS test_name, o_orderdate AS measurement_start_time,
   CONCAT('C', CAST(c_nationkey % 6 AS STRING)) AS probe_cc, CAST(o_custkey % 9 AS BIGINT) AS probe_asn,
@@ -74,10 +76,10 @@ SELECT CAST(l_orderkey AS STRING) AS measurement_uid, CAST(l_linenumber AS BIGIN
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{customer}} ON o_custkey = c_custkey
 """
 
-#: control observations
+#: control observations of all lines; four hosts have none
 C = f"""
 SELECT CAST(l_orderkey AS STRING) AS measurement_uid, CAST(l_linenumber AS BIGINT) AS observation_idx,
-  CONCAT('h', CAST(l_partkey % 45 AS STRING), '.example') AS hostname,
+  CONCAT('h', CAST(l_partkey % 45 + 4 AS STRING), '.example') AS hostname,
   CASE WHEN l_linenumber = 6 THEN NULL ELSE {_ip('((l_suppkey + l_partkey % 2) % 60)')} END AS ip,
   CASE WHEN l_linenumber = 2 THEN NULL ELSE (l_suppkey + l_partkey % 2) % 30 END AS ip_asn,
   CONCAT('org', CAST(l_suppkey % 30 AS STRING)) AS ip_as_org_name, CONCAT('K', CAST(l_suppkey % 8 AS STRING)) AS ip_cc,
@@ -87,10 +89,9 @@ SELECT CAST(l_orderkey AS STRING) AS measurement_uid, CAST(l_linenumber AS BIGIN
   CASE WHEN l_linenumber IN (3, 6) THEN NULL WHEN CAST(l_quantity AS BIGINT) % 3 = 0 THEN 'connection_refused' END AS tcp_failure,
   CASE WHEN l_linenumber IN (3, 6) THEN NULL WHEN l_partkey % 5 = 0 THEN 0 WHEN l_partkey % 5 < 3 THEN 1 END AS tls_success,
   CASE WHEN l_linenumber IN (3, 6) OR l_partkey % 5 <> 0 THEN NULL WHEN l_returnflag = 'A' THEN 'ssl_invalid_hostname' ELSE 'connection_reset' END AS tls_failure,
-  CONCAT('h', CAST(l_partkey % 45 AS STRING), '.example') AS tls_server_name,
+  CONCAT('h', CAST(l_partkey % 45 + 4 AS STRING), '.example') AS tls_server_name,
   o_orderdate AS measurement_start_time
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
-WHERE l_linestatus = 'O' AND l_partkey % 11 <> 0
 """
 
 #: verdicts: one row an event, the score going to the layer that the event type names

@@ -6,6 +6,7 @@ import io
 import json
 import tarfile
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,7 +23,8 @@ def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType
 
 def read_post_archives(spark: SparkSession, path: str) -> DataFrame:
     """(measurement_uid, raw) of the JSON posts in .tar.gz archives: the ``content`` of each ``.post`` file
-    whose ``format`` is json, named by its file. An archive is one task's work, streamed."""
+    whose ``format`` is json, named by its file. An archive is one task's work: its compressed bytes (2 GB at
+    most) are held, its posts are passed on 1000 at a time."""
 
     def posts(data: bytes) -> Iterator[tuple[str, str]]:
         with tarfile.open(fileobj=io.BytesIO(data), mode="r|*") as tar:
@@ -39,9 +41,8 @@ def read_post_archives(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column("content").to_pylist():
-                rows = list(posts(data))
-                for at in range(0, len(rows), 1000):
-                    part = rows[at : at + 1000]
+                found = posts(data)
+                while part := list(islice(found, 1000)):
                     yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in part], pa.string()) for k in (0, 1)], ["measurement_uid", "raw"])
 
     files = spark.read.format("binaryFile").load(path).select("content")
@@ -107,6 +108,19 @@ def write_partitioned(df: DataFrame, path: str, time: str = "measurement_start_t
     out.write.partitionBy("bucket_month", "bucket_date").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def read_partitioned(spark: SparkSession, path: str, start=None, end=None, time: str = "measurement_start_time") -> DataFrame:
+    """Rows in (start, end] of what :func:`write_partitioned` wrote; only the months and days of that time are
+    listed and read."""
+    rows = spark.read.parquet(path)
+    for bound, keep in ((start, lambda c, v: c >= v), (end, lambda c, v: c <= v)):
+        if bound is not None:
+            rows = rows.filter(keep(F.col("bucket_month").cast("string"), F.lit(f"{bound:%Y-%m}")))
+            rows = rows.filter(keep(F.to_date("bucket_date"), F.lit(f"{bound:%Y-%m-%d}").cast("date")))
+    if start is not None:
+        rows = rows.filter(F.col(time) > F.lit(start))
+    return rows if end is None else rows.filter(F.col(time) <= F.lit(end))
+
+
 def write_csv(tables: dict[str, DataFrame], path: str) -> None:
     for name, df in tables.items():
         df.write.mode("overwrite").option("header", True).csv(f"{path}/{name}")

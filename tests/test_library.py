@@ -268,7 +268,7 @@ def test_enrichment(spark):
     rows = spark.createDataFrame([(5, DAY), (0, DAY), (64600, DAY), (9, DAY)], "probe_asn long, measurement_start_time timestamp")
     meta = E.asn_flatten(spark.createDataFrame([('{"5": [["Old","IT","20200101","n1","s"],["New","FR","20230101","n2","s"],["Later","ES","20250101","n3","s"]]}',)], "value string"))
     got = {r.probe_asn: (r.org_name, r.cc, r.aut_name) for r in E.enrich_asn(rows, meta).collect()}
-    assert got == {5: ("New", "FR", "n2"), 0: ("Unknown", "ZZ", "Unknown"), 64600: ("Private Use", "ZZ", "Private Use"), 9: ("", "ZZ", "")}
+    assert got == {5: ("New", "FR", "n2"), 0: ("Unknown", "ZZ", "Unknown"), 64600: ("Private use (RFC1930)", "ZZ", "Private use (RFC1930)"), 9: ("", "", "")}
 
 
 def test_extras(spark):
