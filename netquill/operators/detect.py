@@ -7,7 +7,7 @@ found, and nothing leaves the JVM.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -195,6 +195,19 @@ def clear_changes(changes: DataFrame, start: datetime, end: datetime) -> DataFra
     return changes.filter(~F.col("ts").between(F.lit(start), F.lit(end)))
 
 
+def missing_signals(keys: DataFrame, seen: DataFrame, key: str, expected: tuple) -> DataFrame:
+    """(key, signal) for every expected signal that a key never gave."""
+    wanted = keys.select(key, F.explode(F.array(*[F.lit(x) for x in expected])).alias("signal"))
+    return wanted.join(seen.select(key, "signal").distinct(), [key, "signal"], "left_anti")
+
+
+def warm_up(verdicts: DataFrame, start: datetime, days: int = 30, **options) -> DataFrame:
+    """The detector's state after a replay of the days before ``start``, from nothing and without changes: what
+    a run that begins at ``start`` resumes from, in place of any stored state."""
+    series = hourly_series(verdicts, start - timedelta(days=days), start)
+    return detect_changes(series, warmup=True, **options)[1]
+
+
 def event_clusters(changes: DataFrame, keys: list[str], gap_hours: float) -> DataFrame:
     """Changes of one key and direction that lie within a gap of each other, as one event."""
     order = Window.partitionBy(*keys, "change_dir").orderBy("ts")

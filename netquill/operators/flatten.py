@@ -141,8 +141,9 @@ def handshake_summary(events: Column) -> Column:
         )
 
     span = F.when(F.size(events) > 0, F.element_at(events, -1)["t"] - F.get(events, F.lit(0))["t"])
-    s = F.aggregate(events, zero, step)
-    return F.struct(span.alias("time"), *[s[n].alias(n) for n in ("read_count", "read_bytes", "write_count", "write_bytes", "last_operation")])
+    # bound once, so that the fold does not run once a field
+    bound = F.transform(F.array(F.aggregate(events, zero, step)), lambda s: F.struct(span.alias("time"), *[s[n].alias(n) for n in ("read_count", "read_bytes", "write_count", "write_bytes", "last_operation")]))
+    return F.get(bound, F.lit(0))
 
 
 def explode_tls(msmts: DataFrame, path: str = "test_keys.tls_handshakes") -> DataFrame:
@@ -160,7 +161,7 @@ def explode_tls(msmts: DataFrame, path: str = "test_keys.tls_handshakes") -> Dat
         F.col("h.transaction_id").alias("transaction_id"), F.col("h.t").alias("t"), F.coalesce("ev", F.array().cast(h.schema["ev"].dataType)).alias("events"),
         event_time(F.col("start"), F.col("h.t")).alias("ts"),
     )
-    return rows.withColumn("handshake", handshake_summary(handshake_events(rows))).drop("events")
+    return rows.withColumn("_own", handshake_events(rows)).withColumn("handshake", handshake_summary(F.col("_own"))).drop("events", "_own")
 
 
 def chain_fingerprints(certificates: Column) -> Column:

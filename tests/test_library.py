@@ -15,10 +15,12 @@ from netquill.operators import detect as D
 from netquill.operators import enrich as E
 from netquill.operators import extras as X
 from netquill.operators import flatten as L
+from netquill.operators import observations as B
 from netquill.operators import quality as Q
 from netquill.operators import rules as R
 from netquill.operators import text as T
 from netquill.operators import verdicts as V
+from netquill.schemas import TEST_NAMES
 from netquill.sources import io as IO
 
 DAY = datetime(2024, 1, 1, 5)
@@ -225,6 +227,44 @@ def test_other_tests_flatten(spark, msmts):
         L.dispatch(msmts, {"nothing": L.measurement_meta})
 
 
+def test_observations_of_every_test(spark, msmts):
+    """The branches of all tests give rows of one shape; other tests give nothing."""
+    one = B.observations(msmts, ("web_connectivity",)).orderBy("observation_idx").collect()
+    assert [(r.ip, r.port, r.hostname, r.transaction_id) for r in one[:2]] == [("1.2.3.4", 443, "h.example", 1), ("1.2.3.5", None, "h.example", 1)]
+    assert (one[0].tls_handshake_last_operation, one[0].http_status_code, one[0].platform, one[0].resolver_is_scrubbed) == ("read_1", 200, "linux", True)
+    assert B.observations(msmts).count() == len(one) and set(B.BRANCHES) == set(TEST_NAMES)
+    chat = B.observations(msmts.withColumn("test_name", F.lit("telegram"))).filter("target_id IS NOT NULL").collect()
+    assert {r.target_id for r in chat} <= {"telegram/dc_pool"} and B.observations(msmts, probe_cc=("DE",)).count() == 0
+    assert L.control_of(L.gate(msmts).withColumn("test_keys", F.expr("""named_struct('control', named_struct('dns', test_keys.control.dns, 'tcp_connect', test_keys.control.tcp_connect,
+        'tls_handshake', test_keys.control.tls_handshake, 'http_request', named_struct('failure', CAST(NULL AS STRING), 'body_length', 7L)))"""))).filter("http_success AND http_response_body_length = 7").count() == 1
+
+
+def test_enrichment_of_both_families(spark):
+    rows = spark.createDataFrame([(a, DAY) for a in ("8.8.8.8", "10.0.0.1", "2606:4700::1", "2606:4700:5::1", "2a00::1", "x", None)], "ip string, measurement_start_time timestamp")
+    number = int.from_bytes(bytes([8, 8, 8, 0]), "big")
+    ranges = spark.createDataFrame([(DAY, number, number + 255, 24, 15169, "G", "US", "US")], "snapshot timestamp, first long, last long, prefix_len int, asn long, org string, as_cc string, cc string")
+    bits = f"{0x26064700:032b}"
+    prefixes = spark.createDataFrame([(DAY, bits, 13335, "C", "US", "US"), (DAY, bits + f"{5:016b}", 5, "D", "DE", "DE")], "snapshot timestamp, prefix string, asn long, org string, as_cc string, cc string")
+    got = {r.ip: (r.asn, r.as_cc, r.cc) for r in E.enrich_address(rows, ranges, prefixes).collect()}
+    assert got == {"8.8.8.8": (15169, "US", "US"), "10.0.0.1": (64666, "ZZ", "ZZ"), "2606:4700::1": (13335, "US", "US"), "2606:4700:5::1": (5, "DE", "DE"), "2a00::1": (0, "", "ZZ"), "x": (0, "", "ZZ"), None: (0, "", "ZZ")}
+
+
+def test_reads_are_pruned_by_day(spark, tmp_path):
+    df = spark.createDataFrame([(k, DAY + timedelta(days=k)) for k in range(40)], "k int, measurement_start_time timestamp")
+    IO.write_partitioned(df, f"{tmp_path}/p")
+    got = IO.read_partitioned(spark, f"{tmp_path}/p", DAY + timedelta(days=29), DAY + timedelta(days=33))
+    assert sorted(r.k for r in got.collect()) == [30, 31, 32, 33]
+    assert got.select(F.input_file_name()).distinct().count() == 4 and "PartitionFilters: [isnotnull(bucket" in got._jdf.queryExecution().toString()
+
+
+def test_as_of_join(spark):
+    days = lambda *n: [DAY + timedelta(days=k) for k in n]
+    history = spark.createDataFrame([("a", d, v) for d, v in zip(days(0, 10, 95), ("x", "y", "z"))], "k string, changed timestamp, v string")
+    rows = spark.createDataFrame([(i, "a", d) for i, d in enumerate(days(-5, 0, 9, 10, 94, 95, 400))] + [(7, "b", DAY), (8, "a", DAY), (9, None, DAY)], "i int, k string, day timestamp")
+    got = {r.i: r.v for r in E.asof_join(rows, history, "k", "day", "changed", ["v"]).collect()}
+    assert got == {0: "x", 1: "x", 2: "x", 3: "y", 4: "y", 5: "z", 6: "z", 7: None, 8: "x", 9: None}
+
+
 def test_archives(spark, tmp_path):
     buf = io.BytesIO()
     with tarfile.open(fileobj=buf, mode="w:gz") as tar:
