@@ -233,8 +233,8 @@ def test_observations_of_every_test(spark, msmts):
     assert [(r.ip, r.port, r.hostname, r.transaction_id) for r in one[:2]] == [("1.2.3.4", 443, "h.example", 1), ("1.2.3.5", None, "h.example", 1)]
     assert (one[0].tls_handshake_last_operation, one[0].http_status_code, one[0].platform, one[0].resolver_is_scrubbed) == ("read_1", 200, "linux", True)
     assert B.observations(msmts, ("browser_web", "stunreachability")).count() == 0 and set(B.BRANCHES) == set(TEST_NAMES)
-    chat = B.observations(msmts.withColumn("test_name", F.lit("telegram"))).filter("target_id IS NOT NULL").collect()
-    assert {r.target_id for r in chat} <= {"telegram/dc_pool"} and B.observations(msmts, probe_cc=("DE",)).count() == 0
+    chat = B.observations(msmts.withColumn("test_name", F.lit("telegram")), ("telegram",)).filter("target_id IS NOT NULL").collect()
+    assert {r.target_id for r in chat} <= {"telegram/dc_pool"} and B.observations(msmts, ("web_connectivity",), probe_cc=("DE",)).count() == 0
     assert L.control_of(L.gate(msmts).withColumn("test_keys", F.expr("""named_struct('control', named_struct('dns', test_keys.control.dns, 'tcp_connect', test_keys.control.tcp_connect,
         'tls_handshake', test_keys.control.tls_handshake, 'http_request', named_struct('failure', CAST(NULL AS STRING), 'body_length', 7L)))"""))).filter("http_success AND http_response_body_length = 7").count() == 1
 
