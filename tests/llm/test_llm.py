@@ -121,6 +121,26 @@ def test_near_dedup_against_brute_force(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def family(size, own, of, rng):
+    """Texts of ``of`` words that share a template but for ``own`` words in one place."""
+    base = [f"t{i}" for i in range(of)]
+    for k in range(size):
+        w = list(base)
+        at = int(rng.integers(0, of - own))
+        w[at : at + own] = [f"u{k}_{i}" for i in range(own)]
+        yield " ".join(w)
+
+
+def test_near_dedup_of_a_family_below_the_threshold(spark):
+    """Texts that share a template are linked as the full sets say, whatever the share."""
+    rng = np.random.default_rng(5)
+    rows = [(k, t) for k, t in enumerate([*family(150, 16, 90, rng), *family(40, 5, 90, rng), *family(60, 40, 90, rng)])]
+    rows += [(1000 + k, t.replace(f"u{k}_3", "changed")) for k, t in rows[:150:10]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = near_groups(dict(rows))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs).collect()} == want
+
+
 def uncovered(raw, length):
     """Brute force: the bytes that stay of each text (by key), and the number of removed runs."""
     seen = Counter(b[p : p + length] for _, b in raw for p in range(len(b) - length + 1))
