@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,10 +13,14 @@ from netquill.functions.scalars import html_title, ipv4_number, ipv6_hex, is_bog
 BOGON_ASN, PRIVATE_ASNS, PRIVATE_NAME = 64666, (64512, 65535), "Private use (RFC1930)"
 
 
-def asof_snapshot(rows: DataFrame, snapshots: DataFrame, day: str, snapshot: str = "snapshot") -> DataFrame:
-    """The newest snapshot not after each row's day, else the oldest. Snapshots are a handful of dates."""
+def asof_snapshot(rows: DataFrame, snapshots: DataFrame, day: str, snapshot: str = "snapshot", max_snapshots: int = 10_000) -> DataFrame:
+    """The newest snapshot not after each row's day, else the oldest. A day meets every snapshot date, so
+    their number is checked: more than ``max_snapshots`` dates of one reference are an error."""
+    dates = snapshots.select(snapshot).distinct()
+    if dates.limit(max_snapshots + 1).count() > max_snapshots:
+        raise ValueError(f"more than {max_snapshots} snapshot dates")
     days = rows.select(F.col(day).alias("_d")).distinct()
-    picked = days.join(F.broadcast(snapshots.select(snapshot).distinct())).groupBy("_d").agg(
+    picked = days.join(F.broadcast(dates)).groupBy("_d").agg(
         F.coalesce(F.max(F.when(F.col(snapshot) <= F.col("_d"), F.col(snapshot))), F.min(snapshot)).alias(snapshot)
     )
     return rows.join(picked, rows[day] == picked._d, "left").drop("_d")
@@ -176,23 +182,30 @@ def match_condition(text: Column, pattern: Column, kind: Column) -> Column:
     )
 
 
+def in_blocks(patterns: DataFrame, most: int) -> list[DataFrame]:
+    """Patterns that meet every text, as broadcasts of about ``most`` rows: they are counted, and more of
+    them are cut into blocks by a hash, each met by its own scan of the texts."""
+    blocks = -(-patterns.count() // most)
+    if blocks <= 1:
+        return [F.broadcast(patterns)]
+    part = F.pmod(F.xxhash64(*patterns.columns), F.lit(blocks))
+    return [F.broadcast(patterns.filter(part == k)) for k in range(blocks)]
+
+
 def match_fingerprints(df: DataFrame, patterns: DataFrame, text_col: str, key: str, header_cols: dict | None = None, max_patterns: int = 10_000) -> DataFrame:
     """(key, name, scope) of every pattern that a text matches. Patterns have (name, scope, location_found,
     pattern_type, pattern); those on a header match only as regexp. Whole-text patterns are an
-    equi-join; the others meet every text, so their number is bounded and checked."""
+    equi-join; the others meet every text, ``max_patterns`` at a time."""
     body = patterns.filter(~F.coalesce(F.col("location_found").startswith("header."), F.lit(False)))
     full = body.filter("pattern_type = 'full'").select("name", "scope", F.col("pattern").alias("_p"))
     out = df.join(full, df[text_col] == full._p).select(key, "name", "scope")
     rest = body.filter("pattern_type IN ('prefix', 'contains', 'regexp')")
-    n = patterns.count()
-    if n > max_patterns:
-        raise ValueError(f"{n} patterns, more than {max_patterns}")
-    loose = F.broadcast(rest.select("name", "scope", "pattern_type", F.col("pattern").alias("_p")))
-    out = out.unionByName(df.select(key, text_col).join(loose, match_condition(F.col(text_col), F.col("_p"), F.col("pattern_type"))).select(key, "name", "scope"))
+    for loose in in_blocks(rest.select("name", "scope", "pattern_type", F.col("pattern").alias("_p")), max_patterns):
+        out = out.unionByName(df.select(key, text_col).join(loose, match_condition(F.col(text_col), F.col("_p"), F.col("pattern_type"))).select(key, "name", "scope"))
     for name, column in (header_cols or {}).items():
         own = patterns.filter((F.col("location_found") == f"header.{name}") & (F.col("pattern_type") == "regexp"))
-        h = F.broadcast(own.select("name", "scope", F.col("pattern").alias("_p")))
-        out = out.unionByName(df.select(key, column).join(h, F.regexp_like(F.col(column), F.concat(F.lit("(?s)"), F.col("_p")))).select(key, "name", "scope"))
+        for h in in_blocks(own.select("name", "scope", F.col("pattern").alias("_p")), max_patterns):
+            out = out.unionByName(df.select(key, column).join(h, F.regexp_like(F.col(column), F.concat(F.lit("(?s)"), F.col("_p")))).select(key, "name", "scope"))
     return out
 
 
@@ -239,17 +252,19 @@ def registrable_domain(rows: DataFrame, host: str, rules: DataFrame) -> DataFram
     return rows.join(best.select("_h", domain.alias("registrable")), rows[host] == F.col("_h"), "left").drop("_h")
 
 
-def resolve_targets(df: DataFrame, hosts: DataFrame, rules: DataFrame, host: str = "hostname", ip: str | None = None) -> DataFrame:
+def resolve_targets(df: DataFrame, hosts: DataFrame, rules: DataFrame, host: str = "hostname", ip: str | None = None, max_patterns: int = 10_000) -> DataFrame:
     """Target of each row, NULL without one. hosts: (kind, value, target) with kinds exact, pattern, ip,
     suffix, domain; they are tried in that order, patterns by the smallest target, suffixes by the
-    longest."""
+    longest. Patterns meet every distinct host, ``max_patterns`` at a time."""
     keys = [host] + ([ip] if ip else [])
     spots = df.select(*keys).distinct()
     of = lambda kind: hosts.filter(F.col("kind") == kind).groupBy("value").agg(F.min("target").alias("target"))
     look = lambda rows, kind, on, name: rows.join(of(kind).select(F.col("value").alias(f"_{name}v"), F.col("target").alias(name)), F.col(on) == F.col(f"_{name}v"), "left").drop(f"_{name}v")
     out = look(spots, "exact", host, "t_exact")
-    patterns = F.broadcast(of("pattern").select(F.col("value").alias("_p"), F.col("target").alias("_t")))
-    hit = spots.select(host).distinct().join(patterns, F.regexp_like(F.col(host), F.col("_p"))).groupBy(host).agg(F.min("_t").alias("t_pattern"))
+    patterns = in_blocks(of("pattern").select(F.col("value").alias("_p"), F.col("target").alias("_t")), max_patterns)
+    names = spots.select(host).distinct()
+    met = [names.join(p, F.regexp_like(F.col(host), F.col("_p"))).select(host, "_t") for p in patterns]
+    hit = reduce(DataFrame.unionByName, met).groupBy(host).agg(F.min("_t").alias("t_pattern"))
     out = out.join(hit, host, "left")
     out = look(out, "ip", ip, "t_ip") if ip else out.withColumn("t_ip", F.lit(None).cast("string"))
     cand = spots.select(host).distinct().select(host, F.explode(suffixes(F.col(host))).alias("_s"))

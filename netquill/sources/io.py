@@ -153,19 +153,37 @@ def trim_long(df: DataFrame, most: int) -> DataFrame:
 
 
 def refresh(df: DataFrame, path: str, low: int, high: int, swap: Callable[[str, str], None] | None = None) -> int:
-    """Stage a reference table, count it, and publish it only if low < count < high."""
+    """Stage a reference table, count it, and publish it only if low < count < high. It is published by
+    ``swap``, else by renames: the old table stands aside until the new one has its place, and a failed
+    rename puts it back."""
     spark, staged = df.sparkSession, f"{path}__staged"
     df.write.mode("overwrite").parquet(staged)
     n = spark.read.parquet(staged).count()
     if not low < n < high:
         raise ValueError(f"{path}: {n} rows, expected between {low} and {high}")
-    if swap is not None:
-        swap(staged, path)
-    else:
-        spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+    (swap or _rename_over(spark))(staged, path)
     return n
 
 
+def _rename_over(spark: SparkSession) -> Callable[[str, str], None]:
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+
+    def swap(staged: str, path: str) -> None:
+        new, live, old = path_of(staged), path_of(path), path_of(f"{path}__old")
+        fs = live.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(live):
+            fs.delete(old, True)
+            if not fs.rename(live, old):
+                raise OSError(f"{path}: cannot be moved aside")
+        if not fs.rename(new, live):
+            if fs.exists(old):
+                fs.rename(old, live)
+            raise OSError(f"{path}: the staged table cannot be moved there")
+        fs.delete(old, True)
+
+    return swap
+
+
 URL_PARTS = r"^(?:https?://)?([^/:@\s]+)"
 
 

@@ -289,6 +289,11 @@ def test_sinks(spark, tmp_path):
     with pytest.raises(ValueError):
         IO.refresh(df, f"{tmp_path}/ref", 10, 20)
     assert IO.refresh(df, f"{tmp_path}/ref", 1, 20) == 2 and spark.read.parquet(f"{tmp_path}/ref").count() == 2
+    # the table is replaced while it is read from, and a count out of bounds leaves it as it is
+    assert IO.refresh(spark.read.parquet(f"{tmp_path}/ref").filter("k = 2"), f"{tmp_path}/ref", 0, 20) == 1
+    with pytest.raises(ValueError):
+        IO.refresh(df, f"{tmp_path}/ref", 10, 20)
+    assert [r.k for r in spark.read.parquet(f"{tmp_path}/ref").collect()] == [2] and not (tmp_path / "ref__old").exists()
     raw = spark.createDataFrame([("t", "2024-01-01", "IT", "{}"), ("t", "2024-01-02", "IT", "{}")], "test string, day string, cc string, body string")
     IO.repartition_raw(raw.filter("day = '2024-01-01'"), f"{tmp_path}/raw")
     IO.repartition_raw(raw, f"{tmp_path}/raw", raw.filter("day = '2024-01-01'"))
@@ -311,6 +316,26 @@ def test_enrichment(spark):
     assert got == {5: ("New", "FR", "n2"), 0: ("Unknown", "ZZ", "Unknown"), 64600: ("Private use (RFC1930)", "ZZ", "Private use (RFC1930)"), 9: ("", "", "")}
 
 
+def test_patterns_beyond_one_block(spark):
+    """Patterns met in several blocks match as they do in one; too many snapshot dates are an error."""
+    texts = spark.createDataFrame([(k, f"page {k} of host{k % 7}.example", f"v{k % 3}") for k in range(40)], "id int, body string, server string")
+    kinds = ("full", "prefix", "contains", "regexp")
+    rows = [(f"n{k}", "nat", "body", kinds[k % 4], [f"page {k} of host{k % 7}.example", f"page {k} ", f"host{k % 7}.", f"^page {k % 5}\\b"][k % 4]) for k in range(40)]
+    rows += [(f"h{k}", "isp", "header.server", "regexp", f"^v{k}$") for k in range(5)]
+    patterns = spark.createDataFrame(rows, "name string, scope string, location_found string, pattern_type string, pattern string")
+    one, many = (sorted(map(tuple, E.match_fingerprints(texts, patterns, "body", "id", {"server": "server"}, n).collect())) for n in (10_000, 4))
+    assert one == many and {x[1][0] for x in one} == {"n", "h"}
+    hosts = spark.createDataFrame([("pattern", f"^host{k}\\.", f"t{k}") for k in range(7)] + [("exact", "host3.example", "x")], "kind string, value string, target string")
+    names = texts.select("id", F.regexp_extract("body", r"\S+$", 0).alias("hostname"))
+    rules = spark.createDataFrame([("example", "exact")], "rule string, kind string")
+    one, many = (sorted(map(tuple, E.resolve_targets(names, hosts, rules, max_patterns=n).collect())) for n in (10_000, 2))
+    assert one == many and {x[-1] for x in one} == {"x", *(f"t{k}" for k in range(7) if k != 3)}
+    dated = spark.createDataFrame([(DAY,)], "day timestamp")
+    dates = spark.range(3).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("snapshot"))
+    with pytest.raises(ValueError):
+        E.asof_snapshot(dated, dates, "day", max_snapshots=2)
+
+
 def test_extras(spark):
     df = spark.createDataFrame([("a.b.c", "a.b.d"), ("x", "x")], "t string, g string")
     r = X.hierarchical_scores(df, "t", "g").first()
