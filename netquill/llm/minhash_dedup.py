@@ -44,6 +44,8 @@ from netquill.llm.components import connected_components
 from netquill.llm.hashing import U, mix, shingle_hashes
 
 REGISTERS, BANDS, BITS, CENTRES = 128, 32, 10, 3
+#: members from which a component in a bucket is joined apart from the rest of it
+LARGE = 64
 #: bytes of shingle sets kept while pairs are verified; texts beyond it are compared in parts
 CACHE_BYTES = 32 << 20
 #: longs of a set's parity map
@@ -241,7 +243,17 @@ def _pairs_with_centres(rows: DataFrame, centres: int) -> DataFrame:
 def _pairs_apart(rows: DataFrame, reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """The pairs of a bucket's members (band, key, rid, comp) in different components whose sizes and
     registers allow the threshold, tested inside the join, and the table they come from. A pair that shares
-    several bands comes from the first of them only."""
+    several bands comes from the first of them only.
+
+    Members of one component must not meet: a component with ``LARGE`` members or more in a bucket is a key of
+    its own, joined with the members of the others. Those of smaller ones meet in the bucket, so that each
+    passes over fewer than ``LARGE`` of its own component."""
+    large = (
+        rows.groupBy("band", "key", "comp")
+        .agg(F.count("*").alias("members"))
+        .filter(F.col("members") >= LARGE)
+        .select("band", "key", "comp", F.lit(True).alias("large"))
+    )
 
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,8 +266,9 @@ def _pairs_apart(rows: DataFrame, reps: DataFrame, percent: int) -> tuple[DataFr
                     ["rid", "n", "keys", "parity"],
                 )
 
-    rows = written(rows.join(reps.mapInArrow(bands, "rid long, n long, keys array<long>, parity array<long>"), "rid"), "near_apart")
-    other = rows.select("band", "key", *[F.col(c).alias(f"{c}_") for c in ("rid", "comp", "n", "keys", "parity")])
+    wide = reps.mapInArrow(bands, "rid long, n long, keys array<long>, parity array<long>")
+    rows = written(rows.join(large, ["band", "key", "comp"], "left").join(wide, "rid"), "near_apart")
+    other = lambda some: some.select("band", "key", *[F.col(c).alias(f"{c}_") for c in ("rid", "comp", "n", "keys", "parity")])
     first = F.expr("array_position(zip_with(keys, keys_, (x, y) -> x = y), true) = band + 1")
     # of the four 16-bit registers in a long, how many differ: a lane's bits are folded into its lowest
     fold_ = "x"
@@ -266,12 +279,15 @@ def _pairs_apart(rows: DataFrame, reps: DataFrame, percent: int) -> tuple[DataFr
     allowed = F.expr(f"{flipped} * {100 + percent} <= (n + n_) * {100 - percent}")
     j = percent / 100
     most = f"{REGISTERS} * ({1 - j} + 4.5 * sqrt({j * (1 - j) / REGISTERS} + {1 - j} / least(n, n_)))"
-    pairs = (
-        rows.join(other, ["band", "key"])
-        .filter((F.col("comp") < F.col("comp_")) & _sizes_allow("n", "n_", percent) & allowed & first & F.expr(f"{differ} <= {most}"))
-        .select(F.least("rid", "rid_").alias("a"), F.greatest("rid", "rid_").alias("b"))
-    )
-    return pairs, rows
+    possible = _sizes_allow("n", "n_", percent) & allowed & first & F.expr(f"{differ} <= {most}")
+    pair = [F.least("rid", "rid_").alias("a"), F.greatest("rid", "rid_").alias("b")]
+    few, many = rows.filter("large is null"), rows.filter("large")
+    among_few = few.join(other(few), ["band", "key"]).filter((F.col("comp") < F.col("comp_")) & possible)
+    # each member beside the large components of its bucket, two large ones once
+    hosts = many.select("band", "key", F.col("comp").alias("comp_")).distinct()
+    beside = rows.join(hosts, ["band", "key"]).filter("comp != comp_ and (large is null or comp < comp_)")
+    with_many = beside.join(other(many), ["band", "key", "comp_"]).filter(possible)
+    return among_few.select(*pair).unionByName(with_many.select(*pair)), rows
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:

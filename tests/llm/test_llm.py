@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from netquill.llm import registry
+from netquill.llm import minhash_dedup, registry
 from netquill.llm.chat_format import dialogues, rotate
 from netquill.llm.decontaminate import byte_spans, find_contamination
 from netquill.llm.hashing import LaneHash, word_hashes
@@ -141,6 +141,36 @@ def test_near_dedup_of_a_family_below_the_threshold(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs).collect()} == want
 
 
+def test_large_components_meet_the_same_members(spark, monkeypatch):
+    """Whether a component is joined apart from its bucket or inside it, the pairs of members in different
+    components are the same ones, each once."""
+    rng, texts = np.random.default_rng(3), []
+    for g in range(4):  # two groups of near copies each, held together by one pair of texts
+        for k in range(110):
+            w = [f"g{g}_{i}" for i in range(90)]
+            if k >= 80:
+                w[38:44] = [f"g{g}_other{i}" for i in range(6)]
+            if k != 80:
+                w[40 if k == 0 else int(rng.choice([*range(34), *range(48, 90)]))] = f"g{g}_own{k}"
+            texts.append(" ".join(w))
+    rows = list(enumerate(texts))
+    inner, seen = minhash_dedup._pairs_apart, []
+
+    def both(members, reps, percent):
+        for most in (3, 1 << 30):
+            monkeypatch.setattr(minhash_dedup, "LARGE", most)
+            pairs, tested = inner(members, reps, percent)
+            seen.append((sorted(map(tuple, pairs.collect())), tested.filter("large").count()))
+        return pairs, tested
+
+    monkeypatch.setattr(minhash_dedup, "CENTRES", 1)
+    monkeypatch.setattr(minhash_dedup, "_pairs_apart", both)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    (apart, some), (inside, none) = seen
+    assert apart == inside and len(set(apart)) == len(apart) > 0 and some > 0 == none
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == near_groups(dict(rows))
+
+
 def uncovered(raw, length):
     """Brute force: the bytes that stay of each text (by key), and the number of removed runs."""
     seen = Counter(b[p : p + length] for _, b in raw for p in range(len(b) - length + 1))
