@@ -16,6 +16,9 @@ OPS = [
     ("line_dedup", "op8_line_dedup", "ORACLE_SQL"),
     ("mixing", "op9_mixing", "ORACLE_SQL"),
     ("decontaminate", "op10_benchmark_decontamination", "ORACLE_SQL"),
+    ("simhash_dedup", "op11_simhash_near_dedup", None),
+    ("source_audit", "op12_source_divergence_audit", "ORACLE_SQL"),
+    ("clustering", "op13_centroid_clustering", "ORACLE_SQL"),
 ]
 
 
