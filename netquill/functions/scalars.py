@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ipaddress
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -160,16 +161,21 @@ def v6_bogons() -> list[ipaddress.IPv6Network]:
     return out
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, and stands once in the plan."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def is_bogon(ip: Column) -> Column:
     """Whether the address lies in a bogon network; what is no address does not."""
-    number, digits = ipv4_number(ip), ipv6_hex(ip)
-    v4 = F.lit(False)
-    for n in map(ipaddress.ip_network, BOGON_V4):
-        v4 = v4 | number.between(int(n.network_address), int(n.broadcast_address))
-    v6 = F.lit(False)
-    for n in v6_bogons():
-        v6 = v6 | digits.between(*_hex_range(n))
-    return F.coalesce(v4, F.lit(False)) | F.coalesce(v6, F.lit(False))
+    four = [(int(n.network_address), int(n.broadcast_address)) for n in map(ipaddress.ip_network, BOGON_V4)]
+    six = [_hex_range(n) for n in v6_bogons()]
+
+    def inside(point: Column, ranges: list[tuple]) -> Column:
+        bounds = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ranges])
+        return F.coalesce(let(point, lambda x: F.exists(bounds, lambda r: x.between(r["a"], r["b"]))), F.lit(False))
+
+    return let(ip, lambda text: inside(ipv4_number(text), four) | inside(ipv6_hex(text), six))
 
 
 def normal_failure(failure: Column) -> Column:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,30 +15,84 @@ from netquill.functions.scalars import html_title, ipv4_number, ipv6_hex, is_bog
 BOGON_ASN, PRIVATE_ASNS, PRIVATE_NAME = 64666, (64512, 65535), "Private use (RFC1930)"
 
 
-def asof_snapshot(rows: DataFrame, snapshots: DataFrame, day: str, snapshot: str = "snapshot", max_snapshots: int = 10_000) -> DataFrame:
-    """The newest snapshot not after each row's day, else the oldest. A day meets every snapshot date, so
-    their number is checked: more than ``max_snapshots`` dates of one reference are an error."""
-    dates = snapshots.select(snapshot).distinct()
-    if dates.limit(max_snapshots + 1).count() > max_snapshots:
-        raise ValueError(f"more than {max_snapshots} snapshot dates")
-    days = rows.select(F.col(day).alias("_d")).distinct()
-    picked = days.join(F.broadcast(dates)).groupBy("_d").agg(
-        F.coalesce(F.max(F.when(F.col(snapshot) <= F.col("_d"), F.col(snapshot))), F.min(snapshot)).alias(snapshot)
-    )
-    return rows.join(picked, rows[day] == picked._d, "left").drop("_d")
+def asof_snapshot(rows: DataFrame, snapshots: DataFrame, day: str, snapshot: str = "snapshot", of: str | None = None) -> DataFrame:
+    """The newest snapshot not after each row's day, else the oldest; among those of the row's ``of``, if it is given.
+    Days are looked up, not rows, in one order of days and snapshot dates cut into months, whatever the number
+    of either."""
+    key = F.col(of) if of else F.lit(0)
+    dates = snapshots.select(key.alias("_k"), snapshot).filter(F.col(snapshot).isNotNull()).distinct()
+    dated = rows.withColumns({"_k": key, "_day": F.date_trunc("day", day)})
+    return asof_join(dated, dates.withColumn("_date", F.date_trunc("day", snapshot)), "_k", "_day", "_date", [snapshot]).drop("_k", "_day")
+
+
+def elementary(ranges: DataFrame, names: list[str], keys: list[str], region: int) -> DataFrame:
+    """Disjoint stretches of the points that ranges (first, last as hexadecimal text of equal length, prefix_len,
+    ``names``, ``keys``) cover: (keys, _at, _v), where from point _at up to the next stretch the longest range is
+    the one with values _v; a stretch that no range covers has NULL values.
+
+    Ranges are cut where their first ``region`` digits change, and one sweep runs over the ranges of a
+    region: nested, crossing and repeated ones may stand in any order."""
+    start = lambda c: F.conv(F.substring(c, 1, region), 16, 10).cast("long")
+    size = F.length("first")
+    head = F.lower(F.lpad(F.hex("_g"), region, "0"))
+    cut = ranges.withColumn("_g", F.explode(F.sequence(start("first"), start("last")))).select(
+        *keys, "_g", F.greatest("first", F.rpad(head, size, "0")).alias("low"), F.least("last", F.rpad(head, size, "f")).alias("high"),
+        "prefix_len", "first", F.struct(*names).alias("_v"),
+    )
+    kinds = cut.select(*keys, F.col("low").alias("_at"), "_v")
+
+    def sweep(part: pa.Table) -> pa.Table:
+        low, high, width, first, values = (part[c].to_pylist() for c in ("low", "high", "prefix_len", "first", "_v"))
+        # the longest range first, of equals the one that starts and reads first
+        rank = sorted(range(len(low)), key=lambda i: (-width[i], first[i], str(values[i])))
+        place = {i: r for r, i in enumerate(rank)}
+        digits = len(low[0])
+        after = lambda text: f"{int(text, 16) + 1:0{digits}x}"
+        begins = sorted(range(len(low)), key=lambda i: low[i])
+        points = sorted({*low, *(after(h) for h in high if h.strip("f"))})
+        at, best, active, k, last = [], [], [], 0, -1
+        for point in points:
+            while k < len(begins) and low[begins[k]] <= point:
+                heapq.heappush(active, (place[begins[k]], begins[k]))
+                k += 1
+            while active and high[active[0][1]] < point:
+                heapq.heappop(active)
+            now = active[0][1] if active else None
+            # where the next region starts with a range, that one comes after this end
+            if now != last:
+                at.append(point)
+                best.append(now)
+                last = now
+        none = dict.fromkeys(names)
+        own = {c: pa.array([part[c][0].as_py()] * len(at), part.schema.field(c).type) for c in keys}
+        found = pa.array([none if i is None else values[i] for i in best], part.schema.field("_v").type)
+        return pa.table({**own, "_at": pa.array(at, pa.string()), "_v": found})
+
+    return cut.groupBy(*keys, "_g").applyInArrow(sweep, kinds.schema)
+
+
+def lookup_ranges(rows: DataFrame, ranges: DataFrame, point: str, bucket: Column, region: int, snapshot: str | None = None) -> DataFrame:
+    """The values of the longest range that holds each row's point. Points, first and last are hexadecimal text,
+    of equal length among those that share their first digits; ``bucket`` is how many digits of ``_at`` name a bucket of
+    points. See :func:`elementary` for ``region``."""
+    keys = [snapshot] if snapshot else []
+    names = [c for c in ranges.columns if c not in ("first", "last", "prefix_len", *keys)]
+    stretches = elementary(ranges, names, keys, region)
+    spots = rows.select(*keys, F.col(point).alias("_at")).filter("_at IS NOT NULL").distinct()
+    one = lambda df: df.withColumn("_one", F.lit(0))  # noqa: E731  windows need a key
+    found = _last_before(one(stretches), one(spots), [*keys, "_one"], F.substring("_at", F.lit(1), bucket))
+    best = found.select(*keys, F.col("_at").alias(point), F.coalesce("_own", "_before").alias("_r"))
+    return rows.join(best, [point, *keys], "left").select("*", *[F.col(f"_r.{n}").alias(n) for n in names]).drop("_r")
 
 
 def range_join(rows: DataFrame, ranges: DataFrame, point: str, bucket: int, snapshot: str | None = None) -> DataFrame:
-    """The longest range that holds each row's point. Ranges (first, last, prefix_len, …) are cut into
-    buckets of ``bucket`` points, so the join is an equi-join on the bucket with a filter."""
-    names = [c for c in ranges.columns if c not in ("first", "last", "prefix_len", snapshot)]
-    cut = ranges.withColumn("_b", F.explode(F.sequence(F.floor(F.col("first") / bucket), F.floor(F.col("last") / bucket))))
-    keys = ["_b"] + ([snapshot] if snapshot else [])
-    spots = rows.select(point, *([snapshot] if snapshot else [])).filter(F.col(point).isNotNull()).distinct()
-    met = spots.withColumn("_b", F.floor(F.col(point) / bucket)).join(cut, keys).filter(F.col(point).between(F.col("first"), F.col("last")))
-    order = F.struct("prefix_len", (-F.col("first")).alias("f"))
-    best = met.groupBy(point, *([snapshot] if snapshot else [])).agg(F.max_by(F.struct(*names), order).alias("_r"))
-    return rows.join(best, [point] + ([snapshot] if snapshot else []), "left").select("*", *[F.col(f"_r.{n}").alias(n) for n in names]).drop("_r")
+    """The values of the longest range (first, last, prefix_len, …: numbers from 0) that holds each row's point.
+    ``bucket``: points that a window takes, about."""
+    text = lambda c: F.lower(F.lpad(F.hex(F.col(c).cast("long")), 16, "0"))
+    digits = 16 - max(1, (bucket - 1).bit_length() // 4)
+    spots = rows.withColumn("_point", text(point))
+    hexed = ranges.withColumns({"first": text("first"), "last": text("last")})
+    return lookup_ranges(spots, hexed, "_point", F.lit(digits), max(1, digits - 2), snapshot).drop("_point")
 
 
 def enrich_ip(df: DataFrame, ranges: DataFrame, number: str, bogon: Column, day: str = "measurement_start_time", bucket: int = 1 << 16) -> DataFrame:
@@ -44,33 +100,43 @@ def enrich_ip(df: DataFrame, ranges: DataFrame, number: str, bogon: Column, day:
     last, prefix_len, asn, org, as_cc, cc). Bogons are network 64666 of country ZZ; misses are network 0 without a name or
     country, in country ZZ."""
     rows = asof_snapshot(df, ranges, day)
-    out = range_join(rows, ranges, number, bucket, "snapshot")
+    return _known(range_join(rows, ranges, number, bucket, "snapshot").drop("snapshot"), bogon)
+
+
+def _known(rows: DataFrame, bogon: Column) -> DataFrame:
+    """Looked-up networks with the values of bogons and misses."""
+    out = rows.withColumn("_bogon", bogon)
+    bogon = F.col("_bogon")
     return out.withColumns({
         "asn": F.when(bogon, BOGON_ASN).otherwise(F.coalesce("asn", F.lit(0))),
         "org": F.when(bogon, "Bogon").otherwise(F.coalesce("org", F.lit(""))),
         "as_cc": F.when(bogon, "ZZ").otherwise(F.coalesce("as_cc", F.lit(""))),
         "cc": F.when(bogon, "ZZ").otherwise(F.coalesce("cc", F.lit("ZZ"))),
-    }).drop("snapshot")
+    }).drop("_bogon")
+
+
+def _last_before(changes: DataFrame, spots: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
+    """For each of ``spots`` (keys, _at) the last of ``changes`` (keys, _at, _v) at or before it: (keys, _at, _own,
+    _before, _p), one of its own bucket or the last of an earlier bucket. Both stand in one order, cut into buckets: the
+    last value runs inside a bucket, and from bucket to bucket over one row each, so no task takes a key whole."""
+    at, value = F.col("_at"), F.col("_v")
+    both = changes.select(*keys, "_at", "_v").unionByName(spots.select(*keys, "_at"), allowMissingColumns=True).withColumn("_p", bucket)
+    inside = Window.partitionBy(*keys, "_p").orderBy("_at", value.isNull(), "_v")
+    parts = both.groupBy(*keys, "_p").agg(F.max(F.when(value.isNotNull(), F.struct("_at", "_v"))).alias("_m"))
+    before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    carried = parts.select(*keys, "_p", F.last("_m._v", True).over(before).alias("_before"))
+    run = both.withColumn("_own", F.last("_v", True).over(inside)).filter(value.isNull() & at.isNotNull())
+    return run.join(carried, [*keys, "_p"]).select(*keys, "_at", "_own", "_before")
 
 
 def asof_join(rows: DataFrame, history: DataFrame, key: str, day: str, changed: str, values: list[str]) -> DataFrame:
     """Values of the last change of a key not after the row's day, else of the first one; one lookup for
-    each distinct key and day. Changes and days of a key stand in one order, cut into months: the last value
-    runs inside a month, and from month to month over one row each, so no task takes a key's whole history."""
-    at, value = F.col("_at"), F.col("_v")
+    each distinct key and day, cut into months."""
     changes = history.select(key, F.col(changed).cast("timestamp").alias("_at"), F.struct(*values).alias("_v"))
     spots = rows.select(key, F.col(day).cast("timestamp").alias("_at")).distinct()
-    both = changes.unionByName(spots, allowMissingColumns=True).withColumn("_p", F.date_trunc("month", at))
-    inside = Window.partitionBy(key, "_p").orderBy("_at", value.isNull(), "_v")
-    months = both.groupBy(key, "_p").agg(F.max(F.when(value.isNotNull(), F.struct("_at", "_v"))).alias("_m"))
-    before = Window.partitionBy(key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    ever = Window.partitionBy(key).orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    firsts = changes.groupBy(key, F.date_trunc("month", at).alias("_p")).agg(F.min(F.struct("_at", "_v")).alias("_f"))
-    carried = months.join(firsts, [key, "_p"], "left").select(
-        key, "_p", F.last("_m._v", True).over(before).alias("_before"), F.first("_f._v", True).over(ever).alias("_first")
-    )
-    run = both.withColumn("_own", F.last("_v", True).over(inside)).filter(value.isNull() & at.isNotNull())
-    found = run.join(carried, [key, "_p"]).select(key, "_at", F.coalesce("_own", "_before", "_first").alias("_v"))
+    firsts = changes.filter("_at IS NOT NULL").groupBy(key).agg(F.min(F.struct("_at", "_v")).alias("_f"))
+    found = _last_before(changes, spots, [key], F.date_trunc("month", "_at")).join(firsts, key, "left")
+    found = found.select(key, "_at", F.coalesce("_own", "_before", "_f._v").alias("_v"))
     out = rows.withColumn("_at", F.col(day).cast("timestamp")).join(found, [key, "_at"], "left")
     return out.select(*rows.columns, *[F.col(f"_v.{x}").alias(x) for x in values])
 
@@ -82,35 +148,50 @@ def ipv6_bits(ip: Column) -> Column:
     return F.concat(*[part(k) for k in range(4)])
 
 
-def prefix_join(rows: DataFrame, prefixes: DataFrame, bits: str, snapshot: str | None = None) -> DataFrame:
-    """The longest prefix (``prefix``: its binary digits, and values) that each row's ``bits`` start with. A
-    distinct value meets each length that occurs once, so the join is an equi-join on the digits."""
-    more = [snapshot] if snapshot else []
-    names = [c for c in prefixes.columns if c not in ("prefix", snapshot)]
-    lengths = prefixes.select(F.length("prefix").alias("_n")).distinct()
-    spots = rows.select(bits, *more).filter(F.col(bits).isNotNull()).distinct()
-    # one row a prefix length: 129 at most
-    cut = spots.join(F.broadcast(lengths)).withColumn("prefix", F.expr(f"substring({bits}, 1, _n)"))
-    met = cut.join(prefixes, ["prefix", *more]).groupBy(bits, *more).agg(F.max_by(F.struct(*names), F.struct("_n", *names)).alias("_r"))
-    return rows.join(met, [bits, *more], "left").select("*", *[F.col(f"_r.{n}").alias(n) for n in names]).drop("_r")
-
-
-def enrich_address(df: DataFrame, ranges: DataFrame, prefixes: DataFrame, ip: str = "ip", day: str = "measurement_start_time", bucket: int = 1 << 16) -> DataFrame:
-    """Network and country of an IPv4 or IPv6 address (text) on the row's day. ``ranges`` as in
-    :func:`enrich_ip`; ``prefixes``: (snapshot, prefix, asn, org, as_cc, cc). What is no address is a miss."""
-    text = F.col(ip)
-    rows = df.withColumn("_n", ipv4_number(text)).withColumn("_b", ipv6_bits(text))
-    four = enrich_ip(rows.filter("_b IS NULL"), ranges, "_n", is_bogon(text), day, bucket)
-    dated = asof_snapshot(rows.filter("_b IS NOT NULL"), prefixes, day)
-    six = prefix_join(dated, prefixes, "_b", "snapshot").drop("snapshot")
-    bogon = is_bogon(text)
-    six = six.withColumns({
-        "asn": F.when(bogon, BOGON_ASN).otherwise(F.coalesce("asn", F.lit(0))),
-        "org": F.when(bogon, "Bogon").otherwise(F.coalesce("org", F.lit(""))),
-        "as_cc": F.when(bogon, "ZZ").otherwise(F.coalesce("as_cc", F.lit(""))),
-        "cc": F.when(bogon, "ZZ").otherwise(F.coalesce("cc", F.lit("ZZ"))),
-    })
-    return four.unionByName(six).drop("_n", "_b")
+def address_text(ip: Column) -> Column:
+    """An address as text that sorts like its number: ``4`` and 8 digits, or ``6`` and 32; NULL for anything else."""
+    return F.coalesce(F.concat(F.lit("4"), F.lower(F.lpad(F.hex(ipv4_number(ip)), 8, "0"))), F.concat(F.lit("6"), ipv6_hex(ip)))
+
+
+def address_ranges(ranges: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """IPv4 ranges (first, last: numbers) and IPv6 prefixes (prefix: binary digits) as one table of ranges of
+    :func:`address_text`."""
+    four = lambda c: F.concat(F.lit("4"), F.lower(F.lpad(F.hex(c), 8, "0")))
+    bits = lambda fill: F.rpad("prefix", 128, fill)
+    digits = lambda b: F.concat(F.lit("6"), *[F.lower(F.lpad(F.conv(F.substring(b, 32 * k + 1, 32), 2, 16), 8, "0")) for k in range(4)])
+    six = prefixes.withColumns({"first": digits(bits("0")), "last": digits(bits("1")), "prefix_len": F.length("prefix")}).drop("prefix")
+    return ranges.withColumns({"first": four("first"), "last": four("last")}).unionByName(six)
+
+
+def address_networks(spots: DataFrame, ranges: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """Network and country (asn, org, as_cc, cc) of each IPv4 or IPv6 address on a day: ``spots`` (ip, day), both
+    families in one lookup. ``ranges`` as in :func:`enrich_ip`; ``prefixes``: (snapshot, prefix, asn, org, as_cc, cc). What is
+    no address is a miss."""
+    both = address_ranges(ranges, prefixes)
+    family = lambda c: F.substring(c, 1, 1)
+    placed = spots.withColumn("_a", address_text(F.col("ip"))).withColumn("_f", family("_a"))
+    dated = asof_snapshot(placed, both.withColumn("_f", family("first")), "day", of="_f")
+    # points stand in buckets of 16 bits of IPv4 or 32 of IPv6, ranges are swept by 12 bits of either
+    bucket = F.when(F.col("_at").startswith("6"), 9).otherwise(5)
+    found = lookup_ranges(dated, both, "_a", bucket, 4, "snapshot")
+    return _known(found, is_bogon(F.col("ip"))).select("ip", "day", "asn", "org", "as_cc", "cc")
+
+
+def address_spots(rows: DataFrame, ip: str = "ip", day: str = "measurement_start_time") -> DataFrame:
+    """The distinct (ip, day) of rows with an address."""
+    return rows.select(F.col(ip).alias("ip"), F.date_trunc("day", day).alias("day")).filter("ip IS NOT NULL AND ip <> ''").distinct()
+
+
+def join_networks(rows: DataFrame, found: DataFrame, ip: str = "ip", day: str = "measurement_start_time") -> DataFrame:
+    """Rows beside what :func:`address_networks` found, NULL where they have no address."""
+    known = found.select(F.col("ip").alias("_ip"), F.col("day").alias("_day"), "asn", "org", "as_cc", "cc")
+    return rows.join(known, (F.col(ip) == F.col("_ip")) & (F.date_trunc("day", day) == F.col("_day")), "left").drop("_ip", "_day")
+
+
+def enrich_address(df: DataFrame, ranges: DataFrame, prefixes: DataFrame, ip: str = "ip", day: str = "measurement_start_time") -> DataFrame:
+    """Network and country of an address on the row's day; what is no address is a miss."""
+    out = join_networks(df, address_networks(address_spots(df, ip, day), ranges, prefixes), ip, day)
+    return _known(out, F.lit(False))
 
 
 # Named targets of the messaging tests by platform, host names first, then patterns in order.

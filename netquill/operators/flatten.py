@@ -3,14 +3,15 @@ what belongs to one connection."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import deque
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from netquill.functions.scalars import host_port, is_ip, normal_failure, scrub_address
-from netquill.schemas import TEST_NAMES
+from netquill.functions.scalars import host_port, is_ip, let, normal_failure, scrub_address
+from netquill.schemas import _EVENT, HANDSHAKE, MEASUREMENT
 
 UNKNOWN = ("network_type", "platform", "origin", "engine_name", "engine_version", "architecture")
 BAD_CERT = ("ssl_invalid_hostname", "ssl_unknown_authority", "ssl_invalid_certificate")
@@ -26,6 +27,19 @@ def gate(msmts: DataFrame, probe_cc: tuple = ()) -> DataFrame:
     return rows.filter(F.col("probe_cc").isin(*probe_cc)) if probe_cc else rows
 
 
+def complete(msmts: DataFrame) -> DataFrame:
+    """``msmts`` with every column and test key of a measurement; absent ones are NULL. The values of those that
+    are there stay as they are."""
+    full = T._parse_datatype_string(MEASUREMENT)
+    have = {f.name for f in msmts.schema["test_keys"].dataType.fields}
+    keys = F.struct(*[
+        F.col(f"test_keys.{f.name}").alias(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in full["test_keys"].dataType.fields
+    ])
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in full.fields if f.name not in msmts.columns}
+    return msmts.withColumns(missing | {"test_keys": F.when(F.col("test_keys").isNotNull(), keys)})
+
+
 def counted(msmts: DataFrame, name: str = "flatten") -> DataFrame:
     """The same rows, with counters of rows and of unreadable records kept on the side."""
     return msmts.observe(name, F.count("*").alias("rows"), F.count_if(F.col("test_keys").isNull()).alias("without_test_keys"))
@@ -40,57 +54,93 @@ def event_time(start: Column, t: Column) -> Column:
     return F.when(F.coalesce(t, F.lit(0.0)) == 0, start).otherwise(F.timestamp_micros(F.unix_micros(start) + F.round(t * 1e6).cast("bigint")))
 
 
-def measurement_meta(msmts: DataFrame) -> DataFrame:
+def meta_columns(msmts: DataFrame) -> list[Column]:
     """uid, report, input (a list joined by ``:``), run link, start time, test and software."""
     kind = msmts.schema["input"].dataType.typeName()
     text = F.array_join("input", ":") if kind == "array" else F.col("input")
     link = F.coalesce("run_link_id", F.lit("")) if "run_link_id" in msmts.columns else F.lit("")
-    return msmts.select(
-        "measurement_uid", "report_id", text.alias("input"), link.alias("run_link_id"),
-        start_time(F.col("measurement_start_time")).alias("measurement_start_time"), "test_name", "software_name", "software_version",
-    )
+    return [
+        F.col("measurement_uid"), F.col("report_id"), text.alias("input"), link.alias("run_link_id"),
+        start_time(F.col("measurement_start_time")).alias("measurement_start_time"), F.col("test_name"), F.col("software_name"), F.col("software_version"),
+    ]
+
+
+def measurement_meta(msmts: DataFrame) -> DataFrame:
+    """:func:`meta_columns` of each measurement."""
+    return msmts.select(*meta_columns(msmts))
 
 
 def probe_meta(msmts: DataFrame) -> DataFrame:
+    """:func:`probe_columns` of each measurement."""
+    return msmts.select("measurement_uid", *probe_columns())
+
+
+def probe_columns() -> list[Column]:
     """Networks without their prefix, annotations with defaults, and what is known of the resolver."""
     scrubbed = F.coalesce((F.col("test_keys.client_resolver") == "[scrubbed]") | (F.col("resolver_ip") == "[scrubbed]"), F.lit(False))
     address = F.coalesce(F.nullif("resolver_ip", F.lit("")), F.col("test_keys.client_resolver"), F.lit(""))
     asn = F.coalesce(F.expr("try_cast(substring(resolver_asn, 3) AS BIGINT)"), F.lit(0).cast("bigint"))
     hidden = address == "[scrubbed]"
     note = lambda k: F.coalesce(F.try_element_at("annotations", F.lit(k)), F.lit("unknown")).alias(k)
-    return msmts.select(
-        "measurement_uid", F.expr("try_cast(substring(probe_asn, 3) AS BIGINT)").alias("probe_asn"), "probe_cc", *[note(k) for k in UNKNOWN],
+    return [
+        F.expr("try_cast(substring(probe_asn, 3) AS BIGINT)").alias("probe_asn"), F.col("probe_cc"), *[note(k) for k in UNKNOWN],
         F.when(hidden, F.lit("")).otherwise(address).alias("resolver_ip"),
         F.when(hidden, asn).otherwise(F.lit(0)).alias("resolver_asn"),
         F.when(hidden, F.coalesce("resolver_network_name", F.lit(""))).otherwise(F.lit("")).alias("resolver_as_org_name"),
         asn.alias("resolver_asn_probe"), F.coalesce("resolver_network_name", F.lit("")).alias("resolver_as_org_name_probe"),
         scrubbed.alias("resolver_is_scrubbed"), F.coalesce("probe_id", F.lit("")).alias("probe_id"),
-    )
+    ]
 
 
-def explode_dns(msmts: DataFrame, path: str = "test_keys.queries") -> DataFrame:
+def dns_rows(queries: Column, start: Column) -> Column:
     """One row a query and answer; a query without answers has one row with a NULL answer."""
-    start = start_time(F.col("measurement_start_time"))
-    q = msmts.select("measurement_uid", start.alias("start"), F.posexplode(path).alias("query_pos", "q"))
-    a = q.select("*", F.posexplode_outer("q.answers").alias("answer_pos", "a"))
-    return a.select(
-        "measurement_uid", "query_pos", "answer_pos", F.col("q.hostname").alias("hostname"), F.col("q.query_type").alias("query_type"),
-        F.col("q.engine").alias("engine"), normal_failure(F.col("q.failure")).alias("failure"),
-        F.coalesce("a.ipv4", "a.ipv6", "a.hostname").alias("answer"), F.coalesce("a.asn", F.lit(0)).alias("answer_asn"),
-        F.coalesce("a.as_org_name", F.lit("")).alias("answer_as_org_name"), F.col("q.transaction_id").alias("transaction_id"),
-        event_time(F.col("start"), F.col("q.t")).alias("ts"),
-    ).withColumn("ip", F.when(is_ip(F.col("answer")), F.col("answer")))
 
+    def of(q: Column, i: Column) -> Column:
+        some = F.size(q["answers"]) > 0
+        answers = F.when(some, q["answers"]).otherwise(F.array(F.get(q["answers"], F.lit(0))))
 
-def explode_tcp(msmts: DataFrame, path: str = "test_keys.tcp_connect") -> DataFrame:
+        def row(a: Column, j: Column) -> Column:
+            answer = F.coalesce(a["ipv4"], a["ipv6"], a["hostname"])
+            return F.struct(
+                i.alias("query_pos"), F.when(some, j).alias("answer_pos"), q["hostname"].alias("hostname"), q["query_type"].alias("query_type"),
+                q["engine"].alias("engine"), normal_failure(q["failure"]).alias("failure"), answer.alias("answer"),
+                F.coalesce(a["asn"], F.lit(0)).alias("answer_asn"), F.coalesce(a["as_org_name"], F.lit("")).alias("answer_as_org_name"),
+                q["transaction_id"].alias("transaction_id"), event_time(start, q["t"]).alias("ts"), F.when(is_ip(answer), answer).alias("ip"),
+            )
+
+        return F.transform(answers, row)
+
+    return F.flatten(F.transform(queries, of))
+
+
+def tcp_rows(connects: Column, start: Column) -> Column:
     """One row a connection attempt to an address; scrubbed addresses stay."""
-    start = start_time(F.col("measurement_start_time"))
-    c = msmts.select("measurement_uid", start.alias("start"), F.posexplode(path).alias("pos", "c"))
-    return c.select(
-        "measurement_uid", "pos", scrub_address(F.col("c.ip")).alias("ip"), F.col("c.port").alias("port"), F.col("c.status.success").alias("success"),
-        normal_failure(F.col("c.status.failure")).alias("failure"), F.col("c.transaction_id").alias("transaction_id"),
-        event_time(F.col("start"), F.col("c.t")).alias("ts"),
-    ).filter(is_ip(F.col("ip")) | (F.col("ip") == "scrubbed"))
+    rows = F.transform(connects, lambda c, i: F.struct(
+        i.alias("pos"), scrub_address(c["ip"]).alias("ip"), c["port"].alias("port"), c["status"]["success"].alias("success"),
+        normal_failure(c["status"]["failure"]).alias("failure"), c["transaction_id"].alias("transaction_id"), event_time(start, c["t"]).alias("ts"),
+    ))
+    return F.filter(rows, lambda r: is_ip(r["ip"]) | (r["ip"] == "scrubbed"))
+
+
+def _start(msmts: DataFrame) -> Column:
+    return start_time(F.col("measurement_start_time"))
+
+
+def _exploded(msmts: DataFrame, array: Column, first: str = "pos") -> DataFrame:
+    """The structs of ``array`` as rows; ``first`` is never NULL in them. The outer form keeps the engine from
+    making the array once more for a filter before it."""
+    made = msmts.select("measurement_uid", array.alias("_rows"))
+    return made.select("measurement_uid", F.inline_outer("_rows")).filter(F.col(first).isNotNull())
+
+
+def explode_dns(msmts: DataFrame, path: str = "test_keys.queries") -> DataFrame:
+    """:func:`dns_rows` as rows."""
+    return _exploded(msmts, dns_rows(F.col(path), _start(msmts)), "query_pos")
+
+
+def explode_tcp(msmts: DataFrame, path: str = "test_keys.tcp_connect") -> DataFrame:
+    """:func:`tcp_rows` as rows."""
+    return _exploded(msmts, tcp_rows(F.col(path), _start(msmts)))
 
 
 def certificate_valid(no_verify: Column, failure: Column) -> Column:
@@ -98,30 +148,39 @@ def certificate_valid(no_verify: Column, failure: Column) -> Column:
     return F.when(F.coalesce(no_verify, F.lit(False)), _none("boolean")).when(failure.isin(*BAD_CERT), F.lit(False)).when(failure.isNull(), F.lit(True))
 
 
-def handshake_events(tls: DataFrame, events: str = "events") -> Column:
-    """Events of a handshake: those of its transaction, ordered by time. Without transaction ids: the
-    window from a ``connect`` to ``tls_handshake_done`` that ends at the handshake's time; of several,
-    the one at the handshake's own place; else none."""
-    by_id = F.array_sort(
-        F.filter(events, lambda e: e["transaction_id"] == F.col("transaction_id")),
-        lambda x, y: F.when(x["t"] < y["t"], -1).when(x["t"] > y["t"], 1).otherwise(0),
-    )
-    kind = tls.schema[events].dataType.elementType.simpleString()
-    zero = F.struct(F.array().cast(f"array<array<{kind}>>").alias("done"), F.array().cast(f"array<{kind}>").alias("open"))
+def event_windows(events: Column, kind: str) -> Column:
+    """The stretches of ``events`` (structs of type ``kind``) from a ``connect`` to ``tls_handshake_done``."""
+    none = F.array().cast(f"array<{kind}>")
+    zero = F.struct(F.array().cast(f"array<array<{kind}>>").alias("done"), none.alias("open"))
 
     def step(acc: Column, e: Column) -> Column:
         grown = F.when(e["operation"] == "connect", F.array(e)).otherwise(F.concat(acc["open"], F.array(e)))
         ends = e["operation"] == "tls_handshake_done"
         return F.struct(
             F.when(ends, F.concat(acc["done"], F.array(grown))).otherwise(acc["done"]).alias("done"),
-            F.when(ends, F.array().cast(f"array<{kind}>")).otherwise(grown).alias("open"),
+            F.when(ends, none).otherwise(grown).alias("open"),
         )
 
-    windows = F.aggregate(F.col(events), zero, step, lambda acc: acc["done"])
-    fitting = F.filter(windows, lambda w: F.element_at(w, -1)["t"] == F.col("t"))
-    own = F.get(windows, F.col("pos"))
-    chosen = F.when(F.size(fitting) == 1, F.get(fitting, F.lit(0))).when((F.size(fitting) > 1) & (F.element_at(own, -1)["t"] == F.col("t")), own)
-    return F.when(F.coalesce("transaction_id", F.lit(0)) != 0, by_id).otherwise(F.coalesce(chosen, F.array().cast(f"array<{kind}>")))
+    return F.aggregate(events, zero, step, lambda acc: acc["done"])
+
+
+def own_events(events: Column, windows: Column, kind: str, tid: Column, t: Column, pos: Column) -> Column:
+    """Events of a handshake: those of its transaction, ordered by time. Without transaction ids: the
+    window that ends at the handshake's time; of several, the one at the handshake's own place; else none."""
+    by_id = F.array_sort(
+        F.filter(events, lambda e: e["transaction_id"] == tid),
+        lambda x, y: F.when(x["t"] < y["t"], -1).when(x["t"] > y["t"], 1).otherwise(0),
+    )
+    fitting = F.filter(windows, lambda w: F.element_at(w, -1)["t"] == t)
+    own = F.get(windows, pos)
+    chosen = let(fitting, lambda f: F.when(F.size(f) == 1, F.get(f, F.lit(0))).when((F.size(f) > 1) & (F.element_at(own, -1)["t"] == t), own))
+    return F.when(F.coalesce(tid, F.lit(0)) != 0, by_id).otherwise(F.coalesce(chosen, F.array().cast(f"array<{kind}>")))
+
+
+def handshake_events(tls: DataFrame, events: str = "events") -> Column:
+    """:func:`own_events` of rows with events, transaction_id, t and pos."""
+    kind = tls.schema[events].dataType.elementType.simpleString()
+    return own_events(F.col(events), event_windows(F.col(events), kind), kind, F.col("transaction_id"), F.col("t"), F.col("pos"))
 
 
 def handshake_summary(events: Column) -> Column:
@@ -146,22 +205,32 @@ def handshake_summary(events: Column) -> Column:
     return F.get(bound, F.lit(0))
 
 
-def explode_tls(msmts: DataFrame, path: str = "test_keys.tls_handshakes") -> DataFrame:
+def tls_rows(handshakes: Column, events: Column, start: Column, kind: str = _EVENT) -> Column:
     """One row a handshake with certificate fingerprints and a summary of its network events."""
-    start = start_time(F.col("measurement_start_time"))
-    h = msmts.select("measurement_uid", start.alias("start"), F.col("test_keys.network_events").alias("ev"), F.posexplode(path).alias("pos", "h"))
-    host, port = host_port(F.col("h.address"))
-    failure = normal_failure(F.col("h.failure"))
-    rows = h.select(
-        "measurement_uid", "pos", host.alias("ip"), port.alias("port"), F.coalesce("h.server_name", F.lit("")).alias("server_name"),
-        F.coalesce("h.outer_server_name", F.lit("")).alias("outer_server_name"), F.coalesce("h.tls_version", F.lit("")).alias("version"),
-        F.coalesce("h.cipher_suite", F.lit("")).alias("cipher_suite"), failure.alias("failure"),
-        certificate_valid(F.col("h.no_tls_verify"), failure).alias("is_certificate_valid"),
-        F.coalesce(F.size("h.peer_certificates"), F.lit(0)).alias("chain_length"), chain_fingerprints(F.col("h.peer_certificates")).alias("chain_fingerprints"),
-        F.col("h.transaction_id").alias("transaction_id"), F.col("h.t").alias("t"), F.coalesce("ev", F.array().cast(h.schema["ev"].dataType)).alias("events"),
-        event_time(F.col("start"), F.col("h.t")).alias("ts"),
-    )
-    return rows.withColumn("_own", handshake_events(rows)).withColumn("handshake", handshake_summary(F.col("_own"))).drop("events", "_own")
+
+    def row(h: Column, i: Column, x: Column) -> Column:
+        host, port = host_port(h["address"])
+        failure = normal_failure(h["failure"])
+        text = lambda c: F.coalesce(h[c], F.lit(""))
+        own = own_events(x["events"], x["windows"], kind, h["transaction_id"], h["t"], i)
+        return F.struct(
+            i.alias("pos"), host.alias("ip"), port.alias("port"), text("server_name").alias("server_name"),
+            text("outer_server_name").alias("outer_server_name"), text("echconfig").alias("echconfig"), text("tls_version").alias("version"),
+            text("cipher_suite").alias("cipher_suite"), failure.alias("failure"),
+            certificate_valid(h["no_tls_verify"], failure).alias("is_certificate_valid"),
+            F.coalesce(F.size(h["peer_certificates"]), F.lit(0)).alias("chain_length"), chain_fingerprints(h["peer_certificates"]).alias("chain_fingerprints"),
+            h["transaction_id"].alias("transaction_id"), h["t"].alias("t"), event_time(start, h["t"]).alias("ts"),
+            let(own, handshake_summary).alias("handshake"),
+        )
+
+    some = F.coalesce(events, F.array().cast(f"array<{kind}>"))
+    return let(F.struct(some.alias("events"), event_windows(some, kind).alias("windows")), lambda x: F.transform(handshakes, lambda h, i: row(h, i, x)))
+
+
+def explode_tls(msmts: DataFrame, path: str = "test_keys.tls_handshakes") -> DataFrame:
+    """:func:`tls_rows` as rows."""
+    kind = msmts.select("test_keys.network_events").schema[0].dataType.elementType.simpleString()
+    return _exploded(msmts, tls_rows(F.col(path), F.col("test_keys.network_events"), _start(msmts), kind))
 
 
 def chain_fingerprints(certificates: Column) -> Column:
@@ -175,24 +244,32 @@ def header(headers: Column, name: str) -> Column:
     return F.get(F.filter(headers, lambda h: F.lower(F.get(h, F.lit(0))) == name), F.lit(0)).getItem(1)
 
 
-def explode_http(msmts: DataFrame, path: str = "test_keys.requests") -> DataFrame:
+def http_rows(requests: Column, start: Column) -> Column:
     """One row a transaction with a request; the array runs from the last request to the first, so the
     next element is the earlier one, and a redirect came from it if its Location is this URL."""
-    start = start_time(F.col("measurement_start_time"))
-    arr = F.col(path)
-    r = msmts.select("measurement_uid", start.alias("start"), arr.alias("all"), F.posexplode(path).alias("pos", "r"))
-    r = r.withColumn("before", F.get("all", F.col("pos") + 1)).filter(F.col("r.request").isNotNull())
-    host, port = host_port(F.col("r.address"))
-    came = header(F.col("before.response.headers_list"), "location") == F.col("r.request.url")
-    return r.select(
-        "measurement_uid", "pos", host.alias("ip"), port.alias("port"), F.col("r.request.url").alias("request_url"), F.col("r.request.method").alias("method"),
-        F.when(F.col("r.network") == "quic", "udp").otherwise(F.col("r.network")).alias("network"), F.col("r.alpn").alias("alpn"),
-        normal_failure(F.col("r.failure")).alias("failure"), (F.col("r.t") - F.col("r.t0")).alias("runtime"),
-        F.col("r.response.code").alias("status_code"), F.octet_length("r.response.body").alias("body_length"), F.sha1("r.response.body").alias("body_sha1"),
-        header(F.col("r.response.headers_list"), "location").alias("location"), header(F.col("r.response.headers_list"), "server").alias("server"),
-        F.when(came, F.col("before.request.url")).alias("redirect_from"), F.col("r.transaction_id").alias("transaction_id"),
-        event_time(F.col("start"), F.col("r.t")).alias("ts"),
-    )
+    placed = F.transform(requests, lambda r, i: F.struct(i.alias("pos"), r.alias("r"), F.get(requests, i + 1).alias("before")))
+
+    def row(x: Column) -> Column:
+        r, before = x["r"], x["before"]
+        host, port = host_port(r["address"])
+        headers = r["response"]["headers_list"]
+        came = header(before["response"]["headers_list"], "location") == r["request"]["url"]
+        return F.struct(
+            x["pos"].alias("pos"), host.alias("ip"), port.alias("port"), r["request"]["url"].alias("request_url"), r["request"]["method"].alias("method"),
+            F.when(r["network"] == "quic", "udp").otherwise(r["network"]).alias("network"), r["alpn"].alias("alpn"),
+            normal_failure(r["failure"]).alias("failure"), (r["t"] - r["t0"]).alias("runtime"),
+            r["response"]["code"].alias("status_code"), F.octet_length(r["response"]["body"]).alias("body_length"), F.sha1(r["response"]["body"]).alias("body_sha1"),
+            header(headers, "location").alias("location"), header(headers, "server").alias("server"),
+            F.when(came, before["request"]["url"]).alias("redirect_from"), r["transaction_id"].alias("transaction_id"),
+            event_time(start, r["t"]).alias("ts"),
+        )
+
+    return F.transform(F.filter(placed, lambda x: x["r"]["request"].isNotNull()), row)
+
+
+def explode_http(msmts: DataFrame, path: str = "test_keys.requests") -> DataFrame:
+    """:func:`http_rows` as rows."""
+    return _exploded(msmts, http_rows(F.col(path), _start(msmts)))
 
 
 def redirect_from(rows: DataFrame, keys: list[str], pos: str, url: str, location: str) -> DataFrame:
@@ -226,72 +303,75 @@ def pair_by_address(dns: DataFrame, tcp: DataFrame, tls: DataFrame, http: DataFr
     return paired.withColumn("observation_idx", F.row_number().over(order)).select("measurement_uid", "ip", *names, "observation_idx")
 
 
-def _match(row: dict, pool: list[dict]) -> dict | None:
-    """The first of the pool with the row's transaction id (0 is none), else the first with its address."""
-    tid, ip = row["transaction_id"], row["ip"]
-    found = next((p for p in pool if p["transaction_id"] == tid), None) if tid else None
-    if found is None and ip:
-        found = next((p for p in pool if p["ip"] == ip), None)
-    if found is not None:
-        pool.remove(found)
-    return found
+class _Pool:
+    """Rows of one side, taken by transaction id or address, the first that is left."""
+
+    def __init__(self, rows: list[dict]):
+        self.rows, self.used = rows, [False] * len(rows)
+        self.by = {"transaction_id": {}, "ip": {}}
+        for i, row in enumerate(rows):
+            for name, found in self.by.items():
+                found.setdefault(row[name], deque()).append(i)
+
+    def take(self, row: dict) -> dict | None:
+        """The first row with this row's transaction id (0 is none), else the first with its address."""
+        for name, found in self.by.items():
+            queue = found.get(row[name]) if row[name] else None
+            while queue:
+                i = queue.popleft()
+                if not self.used[i]:
+                    self.used[i] = True
+                    return self.rows[i]
+        return None
+
+    def left(self) -> list[dict]:
+        return [r for r, used in zip(self.rows, self.used) if not used]
 
 
 def pair_record(sides: dict[str, list[dict]]) -> list[tuple[int | None, ...]]:
-    """Pairing of one measurement's rows in order; positions of dns, tcp, tls, http."""
-    pools = {n: list(sides[n]) for n in SIDES}
+    """Pairing of one measurement's rows in order; positions of dns, tcp, tls, http. Each row of a side takes
+    what is left of the later sides; those rows that none took stand alone."""
+    pools = {n: _Pool(sides[n] or []) for n in SIDES}
     out = []
     for i, lead in enumerate(SIDES):
-        own, pools[lead] = pools[lead], []
-        for row in own:
+        for row in pools[lead].left():
             got = {lead: row["pos"]}
             for other in SIDES[i + 1 :]:
-                hit = _match(row, pools[other])
+                hit = pools[other].take(row)
                 if hit is not None:
                     got[other] = hit["pos"]
             out.append(tuple(got.get(n) for n in SIDES))
     return out
 
 
-def pair_by_transaction(grouped: DataFrame) -> DataFrame:
-    """Pairing with transaction ids. ``grouped`` has one row a measurement: measurement_uid and arrays dns,
-    tcp, tls, http of struct(pos, ip, transaction_id), so no shuffle is needed here."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for rec in batch.to_pylist():
-                found = pair_record({n: rec[n] or [] for n in SIDES})
-                rows += [(rec["measurement_uid"], *p, k + 1) for k, p in enumerate(found)]
-            cols = list(zip(*rows)) if rows else [[]] * 6
-            kinds = [pa.string(), *[pa.int32()] * 4, pa.int32()]
-            names = ["measurement_uid", *[f"{n}_pos" for n in SIDES], "observation_idx"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names)
+PAIRS = "array<struct<part:int,dns:int,tcp:int,tls:int,http:int>>"
 
-    return grouped.select("measurement_uid", *SIDES).mapInArrow(
-        run, "measurement_uid string, dns_pos int, tcp_pos int, tls_pos int, http_pos int, observation_idx int"
-    )
-
-
-def pair_observations(dns: DataFrame, tcp: DataFrame, tls: DataFrame, http: DataFrame, has_txid: bool) -> DataFrame:
-    """Pair the exploded sides of each measurement, by address or by transaction id."""
-    if not has_txid:
-        return pair_by_address(dns, tcp, tls, http)
-    grouped = None
-    for n, df in zip(SIDES, (dns, tcp, tls, http)):
-        part = df.groupBy("measurement_uid").agg(F.array_sort(F.collect_list(F.struct("pos", "ip", "transaction_id"))).alias(n))
-        grouped = part if grouped is None else grouped.join(part, "measurement_uid", "full")
-    return pair_by_transaction(grouped)
 
-
-def assemble(paired: DataFrame) -> DataFrame:
-    """Address, port, host name and transaction id of a paired row, each from the first side that has it.
-    Columns are prefixed by side: dns_answer, tcp_ip, tls_ip, http_ip, tcp_port, …"""
+def paired(parts: pa.Array) -> pa.Array:
+    """Pairing inside the row. A measurement has a list of parts, each with the (ip, transaction_id) of its four
+    sides; it gets the list of what belongs together, as places in the sides of a part."""
+    kind = pa.list_(pa.struct([(n, pa.int32()) for n in ("part", *SIDES)]))
+    out = []
+    for rec in parts.to_pylist():
+        rows = []
+        for k, part in enumerate(rec or []):
+            placed = {n: [{"pos": i, **x} for i, x in enumerate(part[n] or [])] for n in SIDES}
+            rows += [{"part": k, **dict(zip(SIDES, found))} for found in pair_record(placed)]
+        out.append(rows)
+    return pa.array(out, kind)
+
+
+def assemble(rows: DataFrame) -> DataFrame:
+    """Address, port, host name and transaction id of a paired row. The address is that of the first side that has
+    one; the name that was asked of DNS, else that of the URL, else the server name unless it is an
+    address; the id that of TCP, TLS or HTTP. Columns are prefixed by side: dns_answer, tcp_ip, …"""
     ip = F.coalesce(F.when(is_ip(F.col("dns_answer")), F.col("dns_answer")), "tcp_ip", "tls_ip", "http_ip")
-    sni = F.when(~is_ip(F.col("tls_server_name")) & (F.col("tls_server_name") != ""), F.col("tls_server_name"))
-    host = F.coalesce("dns_hostname", sni, F.nullif(F.try_parse_url("http_request_url", F.lit("HOST")), F.lit("")))
-    tid = F.coalesce(*[F.nullif(f"{n}_transaction_id", F.lit(0)) for n in SIDES])
-    return paired.select("*", ip.alias("ip"), F.coalesce("tcp_port", "tls_port", "http_port").alias("port"), host.alias("hostname"), tid.alias("transaction_id"))
+    sni = F.when(~is_ip(F.col("tls_server_name")), F.col("tls_server_name"))
+    url = F.lower(F.try_parse_url("http_request_url", F.lit("HOST")))
+    host = F.coalesce(*[F.nullif(x, F.lit("")) for x in (F.col("dns_hostname"), url, sni)])
+    tid = F.coalesce(*[F.nullif(f"{n}_transaction_id", F.lit(0)) for n in SIDES[1:]])
+    port = F.coalesce(*[F.nullif(f"{n}_port", F.lit(0)) for n in SIDES[1:]])
+    return rows.select("*", ip.alias("ip"), port.alias("port"), host.alias("hostname"), tid.alias("transaction_id"))
 
 
 def hint_hostnames(rows: DataFrame, hints: DataFrame) -> DataFrame:
@@ -326,50 +406,79 @@ def control_rows(tcp: DataFrame, tls: DataFrame, dns: DataFrame, http: DataFrame
     return rows.withColumn("observation_idx", F.row_number().over(order) - 1).drop("_s").join(names.select("measurement_uid", "hostname"), "measurement_uid", "left")
 
 
+def control_entries(keys: Column, url: Column) -> Column:
+    """Control observations of a measurement with a control, a target host and no control failure: one for a
+    DNS failure, one an endpoint with its TCP and TLS results, one a resolved address that no endpoint has
+    (in order of the address), one for the control's own request. A result without a failure is a success."""
+    c = keys["control"]
+    host = F.nullif(F.lower(F.try_parse_url(url, F.lit("HOST"))), F.lit(""))
+    fields = {
+        "ip": "string", "port": "int", "dns_failure": "string", "dns_success": "boolean", "tcp_failure": "string", "tcp_success": "boolean",
+        "tls_failure": "string", "tls_success": "boolean", "tls_server_name": "string", "http_request_url": "string", "http_failure": "string",
+        "http_success": "boolean", "http_response_body_length": "bigint",
+    }
+
+    def row(**own: Column) -> Column:
+        return F.struct(*[(own[n] if n in own else F.lit(None)).cast(kind).alias(n) for n, kind in fields.items()])
+
+    def endpoint(k: Column, addrs: Column) -> Column:
+        ip, port = host_port(scrub_address(k))
+        tcp, tls = (F.try_element_at(c[m], k) for m in ("tcp_connect", "tls_handshake"))
+        had = lambda m: F.coalesce(F.map_contains_key(c[m], k), F.lit(False))
+        return row(
+            ip=ip, port=port, tcp_failure=tcp["failure"], tcp_success=F.when(had("tcp_connect"), tcp["failure"].isNull()),
+            tls_failure=tls["failure"], tls_success=F.when(had("tls_handshake"), tls["failure"].isNull()), tls_server_name=tls["server_name"],
+            dns_success=F.when(F.array_contains(addrs, ip), True),
+        )
+
+    none = F.array().cast("array<string>")
+    names = F.array_union(*[F.coalesce(F.map_keys(c[m]), none) for m in ("tcp_connect", "tls_handshake")])
+    ends = lambda addrs: F.transform(names, lambda k: endpoint(k, addrs))
+    rest = lambda addrs, met: F.transform(
+        F.array_sort(F.array_except(addrs, F.transform(met, lambda e: e["ip"]))), lambda ip: row(ip=ip, dns_success=F.lit(True))
+    )
+    empty = F.array().cast(f"array<struct<{','.join(f'{n}:{kind}' for n, kind in fields.items())}>>")
+    only = lambda cond, *values: F.when(cond, F.array(row(**dict(values)))).otherwise(empty)
+    asked = c["http_request"]
+    found = let(F.filter(F.array_distinct(F.coalesce(c["dns"]["addrs"], none)), lambda a: a.isNotNull()), lambda addrs: let(ends(addrs), lambda met: F.concat(
+        only(F.nullif(c["dns"]["failure"], F.lit("")).isNotNull(), ("dns_failure", c["dns"]["failure"])), met, rest(addrs, met),
+        only(asked.isNotNull(), ("http_request_url", url), ("http_failure", asked["failure"]), ("http_success", asked["failure"].isNull()), ("http_response_body_length", asked["body_length"])),
+    )))
+    usable = c.isNotNull() & F.nullif(keys["control_failure"], F.lit("")).isNull() & host.isNotNull()
+    return F.when(usable, F.transform(found, lambda r, i: F.struct(i.alias("observation_idx"), host.alias("hostname"), *[r[n].alias(n) for n in fields])))
+
+
 def control_of(msmts: DataFrame) -> DataFrame:
-    """Control observations of nested measurements with a control."""
-    c = msmts.filter("test_keys.control IS NOT NULL").select("measurement_uid", "input", "test_keys.control.*")
-    host = F.coalesce(F.try_parse_url("input", F.lit("HOST")), F.lit(""))
-    tcp = c.select("measurement_uid", F.explode("tcp_connect").alias("endpoint", "v")).select("measurement_uid", "endpoint", F.col("v.status").alias("tcp_success"), normal_failure(F.col("v.failure")).alias("tcp_failure"))
-    tls = c.select("measurement_uid", F.explode("tls_handshake").alias("endpoint", "v")).select("measurement_uid", "endpoint", F.col("v.status").alias("tls_success"), normal_failure(F.col("v.failure")).alias("tls_failure"), F.col("v.server_name").alias("tls_server_name"))
-    dns = c.select("measurement_uid", host.alias("hostname"), normal_failure(F.col("dns.failure")).alias("failure"), F.coalesce("dns.addrs", F.array().cast("array<string>")).alias("addrs"))
-    http = c.filter("http_request IS NOT NULL").select("measurement_uid", F.col("input").alias("http_request_url"), F.col("http_request.failure").alias("http_failure"), F.col("http_request.body_length").alias("http_response_body_length"))
-    return control_rows(tcp, tls, dns, http)
-
-
-def tagged_targets(msmts: DataFrame, path: str, sides: tuple = ("tcp_connect", "tls_handshakes")) -> DataFrame:
-    """Tests that hold a map of targets: each target as a measurement of its own, tagged."""
-    each = msmts.select("*", F.explode(path).alias("target_id", "_v"))
-    keep = [F.col(f"_v.{s}").alias(s) for s in sides]
-    return each.select(*[c for c in msmts.columns if c != "test_keys"], "target_id", F.struct(*keep).alias("test_keys"))
-
-
-def ech_target(server: Column, outer: Column, config: Column) -> Column:
-    """Which part of an ECH check a handshake is: control, the target, or a GREASE probe."""
-    return F.when(F.coalesce(config, F.lit("")) == "", "control").when(config == "GREASE", "GREASE").otherwise(F.coalesce(F.nullif(outer, F.lit("")), server))
-
-
-def dispatch(msmts: DataFrame, branches: dict) -> DataFrame | None:
-    """One branch a test name; rows of unknown tests give nothing."""
-    out = None
-    for name, make in branches.items():
-        if name not in TEST_NAMES:
-            raise ValueError(f"unknown test {name}")
-        part = make(msmts.filter(F.col("test_name") == name)).withColumn("test_name", F.lit(name))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    """Control observations of nested measurements, indexed from 0, beside what is known of the measurement."""
+    msmts = complete(msmts)
+    rows = msmts.select(*meta_columns(msmts), control_entries(F.col("test_keys"), F.col("input")).alias("_c"))
+    out = rows.select(*[c for c in rows.columns if c != "_c"], F.inline_outer("_c"))
+    return out.filter("observation_idx IS NOT NULL")
 
 
-def header_field_check(msmts: DataFrame) -> DataFrame:
-    """First reason why a header-manipulation check failed; success otherwise. The request's own failure
+def ech_handshakes(keys: Column) -> Column:
+    """Handshakes of an ECH check: the listed ones, else the control and the target, which is a GREASE probe."""
+    target = keys["target"].withField("echconfig", F.lit("GREASE"))
+    control = F.when(keys["control"].isNotNull(), F.struct(*[keys["control"][n].alias(n) for n in HANDSHAKE]))
+    two = F.when(control.isNotNull() & keys["target"].isNotNull(), F.array(control, target))
+    return F.when(F.size(keys["tls_handshakes"]) > 0, keys["tls_handshakes"]).otherwise(two)
+
+
+def header_field_failure(requests: Column) -> Column:
+    """First reason why a header-manipulation check failed, NULL if none did. The request's own failure
     counts only where there is no response."""
-    r = F.get("test_keys.requests", F.lit(0))
-    reason = (
-        F.when(F.coalesce(F.size("test_keys.requests"), F.lit(0)) <= 0, "missing_requests")
+    r = F.get(requests, F.lit(0))
+    return (
+        F.when(F.coalesce(F.size(requests), F.lit(0)) <= 0, "missing_requests")
         .when(r["response"].isNull(), F.coalesce(F.nullif(r["failure"], F.lit("")), F.lit("missing_response")))
         .when(r["response"]["body"].isNull(), "missing_response_body")
         .when(r["request"].isNull() | r["request"]["headers_list"].isNull(), "malformed_request")
     )
+
+
+def header_field_check(msmts: DataFrame) -> DataFrame:
+    """:func:`header_field_failure` of each measurement; success without one."""
+    reason = header_field_failure(F.col("test_keys.requests"))
     return msmts.select("measurement_uid", reason.alias("hfm_failure"), reason.isNull().alias("hfm_success"))
 
 
@@ -386,8 +495,8 @@ def request_line_slot(sent: Column) -> Column:
     )
 
 
-def request_line_check(msmts: DataFrame, sent: str = "sent", received: str = "received") -> DataFrame:
-    """Per measurement: what was sent and received in each slot where they differ, and the failure."""
+def request_line_columns(sent: Column, received: Column) -> list[Column]:
+    """What was sent and received in each slot where they differ, and the failure."""
     n = F.coalesce(F.size(received), F.lit(-1))
     short = F.least(n, F.coalesce(F.size(sent), F.lit(-1)))
     failure = (
@@ -395,11 +504,12 @@ def request_line_check(msmts: DataFrame, sent: str = "sent", received: str = "re
         .when(n <= 0, "missing_received")
         .when(short < 5, F.concat(F.lit("missing_received_"), short.cast("string")))
     )
-    pairs = F.filter(F.arrays_zip(F.col(sent).alias("s"), F.col(received).alias("r")), lambda x: x["s"] != x["r"])
-    slot = lambda k, side: F.get(F.transform(F.filter(F.col("_p"), lambda x: request_line_slot(x["s"]) == k), lambda x: x[side]), F.lit(0))
-    rows = msmts.select("measurement_uid", failure.alias("hirl_failure"), failure.isNull().alias("hirl_success"), F.slice(pairs, 1, 5).alias("_p"))
-    return rows.select("measurement_uid", "hirl_failure", "hirl_success", *[slot(k, a).alias(f"hirl_{b}_{k}") for k in range(5) for a, b in (("s", "sent"), ("r", "received"))])
+    pairs = F.slice(F.filter(F.arrays_zip(sent.alias("s"), received.alias("r")), lambda x: x["s"] != x["r"]), 1, 5)
+    first = lambda k: F.get(F.filter(pairs, lambda x: request_line_slot(x["s"]) == k), F.lit(0))
+    slots = [first(k)[a].alias(f"hirl_{b}_{k}") for k in range(5) for a, b in (("s", "sent"), ("r", "received"))]
+    return [failure.alias("hirl_failure"), failure.isNull().alias("hirl_success"), *slots]
 
 
-def browser_check(msmts: DataFrame) -> DataFrame:
-    return msmts.select("measurement_uid", normal_failure(F.col("test_keys.failure")).alias("failure"), F.col("test_runtime").alias("runtime"))
+def request_line_check(msmts: DataFrame, sent: str = "sent", received: str = "received") -> DataFrame:
+    """:func:`request_line_columns` of each measurement."""
+    return msmts.select("measurement_uid", *request_line_columns(F.col(sent), F.col(received)))

@@ -1,110 +1,195 @@
-"""From raw measurements to observations: the explode, pair and assemble steps of every test, end to end."""
+"""From raw measurements to observations, in one pass over the rows.
+
+The arrays of a measurement are turned into rows of each side, paired, assembled and only then exploded, so
+nothing is shuffled and no test has a scan of its own: what the tests differ in is which arrays they pair.
+Python sees the addresses and transaction ids alone.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netquill.functions.scalars import normal_failure
+from netquill.functions.scalars import is_bogon, let, normal_failure
+from netquill.operators import enrich as E
 from netquill.operators import flatten as L
-from netquill.operators.enrich import platform_target
-from netquill.schemas import _EVENT, _QUERY, _REQUEST, _TCP, _TLS
+from netquill.schemas import _EVENT, _QUERY, _REQUEST, _TCP, _TLS, TEST_NAMES
+from netquill.sources.io import staged
 
 ARRAYS = {"queries": _QUERY, "tcp_connect": _TCP, "tls_handshakes": _TLS, "network_events": _EVENT, "requests": _REQUEST}
-#: answers of one query, at most, for the running position of a DNS row
-ANSWERS = 4096
+ALL = tuple(ARRAYS)
 PLATFORMS = ("telegram", "whatsapp", "signal", "facebook_messenger")
-#: separates the id of a measurement from that of one of its targets
-TARGET = "\x1f"
-
-
-def _sides(msmts: DataFrame) -> dict[str, DataFrame]:
-    """The exploded rows of each side with a position, prefixed by side."""
-    dns = L.explode_dns(msmts).withColumn("pos", (F.col("query_pos") * ANSWERS + F.coalesce("answer_pos", F.lit(0))).cast("int"))
-    tls = L.explode_tls(msmts).select("*", *[F.col(f"handshake.{n}").alias(f"handshake_{n}") for n in ("time", "read_count", "read_bytes", "write_count", "write_bytes", "last_operation")]).drop("handshake")
-    found = {"dns": dns.drop("query_pos", "answer_pos"), "tcp": L.explode_tcp(msmts), "tls": tls, "http": L.explode_http(msmts)}
-    return {n: df.withColumnsRenamed({c: f"{n}_{c}" for c in df.columns if c != "measurement_uid"}) for n, df in found.items()}
-
-
-def web_observations(msmts: DataFrame, has_txid: bool = True) -> DataFrame:
-    """One row a connection of each measurement: what was asked of DNS, and the TCP, TLS and HTTP attempts that
-    belong to the answer, paired by transaction id or by address, beside the measurement and the probe."""
-    sides = _sides(msmts)
-    narrow = [sides[n].select("measurement_uid", F.col(f"{n}_pos").cast("int").alias("pos"), F.col(f"{n}_ip").alias("ip"), F.col(f"{n}_transaction_id").alias("transaction_id")) for n in L.SIDES]
-    rows = L.pair_observations(*narrow, has_txid=has_txid).select("measurement_uid", *[f"{n}_pos" for n in L.SIDES], "observation_idx")
-    for n in L.SIDES:
-        rows = rows.join(sides[n], ["measurement_uid", f"{n}_pos"], "left")
-    meta = L.measurement_meta(msmts).join(L.probe_meta(msmts), "measurement_uid") if "resolver_ip" in msmts.columns else msmts.select("measurement_uid")
-    return L.assemble(rows).join(meta, "measurement_uid")
-
+PART = "struct<target_id:string," + ",".join(f"{n}:array<{kind}>" for n, kind in ARRAYS.items()) + ">"
 
-def with_test_keys(msmts: DataFrame, target: Column | None = None, **arrays: Column) -> DataFrame:
-    """Measurements that hold only the given arrays of their sides, as ones of their own if they have a target."""
-    keys = F.struct(
-        F.col("test_keys.client_resolver").alias("client_resolver"),
-        *[(arrays[n] if n in arrays else F.lit(None)).cast(f"array<{kind}>").alias(n) for n, kind in ARRAYS.items()],
-    )
-    out = msmts.withColumn("test_keys", keys)
-    return out if target is None else out.withColumn("measurement_uid", F.concat_ws(TARGET, "measurement_uid", target))
 
+def part(target: Column | None = None, **arrays: Column) -> Column:
+    """Arrays that are paired with each other, and the target that they belong to."""
+    own = [(arrays[n] if n in arrays else F.lit(None)).cast(f"array<{kind}>").alias(n) for n, kind in ARRAYS.items()]
+    return F.struct((F.lit(None) if target is None else target).cast("string").alias("target_id"), *own)
 
-def _untagged(rows: DataFrame) -> DataFrame:
-    """The id of the measurement and that of the target apart."""
-    part = F.split("measurement_uid", TARGET)
-    return rows.withColumn("target_id", F.get(part, F.lit(1))).withColumn("measurement_uid", F.get(part, F.lit(0)))
 
+def own(*names: str):
+    """One part of a test's own arrays."""
+    return lambda keys: F.array(part(**{n: keys[n] for n in names}))
 
-def _own(*names: str):
-    return lambda m, txid: web_observations(with_test_keys(m, **{n: F.col(f"test_keys.{n}") for n in names}), txid)
 
+def each_target(*names: str):
+    """A part for each target of a map, in its order."""
+    return lambda keys: F.transform(F.map_entries(keys["targets"]), lambda e: part(e["key"], **{n: e["value"][n] for n in names}))
 
-def _each(path: str, names: tuple, named: bool):
-    """Tests that hold a map of targets, or of lookups; each is paired by itself."""
 
-    def make(m: DataFrame, txid: bool) -> DataFrame:
-        each = m.select("*", F.explode(path).alias("_k", "_v"))
-        found = _untagged(web_observations(with_test_keys(each, F.col("_k"), **{n: F.col(f"_v.{n}") for n in names}).drop("_k", "_v"), txid))
-        return found if named else found.drop("target_id")
+def _lookups(keys: Column) -> Column:
+    names = ("queries", "tcp_connect", "tls_handshakes", "requests")
+    rest = F.transform(F.map_values(keys["lookups"]), lambda v: part(**{n: v[n] for n in names}))
+    return F.concat(F.array(part(queries=keys["bootstrap"]["queries"])), F.coalesce(rest, F.array().cast(f"array<{PART}>")))
 
-    return make
 
+def _ech(keys: Column) -> Column:
+    return F.array(part(**{n: keys[n] for n in ("queries", "tcp_connect", "network_events")}, tls_handshakes=L.ech_handshakes(keys)))
 
-def _dns_check(m: DataFrame, txid: bool) -> DataFrame:
-    boot = web_observations(with_test_keys(m, queries=F.col("test_keys.bootstrap.queries")), txid)
-    return boot.unionByName(_each("test_keys.lookups", ("queries", "tcp_connect", "tls_handshakes", "requests"), False)(m, txid))
 
-
-def _platform(name: str, *sides: str):
-    def make(m: DataFrame, txid: bool) -> DataFrame:
-        return _own(*sides)(m, txid).withColumn("target_id", platform_target(F.lit(name), F.col("hostname"), F.col("ip")))
-
-    return make
-
-
-def _browser(m: DataFrame, txid: bool) -> DataFrame:
-    return m.select("measurement_uid", normal_failure(F.col("test_keys.failure")).alias("http_failure"), F.col("test_runtime").alias("http_runtime"), F.lit(1).alias("observation_idx"))
-
-
-ALL = tuple(ARRAYS)
-#: what each test's measurements give
+#: the parts that each test pairs; None: a test with one row a measurement and nothing to pair
 BRANCHES = {
-    "web_connectivity": _own(*ALL),
-    "urlgetter": _own(*ALL),
-    "echcheck": _own("queries", "tcp_connect", "tls_handshakes", "network_events"),
-    "stunreachability": _own("queries"),
-    "telegram": _platform("telegram", *ALL),
-    "whatsapp": _platform("whatsapp", *ALL),
-    "signal": _platform("signal", *ALL),
-    "facebook_messenger": _platform("facebook_messenger", "queries", "tcp_connect"),
-    "tor": _each("test_keys.targets", ("tcp_connect", "tls_handshakes"), True),
-    "dnscheck": _dns_check,
-    "browser_web": _browser,
-    "http_header_field_manipulation": lambda m, txid: L.header_field_check(m),
-    "http_invalid_request_line": lambda m, txid: L.request_line_check(m.select("measurement_uid", "test_keys.sent", "test_keys.received")),
+    "web_connectivity": own(*ALL),
+    "urlgetter": own(*ALL),
+    "echcheck": _ech,
+    "stunreachability": own("queries"),
+    "telegram": own(*ALL),
+    "whatsapp": own(*ALL),
+    "signal": own(*ALL),
+    "facebook_messenger": own("queries", "tcp_connect"),
+    "tor": each_target("tcp_connect", "tls_handshakes"),
+    "dnscheck": _lookups,
+    "browser_web": None,
+    "http_header_field_manipulation": None,
+    "http_invalid_request_line": None,
 }
 
 
-def observations(msmts: DataFrame, tests: tuple = tuple(BRANCHES), has_txid: bool = True, probe_cc: tuple = ()) -> DataFrame:
-    """Observations of all measurements of the wanted tests and countries; rows of other tests give nothing."""
-    rows = L.gate(msmts, probe_cc)
-    return L.dispatch(rows, {t: (lambda m, make=BRANCHES[t]: make(m, has_txid)) for t in tests})
+def paired_rows(parts: Column, start: Column) -> tuple[Column, Column]:
+    """The rows of the sides of each part, and the addresses and ids by which they are paired."""
+    sides = F.transform(parts, lambda p: F.struct(
+        p["target_id"].alias("target_id"), L.dns_rows(p["queries"], start).alias("dns"), L.tcp_rows(p["tcp_connect"], start).alias("tcp"),
+        L.tls_rows(p["tls_handshakes"], p["network_events"], start).alias("tls"), L.http_rows(p["requests"], start).alias("http"),
+    ))
+    narrow = F.transform(F.col("_sides"), lambda s: F.struct(*[
+        F.transform(s[n], lambda r: F.struct(r["ip"].alias("ip"), r["transaction_id"].alias("transaction_id"))).alias(n) for n in L.SIDES
+    ]))
+    return sides, narrow
+
+
+def observations(msmts: DataFrame, tests: tuple = TEST_NAMES, probe_cc: tuple = ()) -> DataFrame:
+    """Observations of all measurements of the wanted tests and countries; rows of other tests give nothing.
+
+    One row a connection: what was asked of DNS, and the TCP, TLS and HTTP attempts that belong to the answer, by
+    transaction id or by address, beside the measurement and the probe. A name that neither DNS nor URL nor server
+    name tells is that of the input if the control resolved it to the address. The two middlebox tests and the
+    browser test have one row a measurement."""
+    unknown = set(tests) - set(BRANCHES)
+    if unknown:
+        raise ValueError(f"unknown tests {sorted(unknown)}")
+    rows = L.gate(L.complete(msmts).filter(F.col("test_name").isin(*tests)), probe_cc)
+    keys, name = F.col("test_keys"), F.col("test_name")
+    parts = None
+    for test, make in BRANCHES.items():
+        if make and test in tests:
+            parts = (F if parts is None else parts).when(name == test, make(keys))
+    parts = F.array().cast(f"array<{PART}>") if parts is None else parts
+    sides, narrow = paired_rows(parts, L.start_time(F.col("measurement_start_time")))
+    web = name == "web_connectivity"
+    of = lambda test, value: F.when(name == test, value)
+    header = L.header_field_failure(keys["requests"])
+    once = {
+        "probe_analysis": F.when(web, keys["blocking"]),
+        "_hinted": F.when(web, keys["control"]["dns"]["addrs"]),
+        "_host": F.when(web, F.nullif(F.lower(F.try_parse_url(F.col("input"), F.lit("HOST"))), F.lit(""))),
+        "_browser_failure": of("browser_web", normal_failure(keys["failure"])),
+        "_browser_runtime": of("browser_web", F.col("test_runtime")),
+        "hfm_failure": of("http_header_field_manipulation", header),
+        "hfm_success": of("http_header_field_manipulation", header.isNull()),
+    }
+    line = F.struct(*L.request_line_columns(keys["sent"], keys["received"]))
+    meta, probe = L.meta_columns(rows), L.probe_columns()
+    flat = rows.select(*meta, *probe, *[c.alias(n) for n, c in once.items()], of("http_invalid_request_line", line).alias("_line"), sides.alias("_sides"))
+    names = [c for c in flat.columns if c != "_sides"]
+    pair = F.arrow_udf(L.paired, L.PAIRS)
+    # the call stands between the rows of the sides and what reads them, so they are made once
+    found = flat.withColumn("_pairs", pair(narrow))
+    pick = lambda s, p, n: F.get(s[n], p[n]).alias(n)
+    met = F.transform("_pairs", lambda p, i: let(F.get("_sides", p["part"]), lambda s: F.struct(
+        (i + 1).alias("observation_idx"), s["target_id"].alias("target_id"), *[pick(s, p, n) for n in L.SIDES]
+    )))
+    alone = let(F.get("_sides", F.lit(0)), lambda s: F.struct(
+        F.lit(1).alias("observation_idx"), s["target_id"].alias("target_id"), *[F.get(s[n], F.lit(0)).alias(n) for n in L.SIDES]
+    ))
+    single = [t for t in tests if BRANCHES[t] is None]
+    # the outer form keeps the engine from making the rows once more for a filter before it
+    out = found.select(*names, F.inline_outer(F.when(name.isin(*single), F.array(alone)).otherwise(met) if single else met))
+    out = out.filter("observation_idx IS NOT NULL")
+    kinds = {n: out.schema[n].dataType for n in L.SIDES}
+    wide = [F.col(f"{n}.{f.name}").alias(f"{n}_{f.name}") for n in L.SIDES for f in kinds[n].fields if f.name != "handshake"]
+    shake = [F.col(f"tls.handshake.{f.name}").alias(f"tls_handshake_{f.name}") for f in kinds["tls"]["handshake"].dataType.fields]
+    lines = [F.col(f"_line.{f.name}").alias(f.name) for f in flat.schema["_line"].dataType.fields]
+    kept = [c for c in names if not c.startswith("_")]
+    out = out.select(*kept, "_hinted", "_host", "_browser_failure", "_browser_runtime", "observation_idx", "target_id", *wide, *shake, *lines)
+    out = L.assemble(out)
+    browser = name == "browser_web"
+    target = E.platform_target(name, F.col("hostname"), F.col("ip"))
+    return out.withColumns({
+        "hostname": F.coalesce("hostname", F.when(F.array_contains("_hinted", F.col("ip")), F.col("_host"))),
+        "target_id": F.when(name.isin(*PLATFORMS), target).otherwise(F.col("target_id")),
+        "http_failure": F.when(browser, F.col("_browser_failure")).otherwise(F.col("http_failure")),
+        "http_runtime": F.when(browser, F.col("_browser_runtime")).otherwise(F.col("http_runtime")),
+        "ip_is_bogon": F.when(F.col("ip").isNotNull(), is_bogon(F.col("ip"))),
+    }).drop("_hinted", "_host", "_browser_failure", "_browser_runtime")
+
+
+def _renamed(rows: DataFrame, found: DataFrame, ip: str, names: dict[str, str]) -> DataFrame:
+    """Rows with what was found of an address under the given names, in place of what they held where it was."""
+    out = E.join_networks(rows.withColumnsRenamed({a: f"_old_{a}" for a in names if a in rows.columns}), found, ip)
+    here = F.coalesce(F.col(ip) != "", F.lit(False))
+    old = lambda a: F.col(f"_old_{a}") if a in rows.columns else F.lit(None)
+    kept = [c for c in rows.columns if c not in names]
+    return out.select(*kept, *[F.when(here, F.col(b)).otherwise(old(a)).alias(a) for a, b in names.items()])
+
+
+def with_networks(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Network and country of ``ip`` as of the day (see :func:`netquill.operators.enrich.address_networks`); rows
+    without an address have none."""
+    return _renamed(rows, found, "ip", {"ip_asn": "asn", "ip_as_org_name": "org", "ip_as_cc": "as_cc", "ip_cc": "cc"})
+
+
+def with_resolver_networks(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The resolver's network as of the day. One that hides its address keeps the network that the probe told."""
+    return _renamed(rows, found, "resolver_ip", {"resolver_asn": "asn", "resolver_as_org_name": "org", "resolver_as_cc": "as_cc", "resolver_cc": "cc"})
+
+
+def with_probe_names(rows: DataFrame, seen: DataFrame, asnmeta: DataFrame) -> DataFrame:
+    """Organisation, country and name of the probe's network as of the day, one lookup for each network and day of
+    ``seen``, the same rows before other joins."""
+    spots = seen.select("probe_asn", F.date_trunc("day", "measurement_start_time").alias("_day")).distinct()
+    names = E.enrich_asn(spots, asnmeta, day="_day").withColumnsRenamed({"org_name": "probe_as_org_name", "cc": "probe_as_cc", "aut_name": "probe_as_name"})
+    dated = rows.withColumn("_day", F.date_trunc("day", "measurement_start_time"))
+    return dated.join(staged(names, "probe_names"), ["probe_asn", "_day"], "left").drop("_day")
+
+
+def for_verdicts(rows: DataFrame) -> DataFrame:
+    """Flags as the numbers that the rules compare."""
+    flags = [f.name for f in rows.schema.fields if f.dataType.typeName() == "boolean"]
+    return rows.withColumns({c: F.col(c).cast("int") for c in flags})
+
+
+def raw_verdict_inputs(
+    msmts: DataFrame, ranges: DataFrame, prefixes: DataFrame, asnmeta: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Observations and control observations of raw web_connectivity measurements, with networks, as
+    :func:`netquill.operators.verdicts.web_verdicts` takes them. Both are staged, and the distinct addresses of
+    a day are looked up once for all their uses."""
+    seen = staged(observations(msmts, ("web_connectivity",)), "observations")
+    told = staged(L.control_of(L.gate(msmts.filter("test_name = 'web_connectivity'"))), "control")
+    spots = E.address_spots(seen).unionByName(E.address_spots(told)).unionByName(E.address_spots(seen, "resolver_ip")).distinct()
+    found = staged(E.address_networks(staged(spots, "addresses"), ranges, prefixes), "networks")
+    own = with_resolver_networks(with_networks(seen, found), found)
+    if asnmeta is not None:
+        own = with_probe_names(own, seen, asnmeta)
+    return for_verdicts(own), for_verdicts(with_networks(told, found))

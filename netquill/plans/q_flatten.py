@@ -180,10 +180,13 @@ def norm_failure(spark, d):
     return frame(spark, d, "events").select("event_id", S.normal_failure(F.expr(_NF)).alias("failure"))
 
 
+# written from the specification: the name asked of DNS, else that of the URL, else the server name unless it is an
+# address; the first id of TCP, TLS and HTTP that is not 0
 @query("obs_assemble", f"""{OB} SELECT measurement_uid, observation_idx, coalesce(dns_answer, CASE WHEN tcp_success IS NOT NULL THEN ip END, CASE WHEN tls_is_certificate_valid IS NOT NULL THEN ip END, ip) AS ip,
   CASE WHEN tcp_success IS NOT NULL THEN 443 WHEN tls_is_certificate_valid IS NOT NULL THEN 8443 ELSE 80 END AS port,
-  CASE WHEN dns_answer IS NOT NULL THEN hostname WHEN tls_is_certificate_valid IS NOT NULL THEN tls_server_name ELSE regexp_extract(http_url, '^https://([^/]+)', 1) END AS hostname,
-  CASE WHEN observation_idx % 3 <> 0 THEN observation_idx % 3 ELSE observation_idx + 1 END AS transaction_id FROM o""")
+  CASE WHEN dns_answer IS NOT NULL THEN hostname WHEN observation_idx % 2 = 0 THEN regexp_extract(http_url, '^https://([^/]+)', 1)
+    WHEN tls_is_certificate_valid IS NOT NULL AND observation_idx % 5 > 0 THEN tls_server_name END AS hostname,
+  CASE WHEN observation_idx % 3 > 0 THEN observation_idx % 3 WHEN observation_idx % 2 > 0 THEN 100 + observation_idx ELSE 200 END AS transaction_id FROM o""")
 def obs_assemble(spark, d):
     o = frame(spark, d, "O")
     tcp, tls = F.col("tcp_success").isNotNull(), F.col("tls_is_certificate_valid").isNotNull()
@@ -191,9 +194,10 @@ def obs_assemble(spark, d):
         "measurement_uid", "observation_idx", "dns_answer", F.when(F.col("dns_answer").isNotNull(), F.col("hostname")).alias("dns_hostname"),
         F.when(tcp, F.col("ip")).alias("tcp_ip"), F.when(tls, F.col("ip")).alias("tls_ip"), F.col("ip").alias("http_ip"),
         F.when(tcp, 443).alias("tcp_port"), F.when(tls, 8443).alias("tls_port"), F.lit(80).alias("http_port"),
-        F.when(tls, F.col("tls_server_name")).otherwise(F.lit("")).alias("tls_server_name"), F.col("http_url").alias("http_request_url"),
-        (F.col("observation_idx") % 3).alias("dns_transaction_id"), (F.col("observation_idx") + 1).alias("tcp_transaction_id"),
-        F.lit(0).cast("long").alias("tls_transaction_id"), F.lit(0).cast("long").alias("http_transaction_id"),
+        F.when(tls & (F.col("observation_idx") % 5 == 0), F.lit("93.184.0.1")).when(tls, F.col("tls_server_name")).otherwise(F.lit("")).alias("tls_server_name"),
+        F.when(F.col("observation_idx") % 2 == 0, F.col("http_url")).alias("http_request_url"),
+        F.lit(7).cast("long").alias("dns_transaction_id"), (F.col("observation_idx") % 3).alias("tcp_transaction_id"),
+        F.when(F.col("observation_idx") % 2 > 0, 100 + F.col("observation_idx")).alias("tls_transaction_id"), F.lit(200).cast("long").alias("http_transaction_id"),
     )
     return L.assemble(rows).select("measurement_uid", "observation_idx", "ip", "port", "hostname", "transaction_id")
 
@@ -215,7 +219,7 @@ def pair_greedy(spark, d):
     li = frame(spark, d, "lineitem")
     ip = F.when(F.col("l_suppkey") % 11 != 0, F.concat(F.lit("a"), (F.col("l_suppkey") % 3).cast("string")))
     side = lambda w: li.filter(w).select(F.col("l_orderkey").cast("string").alias("measurement_uid"), ip.alias("ip"), F.expr(_POS).alias("pos"))
-    return L.pair_observations(*[side(w) for w in _SIDE.values()], has_txid=False)
+    return L.pair_by_address(*[side(w) for w in _SIDE.values()])
 
 
 @query("ctrl_rows", f"""{OB}, t AS (SELECT measurement_uid, ip, bool_or(tcp_success = 1) AS tcp_success, min(tcp_failure) AS tcp_failure FROM o WHERE tcp_success IS NOT NULL GROUP BY ALL),

@@ -11,7 +11,8 @@ from netquill.plans.standins import ctes, frame
 
 GRAIN = "month"
 
-BASE = ctes("O", "C") + """,
+#: what the rules read, of observations o and control observations c
+EVIDENCE = """,
 c2 AS (SELECT *, date_trunc('month', measurement_start_time) AS measurement_day FROM c),
 o2 AS (SELECT *, date_trunc('month', measurement_start_time) AS measurement_day, ip LIKE '%:%' AS ip_is_v6,
        ip NOT LIKE '%:%' AS ip_is_v4, coalesce(dns_engine IN ('system', 'getaddrinfo'), false) AS local FROM o),
@@ -53,6 +54,8 @@ fl AS (SELECT win.*,
   LEFT JOIN cip ON win.hostname = cip.hostname AND win.measurement_day = cip.measurement_day AND win.ip = cip.ip)
 """
 
+BASE = ctes("O", "C") + EVIDENCE
+
 
 def _cases(layer: str) -> str:
     """The rule list of a layer as SQL: number of the first rule that holds, and its values."""
@@ -67,8 +70,8 @@ def _cases(layer: str) -> str:
     return f"{pick} AS {layer}_n", ", ".join(f"CAST({v}[{layer}_n + 1] AS {'VARCHAR' if k == 'rule_id' else 'INTEGER' if k == 'evidence' else 'DOUBLE'}) AS {layer}_{k}" for k, v in lists.items())
 
 
-def scored_sql() -> str:
-    out, last = BASE, "fl"
+def scored_sql(base: str = BASE) -> str:
+    out, last = base, "fl"
     for layer in ("dns", "tcp", "tls"):
         pick, values = _cases(layer)
         out += f", {layer}0 AS (SELECT *, {pick} FROM {last}), {layer}1 AS (SELECT *, {values} FROM {layer}0)"
@@ -214,21 +217,25 @@ def _mode(col: str, name: str) -> str:
 
 _MODES = ", ".join(_mode(c, n) for c, n in (("probe_analysis", "top_probe_analysis"), ("dns_failure", "top_dns_failure"), ("tcp_failure", "top_tcp_failure"), ("tls_failure", "top_tls_failure")))
 _MODE_NAMES = ("top_probe_analysis", "top_dns_failure", "top_tcp_failure", "top_tls_failure")
-_ROLLED = f"""{SCORED}, {_MODES}, agg AS (
+def rolled_sql(scored: str) -> str:
+    return f"""{scored}, {_MODES}, agg AS (
   SELECT regexp_extract(input, '^https://([^/]+)', 1) AS domain, input, probe_asn, probe_cc, resolver_asn, network_type, test_name,
     measurement_start_time, measurement_uid, probe_id, {_MAXES}, {_TOPS}, 2 AS analysis_rules_version
-  FROM tls1 {{where}} GROUP BY input, probe_asn, probe_cc, resolver_asn, network_type, test_name, measurement_start_time, measurement_uid, probe_id)
+  FROM tls1 GROUP BY input, probe_asn, probe_cc, resolver_asn, network_type, test_name, measurement_start_time, measurement_uid, probe_id)
 SELECT agg.*, {', '.join(_MODE_NAMES)} FROM agg {' '.join(f'LEFT JOIN {n}_m ON agg.measurement_uid = {n}_m.measurement_uid' for n in _MODE_NAMES)}"""
 
 
-@query("verdict_rollup", _ROLLED.replace("{where}", ""))
+_ROLLED = rolled_sql(SCORED)
+
+
+@query("verdict_rollup", _ROLLED)
 def verdict_rollup(spark, d):
     o, c = inputs(spark, d)
     return V.roll_up(V.scored_rows(o, c, fingerprints(spark), grain=GRAIN))
 
 
-@query("web_verdicts", _ROLLED.replace("{where}", ""))
-@query("web_verdicts_whole", _ROLLED.replace("{where}", ""))
+@query("web_verdicts", _ROLLED)
+@query("web_verdicts_whole", _ROLLED)
 def web_verdicts(spark, d):
     """Verdicts of all countries."""
     o, c = inputs(spark, d)

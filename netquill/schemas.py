@@ -7,12 +7,16 @@ _TCP = "struct<ip:string,port:int,status:struct<success:boolean,failure:string>,
 _TLS = "struct<address:string,server_name:string,outer_server_name:string,echconfig:string,tls_version:string,cipher_suite:string,failure:string,no_tls_verify:boolean,peer_certificates:array<struct<format:string,data:string>>,transaction_id:bigint,t:double>"
 _EVENT = "struct<operation:string,address:string,failure:string,proto:string,num_bytes:bigint,transaction_id:bigint,t:double>"
 _REQUEST = "struct<network:string,address:string,alpn:string,failure:string,transaction_id:bigint,t:double,t0:double,request:struct<url:string,method:string,x_transport:string,body:string,headers_list:array<array<string>>,body_is_truncated:boolean>,response:struct<code:int,body:string,headers_list:array<array<string>>,body_is_truncated:boolean>>"
-_CONTROL = "struct<dns:struct<failure:string,addrs:array<string>>,tcp_connect:map<string,struct<status:boolean,failure:string>>,tls_handshake:map<string,struct<status:boolean,failure:string,server_name:string>>,http_request:struct<failure:string,body_length:bigint,title:string,status_code:int,headers:map<string,string>>>"
+#: an ECH check has a handshake as its control
+_CONTROL = "struct<" + _TLS[7:-1] + ",dns:struct<failure:string,addrs:array<string>>,tcp_connect:map<string,struct<status:boolean,failure:string>>,tls_handshake:map<string,struct<status:boolean,failure:string,server_name:string>>,http_request:struct<failure:string,body_length:bigint,title:string,status_code:int,headers:map<string,string>>>"
+
+#: fields of a handshake
+HANDSHAKE = ("address", "server_name", "outer_server_name", "echconfig", "tls_version", "cipher_suite", "failure", "no_tls_verify", "peer_certificates", "transaction_id", "t")
 
 TEST_KEYS = (
     f"client_resolver string, blocking string, control_failure string, queries array<{_QUERY}>, tcp_connect array<{_TCP}>, "
     f"tls_handshakes array<{_TLS}>, network_events array<{_EVENT}>, requests array<{_REQUEST}>, control {_CONTROL}, "
-    "sent array<string>, received array<string>, failure string, "
+    f"sent array<string>, received array<string>, failure string, target {_TLS}, "
     f"bootstrap struct<queries:array<{_QUERY}>>, lookups map<string,struct<queries:array<{_QUERY}>,tcp_connect:array<{_TCP}>,tls_handshakes:array<{_TLS}>,requests:array<{_REQUEST}>>>, "
     f"targets map<string,struct<tcp_connect:array<{_TCP}>,tls_handshakes:array<{_TLS}>>>"
 )

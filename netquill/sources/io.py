@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import json
+import shutil
 import tarfile
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 from itertools import islice
 
@@ -16,6 +20,26 @@ from pyspark.sql import types as T
 from netquill.schemas import MEASUREMENT
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder that the session names in ``spark.checkpoint.dir``. A session on one machine
+    that names none takes a temporary one; on a cluster that would lose rows, so it is an error there."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="spark-netquill-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return f"{base}/netquill/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, for what several later steps read: it is made once, and a
+    lost executor costs a reread."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType | str = MEASUREMENT) -> DataFrame:
     """Newline JSON, compressed or not; bad lines stay in ``_corrupt_record``."""
     return spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)

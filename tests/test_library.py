@@ -20,7 +20,7 @@ from netquill.operators import quality as Q
 from netquill.operators import rules as R
 from netquill.operators import text as T
 from netquill.operators import verdicts as V
-from netquill.schemas import TEST_NAMES
+from netquill.schemas import MEASUREMENT, TEST_NAMES
 from netquill.sources import io as IO
 
 DAY = datetime(2024, 1, 1, 5)
@@ -210,11 +210,10 @@ def test_pairing_by_transaction(spark, msmts):
     got = L.pair_record({"dns": side([(0, "a", 0), (1, "b", 7)]), "tcp": side([(0, "a", 7), (1, "a", 2), (2, "c", 0)]), "tls": side([(0, "c", 0)]), "http": side([(0, None, None)])})
     # the second DNS row takes its TCP row by id out of turn only if the first has not taken it by address
     assert got == [(0, 0, None, None), (1, None, None, None), (None, 1, None, None), (None, 2, 0, None), (None, None, None, 0)]
-    m = L.gate(msmts)
-    pos = lambda df, p: df.withColumn("pos", F.col(p).cast("int")).select("measurement_uid", "ip", "pos", "transaction_id")
-    dns = L.explode_dns(m)
-    out = L.pair_observations(pos(dns.withColumn("p", F.col("query_pos") * 10 + F.coalesce("answer_pos", F.lit(0))), "p"), pos(L.explode_tcp(m), "pos"), pos(L.explode_tls(m), "pos"), pos(L.explode_http(m), "pos"), True)
-    assert [tuple(r)[1:] for r in out.orderBy("observation_idx").collect()] == [(0, 0, 0, 0, 1), (1, None, None, None, 2), (10, None, None, None, 3), (None, 1, None, None, 4), (None, None, None, 1, 5)]
+    out = B.observations(msmts, ("web_connectivity",)).select("dns_query_pos", "dns_answer_pos", "tcp_pos", "tls_pos", "http_pos", "observation_idx")
+    assert [tuple(r) for r in out.orderBy("observation_idx").collect()] == [
+        (0, 0, 0, 0, 0, 1), (0, 1, None, None, None, 2), (1, None, None, None, None, 3), (None, None, 1, None, None, 4), (None, None, None, None, 1, 5),
+    ]
 
 
 def test_other_tests_flatten(spark, msmts):
@@ -222,15 +221,14 @@ def test_other_tests_flatten(spark, msmts):
     got = {r.measurement_uid: (r.hirl_failure, r.hirl_received_0) for r in L.request_line_check(hirl).collect()}
     assert got == {"a": (None, "x"), "b": ("missing_sent", None), "c": ("missing_received_2", None)}
     assert L.header_field_check(L.gate(msmts)).first().hfm_failure == "malformed_request"
-    assert L.dispatch(msmts, {"web_connectivity": L.measurement_meta}).count() == 1
     with pytest.raises(ValueError):
-        L.dispatch(msmts, {"nothing": L.measurement_meta})
+        B.observations(msmts, ("nothing",))
 
 
 def test_observations_of_every_test(spark, msmts):
     """The branches of all tests give rows of one shape; other tests give nothing."""
     one = B.observations(msmts, ("web_connectivity",)).orderBy("observation_idx").collect()
-    assert [(r.ip, r.port, r.hostname, r.transaction_id) for r in one[:2]] == [("1.2.3.4", 443, "h.example", 1), ("1.2.3.5", None, "h.example", 1)]
+    assert [(r.ip, r.port, r.hostname, r.transaction_id) for r in one[:2]] == [("1.2.3.4", 443, "h.example", 1), ("1.2.3.5", None, "h.example", None)]
     assert (one[0].tls_handshake_last_operation, one[0].http_status_code, one[0].platform, one[0].resolver_is_scrubbed) == ("read_1", 200, "linux", True)
     assert B.observations(msmts, ("browser_web", "stunreachability")).count() == 0 and set(B.BRANCHES) == set(TEST_NAMES)
     chat = B.observations(msmts.withColumn("test_name", F.lit("telegram")), ("telegram",)).filter("target_id IS NOT NULL").collect()
@@ -239,6 +237,84 @@ def test_observations_of_every_test(spark, msmts):
         'tls_handshake', test_keys.control.tls_handshake, 'http_request', named_struct('failure', CAST(NULL AS STRING), 'body_length', 7L)))"""))).filter("http_success AND http_response_body_length = 7").count() == 1
 
 
+def raw(spark, test, keys, **more):
+    """A measurement as a line of JSON, read back."""
+    row = {"measurement_uid": "u", "measurement_start_time": "2024-01-01 00:00:00", "test_name": test, "test_keys": keys} | more
+    lines = spark.createDataFrame([(json.dumps(row),)], "value string")
+    return lines.select(F.from_json("value", MEASUREMENT).alias("m")).select("m.*")
+
+
+def test_measurements_are_flattened_in_the_row(spark):
+    """No shuffle, one scan for all tests, and Python for the pairing alone."""
+    plan = B.observations(raw(spark, "tor", {}))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
+
+
+def test_many_answers_stay_apart(spark):
+    """5 000 answers of one query, then one of another, and a connection that no answer names."""
+    address = lambda i: f"20.{i >> 16}.{i >> 8 & 255}.{i & 255}"
+    queries = [{"hostname": "h", "answers": [{"ipv4": address(i)} for i in range(5000)]}, {"hostname": "g", "answers": [{"ipv4": "30.0.0.1"}]}]
+    ends = [{"ip": address(i), "port": 443, "status": {"success": True}} for i in range(4999, -1, -1)] + [{"ip": "40.0.0.1", "port": 1, "status": {"success": False}}]
+    got = B.observations(raw(spark, "urlgetter", {"queries": queries, "tcp_connect": ends})).orderBy("observation_idx").collect()
+    assert [r.observation_idx for r in got] == list(range(1, 5003))
+    assert all((r.dns_answer, r.tcp_ip, r.tcp_pos) == (address(i), address(i), 4999 - i) for i, r in enumerate(got[:5000]))
+    assert [(r.hostname, r.ip, r.port) for r in got[5000:]] == [("g", "30.0.0.1", None), (None, "40.0.0.1", 1)]
+
+
+def test_targets_and_lookups_are_numbered_on(spark):
+    tcp = lambda ip: [{"ip": ip, "port": 9, "status": {"success": True}}]
+    tor = B.observations(raw(spark, "tor", {"targets": {"b": {"tcp_connect": tcp("1.1.1.1") + tcp("1.1.1.2")}, "a": {"tcp_connect": tcp("1.1.1.1")}}}))
+    assert [(r.observation_idx, r.target_id, r.ip) for r in tor.orderBy("observation_idx").collect()] == [(1, "b", "1.1.1.1"), (2, "b", "1.1.1.2"), (3, "a", "1.1.1.1")]
+    keys = {"bootstrap": {"queries": [{"hostname": "d", "answers": [{"ipv4": "2.2.2.2"}]}]}, "lookups": {"x": {"tcp_connect": tcp("2.2.2.2"), "queries": [{"hostname": "e", "failure": "dns_nxdomain_error"}]}}}
+    check = B.observations(raw(spark, "dnscheck", keys)).orderBy("observation_idx").collect()
+    assert [(r.observation_idx, r.hostname, r.ip, r.dns_failure, r.tcp_ip) for r in check] == [(1, "d", "2.2.2.2", None, None), (2, "e", None, "dns_nxdomain_error", None), (3, None, "2.2.2.2", None, "2.2.2.2")]
+
+
+def test_encrypted_hello_checks(spark):
+    shake = lambda name, t: {"address": "5.5.5.5:443", "server_name": name, "t": t}
+    two = B.observations(raw(spark, "echcheck", {"control": shake("c", 1.0), "target": shake("s", 2.0)})).orderBy("observation_idx").collect()
+    assert [(r.tls_server_name, r.tls_echconfig, r.ip, r.hostname) for r in two] == [("c", "", "5.5.5.5", "c"), ("s", "GREASE", "5.5.5.5", "s")]
+    listed = B.observations(raw(spark, "echcheck", {"control": shake("c", 1.0), "target": shake("s", 2.0), "tls_handshakes": [shake("l", 3.0)]})).collect()
+    assert [r.tls_server_name for r in listed] == ["l"]
+
+
+def test_single_row_tests(spark):
+    browser = B.observations(raw(spark, "browser_web", {"failure": "unknown_failure: read: connection refused"}, test_runtime=2.5)).first()
+    assert (browser.observation_idx, browser.http_failure, browser.http_runtime, browser.ip, browser.target_id) == (1, "connection_refused", 2.5, None, None)
+    header = B.observations(raw(spark, "http_header_field_manipulation", {"requests": []})).first()
+    assert (header.hfm_failure, header.hfm_success, header.hirl_success) == ("missing_requests", False, None)
+    line = B.observations(raw(spark, "http_invalid_request_line", {"sent": ["abcd / HTTP/1.1"] * 5, "received": ["x"] + ["abcd / HTTP/1.1"] * 4})).first()
+    assert (line.hirl_success, line.hirl_received_0, line.hfm_success) == (True, "x", None)
+
+
+def test_names_of_addresses_that_the_control_resolved(spark):
+    tcp = [{"ip": ip, "port": 443, "status": {"success": True}} for ip in ("6.6.6.6", "7.7.7.7")]
+    keys = {"tcp_connect": tcp, "blocking": False, "control": {"dns": {"addrs": ["6.6.6.6"]}}}
+    got = B.observations(raw(spark, "web_connectivity", keys, input="https://Site.example/")).orderBy("observation_idx").collect()
+    assert [(r.ip, r.hostname, r.probe_analysis) for r in got] == [("6.6.6.6", "site.example", "false"), ("7.7.7.7", None, "false")]
+
+
+def test_names_and_ids_come_in_the_specified_order(spark):
+    rows = [("u.example", "s.example", 5, 7, 0, 0), (None, "s.example", 5, 0, 0, 9), (None, "8.8.8.8", 5, 0, 3, 9), (None, "", 5, None, None, None)]
+    df = spark.createDataFrame(rows, "u string, tls_server_name string, dns_transaction_id long, tcp_transaction_id long, tls_transaction_id long, http_transaction_id long")
+    df = df.select("*", F.concat(F.lit("https://"), "u", F.lit("/")).alias("http_request_url"), *[F.lit(None).cast("string").alias(c) for c in ("dns_answer", "dns_hostname", "tcp_ip", "tls_ip", "http_ip")], *[F.lit(None).cast("int").alias(c) for c in ("tcp_port", "tls_port", "http_port")])
+    assert [(r.hostname, r.transaction_id) for r in L.assemble(df).collect()] == [("u.example", 7), ("s.example", 9), (None, 3), (None, None)]
+
+
+def test_control_results_without_a_failure_are_successes(spark):
+    control = {"dns": {"failure": "dns_name_error", "addrs": ["1.1.1.1", "9.9.9.9", "2.2.2.2"]}, "tcp_connect": {"1.1.1.1:443": {"failure": None}, "3.3.3.3:80": {"status": True, "failure": "unknown_failure: timed out"}},
+               "tls_handshake": {"1.1.1.1:443": {"failure": None, "server_name": "n"}}, "http_request": {"failure": None, "body_length": 7}}
+    made = lambda **k: L.control_of(raw(spark, "web_connectivity", {"control": control} | k.pop("keys", {}), **({"input": "https://a.example/x"} | k)))
+    got = made().orderBy("observation_idx").collect()
+    assert [(r.observation_idx, r.ip, r.port, r.dns_failure, r.dns_success, r.tcp_failure, r.tcp_success, r.tls_success, r.tls_server_name, r.http_success) for r in got] == [
+        (0, None, None, "dns_name_error", None, None, None, None, None, None), (1, "1.1.1.1", 443, None, True, None, True, True, "n", None),
+        (2, "3.3.3.3", 80, None, None, "unknown_failure: timed out", False, None, None, None), (3, "2.2.2.2", None, None, True, None, None, None, None, None),
+        (4, "9.9.9.9", None, None, True, None, None, None, None, None), (5, None, None, None, None, None, None, None, None, True),
+    ]
+    assert {r.hostname for r in got} == {"a.example"} and got[0].measurement_start_time == datetime(2024, 1, 1)
+    assert made(keys={"control_failure": "timeout"}).count() == 0 and made(input="no host").count() == 0 and made(keys={"control": None}).count() == 0
+
+
 def test_enrichment_of_both_families(spark):
     rows = spark.createDataFrame([(a, DAY) for a in ("8.8.8.8", "10.0.0.1", "2606:4700::1", "2606:4700:5::1", "2a00::1", "x", None)], "ip string, measurement_start_time timestamp")
     number = int.from_bytes(bytes([8, 8, 8, 0]), "big")
@@ -249,6 +325,44 @@ def test_enrichment_of_both_families(spark):
     assert got == {"8.8.8.8": (15169, "US", "US"), "10.0.0.1": (64666, "ZZ", "ZZ"), "2606:4700::1": (13335, "US", "US"), "2606:4700:5::1": (5, "DE", "DE"), "2a00::1": (0, "", "ZZ"), "x": (0, "", "ZZ"), None: (0, "", "ZZ")}
 
 
+def test_snapshots_of_many_dates(spark):
+    """50 000 snapshot dates; a day before all of them takes the oldest."""
+    dates = spark.range(50_000).select(F.date_add(F.lit("1900-01-03").cast("date"), (F.col("id") * 2).cast("int")).alias("snapshot"))
+    days = [datetime(1899, 1, 1, 7), datetime(1900, 1, 3, 1), datetime(1900, 1, 4, 23), datetime(2024, 5, 5, 5), datetime(2400, 1, 1)]
+    got = {r.day: r.snapshot for r in E.asof_snapshot(spark.createDataFrame([(x,) for x in days], "day timestamp"), dates, "day").collect()}
+    first = datetime(1900, 1, 3)
+    want = lambda x: (first + timedelta(days=max(0, min(49_999, (x - first).days // 2)) * 2)).date()
+    assert got == {x: want(x) for x in days}
+
+
+def test_ranges_of_any_shape(spark):
+    """Nested, crossing, repeated and adjoining ranges of both families, beside a try of every range."""
+    import ipaddress
+    import random
+
+    rng = random.Random(6)
+    four = [(DAY, lo, min(lo + rng.choice([0, 1, 255, 70_000, 1 << 21]), (1 << 32) - 1), rng.randrange(8, 33)) for lo in (rng.choice([8 << 24, 9 << 24, 223 << 24]) + rng.randrange(1 << 20) for _ in range(60))]
+    four += [(DAY, 0, (1 << 32) - 1, 0), (DAY, 9 << 24, (10 << 24) - 1, 8), (DAY, (9 << 24) + 5, (9 << 24) + 5, 32), (DAY, (9 << 24) + 5, (9 << 24) + 5, 32)]
+    six = [(DAY, f"{int(ipaddress.ip_address('2a00::')) | rng.randrange(1 << 6) << 90:0128b}"[: rng.randrange(12, 50)]) for _ in range(60)] + [(DAY, "001")]
+    named = lambda rows, at: [(*r, at + i, f"o{i}", "A", "C") for i, r in enumerate(rows)]
+    ranges = spark.createDataFrame(named(four, 1), "snapshot timestamp, first long, last long, prefix_len int, asn long, org string, as_cc string, cc string")
+    prefixes = spark.createDataFrame(named(six, 1000), "snapshot timestamp, prefix string, asn long, org string, as_cc string, cc string")
+    ips = [str(ipaddress.ip_address(max(0, min(x + d, (1 << 32) - 1)))) for _, lo, hi, _ in four for x in (lo, hi) for d in (-1, 0, 1)]
+    ips += [str(ipaddress.ip_address(int(p.ljust(128, fill), 2))) for _, p in six for fill in "01"]
+    got = {r.ip: r.asn for r in E.enrich_address(spark.createDataFrame([(x, DAY) for x in ips], "ip string, measurement_start_time timestamp"), ranges, prefixes).collect()}
+
+    def want(ip):
+        n = ipaddress.ip_address(ip)
+        if n.version == 4:
+            met = [(-w, lo, str({"asn": a, "org": o}), a) for _, lo, hi, w, a, o, _, _ in named(four, 1) if lo <= int(n) <= hi]
+        else:
+            met = [(-len(p), "", str({"asn": a}), a) for _, p, a, *_ in named(six, 1000) if f"{int(n):0128b}".startswith(p)]
+        return min(met)[-1] if met else 0
+
+    bogon = {r.ip for r in spark.createDataFrame([(x,) for x in set(ips)], "ip string").filter(S.is_bogon(F.col("ip"))).collect()}
+    assert got == {x: 64666 if x in bogon else want(x) for x in ips} and len(bogon) < len(set(ips)) - 50
+
+
 def test_reads_are_pruned_by_day(spark, tmp_path):
     df = spark.createDataFrame([(k, DAY + timedelta(days=k)) for k in range(40)], "k int, measurement_start_time timestamp")
     IO.write_partitioned(df, f"{tmp_path}/p")
@@ -330,10 +444,6 @@ def test_patterns_beyond_one_block(spark):
     rules = spark.createDataFrame([("example", "exact")], "rule string, kind string")
     one, many = (sorted(map(tuple, E.resolve_targets(names, hosts, rules, max_patterns=n).collect())) for n in (10_000, 2))
     assert one == many and {x[-1] for x in one} == {"x", *(f"t{k}" for k in range(7) if k != 3)}
-    dated = spark.createDataFrame([(DAY,)], "day timestamp")
-    dates = spark.range(3).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("snapshot"))
-    with pytest.raises(ValueError):
-        E.asof_snapshot(dated, dates, "day", max_snapshots=2)
 
 
 def test_extras(spark):
