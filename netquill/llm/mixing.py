@@ -14,13 +14,14 @@ inverting the integral gives its training position. Cumulative counts are rounde
 takes its target to the word, and no document more than ``MOST`` times its size, rounded up. Positions
 sort the documents across sources with a range partitioning.
 
-Running sums within a source go in two levels: documents fall into buckets by the hash's leading bits,
-sums of buckets run over buckets, and sums of documents run inside a bucket, so no task holds a source.
-The number of buckets grows with the table.
+Running sums within a source go in three levels: documents fall into buckets by the hash's leading bits, and
+buckets into top buckets by half of these. Sums run over the top buckets of a source, over the buckets of a
+top bucket, and over the documents of a bucket, so no task holds a source. The number of buckets grows with
+the table. Rows that repeat each other are numbered in the parts of the table that hold them, and then spread.
 
 Defined results for odd input: a null or blank text has size 0 and takes nothing; a null source is a
-source of its own; null and repeated ids are ordered by a hash of id and text, and equal rows, which take
-equal parts together, share one cumulative range; a corpus without words takes nothing; an empty table
+source of its own; null and repeated ids are ordered by a hash of id and text, and rows that
+share both are numbered and ordered by a hash of that and their number, so each takes a part of its own; a corpus without words takes nothing; an empty table
 gives an empty table; columns of the input named like an output are replaced.
 """
 
@@ -29,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from netquill.llm.common import table, without, written
+from netquill.llm.common import discard, table, without, written
 
 WEIGHTS, MOST = (5, 2, 1), 3
 BUCKET_ROWS = 256
@@ -72,48 +73,64 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLOPES, most:
     """``docs`` (doc_id, text, source), less the text, with size, source_size, target, taken and
     position (null where nothing is taken), in order of position. ``weights`` and ``slopes`` go to the
     sources in turn; a slope between -1 and 1 is how a source's demand changes over training."""
-    docs = without(docs, {"size", "source_size", "target", "taken", "position", "__key", "__bucket"})
+    own = {"size", "source_size", "target", "taken", "position"}
+    docs = without(docs, own | {"__key", "__tie", "__pid", "__copy", "__source", "__bucket", "__top", "__end", "__before"})
+    names = [f"`{x}`" for x in docs.columns if x.lower() != "text"]
     key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit("")))))
     sized = written(
-        docs.select(*[f"`{c}`" for c in docs.columns if c.lower() != "text"], words(F.col("text")).alias("size"), key.alias("__key")),
+        docs.select(*names, words(F.col("text")).alias("size"), key.alias("__key"), F.md5(F.to_json(F.struct(*names))).alias("__tie"), F.spark_partition_id().alias("__pid")),
         "mix_sizes",
     )
-    n = sized.count()
-    bits = max(1, (n // BUCKET_ROWS).bit_length())
-    bucket = F.shiftright(F.conv(F.substring("__key", 1, 8), 16, 10).cast("long"), 32 - min(bits, 32))
-    placed = sized.withColumn("__bucket", bucket).withColumn("__source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))
+    # rows of the same id and text are numbered, part by part of the table, and each gets a place of its own
+    parts = sized.groupBy("__key", "__pid").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("__key").orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.withColumn("__before", F.sum("n").over(earlier)).filter("__before > 0").drop("n")
+    number = F.row_number().over(Window.partitionBy("__key", "__pid").orderBy("__tie")) - 1
+    copies = sized.withColumn("__copy", number).join(offsets, ["__key", "__pid"], "left")
+    copy = F.col("__copy") + F.coalesce("__before", F.lit(0))
+    place = F.when(copy == 0, F.col("__key")).otherwise(F.md5(F.concat("__key", copy.cast("string"))))
+
+    bits = min(32, max(1, (sized.count() // BUCKET_ROWS).bit_length()))
+    top = bits // 2
+    bucket = F.shiftright(F.conv(F.substring("__key", 1, 8), 16, 10).cast("long"), 32 - bits)
+    source = F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))
+    placed = written(
+        copies.withColumn("__key", place)
+        .withColumns({"__bucket": bucket, "__source": source})
+        .withColumn("__top", F.shiftright("__bucket", bits - top))
+        .drop("__copy", "__before", "__tie", "__pid"),
+        "mix_places",
+    )
     plan = written(
         targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, slopes, most).select(
-            F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("__source"), "source_size", "target", "slope"
+            source.alias("__source"), "source_size", "target", "slope"
         ),
         "mix_targets",
     )
-    # one row a source and bucket
-    sums = placed.groupBy("__source", "__bucket").agg(F.sum("size").alias("in_bucket"))
-    before = Window.partitionBy("__source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # sums of buckets run inside a top bucket, sums of top buckets inside a source: some 2**16 rows each at most
+    below = placed.groupBy("__source", "__top", "__bucket").agg(F.sum("size").alias("words"))
+    above = below.groupBy("__source", "__top").agg(F.sum("words").alias("words"))
+    until = lambda *keys: Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    run = lambda w: F.coalesce(F.sum("words").over(w), F.lit(0))
+    tops = above.select("__source", "__top", run(until("__source", "__top")).alias("before_top"))
     starts = written(
-        sums.withColumn("start", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)))
+        below.withColumn("before", run(until("__source", "__top", "__bucket")))
+        .join(tops, ["__source", "__top"])
         .join(plan, "__source")
-        .select("__source", "__bucket", "start", "source_size", "target", "slope"),
+        .select("__source", "__bucket", (F.col("before") + F.col("before_top")).alias("start"), "source_size", "target", "slope"),
         "mix_starts",
     )
-    inside = Window.partitionBy("__source", "__bucket").orderBy("__key")
-    running = placed.withColumn("__end", F.sum("size").over(inside)).withColumn(
-        "__same", F.sum("size").over(Window.partitionBy("__source", "__bucket", "__key"))
-    )
-    joined = running.join(starts, ["__source", "__bucket"])
+    inside = Window.partitionBy("__source", "__bucket").orderBy("__key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = placed.withColumn("__end", F.sum("size").over(inside)).join(starts, ["__source", "__bucket"])
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     end = F.col("start") + F.col("__end")
-    first = end - F.col("__same")
-    # equal rows split their range evenly
-    share = F.floor(end * ratio) - F.floor(first * ratio)
-    copies = F.when(F.col("size") > 0, F.col("__same") / F.col("size")).otherwise(F.lit(1.0))
-    taken = F.when(F.col("__same") == F.col("size"), share).otherwise(F.floor(share / copies)).cast("long")
+    first = end - F.col("size")
+    taken = (F.floor(end * ratio) - F.floor(first * ratio)).cast("long")
     # demand until t is target * (t + slope * (t * t - t)); its inverse at the middle of the range
     c = (first + end) / 2 / F.greatest(F.col("source_size"), F.lit(1))
     a, b = F.col("slope"), 1 - F.col("slope")
     position = F.when(a == 0, c).otherwise((F.sqrt(b * b + 4 * a * c) - b) / (2 * a))
-    names = [f"`{x}`" for x in docs.columns if x.lower() != "text"]
+    discard(sized)
     return (
         joined.withColumn("taken", taken)
         .withColumn("position", F.when(F.col("taken") > 0, position))
@@ -130,9 +147,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS k
-  FROM documents
+  SELECT doc_id, source, size, CASE WHEN copy = 0 THEN h ELSE md5(h || copy) END AS k
+  FROM (SELECT *, row_number() OVER (PARTITION BY h) - 1 AS copy FROM (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS h
+    FROM documents))
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS turn
   FROM d GROUP BY source

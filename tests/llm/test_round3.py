@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from netquill.llm import clustering, simhash_dedup, source_audit
+from netquill.llm.mixing import mix
 
 DIR = "/root/testdata/sf0.001"
 
@@ -250,3 +251,25 @@ def test_simhash_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DIR}/documents.parquet").collect()]
     root = plain_components([(d, plain_fingerprint(t)) for d, t in docs])
     assert got == {d: (f"{plain_fingerprint(t):016x}", root[d]) for d, t in docs}
+
+
+# --- operator 9
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_mix_of_repeated_rows_meets_every_target(spark, parts):
+    """A source of one row over and over, with and without an id, takes its target like any other."""
+    schema = "doc_id long, text string, source string"
+    rows = [(i, "a b c d e", "a") for i in range(300)] + [(i, "one two", "b") for i in range(300, 500)]
+    rows += [(None, "ok", "c")] * 1000 + [(7777, "same id", "d")] * 400 + [(None, None, "e")] * 5
+    docs = spark.createDataFrame(rows, schema).repartition(parts)
+    got = mix(docs).collect()
+    assert len(got) == len(rows)
+    for source in "abcde":
+        own = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) < 1 and all(r.taken <= 3 * r.size for r in own), source
+    again = mix(spark.createDataFrame(rows, schema).repartition(parts)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+    two = mix(spark.createDataFrame([(i, "w w w", "a") for i in range(50)] + [(None, "ok", "b")] * 1000, schema)).filter("source = 'b'")
+    found = two.agg(F.sum("taken").alias("t"), F.max("target").alias("g")).first()
+    assert abs(found.t - found.g) < 1
