@@ -35,7 +35,7 @@ _TLS_CTRL_OK = "tls_failure IS NOT NULL AND ctrl_tls_success_rate > 0.5 AND ctrl
 # Rule ids, triples and evidence levels.
 RULES: dict[str, list[Rule]] = {
     "dns": [
-        Rule("no_dns_data", "size(dns_answers) = 0 AND dns_failure IS NULL", 0, 0, 0, 0, "unknown"),
+        Rule("no_dns_data", "dns_answer_count = 0 AND dns_failure IS NULL", 0, 0, 0, 0, "unknown"),
         Rule("country_consistent_blockpage", "dns_blocking_country_consistent", 1, 0, 0, 2, "blocked"),
         Rule("tls_consistent_answer", "dns_tls_consistent", 0, 0, 1, 2, "ok"),
         Rule("bogon_not_in_ctrl", "dns_answers_contain_bogon = 1 AND NOT dns_answer_matches_ctrl", 0.95, 0.05, 0, 2, "blocked"),

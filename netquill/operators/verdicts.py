@@ -1,12 +1,15 @@
 """From observations and a control population to one verdict a measurement.
 
-The control side is aggregated to one row a hostname and day before it meets the observations, so the
-join moves maps of a hostname's addresses and not its rows. ``grain`` is the width of the day key.
+Evidence stays in long form: what the control population and other probes know of an address is one row of
+counts a (hostname, day, address), what the control knows of a host one row a (hostname, day). Observations meet
+both by equality, so no row carries a host's addresses and the rows of a hot host are spread by address. Then they
+are dealt by measurement, once for the answers that a measurement's rows share and for its verdict.
+``grain`` is the width of the day key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from netquill.functions.scalars import is_ipv4, is_ipv6, map_get0, safe_div, url_domain
@@ -25,7 +28,6 @@ MAPS = {
     "ctrl_tcp_failing_ips": "tcp_success = 0",
 }
 KEY = ["hostname", "measurement_day"]
-COUNTED = ("tls_success", "tls_inconsistent", "tls_failing", "tcp_success", "tcp_failing")
 
 
 def with_day(rows: DataFrame, grain: str = "day") -> DataFrame:
@@ -99,9 +101,6 @@ def control_baseline(ctrl: DataFrame, obs: DataFrame, start=None, end=None, grai
         F.array_union(F.map_keys("ctrl_tls_success_ips"), F.coalesce("other_tls_consistent_ips", none)).alias("union_tls_consistent_ips"),
         rate_map(F.col("ctrl_tls_success_ips"), F.col("ctrl_tls_failing_ips")).alias("ctrl_tls_success_rates"),
         rate_map(F.col("ctrl_tcp_success_ips"), F.col("ctrl_tcp_failing_ips")).alias("ctrl_tcp_success_rates"),
-        # once a host and day, not once an observation
-        *[F.aggregate(F.map_values(f"ctrl_{m}_ips"), F.lit(0).cast("bigint"), lambda a, x: a + x).alias(f"ctrl_{m}_sum") for m in COUNTED],
-        *[F.size(f"ctrl_{m}_ips").alias(f"ctrl_{m}_ip_count") for m in COUNTED],
     )
 
 
@@ -117,23 +116,13 @@ def with_windows(obs: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list("ip_asn")).alias("dns_answers_asns"),
         F.max(F.col("ip_is_bogon").cast("int")).alias("dns_answers_contain_bogon"),
     )
-    failed, good = F.col("tcp_failure").isNotNull(), F.col("tcp_success") == 1
-    report = obs.groupBy(F.col("report_id").alias("_report_id")).agg(
-        F.count_if(F.col("ip_is_v6") & failed).alias("tcp_ipv6_failure_count"),
-        F.count_if(F.col("ip_is_v6") & good).alias("tcp_ipv6_success_count"),
-        F.count_if(F.col("ip_is_v4") & failed).alias("tcp_ipv4_failure_count"),
-        F.count_if(F.col("ip_is_v4") & good).alias("tcp_ipv4_success_count"),
-    )
     out = obs.join(own, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key], "left").drop(*[f"_{c}" for c in key])
-    out = out.join(report, F.col("report_id").eqNullSafe(F.col("_report_id")), "left").drop("_report_id")
+    out = _with_rates(out, obs)
     none = lambda c: F.coalesce(c, F.array().cast(own.schema[c].dataType))
-    rate = lambda v: safe_div(F.col(f"tcp_{v}_failure_count"), F.col(f"tcp_{v}_failure_count") + F.col(f"tcp_{v}_success_count"))
     return out.withColumns({
         "dns_answers": none("dns_answers"),
         "dns_answers_asns": none("dns_answers_asns"),
         "dns_answers_contain_bogon": F.coalesce("dns_answers_contain_bogon", F.lit(0)),
-        "tcp_ipv6_failure_rate": rate("ipv6"),
-        "tcp_ipv4_failure_rate": rate("ipv4"),
     })
 
 
@@ -145,46 +134,81 @@ def full_fingerprints(fingerprints: DataFrame) -> DataFrame:
     )
 
 
-def with_flags(obs: DataFrame, baseline: DataFrame, fingerprints: DataFrame | None = None) -> DataFrame:
-    """Observations beside their control row, with the columns that the rules read. What a missed join
-    leaves NULL becomes empty or 0; rates stay NULL."""
-    names = [c for c in baseline.columns if c not in KEY]
-    rows = obs.join(baseline, KEY, "left")
-    empty = {f.name: f.dataType for f in baseline.schema.fields}
-    fill = {}
-    for n in names:
-        kind = empty[n].typeName()
-        if kind == "map":
-            fill[n] = F.coalesce(F.col(n), F.create_map().cast(empty[n]))
-        elif kind == "array":
-            fill[n] = F.coalesce(F.col(n), F.array().cast(empty[n]))
-        else:
-            fill[n] = F.coalesce(F.col(n), F.lit(0))
-    rows = rows.withColumns(fill)
+def address_evidence(ctrl: DataFrame, obs: DataFrame) -> DataFrame:
+    """One row a hostname, day and address: how often the control met each predicate of MAPS, and whether the
+    certificate of the address was valid for some probe (``seen_valid``)."""
+    told = ctrl.filter("ip IS NOT NULL").select(*KEY, "ip", *[F.when(F.expr(p), 1).otherwise(0).alias(n) for n, p in MAPS.items()], F.lit(0).alias("seen_valid"))
+    seen = obs.filter("tls_is_certificate_valid = 1 AND ip IS NOT NULL").select(*KEY, "ip", *[F.lit(0).alias(n) for n in MAPS], F.lit(1).alias("seen_valid"))
+    return told.unionByName(seen).groupBy(*KEY, "ip").agg(*[F.sum(n).alias(n) for n in MAPS], F.max("seen_valid").alias("seen_valid"))
+
+
+def host_evidence(ctrl: DataFrame) -> DataFrame:
+    """One row a hostname and day that the control knows: its DNS results and the networks of its answers."""
+    return ctrl.groupBy(*KEY).agg(
+        F.count_if(F.col("dns_failure").isNotNull()).alias("ctrl_dns_failure_count"),
+        F.count_if(F.col("dns_success") == 1).alias("ctrl_dns_success_count"),
+        F.collect_set(F.when((F.col("dns_success") == 1) & (F.col("ip_asn") != 0), F.col("ip_asn"))).alias("_asns"),
+    )
+
+
+def report_rates(obs: DataFrame) -> DataFrame:
+    """TCP failures and successes of each report by address family."""
+    v4, v6 = is_ipv4(F.col("ip")), is_ipv6(F.col("ip"))
+    failed, good = F.col("tcp_failure").isNotNull(), F.col("tcp_success") == 1
+    return obs.groupBy(F.col("report_id").alias("_report_id")).agg(
+        F.count_if(v6 & failed).alias("tcp_ipv6_failure_count"), F.count_if(v6 & good).alias("tcp_ipv6_success_count"),
+        F.count_if(v4 & failed).alias("tcp_ipv4_failure_count"), F.count_if(v4 & good).alias("tcp_ipv4_success_count"),
+    )
+
+
+def _with_rates(rows: DataFrame, obs: DataFrame) -> DataFrame:
+    rate = lambda v: safe_div(F.col(f"tcp_{v}_failure_count"), F.col(f"tcp_{v}_failure_count") + F.col(f"tcp_{v}_success_count"))
+    out = rows.join(report_rates(obs), F.col("report_id").eqNullSafe(F.col("_report_id")), "left").drop("_report_id")
+    return out.withColumns({"tcp_ipv6_failure_rate": rate("ipv6"), "tcp_ipv4_failure_rate": rate("ipv4")})
+
+
+def with_flags(obs: DataFrame, by_ip: DataFrame, by_host: DataFrame, fingerprints: DataFrame | None = None) -> DataFrame:
+    """Observations with the columns that the rules read, from :func:`address_evidence` and :func:`host_evidence`.
+    Counts of what is not known are 0, rates stay NULL. The answers of a measurement's own resolver to a name are
+    shared by its rows of that name and address family."""
+    rows = obs.withColumns({"ip_is_v4": is_ipv4(F.col("ip")), "ip_is_v6": is_ipv6(F.col("ip"))})
     if fingerprints is None:
-        rows = rows.withColumn("expected_countries", F.array().cast("array<string>")).withColumn("dns_blocking_scope", F.lit(""))
+        rows = rows.withColumns({"expected_countries": F.array().cast("array<string>"), "dns_blocking_scope": F.lit("")})
     else:
         known = full_fingerprints(fingerprints)
         rows = rows.join(known, rows.dns_answer == known.pattern, "left").drop("pattern")
-        rows = rows.withColumn("expected_countries", F.coalesce("expected_countries", F.array().cast("array<string>"))).withColumn(
-            "dns_blocking_scope", F.coalesce("dns_blocking_scope", F.lit(""))
-        )
-    overlap = lambda a, b: F.coalesce(F.arrays_overlap(a, b), F.lit(False))
-    ip = F.col("ip")
-    flags = {
-        "dns_tls_consistent": overlap("union_tls_consistent_ips", "dns_answers"),
-        "dns_tls_inconsistent": overlap(F.map_keys("ctrl_tls_inconsistent_ips"), F.col("dns_answers")),
-        "dns_answer_matches_ctrl": overlap(F.map_keys("ctrl_dns_answers"), F.col("dns_answers")),
-        "dns_answer_asn_matches_ctrl": overlap(F.map_keys("ctrl_dns_answers_asns"), F.col("dns_answers_asns")),
-        "ctrl_dns_success_rate": safe_div(F.col("ctrl_dns_success_count"), F.col("ctrl_dns_failure_count") + F.col("ctrl_dns_success_count")),
-        "dns_blocking_country_consistent": (F.col("dns_blocking_scope") != "fp")
-        & F.coalesce(F.array_contains("expected_countries", F.col("probe_cc")), F.lit(False)),
-        "ctrl_tls_success_rate": F.try_element_at("ctrl_tls_success_rates", ip),
-        "ctrl_tcp_success_rate": F.try_element_at("ctrl_tcp_success_rates", ip),
-    }
-    for m in COUNTED:
-        flags[f"ctrl_{m}_count"] = map_get0(F.col(f"ctrl_{m}_ips"), ip)
-    return rows.withColumns(flags)
+        rows = rows.withColumns({
+            "expected_countries": F.coalesce("expected_countries", F.array().cast("array<string>")), "dns_blocking_scope": F.coalesce("dns_blocking_scope", F.lit("")),
+        })
+    rows = _with_rates(rows.join(by_host.withColumn("_known", F.lit(True)), KEY, "left"), obs)
+    local = F.coalesce(F.col("dns_engine").isin("getaddrinfo", "system"), F.lit(False)) & (F.col("ip_is_v6") | F.col("ip_is_v4"))
+    # an answer that is not the row's own address is looked up by a row of its own, which goes again
+    at = lambda extra, c: F.struct(F.lit(extra).alias("extra"), F.col(c).alias("ip"))
+    lookups = F.when(local & (F.col("dns_answer") != F.col("ip")), F.array(at(0, "ip"), at(1, "dns_answer"))).otherwise(F.array(at(0, "ip")))
+    met = by_ip.withColumnRenamed("ip", "_ip")
+    rows = rows.withColumn("_at", F.explode(lookups)).withColumns({"_ip": F.col("_at.ip"), "_extra": F.col("_at.extra"), "_local": local}).drop("_at")
+    rows = rows.join(met, [*KEY, "_ip"], "left").repartition("measurement_uid")
+    answer = F.col("_local") & F.coalesce(F.col("_ip") == F.col("dns_answer"), F.lit(False))
+    own = Window.partitionBy("measurement_uid", "hostname", "ip_is_v6")
+    of = lambda cond: F.coalesce(F.max(F.coalesce(cond, F.lit(False))).over(own), F.lit(False))
+    here = F.col("_local") & (F.col("_extra") == 0)
+    rows = rows.withColumns({
+        "dns_answer_count": F.sum(F.when(answer, 1).otherwise(0)).over(own),
+        "dns_answers_contain_bogon": F.coalesce(F.max(F.when(here, F.col("ip_is_bogon").cast("int"))).over(own), F.lit(0)),
+        "dns_tls_consistent": of(answer & ((F.col("ctrl_tls_success_ips") > 0) | ((F.col("seen_valid") > 0) & F.col("_known")))),
+        "dns_tls_inconsistent": of(answer & (F.col("ctrl_tls_inconsistent_ips") > 0)),
+        "dns_answer_matches_ctrl": of(answer & (F.col("ctrl_dns_answers") > 0)),
+        "dns_answer_asn_matches_ctrl": of(here & F.array_contains("_asns", F.col("ip_asn"))),
+    }).filter("_extra = 0")
+    n = lambda c: F.coalesce(F.col(c), F.lit(0))
+    rate = lambda x: safe_div(F.col(f"ctrl_{x}_success_ips"), F.col(f"ctrl_{x}_success_ips") + F.col(f"ctrl_{x}_failing_ips"))
+    return rows.withColumns({
+        "ctrl_dns_success_rate": safe_div(n("ctrl_dns_success_count"), n("ctrl_dns_failure_count") + n("ctrl_dns_success_count")),
+        "dns_blocking_country_consistent": (F.col("dns_blocking_scope") != "fp") & F.coalesce(F.array_contains("expected_countries", F.col("probe_cc")), F.lit(False)),
+        "ctrl_tls_success_rate": rate("tls"), "ctrl_tcp_success_rate": rate("tcp"),
+        "ctrl_tls_success_count": n("ctrl_tls_success_ips"), "ctrl_tls_failing_count": n("ctrl_tls_failing_ips"),
+        "ctrl_tcp_success_count": n("ctrl_tcp_success_ips"), "ctrl_tcp_failing_count": n("ctrl_tcp_failing_ips"),
+    }).drop("_ip", "_extra", "_local", "_known", "_asns", "seen_valid", *MAPS)
 
 
 def top_rule(layer: str) -> Column:
@@ -205,10 +229,13 @@ def roll_up(scored: DataFrame) -> DataFrame:
     )
 
 
-def scored_rows(obs: DataFrame, ctrl: DataFrame, fingerprints: DataFrame | None = None, start=None, end=None, grain: str = "day") -> DataFrame:
-    """Observations with flags and the scores of the three layers."""
-    baseline = control_baseline(ctrl, obs, start, end, grain)
-    return score_layers(with_flags(with_windows(with_day(between(obs, start, end), grain)), baseline, fingerprints))
+def scored_rows(
+    obs: DataFrame, ctrl: DataFrame, fingerprints: DataFrame | None = None, start=None, end=None, grain: str = "day", own: DataFrame | None = None
+) -> DataFrame:
+    """Observations (or ``own``, some of them) with flags and the scores of the three layers; the certificates of all
+    of ``obs`` are evidence."""
+    obs, ctrl, own = (with_day(between(x, start, end), grain) for x in (obs, ctrl, obs if own is None else own))
+    return score_layers(with_flags(own, address_evidence(ctrl, obs), host_evidence(ctrl), fingerprints))
 
 
 def web_verdicts(
@@ -224,12 +251,11 @@ def web_verdicts(
 ) -> DataFrame:
     """The verdict of every measurement in (start, end]. Filters of probe and test apply to the
     experiment; other probes' certificates count whatever their country."""
-    baseline = control_baseline(ctrl, obs, start, end, grain)
-    own = between(obs, start, end)
+    own = obs
     if probe_cc:
         own = own.filter(F.col("probe_cc").isin(*probe_cc))
     if test_name:
         own = own.filter(F.col("test_name").isin(*test_name))
     if measurement_uid is not None:
         own = own.filter(F.col("measurement_uid") == measurement_uid)
-    return roll_up(score_layers(with_flags(with_windows(with_day(own, grain)), baseline, fingerprints)))
+    return roll_up(scored_rows(obs, ctrl, fingerprints, start, end, grain, own))

@@ -100,7 +100,14 @@ def rule_dist(spark, d):
     return A.rule_distribution(v, "dns").unionByName(A.rule_distribution(v, "tcp")).unionByName(A.rule_distribution(v, "tls"))
 
 
-@query("reweight", f"""{VB}, r AS (SELECT * FROM (VALUES {', '.join(f"('{r.id}', {float(r.blocked)}, {float(r.down)}, {float(r.ok)})" for r in [*R.RULES['dns'], R.NONE])}) t(rule_id, blocked, down, ok))
+# blocked, down and ok of the DNS rules as the specification lists them, by hand
+_DNS_WEIGHTS = """('no_dns_data', 0.0, 0.0, 0.0), ('country_consistent_blockpage', 1.0, 0.0, 0.0), ('tls_consistent_answer', 0.0, 0.0, 1.0), ('bogon_not_in_ctrl', 0.95, 0.05, 0.0),
+  ('bogon_in_ctrl', 0.1, 0.9, 0.0), ('tls_inconsistent_not_in_ctrl', 0.9, 0.05, 0.05), ('answer_matches_ctrl', 0.0, 0.0, 0.9), ('answer_asn_matches_ctrl', 0.2, 0.0, 0.8),
+  ('dns_system_failure_ctrl_also_failing', 0.1, 0.9, 0.0), ('dns_system_failure_ctrl_ok', 0.9, 0.1, 0.0), ('dns_system_failure_no_ctrl', 0.5, 0.5, 0.0),
+  ('dns_system_answer_unmatched', 0.75, 0.0, 0.25), ('none', 0.0, 0.0, 0.0)"""
+
+
+@query("reweight", f"""{VB}, r AS (SELECT * FROM (VALUES {_DNS_WEIGHTS}) t(rule_id, blocked, down, ok))
 SELECT measurement_uid, top_dns_rule_id, CAST(blocked AS DOUBLE) AS dns_blocked_new, CAST(down AS DOUBLE) AS dns_down_new, CAST(ok AS DOUBLE) AS dns_ok_new FROM v LEFT JOIN r ON top_dns_rule_id = rule_id""")
 def reweight(spark, d):
     out = R.reweight(frame(spark, d, "V"), R.rule_table(spark), "dns")
@@ -184,7 +191,16 @@ def cell_state(spark, d):
     return X.cell_state(frame(spark, d, "V"), ["probe_cc"])
 
 
-_RULE_ROWS = ", ".join(f"('{layer}', '{r.id}', '{r.outcome}')" for layer, rules in R.RULES.items() for r in [*rules, R.NONE])
+# the outcome of each rule as the specification lists it, by hand and not from the library's table
+_RULE_ROWS = """
+  ('dns', 'no_dns_data', 'unknown'), ('dns', 'country_consistent_blockpage', 'blocked'), ('dns', 'tls_consistent_answer', 'ok'), ('dns', 'bogon_not_in_ctrl', 'blocked'),
+  ('dns', 'bogon_in_ctrl', 'down'), ('dns', 'tls_inconsistent_not_in_ctrl', 'blocked'), ('dns', 'answer_matches_ctrl', 'ok'), ('dns', 'answer_asn_matches_ctrl', 'ok'),
+  ('dns', 'dns_system_failure_ctrl_also_failing', 'down'), ('dns', 'dns_system_failure_ctrl_ok', 'blocked'), ('dns', 'dns_system_failure_no_ctrl', 'unknown'),
+  ('dns', 'dns_system_answer_unmatched', 'blocked'), ('dns', 'none', 'unknown'),
+  ('tcp', 'no_tcp_data', 'unknown'), ('tcp', 'connect_ok', 'ok'), ('tcp', 'ipv6_broken_probe', 'unknown'), ('tcp', 'failure_ctrl_ok', 'blocked'), ('tcp', 'dns_untrusted', 'unknown'),
+  ('tcp', 'failure_ctrl_also_failing', 'down'), ('tcp', 'none', 'unknown'),
+  ('tls', 'no_tls_data', 'unknown'), ('tls', 'certificate_valid', 'ok'), ('tls', 'failure_ctrl_ok_ssl', 'blocked'), ('tls', 'failure_ctrl_ok_reset', 'blocked'),
+  ('tls', 'failure_ctrl_ok_other', 'blocked'), ('tls', 'dns_untrusted', 'unknown'), ('tls', 'tcp_blocked', 'unknown'), ('tls', 'failure_ctrl_also_failing', 'down'), ('tls', 'none', 'unknown')"""
 
 
 @query("cell_verdict", f"""{CELL}, r AS (SELECT * FROM (VALUES {_RULE_ROWS}) t(layer, rule_id, outcome)),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from netquill.operators import rules as R
 from netquill.operators import verdicts as V
 from netquill.plans.catalog import query
 from netquill.plans.standins import ctes, frame
@@ -57,24 +56,47 @@ fl AS (SELECT win.*,
 BASE = ctes("O", "C") + EVIDENCE
 
 
-def _cases(layer: str) -> str:
-    """The rule list of a layer as SQL: number of the first rule that holds, and its values."""
-    text = lambda w: w.replace("size(", "len(").replace("startswith(", "starts_with(")
-    chosen = [*R.RULES[layer], R.NONE]
-    pick = "CASE " + " ".join(f"WHEN {text(r.when)} THEN {i}" for i, r in enumerate(chosen)) + " END"
-    lists = {
-        "rule_id": "[" + ", ".join(f"'{r.id}'" for r in chosen) + "]",
-        **{n: "[" + ", ".join(str(float(getattr(r, n))) for r in chosen) + "]" for n in ("blocked", "down", "ok")},
-        "evidence": "[" + ", ".join(str(r.evidence) for r in chosen) + "]",
-    }
-    return f"{pick} AS {layer}_n", ", ".join(f"CAST({v}[{layer}_n + 1] AS {'VARCHAR' if k == 'rule_id' else 'INTEGER' if k == 'evidence' else 'DOUBLE'}) AS {layer}_{k}" for k, v in lists.items())
+# The rules as the specification lists them, written by hand and not from the library's table: for each layer
+# the conditions in their order, with rule id, blocked, down, ok and evidence.
+RULES_SQL = {
+    "dns": """
+    WHEN len(dns_answers) = 0 AND dns_failure IS NULL THEN ROW('no_dns_data', 0.0, 0.0, 0.0, 0)
+    WHEN dns_blocking_country_consistent THEN ROW('country_consistent_blockpage', 1.0, 0.0, 0.0, 2)
+    WHEN dns_tls_consistent THEN ROW('tls_consistent_answer', 0.0, 0.0, 1.0, 2)
+    WHEN dns_answers_contain_bogon = 1 AND NOT dns_answer_matches_ctrl THEN ROW('bogon_not_in_ctrl', 0.95, 0.05, 0.0, 2)
+    WHEN dns_answers_contain_bogon = 1 AND dns_answer_matches_ctrl THEN ROW('bogon_in_ctrl', 0.1, 0.9, 0.0, 2)
+    WHEN dns_tls_inconsistent AND NOT dns_answer_matches_ctrl THEN ROW('tls_inconsistent_not_in_ctrl', 0.9, 0.05, 0.05, 2)
+    WHEN dns_answer_matches_ctrl THEN ROW('answer_matches_ctrl', 0.0, 0.0, 0.9, 2)
+    WHEN dns_answer_asn_matches_ctrl THEN ROW('answer_asn_matches_ctrl', 0.2, 0.0, 0.8, 2)
+    WHEN dns_engine IN ('system', 'getaddrinfo') AND dns_failure IS NOT NULL AND ctrl_dns_success_rate <= 0.5 THEN ROW('dns_system_failure_ctrl_also_failing', 0.1, 0.9, 0.0, 2)
+    WHEN dns_engine IN ('system', 'getaddrinfo') AND dns_failure IS NOT NULL AND ctrl_dns_success_rate > 0.5 THEN ROW('dns_system_failure_ctrl_ok', 0.9, 0.1, 0.0, 2)
+    WHEN dns_engine IN ('system', 'getaddrinfo') AND dns_failure IS NOT NULL THEN ROW('dns_system_failure_no_ctrl', 0.5, 0.5, 0.0, 2)
+    WHEN dns_engine IN ('system', 'getaddrinfo') AND dns_failure IS NULL THEN ROW('dns_system_answer_unmatched', 0.75, 0.0, 0.25, 2)""",
+    "tcp": """
+    WHEN tcp_success <> 1 AND tcp_failure IS NULL THEN ROW('no_tcp_data', 0.0, 0.0, 0.0, 0)
+    WHEN tcp_failure IS NULL AND tcp_success = 1 THEN ROW('connect_ok', 0.0, 0.0, 1.0, 2)
+    WHEN tcp_failure IS NOT NULL AND ip_is_v6 AND tcp_ipv6_failure_rate > 0.5 THEN ROW('ipv6_broken_probe', 0.0, 0.0, 0.0, 1)
+    WHEN tcp_failure IS NOT NULL AND ctrl_tcp_success_rate > 0.5 AND ctrl_tcp_success_count > 0 THEN ROW('failure_ctrl_ok', 0.75, 0.25, 0.0, 2)
+    WHEN dns_blocked > 0 AND dns_ok <= dns_blocked + dns_down THEN ROW('dns_untrusted', 0.0, 0.0, 0.0, 1)
+    WHEN tcp_failure IS NOT NULL AND ctrl_tcp_success_rate <= 0.5 AND ctrl_tcp_failing_count > 0 THEN ROW('failure_ctrl_also_failing', 0.25, 0.75, 0.0, 2)""",
+    "tls": """
+    WHEN tls_is_certificate_valid IS NULL AND tls_failure IS NULL THEN ROW('no_tls_data', 0.0, 0.0, 0.0, 0)
+    WHEN tls_is_certificate_valid = 1 THEN ROW('certificate_valid', 0.0, 0.0, 1.0, 2)
+    WHEN tls_failure LIKE 'ssl!_%' ESCAPE '!' AND ctrl_tls_success_rate > 0.5 AND ctrl_tls_success_count > 0 THEN ROW('failure_ctrl_ok_ssl', 0.9, 0.1, 0.0, 2)
+    WHEN tls_failure = 'connection_reset' AND ctrl_tls_success_rate > 0.5 AND ctrl_tls_success_count > 0 THEN ROW('failure_ctrl_ok_reset', 0.8, 0.2, 0.0, 2)
+    WHEN tls_failure IS NOT NULL AND ctrl_tls_success_rate > 0.5 AND ctrl_tls_success_count > 0 THEN ROW('failure_ctrl_ok_other', 0.7, 0.3, 0.0, 2)
+    WHEN dns_blocked > 0 AND dns_ok <= dns_blocked + dns_down THEN ROW('dns_untrusted', 0.0, 0.0, 0.0, 1)
+    WHEN tcp_blocked > 0 AND tcp_ok <= tcp_blocked + tcp_down THEN ROW('tcp_blocked', 0.0, 0.0, 0.0, 1)
+    WHEN tls_failure IS NOT NULL AND ctrl_tls_success_rate <= 0.5 AND ctrl_tls_failing_count > 0 THEN ROW('failure_ctrl_also_failing', 0.2, 0.8, 0.0, 2)""",
+}
 
 
 def scored_sql(base: str = BASE) -> str:
     out, last = base, "fl"
-    for layer in ("dns", "tcp", "tls"):
-        pick, values = _cases(layer)
-        out += f", {layer}0 AS (SELECT *, {pick} FROM {last}), {layer}1 AS (SELECT *, {values} FROM {layer}0)"
+    kind = "STRUCT(rule_id VARCHAR, blocked DOUBLE, down DOUBLE, ok DOUBLE, evidence INTEGER)"
+    for layer, cases in RULES_SQL.items():
+        values = ", ".join(f"{layer}_s.{x} AS {layer}_{x}" for x in ("rule_id", "blocked", "down", "ok", "evidence"))
+        out += f", {layer}0 AS (SELECT *, CAST(CASE {cases} ELSE ROW('none', 0.0, 0.0, 0.0, 0) END AS {kind}) AS {layer}_s FROM {last}), {layer}1 AS (SELECT *, {values} FROM {layer}0)"
         last = f"{layer}1"
     return out
 
@@ -179,8 +201,8 @@ _FLAGS = ["dns_tls_consistent", "dns_tls_inconsistent", "dns_answer_matches_ctrl
 @query("flags", f"{BASE} SELECT measurement_uid, observation_idx, {', '.join(_FLAGS)} FROM fl")
 def flags(spark, d):
     o, c = inputs(spark, d)
-    base = V.control_baseline(c, o, grain=GRAIN)
-    return V.with_flags(V.with_windows(V.with_day(o, GRAIN)), base).select("measurement_uid", "observation_idx", *_FLAGS)
+    o, c = V.with_day(o, GRAIN), V.with_day(c, GRAIN)
+    return V.with_flags(o, V.address_evidence(c, o), V.host_evidence(c)).select("measurement_uid", "observation_idx", *_FLAGS)
 
 
 def _score(layer):

@@ -104,6 +104,31 @@ def test_rows_without_evidence_do_not_win(spark):
     assert V.web_verdicts(rows, ctrl(spark, OK)).first().top_dns_rule_id == "tls_consistent_answer"
 
 
+def test_answers_other_than_the_row_s_address_are_evidence(spark):
+    """A name among the answers, and the answers of other rows of the measurement, count for all its rows of the name."""
+    rows = obs(spark, dns_answer="cdn.example").unionByName(obs(spark, observation_idx=2, ip="9.9.9.9", dns_answer="9.9.9.9", ip_asn=1))
+    named = ctrl(spark, {"ip": "cdn.example", "dns_success": 1})
+    flags = V.with_flags(V.with_day(rows), V.address_evidence(V.with_day(named), V.with_day(rows)), V.host_evidence(V.with_day(named))).collect()
+    assert len(flags) == 2 and all((r.dns_answer_count, r.dns_answer_matches_ctrl, r.dns_tls_consistent) == (2, True, False) for r in flags)
+    other = ctrl(spark, {"ip": "9.9.9.9", "tls_success": 0, "tls_failure": "ssl_x", "ip_asn": 5, "dns_success": None})
+    flags = V.with_flags(V.with_day(rows), V.address_evidence(V.with_day(other), V.with_day(rows)), V.host_evidence(V.with_day(other))).collect()
+    assert all((r.dns_tls_inconsistent, r.dns_answer_matches_ctrl, r.dns_answer_asn_matches_ctrl) == (True, False, False) for r in flags)
+    assert {r.ip: (r.ctrl_tls_failing_count, r.ctrl_tls_success_rate) for r in flags} == {"1.2.3.4": (0, None), "9.9.9.9": (1, 0.0)}
+
+
+def test_certificates_seen_by_probes_need_a_control(spark):
+    seen = obs(spark, tls_is_certificate_valid=1)
+    none = ctrl(spark, {"hostname": "elsewhere"})
+    assert V.scored_rows(seen, none).first().dns_rule_id == "dns_system_answer_unmatched"
+    assert V.scored_rows(seen, ctrl(spark, {"dns_failure": "x"})).first().dns_rule_id == "tls_consistent_answer"
+
+
+def test_verdicts_carry_no_maps_and_meet_once(spark):
+    """Evidence is joined in long form, and rows are dealt by measurement once, for answers and verdict."""
+    plan = V.web_verdicts(obs(spark), ctrl(spark, OK))._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_from_entries" not in plan and "collect_list" not in plan and plan.count("RepartitionByExpression") == 1
+
+
 def test_rule_set_is_sound(spark):
     table = R.rule_table(spark)
     assert R.lint(table).count() == 0
