@@ -66,9 +66,8 @@ def patterns(benchmark: DataFrame, width: int) -> DataFrame:
     return part.mapInArrow(run, "item_id string, pattern binary")
 
 
-def _automaton(found: list[tuple[str, bytes]]) -> ahocorasick.Automaton:
-    """Built once in each Python worker."""
-    name = sha256(repr(found).encode()).hexdigest()
+def _automaton(name: str, found: list[tuple[str, bytes]]) -> ahocorasick.Automaton:
+    """Built once in each Python worker; ``name`` tells one list of patterns from another."""
     if name not in _automata:
         _automata.clear()
         items: dict[bytes, list[str]] = {}
@@ -145,8 +144,10 @@ def find_contamination(
         own = known if blocks == 1 else known.filter(F.pmod(F.xxhash64("item_id", "pattern"), F.lit(blocks)) == block)
         found = sorted((r.item_id, bytes(r.pattern)) for r in own.collect())
 
-        def make(batch: pa.RecordBatch, found: list = found, first: bool = block == 0) -> dict[str, pa.Array]:
-            automaton = _automaton(found) if found else None
+        name = sha256(repr(found).encode()).hexdigest()
+
+        def make(batch: pa.RecordBatch, found: list = found, name: str = name, first: bool = block == 0) -> dict[str, pa.Array]:
+            automaton = _automaton(name, found) if found else None
             n, items, words = [], [], []
             before = [None] * batch.num_rows if first else list(
                 zip(batch.column("hit_items").to_pylist(), batch.column("__words").to_pylist())

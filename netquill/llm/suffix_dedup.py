@@ -51,15 +51,28 @@ CELL = "gh long, c1 long, c2 long, single boolean, cell int, k1 long, k2 long, x
 WINDOW = "gh long, c1 long, c2 long, single boolean, w1 long, w2 long, at int"
 
 
-def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of each ``width`` consecutive elements."""
+def _sliding_argmin(x: np.ndarray, width: int) -> np.ndarray:
+    """Where the smallest of each ``width`` consecutive elements stands, the first of equal ones."""
     n = len(x)
     padded = np.full(-(-n // width) * width, np.iinfo(U).max, U)
     padded[:n] = x
     blocks = padded.reshape(-1, width)
-    prefix = np.minimum.accumulate(blocks, axis=1).ravel()
-    suffix = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(suffix[: n - width + 1], prefix[width - 1 : n])
+    base = np.arange(len(blocks))[:, None] * width
+    place = np.arange(width)
+
+    def running(values: np.ndarray, ties: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The minimum so far, and where it was met last (``ties``) or first."""
+        low = np.minimum.accumulate(values, axis=1)
+        new = np.ones(values.shape, bool)
+        new[:, 1:] = values[:, 1:] <= low[:, :-1] if ties else values[:, 1:] < low[:, :-1]
+        return low, np.maximum.accumulate(np.where(new, place, 0), axis=1)
+
+    low, at = running(blocks, False)
+    high, back = running(blocks[:, ::-1], True)
+    prefix, prefix_at = low.ravel(), (base + at).ravel()
+    suffix, suffix_at = high[:, ::-1].ravel(), (base + width - 1 - back[:, ::-1]).ravel()
+    first, last = slice(0, n - width + 1), slice(width - 1, n)
+    return np.where(suffix[first] <= prefix[last], suffix_at[first], prefix_at[last])
 
 
 def _digests(data: memoryview, start: np.ndarray, end: np.ndarray, salt: np.ndarray) -> np.ndarray:
@@ -78,9 +91,7 @@ def window_runs(texts: list[bytes], length: int, gram: int) -> dict[str, np.ndar
     begin = np.concatenate(([0], np.cumsum(sizes)))[:-1]
     at = np.arange(len(data) - gram + 1)
     grams = mix(PrefixHash(data).slices(at, at + gram))
-    bits = U(int(len(data)).bit_length())
-    anchors = _sliding_min((grams >> bits << bits) | at.astype(U), length - gram + 1)
-    anchors = (anchors & ((U(1) << bits) - U(1))).astype(np.int64)
+    anchors = _sliding_argmin(grams, length - gram + 1)
     windows = sizes - length + 1
     row = np.repeat(np.arange(len(texts)), windows)
     start = begin[row] + np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from netquill.llm import clustering, simhash_dedup, source_audit
+from netquill.llm import clustering, simhash_dedup, source_audit, suffix_dedup
 from netquill.llm.mixing import mix
 
 DIR = "/root/testdata/sf0.001"
@@ -273,3 +273,22 @@ def test_mix_of_repeated_rows_meets_every_target(spark, parts):
     two = mix(spark.createDataFrame([(i, "w w w", "a") for i in range(50)] + [(None, "ok", "b")] * 1000, schema)).filter("source = 'b'")
     found = two.agg(F.sum("taken").alias("t"), F.max("target").alias("g")).first()
     assert abs(found.t - found.g) < 1
+
+
+# --- operator 6
+
+
+def test_anchors_do_not_depend_on_the_batch():
+    """Equal windows choose the same place, whatever else is in the batch, and the first of equal grams."""
+    rng = np.random.default_rng(1)
+    for n, width in ((50, 7), (200, 200), (1000, 33), (10, 1)):
+        for most in (3, 1 << 62):
+            x = rng.integers(0, most, n).astype(np.uint64)
+            want = [i + int(np.argmin(x[i : i + width])) for i in range(n - width + 1)]
+            assert suffix_dedup._sliding_argmin(x, width).tolist() == want
+    text = bytes(rng.integers(97, 100, 3000).astype(np.uint8))
+    alone = suffix_dedup.window_runs([text], 400, 16)
+    beside = suffix_dedup.window_runs([bytes(rng.integers(97, 123, 300_000).astype(np.uint8)), text, text], 400, 16)
+    for row in (1, 2):
+        own = beside["row"] == row
+        assert all((beside[c][own] == alone[c]).all() for c in ("gh", "c1", "c2", "pos", "left", "len"))
