@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import heapq
+from collections.abc import Callable
 from functools import reduce
+from hashlib import sha256
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -273,20 +276,111 @@ def in_blocks(patterns: DataFrame, most: int) -> list[DataFrame]:
     return [F.broadcast(patterns.filter(part == k)) for k in range(blocks)]
 
 
+#: the shortest literal that is worth an entry in the index
+LITERAL = 3
+
+
+def required_literal(kind: str, pattern: str) -> str | None:
+    """Text that every match of a pattern holds: the pattern itself, or the longest run of plain characters of a
+    regular expression outside its groups and classes, less a character that a quantifier may take away. None for
+    an expression with alternatives or flags, or without a run of LITERAL characters."""
+    if kind != "regexp":
+        return pattern if len(pattern) >= LITERAL else None
+    if "|" in pattern or "(?" in pattern:
+        return None
+    best, run, depth, i = "", "", 0, 0
+    while i < len(pattern):
+        c = pattern[i]
+        plain = None
+        if c == "\\" and i + 1 < len(pattern):
+            i += 1
+            # classes and edges break a run; other letters may stand for characters spelled out after them
+            if pattern[i].isalnum() and pattern[i] not in "bBdDsSwWnrtfAzZ":
+                return None
+            plain = "" if pattern[i].isalnum() else pattern[i]
+        elif c == "[":
+            close = pattern.find("]", i + 2)
+            inside = pattern[i + 1 : close]
+            if close < 0 or inside[0] in "]^" and "]" in pattern[i + 1 : i + 3] or "[" in inside or "\\" in inside:
+                return None
+            i = close
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+        elif c in "*?{":
+            run = run[:-1]
+            if c == "{":
+                close = pattern.find("}", i)
+                i = close if close > 0 else len(pattern)
+        elif c not in ".^$+":
+            plain = c
+        if plain and depth == 0:
+            run += plain
+        else:
+            best, run = max(best, run, key=len), ""
+        i += 1
+    best = max(best, run, key=len)
+    return best if len(best) >= LITERAL else None
+
+
+_indexes: dict[str, ahocorasick.Automaton] = {}
+
+
+def held_literals(literals: list[str]) -> Callable:
+    """An Arrow function from texts to those of the literals that each holds, found in one scan of the text."""
+    name = sha256("\x00".join(literals).encode()).hexdigest()
+
+    def find(texts: pa.Array) -> pa.Array:
+        index = _indexes.get(name)
+        if index is None:
+            _indexes.clear()
+            index = ahocorasick.Automaton()
+            for x in literals:
+                index.add_word(x, x)
+            index.make_automaton()
+            _indexes[name] = index
+        found = [None if t is None else list({x for _, x in index.iter(t)}) for t in texts.to_pylist()]
+        return pa.array(found, pa.list_(pa.string()))
+
+    return F.arrow_udf(find, "array<string>")
+
+
+def _matches(texts: DataFrame, patterns: DataFrame, text: str, keep: list[str], most: int) -> DataFrame | None:
+    """(keep, name, scope) of texts and patterns (name, scope, pattern_type, pattern) that match. Patterns are taken
+    ``most`` at a time. Those with a literal are candidates for the texts that hold it, by equality, and are
+    confirmed; only those without one meet every text."""
+    blocks = max(1, -(-patterns.count() // most))
+    out = None
+    for k in range(blocks):
+        own = patterns if blocks == 1 else patterns.filter(F.pmod(F.xxhash64("name", "scope", "pattern_type", "pattern"), F.lit(blocks)) == k)
+        rows = [(r["name"], r["scope"], r["pattern_type"], r["pattern"], required_literal(r["pattern_type"], r["pattern"])) for r in own.collect() if r["pattern"] is not None]
+        known = patterns.sparkSession.createDataFrame(rows, "name string, scope string, _kind string, _p string, _lit string")
+        literals = sorted({r[4] for r in rows if r[4]})
+        met = []
+        if literals:
+            cand = texts.select(*keep, text, F.explode(held_literals(literals)(F.col(text))).alias("_lit"))
+            met.append(cand.join(F.broadcast(known), "_lit"))
+        if any(not r[4] for r in rows):
+            met.append(texts.select(*keep, text).join(F.broadcast(known.filter("_lit IS NULL")), F.col("_lit").isNull()))
+        for df in met:
+            hit = df.filter(match_condition(F.col(text), F.col("_p"), F.col("_kind"))).select(*keep, "name", "scope")
+            out = hit if out is None else out.unionByName(hit)
+    return out
+
+
 def match_fingerprints(df: DataFrame, patterns: DataFrame, text_col: str, key: str, header_cols: dict | None = None, max_patterns: int = 10_000) -> DataFrame:
     """(key, name, scope) of every pattern that a text matches. Patterns have (name, scope, location_found,
     pattern_type, pattern); those on a header match only as regexp. Whole-text patterns are an
-    equi-join; the others meet every text, ``max_patterns`` at a time."""
+    equi-join; of the others, those with a literal meet the texts that hold it (see :func:`required_literal`)."""
     body = patterns.filter(~F.coalesce(F.col("location_found").startswith("header."), F.lit(False)))
     full = body.filter("pattern_type = 'full'").select("name", "scope", F.col("pattern").alias("_p"))
     out = df.join(full, df[text_col] == full._p).select(key, "name", "scope")
-    rest = body.filter("pattern_type IN ('prefix', 'contains', 'regexp')")
-    for loose in in_blocks(rest.select("name", "scope", "pattern_type", F.col("pattern").alias("_p")), max_patterns):
-        out = out.unionByName(df.select(key, text_col).join(loose, match_condition(F.col(text_col), F.col("_p"), F.col("pattern_type"))).select(key, "name", "scope"))
+    fields = ("name", "scope", "pattern_type", "pattern")
+    parts = [_matches(df, body.filter("pattern_type IN ('prefix', 'contains', 'regexp')").select(*fields), text_col, [key], max_patterns)]
     for name, column in (header_cols or {}).items():
         own = patterns.filter((F.col("location_found") == f"header.{name}") & (F.col("pattern_type") == "regexp"))
-        for h in in_blocks(own.select("name", "scope", F.col("pattern").alias("_p")), max_patterns):
-            out = out.unionByName(df.select(key, column).join(h, F.regexp_like(F.col(column), F.concat(F.lit("(?s)"), F.col("_p")))).select(key, "name", "scope"))
+        parts.append(_matches(df, own.select(*fields), column, [key], max_patterns))
+    for p in parts:
+        out = out if p is None else out.unionByName(p)
     return out
 
 

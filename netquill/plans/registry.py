@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from netquill.plans import catalog, q_aggregate, q_chain, q_detect, q_enrich, q_flatten, q_raw, q_verdicts  # noqa: F401  (query modules register on import)
+from netquill.plans import catalog, q_aggregate, q_chain, q_detect, q_enrich, q_flatten, q_raw, q_store, q_verdicts  # noqa: F401  (query modules register on import)
 
 
 def queries() -> dict:

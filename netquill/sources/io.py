@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,21 @@ def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType
     return spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
 
 
+def read_counted(spark: SparkSession, path: str | list[str], quarantine: str | None = None, name: str = "read") -> tuple[DataFrame, Observation]:
+    """Measurements with test keys, and counters that are there once an action has read them: rows, unreadable
+    (bad lines) and empty (no test keys). With ``quarantine``, the lines that are left out are appended to that
+    table with their reason, file and day, by a pass of their own."""
+    counters = Observation(name)
+    raw = read_jsonl(spark, path)
+    bad, empty = F.col("_corrupt_record").isNotNull(), F.col("test_keys").isNull()
+    if quarantine is not None:
+        reason = F.when(bad, "unreadable").otherwise("empty")
+        lost = raw.withColumns({"reason": reason, "file": F.input_file_name(), "day": F.current_date()}).filter(bad | empty)
+        lost.select("measurement_uid", F.col("_corrupt_record").alias("line"), "reason", "file", "day").write.partitionBy("day").mode("append").parquet(quarantine)
+    seen = raw.observe(counters, F.count("*").alias("rows"), F.count_if(bad).alias("unreadable"), F.count_if(~bad & empty).alias("empty"))
+    return seen.filter(~bad & ~empty), counters
+
+
 def read_post_archives(spark: SparkSession, path: str) -> DataFrame:
     """(measurement_uid, raw) of the JSON posts in .tar.gz archives: the ``content`` of each ``.post`` file
     whose ``format`` is json, named by its file. An archive is one task's work: its compressed bytes (2 GB at
@@ -125,10 +140,11 @@ def dedup_latest(df: DataFrame, keys: list[str], version: str | None = None) ->
 
 
 def write_partitioned(df: DataFrame, path: str, time: str = "measurement_start_time", sort: list[str] | None = None) -> None:
-    """Write by month and day; a rerun of a window replaces the days it holds and nothing else. Rows are
-    sorted inside files, so that statistics skip row groups."""
+    """Write by month and day; a rerun of a window replaces the days it holds and nothing else. Days are
+    rebalanced, so a day of any size becomes files of about the advisory size, written by as many tasks, and small
+    ones share a task. Rows are sorted inside files, so that statistics skip row groups."""
     out = df.withColumn("bucket_month", F.date_format(time, "yyyy-MM")).withColumn("bucket_date", F.date_format(time, "yyyy-MM-dd"))
-    out = out.repartition("bucket_date").sortWithinPartitions("bucket_date", *(sort or []))
+    out = out.hint("rebalance", "bucket_date").sortWithinPartitions("bucket_date", *(sort or []))
     out.write.partitionBy("bucket_month", "bucket_date").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
@@ -151,11 +167,11 @@ def write_csv(tables: dict[str, DataFrame], path: str) -> None:
 
 
 def repartition_raw(msmts: DataFrame, path: str, existing: DataFrame | None = None) -> None:
-    """Rewrite raw rows (test, day, cc and the record) as one set of compressed JSON files a group; groups
-    that exist already are skipped."""
+    """Rewrite raw rows (test, day, cc and the record) as one set of compressed JSON files a group, large groups by
+    several tasks; groups that exist already are skipped."""
     if existing is not None:
         msmts = msmts.join(existing.select("test", "day", "cc").distinct(), ["test", "day", "cc"], "left_anti")
-    msmts.repartition("test", "day", "cc").write.partitionBy("test", "day", "cc").mode("append").option("compression", "gzip").json(path)
+    msmts.hint("rebalance", "test", "day", "cc").write.partitionBy("test", "day", "cc").mode("append").option("compression", "gzip").json(path)
 
 
 def trim_column(column: Column, kind: T.DataType, most: int) -> Column:

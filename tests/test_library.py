@@ -488,3 +488,138 @@ def test_outcome_ties_and_paging(spark):
     v = spark.createDataFrame([("u", DAY, 1, 1, "x", None, None, 0.1, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0)], "measurement_uid string, measurement_start_time timestamp, probe_asn long, resolver_asn long, top_dns_failure string, top_tcp_failure string, top_tls_failure string, dns_blocked double, dns_down double, dns_ok double, tcp_blocked double, tcp_down double, tcp_ok double, tls_blocked double, tls_down double, tls_ok double")
     r = A.outcome_aggregation(v).first()
     assert (r.outcome_label, r.outcome_value, r.confirmed_count) == ("dns_isp.blocked.x", 1.0, 1)
+
+
+@pytest.mark.parametrize(
+    "kind, pattern, literal",
+    [
+        ("contains", "abc", "abc"), ("prefix", "ab", None), ("regexp", "abc.*defg", "defg"), ("regexp", "abcd?e", "abc"), ("regexp", "ab|cdef", None), ("regexp", "(abcdef)?xyz", "xyz"),
+        ("regexp", "[abc]def{2}", None), ("regexp", r"a\.bc+", "a.bc"), ("regexp", r"\x41bcd", None), ("regexp", r"\bword\b", "word"), ("regexp", "(?i)abc", None), ("regexp", "[]abc]defg", None),
+        ("regexp", "[^]abc]defg", None), ("regexp", "^start$", "start"), ("regexp", "a{3}bcd", "bcd"), ("regexp", "", None),
+    ],
+)
+def test_literals_that_every_match_holds(kind, pattern, literal):
+    assert E.required_literal(kind, pattern) == literal
+
+
+def test_many_patterns_meet_texts_by_their_literals(spark):
+    """5 000 patterns equal a try of each, and none that has a literal meets every text."""
+    import random
+
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randrange(1, 6)))
+    texts = [(i, " ".join(word() for _ in range(60))) for i in range(200)] + [(900, None), (901, "")]
+    rows = []
+    for i in range(5000):
+        kind = ("contains", "prefix", "regexp")[i % 3]
+        a, b = word(), word()
+        pattern = {"contains": f"{a} {b}", "prefix": f"{a} {b}", "regexp": f"{a}[a-c]? {b}+"}[kind]
+        rows.append((f"n{i}", "nat", "body", kind, pattern))
+    patterns = spark.createDataFrame(rows, "name string, scope string, location_found string, pattern_type string, pattern string")
+    df = spark.createDataFrame(texts, "id long, text string")
+    got = E.match_fingerprints(df, patterns, "text", "id", max_patterns=2000)
+    import re
+
+    test = {"contains": lambda p, t: p in t, "prefix": lambda p, t: t.startswith(p), "regexp": lambda p, t: re.search(p, t, re.S)}
+    want = sorted((i, n) for i, t in texts if t is not None for n, _, _, kind, p in rows if test[kind](p, t))
+    assert sorted((r.id, r.name) for r in got.collect()) == want
+    long = patterns.filter(F.length("pattern") > 6).filter("pattern_type <> 'regexp'")
+    assert "NestedLoop" not in E.match_fingerprints(df, long, "text", "id")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_large_day_is_written_by_several_tasks(spark, tmp_path):
+    """A day with most rows becomes several files; a rerun leaves the same rows."""
+    rows = spark.range(200_000).select("id", F.md5(F.col("id").cast("string")).alias("x"), (F.lit(DAY) + F.when(F.col("id") % 10 < 8, F.expr("INTERVAL 0 DAYS")).otherwise(F.make_dt_interval((F.col("id") % 7).cast("int")))).alias("measurement_start_time"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        for _ in range(2):
+            IO.write_partitioned(rows, f"{tmp_path}/days")
+            IO.repartition_raw(rows.select(F.lit("t").alias("test"), F.date_format("measurement_start_time", "yyyy-MM-dd").alias("day"), F.lit("IT").alias("cc"), "x"), f"{tmp_path}/raw{_}")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = list((tmp_path / "days").glob("**/bucket_date=2024-01-01/*.parquet"))
+    assert len(files) >= 4 and len(list((tmp_path / "raw0").glob("**/day=2024-01-01/**/*.json.gz"))) >= 4
+    assert spark.read.parquet(f"{tmp_path}/days").count() == 200_000 and spark.read.json(f"{tmp_path}/raw1").count() == 200_000
+
+
+def test_versions_are_published_whole_or_not_at_all(spark, tmp_path):
+    from netquill.sources import versions as VS
+
+    root = f"{tmp_path}/ref"
+    table = lambda n: spark.range(n)
+    assert VS.read(spark, root, "table") is None
+    assert VS.refresh(table(5), root, "a", 1, 10) == 5
+    held = VS.read(spark, root, "table")
+    with pytest.raises(ValueError):
+        VS.refresh(table(50), root, "b", 1, 10)
+    assert VS.current(spark, root) == "a" and VS.read(spark, root, "table").count() == 5
+    assert VS.refresh(table(7), root, "c", 1, 10) == 7 and VS.refresh(table(9), root, "c", 1, 10) == 7
+    assert VS.committed(spark, root) == ["a", "c"] and VS.read(spark, root, "table").count() == 7
+    assert held.count() == 5  # a frame stays on the version it was read from
+    with pytest.raises(RuntimeError):
+        VS.publish(spark, root, "d", "a")
+    (tmp_path / "ref/log/000000000002").write_text("half")  # an entry that is still being written
+    assert VS.current(spark, root) == "c"
+
+
+def test_a_reader_meets_no_gap_while_a_table_is_refreshed(spark, tmp_path):
+    import threading
+
+    from netquill.sources import versions as VS
+
+    root, seen, failed, done = f"{tmp_path}/live", set(), [], threading.Event()
+    VS.refresh(spark.range(1), root, "v1", 0, 100)
+
+    def watch():
+        while not done.is_set():
+            try:
+                seen.add(VS.read(spark, root, "table").count())
+            except Exception as e:  # noqa: BLE001
+                failed.append(e)
+
+    reader = threading.Thread(target=watch)
+    reader.start()
+    for n in range(2, 6):
+        VS.refresh(spark.range(n), root, f"v{n}", 0, 100)
+    done.set()
+    reader.join()
+    assert not failed and seen <= set(range(1, 6)) and VS.read(spark, root, "table").count() == 5
+
+
+def test_the_detector_s_store_is_replayed_and_cleared(spark, tmp_path):
+    from netquill.operators import detector_store as DS
+    from netquill.sources import versions as VS
+
+    values = [0.0] * 30 + [1.0] * 30 + [0.0] * 40
+    hour = lambda n: DAY + timedelta(hours=n)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    changes = lambda df: sorted((r.signal, r.ts, r.change_dir, r.s_pos) for r in df.collect())
+    whole = D.detect_changes(points(spark, values))[0]
+    root = f"{tmp_path}/store"
+    DS.run_detector(points(spark, values[:50]), root, "a")
+    late = points(spark, values[50:], hour(50))
+    # a run that fails between its two tables leaves the version before it
+    VS.stage(whole.limit(0), root, "b", "changes")
+    assert VS.current(spark, root) == "a"
+    one = DS.run_detector(late, root, "b")
+    two = DS.run_detector(late, root, "b")
+    assert [rows(x) for x in one] == [rows(x) for x in two] and VS.committed(spark, root) == ["a", "b"]
+    assert changes(DS.load(spark, root)[0]) == changes(whole) and len(changes(whole)) > 1
+    # keys without new points keep their state
+    other = late.withColumn("domain", F.lit("elsewhere"))
+    state = DS.run_detector(other, root, "c")[1]
+    assert {r.domain for r in state.select("domain").distinct().collect()} == {"d", "elsewhere"}
+    cleared, left = DS.clear(spark, root, "d", hour(40), hour(200))
+    assert all(c[1] < hour(40) for c in changes(cleared)) and left.count() == 0
+    assert rows(DS.clear(spark, root, "d", hour(0), hour(1))[0]) == rows(cleared)
+    with pytest.raises(ValueError):
+        DS.clear(spark, f"{tmp_path}/none", "x", DAY, DAY)
+
+
+def test_unreadable_input_is_counted_and_kept(spark, tmp_path):
+    (tmp_path / "in.jsonl").write_text('{"measurement_uid":"a","test_keys":{"failure":"x"}}\n{broken\n{"measurement_uid":"b"}\n')
+    good, counters = IO.read_counted(spark, f"{tmp_path}/in.jsonl", f"{tmp_path}/lost", name="one")
+    assert [r.measurement_uid for r in good.collect()] == ["a"] and counters.get == {"rows": 3, "unreadable": 1, "empty": 1}
+    lost = spark.read.parquet(f"{tmp_path}/lost").collect()
+    assert sorted((r.reason, r.line) for r in lost) == [("empty", None), ("unreadable", "{broken")] and all(r.file.endswith("in.jsonl") for r in lost)
