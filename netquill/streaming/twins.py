@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from netquill.operators.quality import ATTRIBUTES
 
@@ -62,3 +63,75 @@ def cusum_stream(points: DataFrame, edd: float = 10, mu0: float = 0.0, mu1: floa
     return points.groupBy("probe_cc", "probe_asn", "domain", "signal").applyInPandasWithState(
         update, schema, "name string, s_pos double, s_neg double, last_change int, seen double", "append", "NoTimeout"
     )
+
+
+_STATE = "name string, s_pos double, s_neg double, last_change int, seen double"
+
+
+class ChangeDetector(StatefulProcessor):
+    """The detector of one key on the state API: hours wait, keyed by their time, until the watermark closes them, and
+    are then taken in order of time. So hours may come late, and in any order, within the watermark. A key
+    that is silent for ``ttl_days`` of event time is forgotten."""
+
+    def __init__(self, edd: float, mu0: float, mu1: float, gap_halflife: float, ttl_days: int):
+        self.parameters = (edd, mu0, mu1, gap_halflife)
+        self.ttl = ttl_days * 86_400_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("state", _STATE)
+        self.waiting = handle.getMapState("waiting", "at long", "y double, w double")
+
+    def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues) -> None:  # noqa: N802, N803
+        row = initialState.iloc[0]
+        seen = None if pd.isna(row["last_ts"]) else row["last_ts"].timestamp() / 3600
+        self.state.update((row["current_state"], float(row["s_pos"]), float(row["s_neg"]), int(row["last_change"]), seen))
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        for frame in rows:
+            for ts, y, w in zip(frame["ts"], frame["y"], frame["w"]):
+                at = int(ts.timestamp() * 1000)
+                number = lambda x: None if x is None or x != x else float(x)
+                self.waiting.updateValue((at,), (number(y), number(w)))
+                self.handle.registerTimer(at)
+        yield pd.DataFrame()
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        now = tuple(self.state.get()) if self.state.exists() else ("unk", 0.0, 0.0, 0, None)
+        if not self.waiting.containsKey((at,)):
+            # a timer of the state and not of an hour
+            if now[4] is not None and now[4] * 3_600_000 + self.ttl <= at:
+                self.state.clear()
+            yield pd.DataFrame()
+            return
+        y, w = self.waiting.getValue((at,))
+        self.waiting.removeKey((at,))
+        now, change = step(now, at / 3_600_000, y, w, *self.parameters)
+        self.state.update(now)
+        self.handle.registerTimer(at + self.ttl)
+        if change is None:
+            yield pd.DataFrame()
+            return
+        yield pd.DataFrame([(*key, pd.Timestamp(at, unit="ms"), *change)], columns=CHANGES)
+
+    def close(self) -> None:
+        pass
+
+
+CHANGES = ["probe_cc", "probe_asn", "domain", "signal", "ts", "change_dir", "s_pos", "s_neg", "current_state"]
+
+
+def detector_stream(
+    points: DataFrame, state: DataFrame | None = None, watermark: str = "3 hours", edd: float = 10, mu0: float = 0.0, mu1: float = 0.7,
+    gap_halflife: float = 48.0, ttl_days: int = 400,
+) -> DataFrame:
+    """Changes of a stream of long-form hourly points whose hours may be late, or out of order over batches, by up to the
+    watermark. ``state``: the stored state of the batch detector, to begin from. The session needs the RocksDB
+    state store (``spark.sql.streaming.stateStore.providerClass``)."""
+    keys = ["probe_cc", "probe_asn", "domain", "signal"]
+    schema = "probe_cc string, probe_asn long, domain string, signal string, ts timestamp, change_dir int, s_pos double, s_neg double, current_state string"
+    first = None if state is None else state.select(*keys, "current_state", "s_pos", "s_neg", "last_change", "last_ts").groupBy(*keys)
+    return points.withWatermark("ts", watermark).groupBy(*keys).transformWithStateInPandas(
+        ChangeDetector(edd, mu0, mu1, gap_halflife, ttl_days), outputStructType=schema, outputMode="Append", timeMode="EventTime", initialState=first
+    )

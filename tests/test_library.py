@@ -623,3 +623,36 @@ def test_unreadable_input_is_counted_and_kept(spark, tmp_path):
     assert [r.measurement_uid for r in good.collect()] == ["a"] and counters.get == {"rows": 3, "unreadable": 1, "empty": 1}
     lost = spark.read.parquet(f"{tmp_path}/lost").collect()
     assert sorted((r.reason, r.line) for r in lost) == [("empty", None), ("unreadable", "{broken")] and all(r.file.endswith("in.jsonl") for r in lost)
+
+
+def test_late_hours_within_the_watermark_are_ordered(spark, tmp_path):
+    """Hours out of order over batches, and a stored state to begin from, give the changes of the batch detector."""
+    import random
+
+    from netquill.streaming.twins import detector_stream
+
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        values = [0.0] * 30 + [1.0] * 25 + [0.0] * 25
+        pts = D.long_form(points(spark, values)).withColumn("probe_asn", F.col("probe_asn").cast("long"))
+        start = DAY + timedelta(hours=20)
+        state = D.detect_changes(points(spark, values[:20]))[1].withColumn("probe_asn", F.col("probe_asn").cast("long"))
+        rows = [r for r in pts.filter(F.col("ts") >= F.lit(start)).collect()]
+        end = DAY + timedelta(hours=500)  # closes the hours before it
+        rng = random.Random(1)
+        hours = sorted({r.ts for r in rows}, key=lambda t: t.timestamp() + rng.uniform(0, 4) * 3600)
+        for k in range(4):
+            batch = set(hours[k * len(hours) // 4 : (k + 1) * len(hours) // 4])
+            own = [r for r in rows if r.ts in batch]
+            if k == 3:
+                own += [("IT", 1, "end", end, "tcp_blocked", 0.0, 1.0)]
+            spark.createDataFrame(own, pts.schema).coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+        stream = spark.readStream.schema(pts.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
+        found = detector_stream(stream, state, watermark="6 hours").writeStream.format("memory").queryName("late_hours").outputMode("append")
+        q = found.option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start()
+        assert q.awaitTermination(200) and q.exception() is None
+        want = D.detect_changes(points(spark, values))[0].filter(F.col("ts") >= F.lit(start)).select("signal", "ts", "change_dir", "s_pos")
+        key = lambda df: sorted((r.signal, r.ts, r.change_dir, round(r.s_pos, 9)) for r in df.collect())
+        assert key(spark.table("late_hours")) == key(want) and want.count() > 1
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
