@@ -3,21 +3,18 @@
 from __future__ import annotations
 
 import atexit
-import io
 import json
 import shutil
-import tarfile
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
-from itertools import islice
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from netquill.schemas import MEASUREMENT
+from netquill.sources.archives import PostArchives
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -62,30 +59,11 @@ def read_counted(spark: SparkSession, path: str | list[str], quarantine: str | N
 
 def read_post_archives(spark: SparkSession, path: str) -> DataFrame:
     """(measurement_uid, raw) of the JSON posts in .tar.gz archives: the ``content`` of each ``.post`` file
-    whose ``format`` is json, named by its file. An archive is one task's work: its compressed bytes (2 GB at
-    most) are held, its posts are passed on 1000 at a time."""
-
-    def posts(data: bytes) -> Iterator[tuple[str, str]]:
-        with tarfile.open(fileobj=io.BytesIO(data), mode="r|*") as tar:
-            for member in tar:
-                if not member.isfile() or not member.name.endswith(".post"):
-                    continue
-                try:
-                    envelope = json.load(tar.extractfile(member))
-                except ValueError:
-                    continue
-                if envelope.get("format") == "json":
-                    yield member.name.rsplit("/", 1)[-1].removesuffix(".post"), json.dumps(envelope["content"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for data in batch.column("content").to_pylist():
-                found = posts(data)
-                while part := list(islice(found, 1000)):
-                    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in part], pa.string()) for k in (0, 1)], ["measurement_uid", "raw"])
-
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(run, "measurement_uid string, raw string")
+    whose ``format`` is json, named by its file. An archive of any size is one task's work and read as a stream; only
+    the list of archives is made here."""
+    files = spark.read.format("binaryFile").load(path).select("path").collect()
+    spark.dataSource.register(PostArchives)
+    return spark.read.format("post_archives").option("paths", json.dumps(sorted(f.path for f in files))).load()
 
 
 def parse_posts(posts: DataFrame, schema: str = MEASUREMENT) -> DataFrame:

@@ -656,3 +656,26 @@ def test_late_hours_within_the_watermark_are_ordered(spark, tmp_path):
         assert key(spark.table("late_hours")) == key(want) and want.count() > 1
     finally:
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_an_archive_is_read_as_a_stream(spark, tmp_path):
+    """40 MB of posts in one archive take a few MB at a time, and archives are partitions of their own."""
+    import os
+    import tracemalloc
+
+    from netquill.sources import archives as AR
+
+    for name, n in (("big", 80), ("small", 3)):
+        with tarfile.open(tmp_path / f"{name}.tar.gz", "w:gz", compresslevel=1) as tar:
+            for i in range(n):
+                data = json.dumps({"format": "json", "content": {"input": os.urandom(250_000).hex()}}).encode()
+                info = tarfile.TarInfo(f"{name}{i}.post")
+                info.size = len(data)
+                tar.addfile(info, io.BytesIO(data))
+    tracemalloc.start()
+    seen = sum(b.num_rows for b in AR.PostReader([]).read(AR.InputPartition(f"file:{tmp_path}/big.tar.gz")))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == 80 and peak < 16 << 20
+    rows = IO.read_post_archives(spark, f"{tmp_path}/*.tar.gz")
+    assert rows.rdd.getNumPartitions() == 2 and rows.select("measurement_uid").distinct().count() == 83
