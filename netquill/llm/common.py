@@ -30,11 +30,16 @@ def scratch_dir(spark: SparkSession) -> str:
     return _own[0]
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{scratch_dir(spark)}/netquill/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, so a lost executor
     costs a reread and not the work above, and the planner sees the true size."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/netquill/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path

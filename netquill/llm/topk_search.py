@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from netquill.llm.common import discard, table, written
+from netquill.llm.common import discard, scratch_path, table, written
 
 K, EVERY, BLOCK, BITS = 5, 50, 1024, 9
 RANGES = 1 << BITS
@@ -145,7 +145,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, block: int = BLOCK)
         .withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20))),
         "topk_queries",
     )
-    found = None
+    found, path = None, scratch_path(vectors.sparkSession, "topk_answers")
     for dim, total in sorted((r.dim, r["count"]) for r in asked.groupBy("dim").count().collect()):
         candidates = rows.filter(F.size("v") == dim)
         reach = candidates.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, e: F.greatest(a, F.abs(e))))).first()[0]
@@ -162,14 +162,18 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, block: int = BLOCK)
                 continue
             ids = np.array([m[0] for m in mine], np.int64)
             queries = np.array([m[1] for m in mine]).astype(kind)
-            part = written(_answers(candidates, ids, queries, _kth(candidates, ids, queries, bound, k), k), "topk_answers")
-            found = part if found is None else found.unionByName(part)
+            answers = _answers(candidates, ids, queries, _kth(candidates, ids, queries, bound, k), k)
+            # one table for all blocks, so that the plan does not grow with them
+            answers.write.mode("append").parquet(path)
+            found = answers.schema
     discard(rows, asked)
     if found is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        found.withColumn("rank", F.row_number().over(order))
+        vectors.sparkSession.read.schema(found)
+        .parquet(path)
+        .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
