@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ipaddress
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -212,6 +213,13 @@ def as_number(text: str | int) -> int:
     return int(text[2:] if text.upper().startswith("AS") else text)
 
 
+def time_window(since: datetime | None = None, until: datetime | None = None, now: datetime | None = None) -> tuple[datetime, datetime]:
+    """A window's bounds; without them it ends at today's midnight and starts at the midnight thirty days before."""
+    now = datetime.now(timezone.utc).replace(tzinfo=None) if now is None else now
+    midnight = datetime.combine(now, datetime.min.time())
+    return since or midnight - timedelta(days=30), until or midnight
+
+
 def decoded(data: Column) -> Column:
     """Bytes as UTF-8 text, as Latin-1 where they are not UTF-8."""
     return F.coalesce(F.try_validate_utf8(data.cast("string")), F.decode(data, "ISO-8859-1"))

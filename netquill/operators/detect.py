@@ -237,3 +237,25 @@ def bernoulli_cusum(points: DataFrame, p0: float = 0.1, p1: float = 0.7) -> Data
     rows = points.filter("w > 0 AND y IS NOT NULL").withColumn("_u", F.sum(up).over(order)).withColumn("_d", F.sum(down).over(order))
     low = lambda c: F.least(F.min(c).over(order), F.lit(0.0))
     return rows.select(*keys, "ts", (F.col("_u") - low("_u")).alias("s_pos"), (F.col("_d") - low("_d")).alias("s_neg"))
+
+
+def watch_list(lists: DataFrame, category: str = "GRP", cc: str = "ZZ", more: tuple = ()) -> DataFrame:
+    """(domain): the domains that a list of (domain, cc, category_code) holds of a category, and some by name."""
+    found = lists.filter((F.col("cc") == cc) & (F.col("category_code") == category)).select("domain")
+    if more:
+        found = found.unionByName(lists.sparkSession.createDataFrame([(d,) for d in more], "domain string"))
+    return found.distinct()
+
+
+def watched(rows: DataFrame, domains: DataFrame) -> DataFrame:
+    """The rows of watched domains."""
+    return rows.join(domains, "domain", "left_semi")
+
+
+def panel_summary(series: DataFrame, changes: DataFrame) -> DataFrame:
+    """Hours of each network, how many have a value of each resolver kind, and whether it has a change."""
+    changed = changes.select("probe_asn").distinct().withColumn("has_change", F.lit(True))
+    per = series.groupBy("probe_asn").agg(
+        F.count("*").alias("n_hours"), F.count("dns_isp_blocked").alias("n_isp"), F.count("dns_other_blocked").alias("n_other")
+    )
+    return per.join(changed, "probe_asn", "left").withColumn("has_change", F.coalesce("has_change", F.lit(False)))

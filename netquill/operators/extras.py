@@ -50,17 +50,24 @@ def cell_verdict(state: DataFrame, rules: DataFrame, keys: list[str]) -> DataFra
     best = outcomes.groupBy(*by).agg(
         F.max(F.struct("n_outcome", "outcome", "rule_id")).alias("b"), F.sum("n_outcome").alias("total")
     )
-    return best.select(*by, "b.outcome", "b.rule_id", (F.col("b.n_outcome") / F.col("total")).alias("share"))
+    return best.select(*by, "b.outcome", "b.rule_id", (F.col("b.n_outcome") / F.col("total")).alias("share"), "total")
 
 
-def presentation(verdict: DataFrame, least: int = 3, sure: float = 0.8) -> DataFrame:
-    """What to show of a cell: no data, too few, blocked, unstable, down, ok."""
+# Rules that rest on something which settles the matter alone, and one that is ambiguous.
+ARTEFACTS, AMBIGUOUS = ("country_consistent_blockpage", "bogon_not_in_ctrl"), ("dns_system_failure_no_ctrl",)
+
+
+def presentation(verdict: DataFrame, least: int = 3) -> DataFrame:
+    """What to show of a cell, by the kind of evidence behind its dominant rule and not by a score: blocked (with an
+    artefact), likely_blocked, impaired (an ambiguous rule), down, ok, or insufficient: below the floor of ``least``
+    results, or without a rule that tells anything."""
     state = (
-        F.when(F.coalesce("total", F.lit(0)) == 0, "no_data")
-        .when(F.col("total") < least, "insufficient")
-        .when((F.col("outcome") == "blocked") & (F.col("share") >= sure), "blocked")
-        .when(F.col("outcome") == "blocked", "unstable")
-        .otherwise(F.coalesce("outcome", F.lit("unknown")))
+        F.when(F.coalesce("total", F.lit(0)) < least, "insufficient")
+        .when((F.col("outcome") == "blocked") & F.col("rule_id").isin(*ARTEFACTS), "blocked")
+        .when(F.col("outcome") == "blocked", "likely_blocked")
+        .when(F.col("rule_id").isin(*AMBIGUOUS), "impaired")
+        .when(F.col("outcome").isin("down", "ok"), F.col("outcome"))
+        .otherwise("insufficient")
     )
     return verdict.withColumn("state", state)
 

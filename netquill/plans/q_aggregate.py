@@ -10,7 +10,7 @@ from netquill.functions import scalars as S
 from netquill.operators import aggregate as A
 from netquill.operators import extras as X
 from netquill.operators import rules as R
-from netquill.plans.catalog import query
+from netquill.plans.catalog import SQL, query
 from netquill.plans.standins import ctes, frame
 
 VB, OB, OCB, MB = ctes("V"), ctes("O"), ctes("O", "C"), ctes("M")
@@ -208,7 +208,14 @@ x AS (SELECT st.*, coalesce(outcome, 'unknown') AS outcome FROM st LEFT JOIN r U
 g AS (SELECT probe_cc, ts, layer, outcome, sum(n) AS no, arg_max(rule_id, struct_pack(a := n, b := rule_id)) AS rule_id FROM x GROUP BY ALL)
 SELECT probe_cc, ts, layer, arg_max(outcome, struct_pack(a := no, b := outcome)) AS outcome, arg_max(rule_id, struct_pack(a := no, b := outcome)) AS rule_id, CAST(max(no) AS DOUBLE) / sum(no) AS share FROM g GROUP BY ALL""")
 def cell_verdict(spark, d):
-    return X.cell_verdict(X.cell_state(frame(spark, d, "V"), ["probe_cc"]), R.rule_table(spark), ["probe_cc"])
+    return X.cell_verdict(X.cell_state(frame(spark, d, "V"), ["probe_cc"]), R.rule_table(spark), ["probe_cc"]).drop("total")
+
+
+@query("presentation_states", SQL["cell_verdict"].replace("SELECT probe_cc, ts, layer, arg_max(outcome,", "SELECT probe_cc, ts, layer, CASE WHEN total < 2 THEN 'insufficient' WHEN outcome = 'blocked' AND rule_id IN ('country_consistent_blockpage', 'bogon_not_in_ctrl') THEN 'blocked' WHEN outcome = 'blocked' THEN 'likely_blocked' WHEN rule_id = 'dns_system_failure_no_ctrl' THEN 'impaired' WHEN outcome IN ('down', 'ok') THEN outcome ELSE 'insufficient' END AS state FROM (SELECT probe_cc, ts, layer, sum(no) AS total, arg_max(outcome,") + ")")
+def presentation_states(spark, d):
+    """What to show of each hour and layer, by the kind of evidence."""
+    cells = X.cell_verdict(X.cell_state(frame(spark, d, "V"), ["probe_cc"]), R.rule_table(spark), ["probe_cc"])
+    return X.presentation(cells, least=2).select("probe_cc", "ts", "layer", "state")
 
 
 @query("profile", f"""{VB} SELECT probe_cc, domain, max(dns_blocked) AS max_score, count(*) FILTER (WHERE dns_blocked > 0.5) AS n_over, count(*) AS n,

@@ -140,9 +140,10 @@ def cp_events(spark, d):
 @query("watchlist_semi", f"""{MB} SELECT event_id, domain FROM m WHERE domain IN (SELECT 'd' || n_nationkey || '.example' FROM nation WHERE n_regionkey = 1 UNION SELECT 'd0.example')""")
 def watchlist_semi(spark, d):
     """Rows of watched domains: those of one category and one named."""
-    watched = frame(spark, d, "nation").filter("n_regionkey = 1").select(F.concat(F.lit("d"), F.col("n_nationkey").cast("string"), F.lit(".example")).alias("domain"))
-    watched = watched.unionByName(spark.sql("SELECT 'd0.example' AS domain"))
-    return frame(spark, d, "M").join(watched, "domain", "left_semi").select("event_id", "domain")
+    lists = frame(spark, d, "nation").select(
+        F.concat(F.lit("d"), F.col("n_nationkey").cast("string"), F.lit(".example")).alias("domain"), F.lit("ZZ").alias("cc"), F.when(F.col("n_regionkey") == 1, "GRP").alias("category_code")
+    )
+    return D.watched(frame(spark, d, "M"), D.watch_list(lists, more=("d0.example",))).select("event_id", "domain")
 
 
 _MIN = "date_trunc('minute', measurement_start_time)"
@@ -191,11 +192,7 @@ SELECT a.probe_asn, n_hours, n_isp, n_other, a.probe_asn IN (SELECT probe_asn FR
 def panel_summary(spark, d):
     """Hours of each network, how many have a value of each resolver kind, and whether it has a change."""
     s = series(spark, d)
-    changed = D.detect_changes(s, **OPTIONS)[0].select("probe_asn").distinct().withColumn("has_change", F.lit(True))
-    per = s.groupBy("probe_asn").agg(
-        F.count("*").alias("n_hours"), F.count("dns_isp_blocked").alias("n_isp"), F.count("dns_other_blocked").alias("n_other")
-    )
-    return per.join(changed, "probe_asn", "left").withColumn("has_change", F.coalesce("has_change", F.lit(False)))
+    return D.panel_summary(s, D.detect_changes(s, **OPTIONS)[0])
 
 
 #: the same under their second names

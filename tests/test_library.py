@@ -478,8 +478,11 @@ def test_extras(spark):
     ev = spark.createDataFrame([(["dns.x", "tcp.y", "dns.z"], None, 12)], "labels array<string>, ended timestamp, n_networks int")
     e = X.event_fields(ev).first()
     assert (e.ongoing, e.layers, e.size_band) == (True, ["dns", "tcp"], "national")
-    v = spark.createDataFrame([("blocked", 0.9, 10), ("blocked", 0.5, 10), ("ok", 1.0, 1), (None, None, 0)], "outcome string, share double, total int")
-    assert [r.state for r in X.presentation(v).collect()] == ["blocked", "unstable", "insufficient", "no_data"]
+    cells = [("blocked", "bogon_not_in_ctrl", 10), ("blocked", "failure_ctrl_ok", 10), ("unknown", "dns_system_failure_no_ctrl", 9), ("unknown", "none", 9), ("down", "bogon_in_ctrl", 3), ("ok", "connect_ok", 3), ("ok", "connect_ok", 2), (None, None, None)]
+    v = spark.createDataFrame(cells, "outcome string, rule_id string, total int")
+    assert [r.state for r in X.presentation(v).collect()] == ["blocked", "likely_blocked", "impaired", "insufficient", "down", "ok", "insufficient", "insufficient"]
+    now = datetime(2024, 3, 5, 17, 30)
+    assert S.time_window(now=now) == (datetime(2024, 2, 4), datetime(2024, 3, 5)) and S.time_window(DAY, now=now)[0] == DAY
     hashes = spark.createDataFrame([(1, 0, 0), (2, 1, 0), (3, 7, 1), (4, 1 << 20, 1 << 5)], "doc_id long, simhash_high long, simhash_low long")
     assert {(r.a, r.b) for r in T.near_by_simhash(hashes).collect()} == {(1, 2), (2, 3), (1, 4), (2, 4)}
 
