@@ -14,6 +14,7 @@ from netquill.operators import flatten as L
 from netquill.operators import observations as B
 from netquill.operators import quality as Q
 from netquill.plans.catalog import query
+from netquill.plans.q_detect import OPTIONS, WALK
 from netquill.plans.standins import ctes, frame
 
 VB, MB = ctes("V"), ctes("M")
@@ -242,8 +243,18 @@ def missing_signals(spark, d):
     return D.missing_signals(m.select("probe_asn").distinct(), seen, "probe_asn", tuple(f"s{k}" for k in range(5)))
 
 
-@query("warmed_state", f"""{VB}, s AS (SELECT probe_cc, probe_asn, domain, date_trunc('hour', measurement_start_time) AS ts FROM v WHERE measurement_start_time > TIMESTAMP '2024-01-20' - INTERVAL 30 DAY AND measurement_start_time < TIMESTAMP '2024-01-20' GROUP BY ALL),
-k AS (SELECT *, unnest(['dns_isp_blocked', 'dns_other_blocked', 'tcp_blocked', 'tls_blocked']) AS signal FROM s) SELECT probe_cc, probe_asn, domain, signal, max(ts) AS ts FROM k GROUP BY ALL""")
+# the walk of a warm-up: the state is found once and then kept, and no change is emitted
+_WARM = (
+    WALK.replace("FROM v GROUP BY ALL)", "FROM v WHERE measurement_start_time > TIMESTAMP '2024-01-20' - INTERVAL 30 DAY AND measurement_start_time < TIMESTAMP '2024-01-20' GROUP BY ALL)")
+    .replace("WHEN ep > 0.7 AND st <> 'blk' OR en > 0.7 AND st <> 'ok' THEN 0", "WHEN st = 'unk' AND (ep > 0.7 OR en > 0.7) THEN 0")
+    .replace("CASE WHEN st = 'ok' AND ep > 0.7 AND ch <> 1 THEN 1 WHEN st = 'blk' AND en > 0.7 AND ch <> -1 THEN -1 ELSE 0 END AS emitted", "0 AS emitted")
+)
+
+
+@query("warmed_state", f"""{_WARM}, k AS (SELECT probe_cc, probe_asn, domain, signal, max(ts) AS ts FROM points GROUP BY ALL),
+e AS (SELECT probe_cc, probe_asn, domain, signal, arg_max(st, i) AS st, arg_max(p, i) AS p, arg_max(n, i) AS n FROM walk GROUP BY ALL)
+SELECT k.probe_cc, k.probe_asn, k.domain, k.signal, k.ts, coalesce(st, 'unk') AS current_state, coalesce(p, 0) AS s_pos, coalesce(n, 0) AS s_neg, 0 AS last_change
+FROM k LEFT JOIN e ON k.probe_cc = e.probe_cc AND k.probe_asn = e.probe_asn AND k.domain = e.domain AND k.signal = e.signal""")
 def warmed_state(spark, d):
     """Which state a warm-up of thirty days before a start leaves."""
-    return D.warm_up(frame(spark, d, "V"), datetime(2024, 1, 20)).select(*D.KEY, "signal", "ts")
+    return D.warm_up(frame(spark, d, "V"), datetime(2024, 1, 20), **OPTIONS).select(*D.KEY, "signal", "ts", "current_state", "s_pos", "s_neg", "last_change")

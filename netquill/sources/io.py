@@ -104,6 +104,21 @@ def select_files(files: DataFrame, start=None, end=None, probe_cc: tuple = (), t
     return files.filter(F.col("cc").isNull() | F.col("cc").isin(*probe_cc)) if probe_cc else files
 
 
+def file_index(spark: SparkSession, path: str) -> DataFrame:
+    """(path, size, timestamp, cc, test_name, extension) of the raw files under a path or pattern, from their listing;
+    no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.col("length").alias("size"))
+    return file_meta(files)
+
+
+def read_selected(spark: SparkSession, path: str, start=None, end=None, probe_cc: tuple = (), tests: tuple = ()) -> DataFrame:
+    """Measurements of the files of [start, end) of the wanted tests and countries, and of no others. The chosen files are
+    packed into tasks by their bytes; rows of files whose name has no country are filtered by their own."""
+    chosen = [r.path for r in select_files(file_index(spark, path), start, end, probe_cc, tests).filter("extension = 'jsonl.gz'").select("path").collect()]
+    rows = read_jsonl(spark, sorted(chosen)) if chosen else spark.createDataFrame([], T._parse_datatype_string(MEASUREMENT))
+    return rows.filter(F.col("probe_cc").isin(*probe_cc)) if probe_cc else rows
+
+
 def bytes_per_day(files: DataFrame) -> DataFrame:
     return files.groupBy(F.to_date("timestamp").alias("day")).agg(F.sum("size").alias("bytes"), F.count("*").alias("files"))
 

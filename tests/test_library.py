@@ -682,3 +682,19 @@ def test_an_archive_is_read_as_a_stream(spark, tmp_path):
     assert seen == 80 and peak < 16 << 20
     rows = IO.read_post_archives(spark, f"{tmp_path}/*.tar.gz")
     assert rows.rdd.getNumPartitions() == 2 and rows.select("measurement_uid").distinct().count() == 83
+
+
+def test_only_chosen_files_are_read(spark, tmp_path):
+    named = ["20240101_05_IT_webconnectivity.n0.0", "20240101_05_DE_webconnectivity.n0.0", "20240101_06_IT_tor.n0.0", "20240102_07_webconnectivity.n0.0", "20240103_05_IT_webconnectivity.n0.0"]
+    for i, name in enumerate(named):
+        (tmp_path / f"raw/{i % 2}").mkdir(parents=True, exist_ok=True)
+        with gzip.open(tmp_path / f"raw/{i % 2}/{name}.jsonl.gz", "wt") as f:
+            for cc in ("IT", "DE"):
+                if f"_{'DE' if cc == 'IT' else 'IT'}_" not in name:
+                    f.write(json.dumps({"measurement_uid": f"{name} {cc}", "probe_cc": cc, "test_keys": {}}) + "\n")
+    index = IO.file_index(spark, f"{tmp_path}/raw").collect()
+    assert len(index) == 5 and all(r.size > 0 for r in index)
+    got = IO.read_selected(spark, f"{tmp_path}/raw", datetime(2024, 1, 1), datetime(2024, 1, 3), ("IT",), ("webconnectivity",))
+    assert sorted(r.measurement_uid for r in got.collect()) == [f"{named[0]} IT", f"{named[3]} IT"]
+    assert {r.f.rsplit("/", 1)[-1] for r in got.select(F.input_file_name().alias("f")).distinct().collect()} == {f"{named[k]}.jsonl.gz" for k in (0, 3)}
+    assert IO.read_selected(spark, f"{tmp_path}/raw", datetime(2030, 1, 1)).count() == 0
