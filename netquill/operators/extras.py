@@ -8,13 +8,18 @@ from pyspark.sql import functions as F
 LAYERS = ("dns", "tcp", "tls")
 
 
-def dense_hours(rows: DataFrame, keys: list[str], ts: str = "measurement_start_time") -> DataFrame:
-    """Rows counted by key and hour, empty hours with 0, from the first hour to the last."""
-    counted = rows.groupBy(*keys, F.date_trunc("hour", ts).alias("ts")).agg(F.count("*").alias("n"))
-    span = rows.agg(F.date_trunc("hour", F.min(ts)).alias("lo"), F.date_trunc("hour", F.max(ts)).alias("hi"))
-    hours = span.select(F.explode(F.expr("sequence(lo, hi, INTERVAL 1 HOUR)")).alias("ts"))
-    # one row an hour of the range, beside one row a key
-    grid = counted.select(*keys).distinct().join(F.broadcast(hours))
+def dense_hours(rows: DataFrame, keys: list[str], ts: str = "measurement_start_time", start=None, end=None) -> DataFrame:
+    """Rows counted by key and hour, empty hours with 0, over the hours of [start, end]: without bounds from the first
+    hour of all rows to the last, so a row of a stray date makes every key's hours many. Rows outside are not counted."""
+    hour = F.date_trunc("hour", ts)
+    for bound, keep in ((start, lambda v: F.col(ts) >= v), (end, lambda v: F.col(ts) <= v)):
+        if bound is not None:
+            rows = rows.filter(keep(F.lit(bound)))
+    counted = rows.groupBy(*keys, hour.alias("ts")).agg(F.count("*").alias("n"))
+    edge = lambda bound, found: found if bound is None else F.date_trunc("hour", F.lit(bound))
+    span = rows.agg(edge(start, F.min(hour)).alias("lo"), edge(end, F.max(hour)).alias("hi"))
+    # one row beside one row a key; hours are made in the row
+    grid = counted.select(*keys).distinct().join(F.broadcast(span)).select(*keys, F.explode(F.expr("sequence(lo, hi, INTERVAL 1 HOUR)")).alias("ts"))
     return grid.join(counted, [*keys, "ts"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 

@@ -698,3 +698,10 @@ def test_only_chosen_files_are_read(spark, tmp_path):
     assert sorted(r.measurement_uid for r in got.collect()) == [f"{named[0]} IT", f"{named[3]} IT"]
     assert {r.f.rsplit("/", 1)[-1] for r in got.select(F.input_file_name().alias("f")).distinct().collect()} == {f"{named[k]}.jsonl.gz" for k in (0, 3)}
     assert IO.read_selected(spark, f"{tmp_path}/raw", datetime(2030, 1, 1)).count() == 0
+
+
+def test_dense_hours_between_bounds(spark):
+    rows = [("a", DAY), ("a", DAY + timedelta(hours=3)), ("b", datetime(1970, 1, 1)), ("b", DAY + timedelta(minutes=5))]
+    df = spark.createDataFrame(rows, "k string, measurement_start_time timestamp")
+    got = X.dense_hours(df, ["k"], start=DAY, end=DAY + timedelta(hours=4)).collect()
+    assert sorted((r.k, (r.ts - DAY).seconds // 3600, r.n) for r in got) == [(k, h, int(h in on)) for k, on in (("a", (0, 3)), ("b", (0,))) for h in range(5)]
