@@ -40,11 +40,6 @@ def complete(msmts: DataFrame) -> DataFrame:
     return msmts.withColumns(missing | {"test_keys": F.when(F.col("test_keys").isNotNull(), keys)})
 
 
-def counted(msmts: DataFrame, name: str = "flatten") -> DataFrame:
-    """The same rows, with counters of rows and of unreadable records kept on the side."""
-    return msmts.observe(name, F.count("*").alias("rows"), F.count_if(F.col("test_keys").isNull()).alias("without_test_keys"))
-
-
 def start_time(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss"))
 
