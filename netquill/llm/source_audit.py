@@ -10,8 +10,9 @@ beyond ASCII, with A-Z in lower case), and by which terms.
    p = 1 + floor(10**9 * (n + 5) / (N + 5 * V)), where N counts the kept terms of the group and V is the
    number of kept terms; also for the language as a whole (q).
 3. Columnar shards of kept terms hold the shares of all terms of a shard for a tile of sources as a matrix and
-   sum |p - p'| for each pair of its rows. What a term gives that neither source of a pair holds is the same for
-   every such term, so it is added once a pair and sources meet only where a term occurs.
+   sum |p - p'| for each pair of its rows. Every source has a row in every shard, also where it holds none of its
+   terms. What a term gives that neither source of a pair holds is the same for every such term, so it is added
+   once a pair.
 4. Part ``pair`` ranks the other sources of the language by that sum, part ``term`` the terms that a source holds
    more often than the language by p - q, to rank ``top``.
 
@@ -136,8 +137,8 @@ def _share(n: Column, total: str, kept: str = "v") -> Column:
 
 
 def _tile(rows: pa.Table) -> pa.Table:
-    """(lang, a, b, value) for the pairs of sources that meet in a tile, a before b: the sum of |p - p'| over the
-    tile's terms less what it were if neither held any."""
+    """(lang, a, b, value) for the pairs of sources of a tile, a before b: the sum of |p - p'| over the tile's terms
+    less what it were if neither held any, where that is not 0. A row without a term says that a source is there."""
     sources, terms = rows["source"].combine_chunks().dictionary_encode(), rows["term"].combine_chunks().dictionary_encode()
     order = np.argsort(np.array(sources.dictionary.to_pylist(), object))
     at = np.argsort(order)[sources.indices.to_numpy()]
@@ -148,7 +149,8 @@ def _tile(rows: pa.Table) -> pa.Table:
     bare[at] = shares(np.zeros(len(n), np.int64), total, kept)
     block[at] = column("block")
     matrix = np.repeat(bare[:, None], width, axis=1)
-    matrix[at, terms.indices.to_numpy()] = shares(n, total, kept)
+    holds = terms.indices.is_valid().to_numpy(zero_copy_only=False)
+    matrix[at[holds], terms.indices.drop_null().to_numpy()] = shares(n, total, kept)[holds]
     one_block = (block == block[0]).all() and rows["first"][0].as_py() == rows["second"][0].as_py()
     a, b, value = [], [], []
     for i in range(size - 1):
@@ -160,6 +162,7 @@ def _tile(rows: pa.Table) -> pa.Table:
         value.append(np.abs(matrix[others] - matrix[i]).sum(axis=1) - width * np.abs(bare[others] - bare[i]))
     names = pa.array(sources.dictionary.to_pylist(), pa.string()).take(pa.array(order))
     a, b, value = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b, value))
+    a, b, value = (x[value != 0] for x in (a, b, value))
     lang = pa.array([rows["lang"][0].as_py()] * len(a), pa.string())
     return pa.table({"lang": lang, "a": names.take(pa.array(a)), "b": names.take(pa.array(b)), "value": pa.array(value)})
 
@@ -188,10 +191,14 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, tile: int =
     )
     cells = written(cells.join(sized, ["lang", "source"]).select(*_KEYS, "n", "in_lang", "total", "v", "lang_total", "sources"), "audit_cells")
 
-    blocks = F.ceil(F.col("sources") / tile)
-    placed = cells.select(
-        *_KEYS, "n", "total", "v",
-        F.pmod(F.xxhash64("term"), F.ceil(F.col("v") / shard)).alias("shard"),
+    blocks, shards = F.ceil(F.col("sources") / tile), F.ceil(F.col("v") / shard)
+    named = cells.select(*_KEYS, "n", "total", "v", "sources", F.pmod(F.xxhash64("term"), shards).alias("shard"))
+    there = sized.filter("v > 0").select(
+        "lang", "source", F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("n"), "total", "v", "sources",
+        F.explode(F.sequence(F.lit(0).cast("long"), shards - 1)).alias("shard"),
+    )
+    placed = named.unionByName(there).select(
+        *_KEYS, "n", "total", "v", "shard",
         F.pmod(F.xxhash64("source"), blocks).alias("block"),
         F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"),
     )

@@ -227,6 +227,23 @@ def test_clusters_of_wide_values(spark):
         clustering.cluster(spark.createDataFrame([(1, [1e12] * 4), (2, [-1e12] * 4)], VECTORS), dim=4)
 
 
+# --- operator 12
+
+
+def test_audit_of_sources_that_hold_few_terms(spark):
+    """Sources without terms, with terms in one shard alone and of several tiles, against the SQL."""
+    rows = [("en", f"s{i % 3}", " ".join(chr(97 + (i + k) % 26) * 2 for k in range(9))) for i in range(200)]
+    rows += [("en", "few", "aa aa"), ("en", "bare", "12 34"), ("en", None, None), ("fr", "x", "un"), ("fr", "y", None)]
+    docs = spark.createDataFrame(rows, "lang string, source string, text string")
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    want = sorted(con.execute(source_audit.ORACLE_SQL).fetchall())
+    assert {r[1] for r in want} == {"s0", "s1", "s2", "few", "bare", "", "x", "y"}
+    for kind in ({}, {"shard": 3}, {"shard": 4, "tile": 2}):
+        got = source_audit.audit(docs, **kind).select("lang", "source", "part", "item", "value", "rank")
+        assert sorted(map(tuple, got.collect())) == want, kind
+
+
 # --- whole queries
 
 
