@@ -93,17 +93,17 @@ def web_observations(spark, d):
     return out.select("measurement_uid", "ip", "port", "hostname", "dns_answer", "tcp_ip", "tcp_failure", "tls_failure", "tls_handshake_last_operation", "http_status_code", "transaction_id", "observation_idx")
 
 
-@query("web_observations_platform", f"""{LINES} SELECT measurement_uid, 'h' || (l_partkey % 40) || '.example' AS hostname, count(*) AS n, CASE WHEN l_orderkey % 2 = 0 THEN NULL ELSE 't' || (l_orderkey % 3) END AS target_id FROM l GROUP BY ALL""")
+@query("web_observations_platform", f"""{LINES} SELECT measurement_uid, 'h' || (l_partkey % 40) || '.example' AS hostname, pos + 1 AS observation_idx, CASE WHEN l_orderkey % 2 = 0 THEN NULL ELSE 't' || (l_orderkey % 3) END AS target_id FROM l""")
 def web_observations_platform(spark, d):
-    """The same handshakes as those of a messaging test, whose hosts are no named ones, and of a map of targets."""
+    """The same connections as those of a messaging test, whose hosts are no named ones, and of a map of targets."""
     m = measurements(spark, d)
     even = F.col("measurement_uid").cast("long") % 2 == 0
     chat = B.observations(m.filter(even).withColumn("test_name", F.lit("telegram")), ("telegram",))
-    lookups = F.create_map(F.concat(F.lit("t"), (F.col("measurement_uid").cast("long") % 3).cast("string")), F.struct("test_keys.tcp_connect", "test_keys.tls_handshakes"))
+    lookups = F.create_map(F.concat(F.lit("t"), (F.col("measurement_uid").cast("long") % 3).cast("string")), F.struct(*[f"test_keys.{n}" for n in B.ALL]))
     keyed = m.filter(~even).withColumns({"test_name": F.lit("tor"), "test_keys": F.struct(lookups.alias("targets"))})
     tor = B.observations(keyed, ("tor",))
-    part = lambda df: df.select("measurement_uid", "hostname", "target_id")
-    return part(chat).unionByName(part(tor)).groupBy("measurement_uid", "hostname", "target_id").agg(F.count("*").alias("n"))
+    part = lambda df: df.select("measurement_uid", "hostname", "observation_idx", "target_id")
+    return part(chat).unionByName(part(tor))
 
 
 @query("hint_hosts", """SELECT CAST(l_orderkey AS VARCHAR) AS measurement_uid, 'a' || (l_suppkey % 9) AS ip, CASE WHEN l_linenumber % 2 = 0 THEN 'own' ELSE h.hint END AS hostname FROM lineitem LEFT JOIN

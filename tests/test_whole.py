@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from netquill.operators import aggregate as A
 from netquill.operators import detect as D
+from netquill.operators import text as X
 from netquill.operators import verdicts as V
 from netquill.plans import q_flatten, registry
 from netquill.plans.standins import frame
@@ -127,3 +128,43 @@ def test_failures_of_chosen_countries(spark):
         ("None", "C1", 1), ("dns_a", "C1", 1), ("none", "C1", 1), ("tcp_b", "C1", 1), ("tls_c_after_CH", "C1", 1),
     ]
     assert A.failure_aggregation(o, ("probe_cc",)).count() == 2
+
+
+def nodes(plan):
+    yield plan
+    for i in range(plan.children().size()):
+        yield from nodes(plan.children().apply(i))
+
+
+def test_lists_of_a_host_are_not_dealt_with_the_rows(spark):
+    d = "/root/testdata/sf0.001"
+    o, c = (V.with_day(frame(spark, d, n), "month") for n in "OC")
+    plan = V.with_flags(o, V.address_evidence(c, o), V.host_evidence(c))._jdf.queryExecution().optimizedPlan()
+    dealt = [n for n in nodes(plan) if n.nodeName() == "RepartitionByExpression"]
+    assert dealt and not [x for n in dealt for x in n.output().mkString(",").split(",") if x.startswith("_asns")]
+
+
+def test_control_maps_are_made_once(spark):
+    plan = registry.queries()["ctrl_maps"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    assert sum(n.nodeName() == "LogicalRelation" or "Relation" in n.nodeName() for n in nodes(plan)) <= 4
+
+
+def test_simhash_deals_no_shingles(spark):
+    """Texts of one key vote together; characters beyond the first plane are one each; short texts have no row."""
+    from hashlib import md5
+
+    rows = [(1, "abcdabcdx"), (1, "zzzzz"), (2, "a\U0001F600b\U0001F600c"), (3, "abc"), (4, None), (None, "wxyz")]
+    out = X.simhash(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = {}
+    for k in (1, 2, None):
+        bits = [int(md5(t[i : i + 4].encode()).hexdigest()[16:], 16) for d, t in rows if d == k and t for i in range(len(t) - 3)]
+        full = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in bits) > len(bits))
+        want[k] = (full >> 32, full & 0xFFFFFFFF)
+    assert {r.doc_id: (r.simhash_high, r.simhash_low) for r in out.collect()} == want
+    assert not [n for n in nodes(out._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Generate"]
+
+
+def test_platform_query_keeps_a_row_a_connection(spark):
+    d = "/root/testdata/sf0.001"
+    got = registry.queries()["web_observations_platform"](spark, d)
+    assert "observation_idx" in got.columns and got.count() == frame(spark, d, "lineitem").count()
