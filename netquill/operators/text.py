@@ -2,30 +2,51 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from hashlib import md5
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BITS = 64
 
 
+def shingle_votes(text: str, width: int, bits: Callable[[str], int]) -> np.ndarray | None:
+    """For each of the 64 bits, the highest first, how many of the text's shingles set it less those that do not; None
+    for a text without shingles."""
+    counts = Counter(text[i : i + width] for i in range(len(text) - width + 1))
+    if not counts:
+        return None
+    hashes = np.fromiter(map(bits, counts), ">u8", len(counts))
+    n = np.fromiter(counts.values(), np.int64, len(counts))
+    return 2 * (n @ np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)) - n.sum()
+
+
 def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4) -> DataFrame:
     """64-bit SimHash of each text over its ``width``-character shingles with counts: a bit is set where
-    the shingles that set it outweigh the others. A shingle's bits are the last 64 of its MD5."""
-    # characters once, so that a shingle does not cost a walk from the start of the text
-    chars = docs.select(key, F.split(text, "").alias("c")).filter(F.size("c") >= width)
-    parts = [F.col("c") if k == 0 else F.slice("c", F.lit(k + 1), F.size("c") - k) for k in range(width)]
-    joined = parts[0]
-    for p in parts[1:]:
-        joined = F.zip_with(joined, p, lambda x, y: F.concat(x, y))
-    shingles = chars.select(key, F.explode(F.filter(joined, lambda s: s.isNotNull())).alias("s"))
-    counted = shingles.groupBy(key, "s").agg(F.count("*").alias("n"))
-    high = F.conv(F.substring(F.md5("s"), 17, 8), 16, 10).cast("bigint")
-    low = F.conv(F.substring(F.md5("s"), 25, 8), 16, 10).cast("bigint")
-    hashed = counted.select(key, "n", high.alias("hi"), low.alias("lo"))
-    vote = lambda half, b: F.sum(F.when(F.shiftright(half, b).bitwiseAND(F.lit(1)) == 1, F.col("n")).otherwise(-F.col("n")))
-    votes = hashed.groupBy(key).agg(*[vote("hi", b).alias(f"h{b}") for b in range(32)], *[vote("lo", b).alias(f"l{b}") for b in range(32)])
-    pack = lambda p: sum((F.when(F.col(f"{p}{b}") > 0, F.lit(1 << b)).otherwise(F.lit(0)).cast("bigint") for b in range(1, 32)), F.when(F.col(f"{p}0") > 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
-    return votes.select(key, pack("h").alias("simhash_high"), pack("l").alias("simhash_low"))
+    the shingles that set it outweigh the others. A shingle's bits are the last 64 of its MD5. Shingles stay inside
+    their text: what is dealt is 64 sums a text, for texts that share a key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = lru_cache(1 << 18)(lambda s: int.from_bytes(md5(s.encode()).digest()[8:], "big"))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                votes = [shingle_votes(t.as_py() or "", width, bits) for t in part.column(1)]
+                some = pa.array([v is not None for v in votes])
+                sums = [pa.array([v[i] for v in votes if v is not None], pa.int64()) for i in range(BITS)]
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(some), *sums], [key, *names])
+
+    names = [f"v{i}" for i in range(BITS)]
+    kind = T.StructType([docs.schema[key], *[T.StructField(n, T.LongType()) for n in names]])
+    votes = docs.select(key, text).mapInArrow(run, kind).groupBy(key).agg(*[F.sum(n).alias(n) for n in names])
+    pack = lambda part: sum((F.when(F.col(n) > 0, F.lit(1 << 31 - i)).otherwise(F.lit(0)).cast("bigint") for i, n in enumerate(part)), F.lit(0).cast("bigint"))
+    return votes.select(key, pack(names[:32]).alias("simhash_high"), pack(names[32:]).alias("simhash_low"))
 
 
 def near_by_simhash(hashes: DataFrame, key: str = "doc_id", distance: int = 3) -> DataFrame:
