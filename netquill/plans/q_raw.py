@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from netquill.functions import scalars as S
 from netquill.operators import detect as D
@@ -25,6 +26,17 @@ _NAME = "concat('h', x.p % 40, '.example')"
 _ADDRESS = "concat('93.184.', x.p % 200, '.7')"
 
 
+def filled(c, have, want):
+    """``c`` of type ``have`` as one of type ``want``, by the names of fields; those that are not there are NULL."""
+    if isinstance(want, T.ArrayType) and isinstance(want.elementType, T.StructType):
+        return F.transform(c, lambda x: filled(x, have.elementType, want.elementType))
+    if isinstance(want, T.StructType):
+        own = {f.name: f.dataType for f in have.fields}
+        part = lambda f: filled(c[f.name], own[f.name], f.dataType) if f.name in own else F.lit(None).cast(f.dataType)
+        return F.when(c.isNotNull(), F.struct(*[part(f).alias(f.name) for f in want.fields]))
+    return c.cast(want)
+
+
 def measurements(spark, d):
     """A measurement an order; each line is a query, a connection, a handshake with two events, and a request."""
     flat = F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"))
@@ -44,9 +56,10 @@ def measurements(spark, d):
     }
     made = {n: F.expr(f"transform(lines, (x, i) -> {text})") for n, text in arrays.items()}
     made["network_events"] = F.flatten(made["network_events"])
-    # as a line of JSON, the way measurements come
-    schema = "client_resolver string, " + ", ".join(f"{n} array<{kind}>" for n, kind in B.ARRAYS.items())
-    keys = F.from_json(F.to_json(F.struct(*[c.alias(n) for n, c in made.items()])), schema)
+    # as reading gives them, with every field of a measurement; lines of JSON themselves are read by the raw queries
+    have = rows.select(*[c.alias(n) for n, c in made.items()]).schema
+    full = {n: filled(c, have[n].dataType, T._parse_datatype_string(f"array<{B.ARRAYS[n]}>")) for n, c in made.items()}
+    keys = F.struct(F.lit(None).cast("string").alias("client_resolver"), *[full[n].alias(n) for n in B.ARRAYS])
     return rows.select(F.col("l_orderkey").cast("string").alias("measurement_uid"), F.lit("2024-01-01 00:00:00").alias("measurement_start_time"), F.lit("web_connectivity").alias("test_name"), keys.alias("test_keys"))
 
 

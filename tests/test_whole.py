@@ -168,3 +168,9 @@ def test_platform_query_keeps_a_row_a_connection(spark):
     d = "/root/testdata/sf0.001"
     got = registry.queries()["web_observations_platform"](spark, d)
     assert "observation_idx" in got.columns and got.count() == frame(spark, d, "lineitem").count()
+
+
+def test_connections_are_made_without_the_other_sides(spark):
+    plan = plan_of(registry.queries()["tcp_explode"](spark, "/root/testdata/sf0.001"))
+    assert "tcp_connect" in plan or "refused" in plan
+    assert not [x for x in ("to_json", "from_json", "TLSv1.3", "GET") if x in plan]
