@@ -137,7 +137,7 @@ def raw_observations(spark, d):
 @query("raw_control", f"{RAW} SELECT measurement_uid, hostname, ip, ip_asn, dns_failure, dns_success, tcp_success, tcp_failure, tls_success, tls_failure FROM c")
 def raw_control(spark, d):
     """What the control saw, with networks as of the day."""
-    _, control = inputs(spark, d)
+    control = B.raw_control_rows(raw_measurements(spark, d), *networks(spark, d)[:2])
     return control.select("measurement_uid", "hostname", "ip", "ip_asn", "dns_failure", "dns_success", "tcp_success", "tcp_failure", "tls_success", "tls_failure")
 
 

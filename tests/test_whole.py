@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from netquill.operators import aggregate as A
 from netquill.operators import detect as D
+from netquill.operators import observations as B
 from netquill.operators import text as X
 from netquill.operators import verdicts as V
 from netquill.plans import q_flatten, registry
@@ -174,3 +175,8 @@ def test_connections_are_made_without_the_other_sides(spark):
     plan = plan_of(registry.queries()["tcp_explode"](spark, "/root/testdata/sf0.001"))
     assert "tcp_connect" in plan or "refused" in plan
     assert not [x for x in ("to_json", "from_json", "TLSv1.3", "GET") if x in plan]
+
+
+def test_control_is_read_without_observations(spark, monkeypatch):
+    monkeypatch.setattr(B, "observations", None)
+    assert registry.queries()["raw_control"](spark, "/root/testdata/sf0.001").count() > 0
