@@ -224,8 +224,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int,
 
 def _pairs_with_centres(rows: DataFrame, centres: int) -> DataFrame:
     """Pairs of each member of a bucket with its centres: the members that come first in ``centres``
-    random orders."""
-    order = lambda k: F.xxhash64(F.lit(k), "rid", "band")
+    random orders. The orders are the same in all bands, so that members which share many buckets meet the
+    same few centres again, and not others in each band."""
+    order = lambda k: F.xxhash64(F.lit(k), "rid")
     chosen = written(
         rows.groupBy("band", "key")
         .agg(*[F.min_by("rid", order(k)).alias(f"c{k}") for k in range(centres)])

@@ -309,3 +309,17 @@ def test_anchors_do_not_depend_on_the_batch():
     for row in (1, 2):
         own = beside["row"] == row
         assert all((beside[c][own] == alone[c]).all() for c in ("gh", "c1", "c2", "pos", "left", "len"))
+
+
+# --- operator 5
+
+
+def test_centres_are_the_same_in_every_band(spark):
+    """Members that share all 32 buckets meet three centres, not three in each band."""
+    from netquill.llm.minhash_dedup import _pairs_with_centres
+
+    rows = spark.range(400).selectExpr("id AS rid", "explode(sequence(0, 31)) AS band", "7L AS key")
+    pairs = _pairs_with_centres(rows.withColumn("band", F.col("band").cast("int")), 3).distinct()
+    assert pairs.count() <= 3 * 400
+    met = {r.a for r in pairs.collect()} | {r.b for r in pairs.collect()}
+    assert len(met) == 400
