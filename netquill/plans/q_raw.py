@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from netquill import schemas
 from netquill.functions import scalars as S
 from netquill.operators import detect as D
 from netquill.operators import enrich as E
@@ -26,15 +27,11 @@ _NAME = "concat('h', x.p % 40, '.example')"
 _ADDRESS = "concat('93.184.', x.p % 200, '.7')"
 
 
-def filled(c, have, want):
-    """``c`` of type ``have`` as one of type ``want``, by the names of fields; those that are not there are NULL."""
-    if isinstance(want, T.ArrayType) and isinstance(want.elementType, T.StructType):
-        return F.transform(c, lambda x: filled(x, have.elementType, want.elementType))
-    if isinstance(want, T.StructType):
-        own = {f.name: f.dataType for f in have.fields}
-        part = lambda f: filled(c[f.name], own[f.name], f.dataType) if f.name in own else F.lit(None).cast(f.dataType)
-        return F.when(c.isNotNull(), F.struct(*[part(f).alias(f.name) for f in want.fields]))
-    return c.cast(want)
+def whole(kind: str, **own: str) -> str:
+    """``named_struct`` of every field of ``kind``, in SQL: the given ones, and NULL for the others."""
+    return "named_struct(" + ", ".join(
+        f"'{f.name}', CAST({own.get(f.name, 'NULL')} AS {f.dataType.simpleString()})" for f in T._parse_datatype_string(kind).fields
+    ) + ")"
 
 
 def measurements(spark, d):
@@ -42,24 +39,35 @@ def measurements(spark, d):
     flat = F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"))
     rows = frame(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(flat)).alias("lines"))
     url = lambda x: f"concat('https://h', {x}.p % 40, '.example/', {x}.n)"
+    inner = lambda kind, name: T._parse_datatype_string(kind)[name].dataType
+    a_query, a_request = schemas._QUERY, schemas._REQUEST
+    own = dict(transaction_id="i + 1L")
+    answer = whole(inner(a_query, "answers").elementType.simpleString(), ipv4=_ADDRESS)
+    request = whole(inner(a_request, "request").simpleString(), url=url("x"), method="'GET'", headers_list="array(array('Accept', '*/*'))")
+    response = whole(
+        inner(a_request, "response").simpleString(), code="200", body="CASE WHEN x.s % 3 <> 0 THEN concat('body', x.p) END",
+        headers_list=f"array(array('LOCATION', CASE WHEN i % 2 = 1 THEN {url('lines[i - 1]')} END))",
+    )
     arrays = {
-        "queries": f"named_struct('hostname', {_NAME}, 'query_type', 'A', 'engine', 'system', 'transaction_id', i + 1L, 't', 0D, 'answers', array(named_struct('ipv4', {_ADDRESS})))",
-        "tcp_connect": f"""named_struct('ip', CASE x.p % 5 WHEN 0 THEN '[scrubbed]' WHEN 1 THEN 'oops' ELSE {_ADDRESS} END, 'port', 443,
-          'status', named_struct('success', x.s % 2 = 0, 'failure', CASE WHEN x.s % 2 = 1 THEN 'unknown_failure: read: connection refused' END), 'transaction_id', i + 1L, 't', CAST(x.n AS DOUBLE))""",
-        "tls_handshakes": f"""named_struct('address', concat({_ADDRESS}, ':443'), 'server_name', {_NAME}, 'tls_version', 'TLSv1.3', 'failure', CASE x.s % 4 WHEN 0 THEN 'ssl_unknown_authority' WHEN 1 THEN 'connection_reset' END,
-          'no_tls_verify', x.s % 3 = 0, 'peer_certificates', transform(sequence(0, x.n % 3), k -> named_struct('format', 'base64', 'data', base64(CAST(concat('c', x.p, k) AS BINARY)))), 'transaction_id', i + 1L, 't', CAST(x.n AS DOUBLE))""",
-        "network_events": """array(named_struct('operation', 'write', 'num_bytes', CAST(x.n AS BIGINT), 'transaction_id', i + 1L, 't', CAST(x.n AS DOUBLE)),
-          named_struct('operation', 'read', 'num_bytes', CAST(x.p % 10 AS BIGINT), 'transaction_id', i + 1L, 't', x.n + 0.5D))""",
-        "requests": f"""named_struct('network', CASE WHEN x.n % 2 = 0 THEN 'quic' ELSE 'tcp' END, 'address', concat({_ADDRESS}, ':443'), 'transaction_id', i + 1L, 't', x.n + 1D, 't0', CAST(x.n AS DOUBLE),
-          'request', named_struct('url', {url('x')}, 'method', 'GET', 'headers_list', array(array('Accept', '*/*'))),
-          'response', CASE WHEN x.s % 7 <> 0 THEN named_struct('code', 200, 'body', CASE WHEN x.s % 3 <> 0 THEN concat('body', x.p) END, 'headers_list', array(array('LOCATION', CASE WHEN i % 2 = 1 THEN {url('lines[i - 1]')} END))) END)""",
-    }
+        "queries": whole(a_query, hostname=_NAME, query_type="'A'", engine="'system'", t="0D", answers=f"array({answer})", **own),
+        "tcp_connect": whole(
+            schemas._TCP, ip=f"CASE x.p % 5 WHEN 0 THEN '[scrubbed]' WHEN 1 THEN 'oops' ELSE {_ADDRESS} END", port="443", t="CAST(x.n AS DOUBLE)",
+            status="named_struct('success', x.s % 2 = 0, 'failure', CASE WHEN x.s % 2 = 1 THEN 'unknown_failure: read: connection refused' END)", **own,
+        ),
+        "tls_handshakes": whole(
+            schemas._TLS, address=f"concat({_ADDRESS}, ':443')", server_name=_NAME, tls_version="'TLSv1.3'", failure="CASE x.s % 4 WHEN 0 THEN 'ssl_unknown_authority' WHEN 1 THEN 'connection_reset' END",
+            no_tls_verify="x.s % 3 = 0", peer_certificates="transform(sequence(0, x.n % 3), k -> named_struct('format', 'base64', 'data', base64(CAST(concat('c', x.p, k) AS BINARY))))", t="CAST(x.n AS DOUBLE)", **own,
+        ),
+        "network_events": f"""array({whole(schemas._EVENT, operation="'write'", num_bytes="x.n", t="x.n", **own)}, {whole(schemas._EVENT, operation="'read'", num_bytes="x.p % 10", t="x.n + 0.5D", **own)})""",
+        "requests": whole(
+            a_request, network="CASE WHEN x.n % 2 = 0 THEN 'quic' ELSE 'tcp' END", address=f"concat({_ADDRESS}, ':443')", t="x.n + 1D", t0="x.n", request=request,
+            response=f"CASE WHEN x.s % 7 <> 0 THEN {response} END", **own,
+        ),
+    }
     made = {n: F.expr(f"transform(lines, (x, i) -> {text})") for n, text in arrays.items()}
     made["network_events"] = F.flatten(made["network_events"])
     # as reading gives them, with every field of a measurement; lines of JSON themselves are read by the raw queries
-    have = rows.select(*[c.alias(n) for n, c in made.items()]).schema
-    full = {n: filled(c, have[n].dataType, T._parse_datatype_string(f"array<{B.ARRAYS[n]}>")) for n, c in made.items()}
-    keys = F.struct(F.lit(None).cast("string").alias("client_resolver"), *[full[n].alias(n) for n in B.ARRAYS])
+    keys = F.struct(F.lit(None).cast("string").alias("client_resolver"), *[made[n].alias(n) for n in B.ARRAYS])
     return rows.select(F.col("l_orderkey").cast("string").alias("measurement_uid"), F.lit("2024-01-01 00:00:00").alias("measurement_start_time"), F.lit("web_connectivity").alias("test_name"), keys.alias("test_keys"))
 
 

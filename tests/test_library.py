@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from netquill import schemas
 from netquill.functions import scalars as S
 from netquill.operators import aggregate as A
 from netquill.operators import detect as D
@@ -705,3 +706,18 @@ def test_dense_hours_between_bounds(spark):
     df = spark.createDataFrame(rows, "k string, measurement_start_time timestamp")
     got = X.dense_hours(df, ["k"], start=DAY, end=DAY + timedelta(hours=4)).collect()
     assert sorted((r.k, (r.ts - DAY).seconds // 3600, r.n) for r in got) == [(k, h, int(h in on)) for k, on in (("a", (0, 3)), ("b", (0,))) for h in range(5)]
+
+
+def test_observations_make_only_what_is_read(spark):
+    """Columns of handshakes are made of rows, so a digest that nobody reads is not made; and no array is cast to
+    the type it has."""
+    from netquill.plans.q_raw import measurements, web_observations
+
+    d = "/root/testdata/sf0.001"
+    plan = web_observations(spark, d)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2(" not in plan
+    import re
+
+    assert not re.search(r"cast\(\w+\([^)]*\) as array<struct", plan) and " as array<struct<hostname" not in plan
+    kinds = measurements(spark, d).schema["test_keys"].dataType
+    assert kinds["queries"].dataType.simpleString() == "array<" + schemas._QUERY + ">"
