@@ -311,6 +311,20 @@ def test_anchors_do_not_depend_on_the_batch():
         assert all((beside[c][own] == alone[c]).all() for c in ("gh", "c1", "c2", "pos", "left", "len"))
 
 
+def test_planted_passages_are_read_by_what_is_removed(spark, tmp_path):
+    """Passages of over 50 words in two documents each go from 400 bytes on; n_bytes is the size before removal."""
+    rng = np.random.default_rng(6)
+    prose = lambda n: " ".join(bytes(rng.integers(97, 123, 6, np.uint8)).decode() for _ in range(n))
+    passages = [prose(120), prose(70), prose(60)[:400], prose(60)[:399], prose(52)]
+    assert all(len(p.split()) > 50 for p in passages)
+    rows = [(2 * i + k, prose(90) + edge[0] + p + edge[1] + prose(60)) for i, p in enumerate(passages) for k, edge in enumerate(("[]", "<>"))]
+    rows += [(100 + i, prose(13 * i)) for i in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = suffix_dedup.op6_suffix_array_dedup(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.n_bytes for r in got} == {i: len(t) for i, t in rows}
+    assert {r.doc_id: r.n_removed for r in got if r.n_removed} == {2 * i + k: len(passages[i]) for i in range(3) for k in (0, 1)}
+
+
 # --- operator 5
 
 
