@@ -84,10 +84,6 @@ def networks(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFra
     return ranges, prefixes, names
 
 
-def inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return B.raw_verdict_inputs(raw_measurements(spark, d), *networks(spark, d))
-
-
 _MORE = "CASE WHEN measurement_start_time >= TIMESTAMP '1996-01-01' THEN 1000 ELSE 0 END"
 
 
@@ -130,7 +126,7 @@ _OBS = ["measurement_uid", "observation_idx", "report_id", "hostname", "ip", "ip
   CASE WHEN probe_asn < 108 THEN 'org' || probe_asn || CASE WHEN measurement_start_time >= TIMESTAMP '1996-01-01' THEN '6' ELSE '3' END ELSE '' END AS probe_as_org_name FROM o""")
 def raw_observations(spark, d):
     """Every connection of every line of JSON, with networks as of the day."""
-    own, _ = inputs(spark, d)
+    own = B.raw_observation_rows(raw_measurements(spark, d), *networks(spark, d), columns=tuple(_OBS))
     return own.select(*_OBS, "ip_cc", "probe_as_org_name")
 
 
@@ -144,5 +140,5 @@ def raw_control(spark, d):
 @query("raw_verdicts", rolled_sql(scored_sql(RAW + EVIDENCE)))
 def raw_verdicts(spark, d):
     """From lines of JSON to a verdict a measurement."""
-    own, control = inputs(spark, d)
+    own, control = B.raw_verdict_inputs(raw_measurements(spark, d), *networks(spark, d), columns=V.OBSERVED)
     return V.web_verdicts(own, control, fingerprints(spark), grain=GRAIN)
